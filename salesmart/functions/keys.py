@@ -15,6 +15,7 @@ NON_MEMBER_KEY = "-1"          # collector_key of a sale without a loyalty card
 MEMBER_YES = "Yes"
 MEMBER_NO = "No"
 SLASH_DATE_FORMAT = "M/d/yyyy"  # landing dates such as 6/26/2015 or 06/26/2015
+SLASH_DATE_PATTERN = r"^(\d{1,2})/(\d{1,2})/(\d{4})$"
 TRANS_KEY_DECIMAL = "decimal(30,0)"
 INTEGER_TEXT = r"^[+-]?[0-9]+$"
 
@@ -55,15 +56,14 @@ def parse_trans_dt(c: Column | str, lenient: bool = False) -> Column:
     a lenient calendar does (``13/45/2015`` -> 2016-02-14).
     """
     s = blank_to_null(c)
-    strict = F.coalesce(s.try_cast("date"), F.try_to_date(s, F.lit(SLASH_DATE_FORMAT)))
+    strict = F.coalesce(s.try_cast("date"), F.try_to_date(s, SLASH_DATE_FORMAT))
     if not lenient:
         return strict
-    parts = F.regexp_extract_all(s, F.lit(r"^(\d{1,2})/(\d{1,2})/(\d{4})$"), F.lit(0))
-    m = F.regexp_extract(s, r"^(\d{1,2})/(\d{1,2})/(\d{4})$", 1).try_cast("int")
-    d = F.regexp_extract(s, r"^(\d{1,2})/(\d{1,2})/(\d{4})$", 2).try_cast("int")
-    y = F.regexp_extract(s, r"^(\d{1,2})/(\d{1,2})/(\d{4})$", 3).try_cast("int")
+    m = F.regexp_extract(s, SLASH_DATE_PATTERN, 1).try_cast("int")
+    d = F.regexp_extract(s, SLASH_DATE_PATTERN, 2).try_cast("int")
+    y = F.regexp_extract(s, SLASH_DATE_PATTERN, 3).try_cast("int")
     rolled = F.date_add(F.add_months(F.make_date(y, F.lit(1), F.lit(1)), m - 1), d - 1)
-    return F.coalesce(strict, F.when(F.size(parts) > 0, rolled))
+    return F.coalesce(strict, F.when(s.rlike(SLASH_DATE_PATTERN), rolled))
 
 
 def is_member(collector_key: Column | str = "collector_key") -> Column:

@@ -145,3 +145,141 @@ ORACLE_SQL: dict[str, str] = {
     "enrich_transactions": ENRICH_TRANSACTIONS,
     "enrich_counts": ENRICH_COUNTS,
 }
+
+
+# ------------------------------------------------------------ landing text
+
+# Landing lines as text, restating the four layouts of the fixture writer.
+LANDING = """
+WITH src AS (
+  SELECT l_linenumber % 4 AS rem,
+         CAST(l_orderkey AS VARCHAR) AS k,
+         CAST(l_partkey AS VARCHAR) AS p,
+         CAST(l_suppkey AS VARCHAR) AS s,
+         CASE WHEN o_custkey % 3 = 0 THEN '-1'
+              WHEN o_custkey % 7 = 0 THEN NULL
+              ELSE CAST(o_custkey AS VARCHAR) END AS collector_key,
+         l_shipdate, l_extendedprice, l_quantity
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+raw AS (
+  SELECT CASE rem WHEN 0 THEN 'trans_fact_5' WHEN 1 THEN 'trans_fact_4'
+                  WHEN 2 THEN 'trans_fact_6' ELSE 'trans_fact_8' END AS landing_name,
+         rem, k, p, s, collector_key,
+         CASE WHEN rem = 0 THEN strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')
+              ELSE strftime(l_shipdate, '%-m/%-d/%Y') END AS trans_dt_text,
+         CASE WHEN rem = 3 THEN lpad(s, 12, '0') ELSE s END AS store_location_key_text,
+         CASE WHEN rem = 1 THEN lpad(p, 12, '0') ELSE p END AS product_key_text,
+         CASE WHEN rem = 3 THEN NULL ELSE CAST(l_extendedprice AS VARCHAR) END AS sales_text,
+         CASE WHEN rem = 2 THEN NULL
+              WHEN rem = 1 THEN CAST(CAST(CAST(l_quantity AS INTEGER) AS DOUBLE) AS VARCHAR)
+              ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS units_text,
+         CASE WHEN rem = 0 THEN k
+              ELSE substr(k, 1, 1) || '.' || substr(k, 2) || '0E+' || CAST(length(k) - 1 AS VARCHAR)
+              END AS trans_key_text,
+         CAST(l_shipdate AS DATE) AS trans_dt,
+         CASE WHEN rem = 3 THEN 0.0 ELSE l_extendedprice END AS sales,
+         CASE WHEN rem = 2 THEN 0 ELSE CAST(l_quantity AS INTEGER) END AS units,
+         CAST(YEAR(l_shipdate) AS INTEGER) AS trans_year,
+         CAST(MONTH(l_shipdate) AS INTEGER) AS trans_month
+  FROM src)
+"""
+
+CLEAN_COLUMNS = """s AS store_location_key, p AS product_key, collector_key, trans_dt,
+  sales, units, k AS trans_key, trans_year, trans_month"""
+
+CLEAN_TRANSACTIONS = f"{LANDING} SELECT {CLEAN_COLUMNS} FROM raw"
+
+UNION_LAYOUTS = f"""{LANDING}
+SELECT landing_name, COUNT(*) AS row_count,
+       COUNT(collector_key) AS collector_key_values, COUNT(trans_dt_text) AS trans_dt_values,
+       COUNT(store_location_key_text) AS store_location_key_values,
+       COUNT(product_key_text) AS product_key_values, COUNT(sales_text) AS sales_values,
+       COUNT(units_text) AS units_values, COUNT(trans_key_text) AS trans_key_values
+FROM raw GROUP BY landing_name"""
+
+NORMALIZE_TRANS_DT = f"""{LANDING}
+SELECT DISTINCT landing_name, trans_dt_text, trans_dt FROM raw"""
+
+NORMALIZE_TRANS_KEY = f"""{LANDING}
+SELECT landing_name, trans_key_text, k AS trans_key FROM raw"""
+
+CANONICAL_KEYS = f"""{LANDING}
+SELECT landing_name, product_key_text, p AS product_key,
+       store_location_key_text, s AS store_location_key FROM raw"""
+
+FILL_MISSING_MEASURES = f"""{LANDING}
+SELECT landing_name, COUNT(*) AS row_count,
+       COUNT(*) FILTER (WHERE rem = 3) AS sales_filled,
+       COUNT(*) FILTER (WHERE rem = 2) AS units_filled,
+       {MONEY} AS total_sales, CAST(SUM(units) AS BIGINT) AS total_units
+FROM raw GROUP BY landing_name"""
+
+MEMBERSHIP_FLAG = f"""{LANDING}
+SELECT CASE WHEN collector_key IS NULL OR collector_key = '-1' THEN 'No' ELSE 'Yes' END
+         AS is_member,
+       COUNT(*) AS row_count, COUNT(collector_key) AS rows_with_collector,
+       COUNT(DISTINCT collector_key) AS distinct_collectors
+FROM raw GROUP BY 1"""
+
+ARCHIVE_ROUNDTRIP = f"""{LANDING}
+SELECT collector_key, trans_dt_text AS trans_dt, store_location_key_text AS store_location_key,
+       product_key_text AS product_key, sales_text AS sales, units_text AS units,
+       trans_key_text AS trans_key, landing_name
+FROM raw"""
+
+LANDING_NEW_FILES = f"{LANDING} SELECT {CLEAN_COLUMNS} FROM raw WHERE rem = 3"
+
+NULL_PROFILE_BY_FILE = LANDING + "\nUNION ALL\n".join(
+    f"SELECT landing_name, '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count "
+    f"FROM (SELECT landing_name, {CLEAN_COLUMNS} FROM raw) GROUP BY landing_name"
+    for c in ("store_location_key", "product_key", "collector_key", "trans_dt", "sales",
+              "units", "trans_key", "trans_year", "trans_month"))
+
+# ----------------------------------------------------------- quality, io
+
+_ENRICHED_NAMES = [c.strip() for c in ENRICHED_COLUMNS.replace("\n", " ").split(",")]
+
+NULL_PROFILE = BASE + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count FROM enriched"
+    for c in _ENRICHED_NAMES)
+
+
+def _dups(table: str, source: str, key: str) -> str:
+    return (f"SELECT '{table}' AS table_name, '{key}' AS key_column, {key} AS key_value, "
+            f"COUNT({key}) AS row_count FROM {source} GROUP BY {key} HAVING COUNT({key}) > 1")
+
+
+DUPLICATE_KEYS = BASE + "\nUNION ALL\n".join([
+    _dups("product", "prod", "product_key"), _dups("product", "prod", "upc"),
+    _dups("product", "prod", "category"), _dups("location", "loc", "store_num"),
+    _dups("location", "loc", "store_location_key"), _dups("transactions", "txn", "trans_key")])
+
+TXN_COLUMNS = """store_location_key, product_key, collector_key, trans_dt, sales, units,
+  trans_key, trans_year, trans_month"""
+
+ORACLE_SQL.update({
+    "clean_transactions": CLEAN_TRANSACTIONS,
+    "union_layouts": UNION_LAYOUTS,
+    "normalize_trans_dt": NORMALIZE_TRANS_DT,
+    "normalize_trans_key": NORMALIZE_TRANS_KEY,
+    "canonical_keys": CANONICAL_KEYS,
+    "fill_missing_measures": FILL_MISSING_MEASURES,
+    "membership_flag": MEMBERSHIP_FLAG,
+    "stage_locations": f"{BASE} SELECT * FROM loc",
+    "stage_products": f"{BASE} SELECT * FROM prod",
+    "csv_roundtrip": _sales_by("category"),
+    "partitioned_roundtrip": ENRICH_TRANSACTIONS,
+    "append_load": f"{BASE} SELECT {TXN_COLUMNS} FROM txn",
+    "archive_roundtrip": ARCHIVE_ROUNDTRIP,
+    "landing_new_files": LANDING_NEW_FILES,
+    "null_profile": NULL_PROFILE,
+    "null_profile_by_file": NULL_PROFILE_BY_FILE,
+    "duplicate_keys": DUPLICATE_KEYS,
+    "date_range": f"""{BASE} SELECT MIN(trans_dt) AS min_date, MAX(trans_dt) AS max_date,
+        COUNT(*) AS row_count, COUNT(*) FILTER (WHERE trans_dt IS NULL) AS rows_without_date
+        FROM txn""",
+    "daily_counts": f"{BASE} SELECT trans_dt, COUNT(*) AS row_count FROM txn GROUP BY trans_dt",
+    "group_counts": f"""{BASE} SELECT province, COUNT(*) AS row_count,
+        COUNT(province) AS value_count FROM enriched GROUP BY province""",
+    "key_lookup": f"{BASE} SELECT {ENRICHED_COLUMNS} FROM enriched WHERE product_key = '7'",
+})

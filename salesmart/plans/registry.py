@@ -50,3 +50,9 @@ QUERIES: dict[str, Query] = {
     "enrich_transactions": enriched,
     "enrich_counts": enrich_counts,
 }
+
+
+def all_queries() -> dict[str, Query]:
+    """Report queries plus the file-based ones (landing, sinks, quality)."""
+    from salesmart.plans.io_queries import IO_QUERIES
+    return {**QUERIES, **IO_QUERIES}
