@@ -150,6 +150,20 @@ def landing_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stg.accepted(stg.clean_transactions(raw))
 
 
+def intake_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streamed intake run twice around a new landing file, then once more
+    with nothing new: the staging table holds every line exactly once."""
+    from salesmart.streaming.intake import intake_stream as run_intake
+    root = _landing(spark, sf_dir, ("trans_fact_5", "trans_fact_4", "trans_fact_6"))
+    zone = scratch_path(spark, "stream")
+    table, checkpoint = f"{zone}/staging/transactions", f"{zone}/_checkpoint"
+    run_intake(spark, root, table, checkpoint)
+    fixtures.write_landing(spark, sf_dir, root, ("trans_fact_8",))
+    run_intake(spark, root, table, checkpoint)
+    run_intake(spark, root, table, checkpoint)
+    return read_table(spark, table, TRANSACTIONS)
+
+
 # --------------------------------------------------------------- quality
 
 def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,6 +228,7 @@ IO_QUERIES = {
     "append_load": append_load,
     "archive_roundtrip": archive_roundtrip,
     "landing_new_files": landing_new_files,
+    "intake_stream": intake_stream,
     "null_profile": null_profile,
     "null_profile_by_file": null_profile_by_file,
     "duplicate_keys": duplicate_keys,

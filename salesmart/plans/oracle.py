@@ -272,6 +272,7 @@ ORACLE_SQL.update({
     "append_load": f"{BASE} SELECT {TXN_COLUMNS} FROM txn",
     "archive_roundtrip": ARCHIVE_ROUNDTRIP,
     "landing_new_files": LANDING_NEW_FILES,
+    "intake_stream": CLEAN_TRANSACTIONS,
     "null_profile": NULL_PROFILE,
     "null_profile_by_file": NULL_PROFILE_BY_FILE,
     "duplicate_keys": DUPLICATE_KEYS,

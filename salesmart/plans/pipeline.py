@@ -1,0 +1,184 @@
+"""The batch pipeline: one action per run, state passed through zone folders.
+
+Zones under ``root``::
+
+    landing/      location.csv, product.csv, trans_fact_*   (input)
+    staging/      location, product, transactions            (contract tables)
+    enrichment/   transactions                               (wide sales table)
+    reporting/    one CSV folder per report
+    archive/      landing/<table>/<load id>/                 (all-string copies)
+    _ledger/      <table>                                    (loaded files)
+
+Every load is rerun-safe: a landing file already in the ledger is skipped, and
+enrichment overwrites only the partitions it rewrites.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from salesmart.contracts import ENRICHED, LOCATION, PRODUCT, TRANSACTIONS, TableContract
+from salesmart.operators import enrich as enr
+from salesmart.operators import reports as rep
+from salesmart.operators import staging as stg
+from salesmart.sources import landing as ld
+from salesmart.sources import sinks
+from salesmart.sources.tables import read_table
+
+ACTIONS = ("stage-locations", "stage-products", "stage-transactions", "enrich", "reporting")
+
+
+class Zones:
+    def __init__(self, root: str):
+        r = root.rstrip("/")
+        self.root = r
+        self.landing = f"{r}/landing"
+        self.location = f"{r}/staging/location"
+        self.product = f"{r}/staging/product"
+        self.transactions = f"{r}/staging/transactions"
+        self.rejects = f"{r}/staging/transactions_rejects"
+        self.enriched = f"{r}/enrichment/transactions"
+        self.reporting = f"{r}/reporting"
+        self.archive = f"{r}/archive/landing"
+        self.ledger = f"{r}/_ledger"
+
+
+def _new_landing(spark: SparkSession, z: Zones, glob: str, table: str) -> tuple[DataFrame, list[str]]:
+    files = ld.new_files(ld.list_files(spark, z.landing, glob),
+                         ld.read_ledger(spark, f"{z.ledger}/{table}"))
+    return files, ld.landing_paths(files)
+
+
+def _stage_dimension(spark: SparkSession, z: Zones, contract: TableContract, glob: str,
+                     marker: str, transform, table_dir: str) -> dict:
+    files, paths = _new_landing(spark, z, glob, contract.name)
+    if not paths:
+        return {"files": 0}
+    load_id = ld.new_load_id()
+    raw = ld.read_by_headers(spark, paths, marker, contract.names)
+    obs = Observation(f"{contract.name}_load")
+    staged = transform(raw).observe(obs, F.count(F.lit(1)).alias("rows"))
+    sinks.write_table(staged, table_dir, contract)
+    sinks.write_text_csv(raw.drop(ld.SOURCE_FILE), f"{z.archive}/{contract.name}/{load_id}")
+    ld.record_loaded(files, f"{z.ledger}/{contract.name}", load_id)
+    return {"files": len(paths), "load_id": load_id, **obs.get}
+
+
+def stage_locations(spark: SparkSession, root: str) -> dict:
+    z = Zones(root)
+    return _stage_dimension(spark, z, LOCATION, ld.LOCATION_NAME, "store_location_key",
+                            stg.stage_locations, z.location)
+
+
+def stage_products(spark: SparkSession, root: str) -> dict:
+    z = Zones(root)
+    return _stage_dimension(spark, z, PRODUCT, ld.PRODUCT_NAME, "product_key",
+                            stg.stage_products, z.product)
+
+
+def stage_transactions(spark: SparkSession, root: str, glob: str = ld.TRANSACTION_GLOB,
+                       lenient_dates: bool = False, on_bad: str = "reject") -> dict:
+    """New landing transaction files -> staging/transactions (append).
+
+    Order: staging table, rejects, archive, then the ledger, so a crash before
+    the ledger entry leaves the files to be loaded again. Rejected rows are
+    counted while the good rows are written; their table is only written when
+    there are any (``on_bad='fail'`` raises instead).
+    """
+    z = Zones(root)
+    files, paths = _new_landing(spark, z, glob, TRANSACTIONS.name)
+    if not paths:
+        return {"files": 0}
+    load_id = ld.new_load_id()
+    raw = ld.read_transactions(spark, paths)
+    clean = stg.clean_transactions(raw, lenient_dates=lenient_dates)
+    obs = Observation("transactions_load")
+    clean = clean.observe(obs, F.count(F.lit(1)).alias("rows"),
+                          F.count_if(F.col(stg.REJECT_REASON).isNotNull()).alias("rejected"),
+                          F.count_if(F.col("sales_was_missing")).alias("sales_filled"),
+                          F.count_if(F.col("units_was_missing")).alias("units_filled"))
+    if on_bad == "fail":
+        bad = stg.rejects(raw, lenient_dates).limit(1).count()
+        if bad:
+            raise ValueError("landing transactions hold rows with an unparseable trans_dt")
+    sinks.write_table(stg.accepted(clean), z.transactions, TRANSACTIONS, mode="append")
+    metrics = dict(obs.get)
+    if metrics.get("rejected"):
+        (stg.rejects(raw, lenient_dates).withColumn("load_id", F.lit(load_id))
+         .write.mode("append").parquet(z.rejects))
+    sinks.write_text_csv(raw.drop(ld.SOURCE_FILE), f"{z.archive}/transactions/{load_id}")
+    ld.record_loaded(files, f"{z.ledger}/{TRANSACTIONS.name}", load_id)
+    return {"files": len(paths), "load_id": load_id, **metrics}
+
+
+def enrich(spark: SparkSession, root: str, mode: str = "dynamic",
+           allow_fanout: bool = False) -> dict:
+    """Staging tables -> enrichment/transactions in one write job.
+
+    Rows in and out are observed by that job; a difference means a dimension
+    key repeats, which the up-front key check rejects unless allowed.
+    """
+    z = Zones(root)
+    txn = read_table(spark, z.transactions, TRANSACTIONS)
+    prod = read_table(spark, z.product, PRODUCT)
+    loc = read_table(spark, z.location, LOCATION)
+    if not allow_fanout:
+        enr.assert_unique_key(prod, "product_key", "products")
+        enr.assert_unique_key(loc, "store_location_key", "locations")
+    out, obs_in, obs_out = enr.observed_enrich(txn, prod, loc)
+    sinks.write_table(out, z.enriched, ENRICHED, mode=mode)
+    metrics = {**obs_in.get, **obs_out.get}
+    if not allow_fanout and metrics.get("rows_in") != metrics.get("rows_out"):
+        raise RuntimeError(f"enrichment changed the row count: {metrics}")
+    return metrics
+
+
+def reporting(spark: SparkSession, root: str, top_stores: int = rep.DEFAULT_TOP_STORES,
+              top_categories: int = rep.DEFAULT_TOP_CATEGORIES) -> dict:
+    """All nine reports from two scans of the enriched table.
+
+    The two bundles are small (bounded by the dimensions) and are
+    checkpointed to the shared checkpoint folder, so the nine report writes
+    read them instead of re-running the scans.
+    """
+    z = Zones(root)
+    sales = read_table(spark, z.enriched, ENRICHED)
+    bundle = rep.report_bundle(sales).checkpoint(eager=True)
+    metrics = rep.metrics_bundle(sales).checkpoint(eager=True)
+    reports = rep.split_bundle(bundle, metrics, top_stores, top_categories)
+    for name, df in reports.items():
+        sinks.write_csv(df, f"{z.reporting}/{rep.REPORT_FOLDERS[name]}", rep.report_order(name))
+    return {"reports": sorted(reports)}
+
+
+def run(spark: SparkSession, root: str, action: str, **options) -> dict:
+    """Run one pipeline action; an unknown action raises ``ValueError``."""
+    handlers = {
+        "stage-locations": stage_locations,
+        "stage-products": stage_products,
+        "stage-transactions": stage_transactions,
+        "enrich": enrich,
+        "reporting": reporting,
+    }
+    if action not in handlers:
+        raise ValueError(f"unknown action {action!r}; expected one of {ACTIONS}")
+    return handlers[action](spark, root, **options)
+
+
+def main(argv: list[str] | None = None) -> None:
+    import argparse
+    import json
+
+    from salesmart.session import get_session
+
+    p = argparse.ArgumentParser(description="Run one action of the sales pipeline.")
+    p.add_argument("root", help="folder holding the zones (landing/, staging/, ...)")
+    p.add_argument("action", choices=ACTIONS)
+    args = p.parse_args(argv)
+    spark = get_session()
+    print(json.dumps(run(spark, args.root, args.action), default=str))
+
+
+if __name__ == "__main__":
+    main()
