@@ -10,26 +10,27 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from salesmart.contracts import ENRICHED
-from salesmart.operators.joins import (DEFAULT_BROADCAST_ROWS, assert_unique_key,
-                                       broadcast_if_bounded)
+from salesmart.operators.joins import (DEFAULT_BROADCAST_ROWS, DEFAULT_KEY_ROW_BUDGET,
+                                       assert_unique_key, left_join_dimension)
 
 HAS_PRODUCT = "_has_product"
 HAS_LOCATION = "_has_location"
 
 
 def enrich_flagged(txn: DataFrame, prod: DataFrame, loc: DataFrame,
-                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                   row_budget: int = DEFAULT_KEY_ROW_BUDGET) -> DataFrame:
     """Enriched rows plus two match flags (``_has_product``, ``_has_location``).
 
-    Each dimension is broadcast only when a bounded count proves it small;
-    otherwise both sides shuffle on the key and AQE splits skewed key
-    partitions (a dominant unmatched product key is common in sales data).
+    Each dimension is broadcast only when a bounded count proves it small.
+    Otherwise the join shuffles on (key, salt), where keys with more than
+    ``row_budget`` sales are split over several salts — a dominant product
+    key (or the NULL key of unmatched sales) never lands in one task.
     """
     prod = prod.withColumn(HAS_PRODUCT, F.lit(True))
     loc = loc.withColumn(HAS_LOCATION, F.lit(True))
-    joined = (txn
-              .join(broadcast_if_bounded(prod, broadcast_rows), on="product_key", how="left")
-              .join(broadcast_if_bounded(loc, broadcast_rows), on="store_location_key", how="left"))
+    joined = left_join_dimension(txn, prod, "product_key", broadcast_rows, row_budget)
+    joined = left_join_dimension(joined, loc, "store_location_key", broadcast_rows, row_budget)
     return joined.select(*ENRICHED.columns(),
                          F.coalesce(F.col(HAS_PRODUCT), F.lit(False)).alias(HAS_PRODUCT),
                          F.coalesce(F.col(HAS_LOCATION), F.lit(False)).alias(HAS_LOCATION))
@@ -37,7 +38,8 @@ def enrich_flagged(txn: DataFrame, prod: DataFrame, loc: DataFrame,
 
 def enrich(txn: DataFrame, prod: DataFrame, loc: DataFrame,
            broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-           allow_fanout: bool = True) -> DataFrame:
+           allow_fanout: bool = True,
+           row_budget: int = DEFAULT_KEY_ROW_BUDGET) -> DataFrame:
     """The wide sales table in contract order (21 columns).
 
     With ``allow_fanout=False`` the dimension keys are checked for
@@ -47,7 +49,7 @@ def enrich(txn: DataFrame, prod: DataFrame, loc: DataFrame,
     if not allow_fanout:
         assert_unique_key(prod, "product_key", "products")
         assert_unique_key(loc, "store_location_key", "locations")
-    return ENRICHED.conform(enrich_flagged(txn, prod, loc, broadcast_rows))
+    return ENRICHED.conform(enrich_flagged(txn, prod, loc, broadcast_rows, row_budget))
 
 
 def enrich_counts(txn: DataFrame, prod: DataFrame, loc: DataFrame,

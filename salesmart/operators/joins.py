@@ -41,3 +41,60 @@ def assert_unique_key(df: DataFrame, key: str, what: str) -> None:
     if dups:
         raise ValueError(f"{what}: {dups} value(s) of {key} occur more than once; "
                          f"joining would duplicate fact rows (pass allow_fanout=True to accept)")
+
+
+# Rows of one key that one join task should take at most. A key with more
+# fact rows is split over ceil(rows / budget) salted partitions.
+DEFAULT_KEY_ROW_BUDGET = 2_000_000
+# Bound on the number of hot keys (the hot-key table is broadcast).
+MAX_HOT_KEYS = 100_000
+SALT = "_salt"
+SALTS = "_salts"
+HOT_KEY = "_hot_key"
+
+
+def hot_keys(fact: DataFrame, key: str, row_budget: int = DEFAULT_KEY_ROW_BUDGET) -> DataFrame:
+    """Keys (NULL included) with more than ``row_budget`` fact rows, and how
+    many salted partitions each needs. Exact: one aggregate over the key
+    column, combined map-side, so the hot key itself never lands in one task."""
+    return (fact.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+            .where(F.col("_rows") > row_budget)
+            .select(key, F.ceil(F.col("_rows") / F.lit(row_budget)).cast("int").alias(SALTS)))
+
+
+def salted_left_join(fact: DataFrame, dim: DataFrame, key: str,
+                     row_budget: int = DEFAULT_KEY_ROW_BUDGET,
+                     max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
+    """Left join of a large fact with a large dimension, robust to hot keys.
+
+    Rows of a hot key get a salt ``xxhash64(row) mod salts`` — deterministic,
+    so a retried task sends each row to the same partition — and the
+    dimension row of that key is repeated once per salt. The join then
+    shuffles on (key, salt): a key holding a third of all rows is spread over
+    many tasks instead of one. Cold keys keep salt 0 and join as usual. NULL
+    keys never match and are spread the same way. When there are more hot
+    keys than ``max_hot_keys`` the plain shuffle join is used (AQE still
+    splits skewed partitions at runtime).
+    """
+    hot = hot_keys(fact, key, row_budget).withColumnRenamed(key, HOT_KEY)
+    if not has_at_most(hot, max_hot_keys):
+        return fact.join(dim, on=key, how="left")
+    hot = F.broadcast(hot)
+    salts = F.coalesce(F.col(SALTS), F.lit(1))
+    fact_cols = fact.columns
+    salted_fact = (fact.join(hot, F.col(key).eqNullSafe(F.col(HOT_KEY)), "left")
+                   .select(*fact_cols,
+                           F.pmod(F.xxhash64(*fact_cols), salts).cast("int").alias(SALT)))
+    salted_dim = (dim.join(hot, F.col(key) == F.col(HOT_KEY), "left")
+                  .select(*dim.columns, F.explode(F.sequence(F.lit(0), salts - 1)).alias(SALT)))
+    return salted_fact.join(salted_dim, on=[key, SALT], how="left").drop(SALT)
+
+
+def left_join_dimension(fact: DataFrame, dim: DataFrame, key: str,
+                        broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                        row_budget: int = DEFAULT_KEY_ROW_BUDGET) -> DataFrame:
+    """Left join fact x dimension: broadcast when the dimension is proven
+    small, else a salted shuffle join that splits hot keys."""
+    if broadcast_rows and broadcast_rows > 0 and has_at_most(dim, broadcast_rows):
+        return fact.join(F.broadcast(dim), on=key, how="left")
+    return salted_left_join(fact, dim, key, row_budget)

@@ -143,6 +143,7 @@ ORACLE_SQL: dict[str, str] = {
     "metrics_by_loyalty": _metrics_by("is_member"),
     "report_bundle": REPORT_BUNDLE,
     "enrich_transactions": ENRICH_TRANSACTIONS,
+    "enrich_transactions_salted": ENRICH_TRANSACTIONS,
     "enrich_counts": ENRICH_COUNTS,
 }
 

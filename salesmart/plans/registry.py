@@ -31,6 +31,18 @@ def _report(fn: Callable[[DataFrame], DataFrame]) -> Query:
     return run
 
 
+def enriched_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enrichment with broadcasts disabled and a tiny per-key row budget, so
+    every join takes the salted shuffle path used for large dimensions."""
+    txn, prod, loc = adapter.staging_frames(spark, sf_dir)
+    return enr.enrich(txn, prod, loc, broadcast_rows=0, row_budget=SALTED_TEST_BUDGET)
+
+
+# Per-key row budget of the salted variant: small enough that most product
+# and store keys of the test tables are split.
+SALTED_TEST_BUDGET = 4
+
+
 def enrich_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enr.enrich_counts(*adapter.staging_frames(spark, sf_dir))
 
@@ -48,6 +60,7 @@ QUERIES: dict[str, Query] = {
     "metrics_by_loyalty": _report(rep.metrics_by_loyalty),
     "report_bundle": _report(rep.report_bundle),
     "enrich_transactions": enriched,
+    "enrich_transactions_salted": enriched_salted,
     "enrich_counts": enrich_counts,
 }
 
