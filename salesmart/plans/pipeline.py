@@ -135,15 +135,21 @@ def enrich(spark: SparkSession, root: str, mode: str = "dynamic",
 
 
 def reporting(spark: SparkSession, root: str, top_stores: int = rep.DEFAULT_TOP_STORES,
-              top_categories: int = rep.DEFAULT_TOP_CATEGORIES) -> dict:
+              top_categories: int = rep.DEFAULT_TOP_CATEGORIES, province: str | None = None,
+              year: int | None = None, month: int | None = None) -> dict:
     """All nine reports from two scans of the enriched table.
 
     The two bundles are small (bounded by the dimensions) and are
     checkpointed to the shared checkpoint folder, so the nine report writes
-    read them instead of re-running the scans.
+    read them instead of re-running the scans. ``province``, ``year`` and
+    ``month`` restrict the reports to matching partitions; the filters prune
+    partition folders before any file is opened.
     """
     z = Zones(root)
     sales = read_table(spark, z.enriched, ENRICHED)
+    for column, value in (("province", province), ("trans_year", year), ("trans_month", month)):
+        if value is not None:
+            sales = sales.where(F.col(column) == F.lit(value))
     bundle = rep.report_bundle(sales).checkpoint(eager=True)
     metrics = rep.metrics_bundle(sales).checkpoint(eager=True)
     reports = rep.split_bundle(bundle, metrics, top_stores, top_categories)
@@ -175,9 +181,16 @@ def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(description="Run one action of the sales pipeline.")
     p.add_argument("root", help="folder holding the zones (landing/, staging/, ...)")
     p.add_argument("action", choices=ACTIONS)
+    p.add_argument("--province", help="reporting: only this province")
+    p.add_argument("--year", type=int, help="reporting: only this year")
+    p.add_argument("--month", type=int, help="reporting: only this month")
     args = p.parse_args(argv)
+    options = {k: v for k, v in (("province", args.province), ("year", args.year),
+                                 ("month", args.month)) if v is not None}
+    if options and args.action != "reporting":
+        p.error("--province/--year/--month apply to reporting only")
     spark = get_session()
-    print(json.dumps(run(spark, args.root, args.action), default=str))
+    print(json.dumps(run(spark, args.root, args.action, **options), default=str))
 
 
 if __name__ == "__main__":

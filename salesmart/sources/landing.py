@@ -157,8 +157,9 @@ def read_by_headers(spark: SparkSession, paths: list[str], marker_column: str,
 
 
 def landing_paths(files: DataFrame) -> list[str]:
-    """File paths of a listing, in order (file metadata only)."""
-    return [r["path"] for r in files.select("path").orderBy("path").collect()]
+    """File paths of a listing, in order (file metadata only, one row per
+    file; sorted on the driver, so no shuffle is planned for it)."""
+    return sorted(r["path"] for r in files.select("path").collect())
 
 
 def spark_read_strings(spark: SparkSession, path: str, names) -> DataFrame:

@@ -120,3 +120,15 @@ def test_archive_written(zone):
     root, _ = zone
     assert glob.glob(f"{root}/archive/landing/transactions/*/part-*.csv")
     assert all(":" not in os.path.basename(p) for p in glob.glob(f"{root}/archive/landing/*/*"))
+
+
+def test_reporting_prunes_partitions(spark, zone, tmp_path):
+    root, _ = zone
+    sales = read_table(spark, f"{root}/enrichment/transactions", ENRICHED)
+    year = sales.agg(F.min("trans_year")).first()[0]
+    filtered = sales.where(F.col("trans_year") == year)
+    plan = filtered._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(trans_year" in plan
+    pipeline.reporting(spark, root, year=year)
+    got = _read_report(root, "metrics_by_year")
+    assert got["trans_year"].tolist() == [str(year)]
