@@ -6,10 +6,10 @@ NULL category of unmatched products) is combined inside each task before the
 shuffle and never lands whole in one task. Report outputs are small: one row
 per province, store, category, loyalty flag or year.
 
-``report_bundle`` computes the additive reports together: one scan builds a
-base aggregate at (province, store, department, category, loyalty) grain —
-bounded by the dimension sizes, not by the sales — and ``GROUPING SETS`` over
-that small result yields all seven additive reports. The two metric reports
+``report_bundle`` computes the additive reports together: one scan builds two
+base aggregates, at (province, store, loyalty) and (department, category)
+grain — bounded by the dimension sizes, not by the sales — and ``GROUPING
+SETS`` over those small results yield all seven additive reports. The two metric reports
 hold distinct counts, which cannot be re-aggregated, so they share one second
 scan with their own grouping sets.
 """
@@ -184,24 +184,51 @@ def _grouping_id_of(keys: tuple[str, ...], grouped: tuple[str, ...]) -> int:
     return gid
 
 
+# The additive reports group by store-side keys or product-side keys, never
+# both, so two narrow base aggregates serve all of them (fixed split).
+STORE_BASE = ("province", "store_num", "is_member")
+PRODUCT_BASE = ("department", "category")
+
+
+def _base_of(keys: tuple[str, ...]) -> tuple[str, ...]:
+    return STORE_BASE if set(keys) <= set(STORE_BASE) else PRODUCT_BASE
+
+
 def report_bundle(df: DataFrame) -> DataFrame:
     """All additive report rows from one scan, tagged by report name.
 
     Columns: ``report, province, store_num, department, category, is_member,
     total_sales``; keys a report does not group by are NULL. A real NULL key
     is told apart from a rolled-up one by the grouping id.
+
+    The scan feeds two exact partial sums at once — per (province, store,
+    loyalty) and per (department, category) — each bounded by a dimension's
+    size, so map-side combining shrinks the sales to a few rows per task
+    before anything is shuffled. The seven report groupings are rolled up
+    from that small result in a second aggregate keyed by the base it comes
+    from; rows pairing a grouping with the other base are dropped only after
+    that aggregate, so the filter cannot be pushed down into two scans.
     """
-    base = (with_membership(df.select("province", "store_num", "department",
-                                      "category", "collector_key", "sales"))
-            .groupBy(*BASE_KEYS).agg(money_partial("sales").alias("_sales")))
-    sets = [[F.col(k) for k in keys] for keys in ADDITIVE_SETS.values()]
-    grouped = (base.groupingSets(sets, *[F.col(k) for k in BASE_KEYS])
+    src = with_membership(df.select("province", "store_num", "department", "category",
+                                    "collector_key", "sales"))
+    base_keys = STORE_BASE + PRODUCT_BASE
+    base_cols = [F.col(k) for k in base_keys]
+    base = (src.groupingSets([[F.col(k) for k in STORE_BASE], [F.col(k) for k in PRODUCT_BASE]],
+                             *base_cols)
+            .agg(money_partial("sales").alias("_sales"), F.grouping_id(*base_cols).alias("_base")))
+    roll_keys = ("_base",) + BASE_KEYS
+    roll_cols = [F.col(k) for k in roll_keys]
+    sets = [[F.col("_base")] + [F.col(k) for k in ks] for ks in ADDITIVE_SETS.values()]
+    grouped = (base.groupingSets(sets, *roll_cols)
                .agg(to_money(F.sum("_sales")).alias(TOTAL_SALES),
-                    F.grouping_id(*[F.col(k) for k in BASE_KEYS]).alias("_gid")))
+                    F.grouping_id(*roll_cols).alias("_gid")))
     report = F.lit(None).cast("string")
-    for name, keys in ADDITIVE_SETS.items():
-        report = F.when(F.col("_gid") == _grouping_id_of(BASE_KEYS, keys), F.lit(name)).otherwise(report)
-    return grouped.select(report.alias("report"), *BASE_KEYS, TOTAL_SALES)
+    for name, ks in ADDITIVE_SETS.items():
+        match = ((F.col("_gid") == _grouping_id_of(roll_keys, ("_base",) + ks))
+                 & (F.col("_base") == _grouping_id_of(base_keys, _base_of(ks))))
+        report = F.when(match, F.lit(name)).otherwise(report)
+    return (grouped.select(report.alias("report"), *BASE_KEYS, TOTAL_SALES)
+            .where(F.col("report").isNotNull()))
 
 
 def metrics_bundle(df: DataFrame) -> DataFrame:
