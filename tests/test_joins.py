@@ -62,3 +62,13 @@ def test_left_join_dimension_broadcasts_small_side(spark):
     assert "BroadcastHashJoin" in df._jdf.queryExecution().executedPlan().toString()
     df = left_join_dimension(fact, prod, "product_key", broadcast_rows=0, row_budget=200)
     assert df.count() == fact.count()
+
+
+def test_fanout_guard(spark):
+    import pytest
+    from salesmart.operators.enrich import enrich
+    txn, prod, loc = adapter.staging_frames(spark, SF_SMALL)
+    doubled = prod.unionByName(prod.limit(1))
+    with pytest.raises(ValueError):
+        enrich(txn, doubled, loc, allow_fanout=False)
+    assert enrich(txn, prod, loc, allow_fanout=False).count() == txn.count()
