@@ -17,6 +17,9 @@ from salesmart.functions.keys import (blank_to_null, canonical_key,
 from salesmart.sources.landing import LANDING_NAME, SOURCE_FILE
 
 REJECT_REASON = "reject_reason"
+# A key printed in E-notation keeps about 10 significant digits; one ending
+# in this many zeros has most likely lost digits and may collide with others.
+LOSSY_KEY_PATTERN = r"0{12}$"
 BAD_TRANS_DT = "unparseable trans_dt"
 
 
@@ -86,10 +89,12 @@ def rejects(raw: DataFrame, lenient_dates: bool = False) -> DataFrame:
 
 
 def measure_audit(clean: DataFrame, by: str = LANDING_NAME) -> DataFrame:
-    """Per landing file: rows, zero-filled sales/units and their sums."""
+    """Per landing file: rows, zero-filled sales/units, their sums, and keys
+    that probably lost digits in E-notation."""
     return clean.groupBy(by).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(F.col("sales_was_missing")).alias("sales_filled"),
         F.count_if(F.col("units_was_missing")).alias("units_filled"),
         F.sum(F.col("sales").cast("decimal(18,4)")).cast("decimal(28,3)").alias("total_sales"),
-        F.sum("units").cast("bigint").alias("total_units"))
+        F.sum("units").cast("bigint").alias("total_units"),
+        F.count_if(F.col("trans_key").rlike(LOSSY_KEY_PATTERN)).alias("lossy_trans_keys"))

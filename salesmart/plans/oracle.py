@@ -212,7 +212,8 @@ FILL_MISSING_MEASURES = f"""{LANDING}
 SELECT landing_name, COUNT(*) AS row_count,
        COUNT(*) FILTER (WHERE rem = 3) AS sales_filled,
        COUNT(*) FILTER (WHERE rem = 2) AS units_filled,
-       {MONEY} AS total_sales, CAST(SUM(units) AS BIGINT) AS total_units
+       {MONEY} AS total_sales, CAST(SUM(units) AS BIGINT) AS total_units,
+       COUNT(*) FILTER (WHERE regexp_matches(k, '0{{12}}$')) AS lossy_trans_keys
 FROM raw GROUP BY landing_name"""
 
 MEMBERSHIP_FLAG = f"""{LANDING}

@@ -136,7 +136,8 @@ def enrich(spark: SparkSession, root: str, mode: str = "dynamic",
 
 def reporting(spark: SparkSession, root: str, top_stores: int = rep.DEFAULT_TOP_STORES,
               top_categories: int = rep.DEFAULT_TOP_CATEGORIES, province: str | None = None,
-              year: int | None = None, month: int | None = None) -> dict:
+              year: int | None = None, month: int | None = None,
+              preview: bool = False) -> dict:
     """All nine reports from two scans of the enriched table.
 
     The two bundles are small (bounded by the dimensions) and are
@@ -155,6 +156,9 @@ def reporting(spark: SparkSession, root: str, top_stores: int = rep.DEFAULT_TOP_
     reports = rep.split_bundle(bundle, metrics, top_stores, top_categories)
     for name, df in reports.items():
         sinks.write_csv(df, f"{z.reporting}/{rep.REPORT_FOLDERS[name]}", rep.report_order(name))
+    if preview:  # console view of the three headline reports
+        for name in ("sales_by_province", "sales_by_store", "sales_by_category"):
+            reports[name].orderBy(*rep.report_order(name)).show(rep.PREVIEW_ROWS, truncate=False)
     return {"reports": sorted(reports)}
 
 

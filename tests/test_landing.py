@@ -91,3 +91,14 @@ def test_glob_read_would_shift_columns(spark, workdir):
     naive = spark.read.option("header", True).csv(f"{workdir}/trans_fact_*")
     row = [r for r in naive.collect() if r["collector_key"] == "62455802158"]
     assert row, "positional read puts the product key under collector_key"
+
+
+def test_lossy_keys_counted_per_file(spark, workdir):
+    write_files(workdir, FILES)
+    paths = ld.landing_paths(ld.list_files(spark, workdir))
+    audit = {r["landing_name"]: r for r in
+             stg.measure_audit(stg.clean_transactions(ld.read_transactions(spark, paths))).collect()}
+    assert audit["trans_fact_5.csv"]["lossy_trans_keys"] == 0
+    assert audit["trans_fact_4.csv"]["lossy_trans_keys"] == 1
+    assert audit["trans_fact_8.csv"]["sales_filled"] == 1
+    assert audit["trans_fact_6.csv"]["units_filled"] == 1
