@@ -76,7 +76,9 @@ def salted_left_join(fact: DataFrame, dim: DataFrame, key: str,
     keys than ``max_hot_keys`` the plain shuffle join is used (AQE still
     splits skewed partitions at runtime).
     """
-    hot = hot_keys(fact, key, row_budget).withColumnRenamed(key, HOT_KEY)
+    # Computed once: the checkpoint (in the shared checkpoint folder) serves
+    # both the size check and the broadcast, so the fact is aggregated once.
+    hot = hot_keys(fact, key, row_budget).withColumnRenamed(key, HOT_KEY).checkpoint(eager=True)
     if not has_at_most(hot, max_hot_keys):
         return fact.join(dim, on=key, how="left")
     hot = F.broadcast(hot)
