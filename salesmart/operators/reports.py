@@ -46,6 +46,22 @@ REPORT_FOLDERS = {
 }
 
 
+_METRIC_NAMES = ("total_sales", "total_units", "count_distinct_trans_key",
+                 "count_distinct_collector_key")
+# Report name -> published CSV columns, in order.
+REPORT_COLUMNS = {
+    "sales_by_province": ("province", "total_sales"),
+    "sales_by_store": ("store_num", "total_sales"),
+    "sales_by_category": ("category", "total_sales"),
+    "top_stores_by_province": (STORE_RANK, "province", "store_num", "total_sales", AVG_STORE_SALES),
+    "top_categories_by_department": (CATEGORY_RANK, "department", "category", "total_sales"),
+    "sales_by_loyalty_province": ("province", "is_member", "total_sales"),
+    "sales_by_loyalty": ("is_member", "total_sales"),
+    "metrics_by_year": ("trans_year",) + _METRIC_NAMES,
+    "metrics_by_loyalty": ("is_member",) + _METRIC_NAMES,
+}
+
+
 def with_membership(df: DataFrame) -> DataFrame:
     return df.withColumn("is_member", is_member("collector_key"))
 

@@ -164,6 +164,57 @@ def intake_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, table, TRANSACTIONS)
 
 
+def _zone_with_landing(spark: SparkSession, sf_dir: str) -> str:
+    root = scratch_path(spark, "pipeline")
+    fixtures.write_landing(spark, sf_dir, f"{root}/landing")
+    fixtures.write_location_landing(spark, sf_dir, f"{root}/landing")
+    fixtures.write_product_landing(spark, sf_dir, f"{root}/landing")
+    return root
+
+
+def stage_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stage-transactions job end to end (listing, ledger, layouts,
+    clean-up, append, archive), run twice: the rerun finds no new file."""
+    from salesmart.plans import pipeline
+    root = _zone_with_landing(spark, sf_dir)
+    pipeline.run(spark, root, "stage-transactions")
+    pipeline.run(spark, root, "stage-transactions")
+    return read_table(spark, pipeline.Zones(root).transactions, TRANSACTIONS)
+
+
+# Long form of the nine CSV reports: one row per report line.
+REPORT_LINE_TYPES = {
+    "province": "string", "store_num": "string", "department": "string",
+    "category": "string", "is_member": "string", "trans_year": "int", "report_rank": "int",
+    "total_sales": "decimal(28,3)", "avg_store_total_sales_in_province": "decimal(28,3)",
+    "total_units": "bigint", "count_distinct_trans_key": "bigint",
+    "count_distinct_collector_key": "bigint",
+}
+RANK_COLUMNS = (rep.STORE_RANK, rep.CATEGORY_RANK)
+
+
+def pipeline_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five pipeline actions from landing files, then the nine CSV
+    reports read back into one long frame (``report`` names the source)."""
+    from salesmart.plans import pipeline
+    root = _zone_with_landing(spark, sf_dir)
+    for action in pipeline.ACTIONS:
+        pipeline.run(spark, root, action)
+    out = None
+    for name, columns in rep.REPORT_COLUMNS.items():
+        csv = ld.spark_read_strings(
+            spark, f"{pipeline.Zones(root).reporting}/{rep.REPORT_FOLDERS[name]}", columns)
+        cols = [F.lit(name).alias("report")]
+        for target, kind in REPORT_LINE_TYPES.items():
+            source = next((c for c in columns if c in RANK_COLUMNS), None) \
+                if target == "report_rank" else (target if target in columns else None)
+            value = F.col(source) if source else F.lit(None)
+            cols.append(value.cast(kind).alias(target))
+        part = csv.select(*cols)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # --------------------------------------------------------------- quality
 
 def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,6 +280,8 @@ IO_QUERIES = {
     "archive_roundtrip": archive_roundtrip,
     "landing_new_files": landing_new_files,
     "intake_stream": intake_stream,
+    "stage_transactions": stage_transactions,
+    "pipeline_reports": pipeline_reports,
     "null_profile": null_profile,
     "null_profile_by_file": null_profile_by_file,
     "duplicate_keys": duplicate_keys,

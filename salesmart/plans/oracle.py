@@ -286,3 +286,86 @@ ORACLE_SQL.update({
         COUNT(province) AS value_count FROM enriched GROUP BY province""",
     "key_lookup": f"{BASE} SELECT {ENRICHED_COLUMNS} FROM enriched WHERE product_key = '7'",
 })
+
+
+# ------------------------------------------------------- pipeline end to end
+
+# Staged landing lines joined with the staged dimensions (whose landing keys
+# are zero-padded and come back canonical, i.e. equal to the clean keys).
+PIPE = LANDING + """,
+ptxn AS (SELECT """ + CLEAN_COLUMNS + """ FROM raw),
+prod AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS product_key, p_brand AS department, p_name AS category
+  FROM part WHERE p_partkey % 10 <> 0),
+loc AS (
+  SELECT CAST(s_suppkey AS VARCHAR) AS store_location_key, r_name AS province,
+         CAST(s_suppkey AS VARCHAR) AS store_num
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey
+                JOIN region ON n_regionkey = r_regionkey
+  WHERE s_suppkey % 20 <> 0),
+enriched AS (
+  SELECT t.*, p.department, p.category, l.province, l.store_num,
+         CASE WHEN t.collector_key IS NULL OR t.collector_key = '-1'
+              THEN 'No' ELSE 'Yes' END AS is_member
+  FROM ptxn t LEFT JOIN prod p ON t.product_key = p.product_key
+              LEFT JOIN loc l ON t.store_location_key = l.store_location_key),
+store_totals AS (
+  SELECT province, store_num, """ + MONEY + """ AS total_sales
+  FROM enriched GROUP BY province, store_num),
+category_totals AS (
+  SELECT department, category, """ + MONEY + """ AS total_sales
+  FROM enriched GROUP BY department, category)
+"""
+
+_LINE_TYPES = [
+    ("province", "VARCHAR"), ("store_num", "VARCHAR"), ("department", "VARCHAR"),
+    ("category", "VARCHAR"), ("is_member", "VARCHAR"), ("trans_year", "INTEGER"),
+    ("report_rank", "INTEGER"), ("total_sales", "DECIMAL(28,3)"),
+    ("avg_store_total_sales_in_province", "DECIMAL(28,3)"), ("total_units", "BIGINT"),
+    ("count_distinct_trans_key", "BIGINT"), ("count_distinct_collector_key", "BIGINT")]
+
+
+def _line(report: str, given: dict[str, str], rest: str) -> str:
+    cols = [f"CAST({given.get(c, 'NULL')} AS {t}) AS {c}" for c, t in _LINE_TYPES]
+    return f"SELECT '{report}' AS report, {', '.join(cols)} {rest}"
+
+
+def _line_sales(report: str, *keys: str) -> str:
+    given = {k: k for k in keys}
+    given["total_sales"] = MONEY
+    return _line(report, given, f"FROM enriched GROUP BY {', '.join(keys)}")
+
+
+def _line_metrics(report: str, key: str) -> str:
+    given = {key: key, "total_sales": MONEY, "total_units": "SUM(units)",
+             "count_distinct_trans_key": "COUNT(DISTINCT trans_key)",
+             "count_distinct_collector_key": "COUNT(DISTINCT collector_key)"}
+    return _line(report, given, f"FROM enriched GROUP BY {key}")
+
+
+PIPELINE_REPORTS = PIPE + "\nUNION ALL\n".join([
+    _line_sales("sales_by_province", "province"),
+    _line_sales("sales_by_store", "store_num"),
+    _line_sales("sales_by_category", "category"),
+    _line("top_stores_by_province",
+          {"province": "province", "store_num": "store_num", "total_sales": "total_sales",
+           "report_rank": "r", "avg_store_total_sales_in_province": "a"},
+          """FROM (SELECT *, RANK() OVER (PARTITION BY province ORDER BY total_sales DESC) AS r,
+                     ROUND(SUM(total_sales) OVER (PARTITION BY province)
+                           / COUNT(*) OVER (PARTITION BY province), 7) AS a
+              FROM store_totals) WHERE r <= 5"""),
+    _line("top_categories_by_department",
+          {"department": "department", "category": "category", "total_sales": "total_sales",
+           "report_rank": "r"},
+          """FROM (SELECT *, RANK() OVER (PARTITION BY department ORDER BY total_sales DESC) AS r
+              FROM category_totals) WHERE r <= 10"""),
+    _line_sales("sales_by_loyalty_province", "province", "is_member"),
+    _line_sales("sales_by_loyalty", "is_member"),
+    _line_metrics("metrics_by_year", "trans_year"),
+    _line_metrics("metrics_by_loyalty", "is_member"),
+])
+
+ORACLE_SQL.update({
+    "stage_transactions": CLEAN_TRANSACTIONS,
+    "pipeline_reports": PIPELINE_REPORTS,
+})
