@@ -142,10 +142,10 @@ def landing_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledger: after a first intake, a second one picks up only the new file."""
     root = _landing(spark, sf_dir, ("trans_fact_5", "trans_fact_4", "trans_fact_6"))
     ledger = scratch_path(spark, "ledger")
-    first = ld.new_files(ld.list_files(spark, root), ld.read_ledger(spark, ledger))
+    first = ld.freeze(ld.new_files(ld.list_files(spark, root), ld.read_ledger(spark, ledger)))
     ld.record_loaded(first, ledger, ld.new_load_id())
     fixtures.write_landing(spark, sf_dir, root, ("trans_fact_8",))
-    second = ld.new_files(ld.list_files(spark, root), ld.read_ledger(spark, ledger))
+    second = ld.freeze(ld.new_files(ld.list_files(spark, root), ld.read_ledger(spark, ledger)))
     raw = ld.read_transactions(spark, ld.landing_paths(second))
     return stg.accepted(stg.clean_transactions(raw))
 

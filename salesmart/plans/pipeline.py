@@ -45,8 +45,8 @@ class Zones:
 
 
 def _new_landing(spark: SparkSession, z: Zones, glob: str, table: str) -> tuple[DataFrame, list[str]]:
-    files = ld.new_files(ld.list_files(spark, z.landing, glob),
-                         ld.read_ledger(spark, f"{z.ledger}/{table}"))
+    files = ld.freeze(ld.new_files(ld.list_files(spark, z.landing, glob),
+                                   ld.read_ledger(spark, f"{z.ledger}/{table}")))
     return files, ld.landing_paths(files)
 
 

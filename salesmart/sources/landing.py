@@ -59,7 +59,7 @@ def list_files(spark: SparkSession, landing_dir: str, glob: str = TRANSACTION_GL
         listing = spark.read.format("binaryFile").load(pattern)
     except Exception as e:  # no file matches the glob
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], "path string, modification_time string, length string")
+            return spark.createDataFrame([], FILES_SCHEMA)
         raise
     return listing.select(
         F.col("path"),
@@ -67,6 +67,21 @@ def list_files(spark: SparkSession, landing_dir: str, glob: str = TRANSACTION_GL
         F.col("length").cast("string").alias("length"))
 
 
+FILES_SCHEMA = "path string, modification_time string, length string"
+
+
+def freeze(files: DataFrame) -> DataFrame:
+    """Fix a file listing at this moment.
+
+    A listing is lazy: evaluated again later it would include files that
+    arrived in the meantime, and the ledger would record files that were
+    never read. The listing (one small row per file) is collected once and
+    the same rows serve the read and the ledger entry.
+    """
+    rows = files.select("path", "modification_time", "length").collect()
+    return files.sparkSession.createDataFrame(rows, FILES_SCHEMA)
+
+
 def read_ledger(spark: SparkSession, ledger_dir: str) -> DataFrame:
     try:
         return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_dir)

@@ -19,7 +19,7 @@ is there and stops, which suits scheduled runs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BinaryType, LongType, StringType, StructField,
                                StructType, TimestampType)
@@ -44,18 +44,22 @@ def _load_batch(spark: SparkSession, table_dir: str, ledger_dir: str, rejects_di
         done = ld.read_ledger(spark, ledger_dir).where(F.col("load_id") == load_id)
         if not done.isEmpty():
             return  # replay of a batch that was fully written
-        files = files.select(
+        files = ld.freeze(files.select(
             "path",
             F.col("modificationTime").cast("string").alias("modification_time"),
-            F.col("length").cast("string").alias("length"))
+            F.col("length").cast("string").alias("length")))
         paths = ld.landing_paths(files)
         if not paths:
             return
+        obs = Observation(f"intake_{load_id}")
         clean = stg.clean_transactions(ld.read_transactions(spark, paths),
-                                       lenient_dates=lenient_dates)
+                                       lenient_dates=lenient_dates).observe(
+            obs, F.count_if(F.col(stg.REJECT_REASON).isNotNull()).alias("rejected"))
         sinks.write_table(stg.accepted(clean), table_dir, TRANSACTIONS, mode="append")
-        bad = clean.where(F.col(stg.REJECT_REASON).isNotNull())
-        bad.write.mode("append").parquet(rejects_dir)
+        if obs.get["rejected"]:  # only then pay a second pass for the rejects
+            (clean.where(F.col(stg.REJECT_REASON).isNotNull())
+             .withColumn("load_id", F.lit(load_id))
+             .write.mode("append").parquet(rejects_dir))
         ld.record_loaded(files, ledger_dir, load_id)
     return load
 

@@ -132,3 +132,16 @@ def test_reporting_prunes_partitions(spark, zone, tmp_path):
     pipeline.reporting(spark, root, year=year)
     got = _read_report(root, "metrics_by_year")
     assert got["trans_year"].tolist() == [str(year)]
+
+
+def test_file_arriving_during_a_load_is_not_marked_loaded(spark, tmp_path):
+    """The ledger records the files that were read, not a later listing."""
+    from salesmart.sources import landing as ld
+    root = str(tmp_path)
+    fixtures.write_landing(spark, SF_SMALL, f"{root}/landing", ("trans_fact_5",))
+    files = ld.freeze(ld.list_files(spark, f"{root}/landing"))
+    fixtures.write_landing(spark, SF_SMALL, f"{root}/landing", ("trans_fact_6",))  # arrives late
+    ld.record_loaded(files, f"{root}/_ledger", "load-1")
+    pending = ld.new_files(ld.list_files(spark, f"{root}/landing"), ld.read_ledger(spark, f"{root}/_ledger"))
+    assert [p for p in ld.landing_paths(pending) if "trans_fact_6" in p]
+    assert not [p for p in ld.landing_paths(pending) if "trans_fact_5" in p]

@@ -37,3 +37,16 @@ def test_replayed_batch_is_skipped(spark, workdir):
     assert read_table(spark, table, TRANSACTIONS).count() == n
     ledger = ld.read_ledger(spark, f"{table}_ledger")
     assert ledger.select("load_id").distinct().collect()[0]["load_id"] == "stream-0000000007"
+
+
+def test_stream_rejects_bad_dates(spark, workdir):
+    import os
+    landing, table, ckpt = f"{workdir}/landing", f"{workdir}/txn", f"{workdir}/ckpt"
+    os.makedirs(landing)
+    with open(f"{landing}/trans_fact_1.csv", "w") as f:
+        f.write("collector_key,trans_dt,store_location_key,product_key,sales,units,trans_key\n"
+                "1,3/1/2015,1,2,3.5,1,10\n1,13/45/2015,1,2,3.5,1,11\n")
+    intake_stream(spark, landing, table, ckpt)
+    assert [r["trans_key"] for r in read_table(spark, table, TRANSACTIONS).collect()] == ["10"]
+    bad = spark.read.parquet(f"{table}_rejects").collect()
+    assert [r["trans_key"] for r in bad] == ["11"]
