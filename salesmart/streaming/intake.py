@@ -7,7 +7,7 @@ micro-batch loads exactly the files it discovered:
    discovering files never reads their content;
 2. ``foreachBatch`` groups the batch's files by header layout, reads each
    layout as strings, cleans, and appends accepted rows to the staging table
-   (rejected rows go to a rejects table next to it);
+   (rejected rows, as landing text, go to a rejects table next to it);
 3. the batch's files are written to the ledger under ``stream-<batch id>``.
 
 The stream checkpoint records which files were offered in which batch, so a
@@ -52,13 +52,12 @@ def _load_batch(spark: SparkSession, table_dir: str, ledger_dir: str, rejects_di
         if not paths:
             return
         obs = Observation(f"intake_{load_id}")
-        clean = stg.clean_transactions(ld.read_transactions(spark, paths),
-                                       lenient_dates=lenient_dates).observe(
+        raw = ld.read_transactions(spark, paths)
+        clean = stg.clean_transactions(raw, lenient_dates=lenient_dates).observe(
             obs, F.count_if(F.col(stg.REJECT_REASON).isNotNull()).alias("rejected"))
         sinks.write_table(stg.accepted(clean), table_dir, TRANSACTIONS, mode="append")
         if obs.get["rejected"]:  # only then pay a second pass for the rejects
-            (clean.where(F.col(stg.REJECT_REASON).isNotNull())
-             .withColumn("load_id", F.lit(load_id))
+            (stg.rejects(raw, lenient_dates).withColumn("load_id", F.lit(load_id))
              .write.mode("append").parquet(rejects_dir))
         ld.record_loaded(files, ledger_dir, load_id)
     return load
