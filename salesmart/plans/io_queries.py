@@ -32,8 +32,8 @@ def _landing(spark: SparkSession, sf_dir: str, layouts=None) -> str:
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _landing(spark, sf_dir)
-    paths = ld.landing_paths(ld.list_files(spark, root))
-    return ld.read_transactions(spark, paths)
+    paths, size = ld.landing_files(ld.list_files(spark, root))
+    return ld.read_transactions(spark, paths, size)
 
 
 def clean_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,8 +87,9 @@ def membership_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """location.csv (shuffled columns, padded keys) -> staging/location."""
     root = scratch_path(spark, "zones")
-    path = fixtures.write_location_landing(spark, sf_dir, f"{root}/landing")
-    raw = ld.read_by_headers(spark, [path], "store_location_key", LOCATION.names)
+    fixtures.write_location_landing(spark, sf_dir, f"{root}/landing")
+    paths, size = ld.landing_files(ld.list_files(spark, f"{root}/landing", ld.LOCATION_NAME))
+    raw = ld.read_by_headers(spark, paths, "store_location_key", LOCATION.names, size)
     table = f"{root}/staging/location"
     sinks.write_table(stg.stage_locations(raw), table, LOCATION)
     return read_table(spark, table, LOCATION)
@@ -97,8 +98,9 @@ def stage_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """product.csv (shuffled columns, padded keys) -> staging/product."""
     root = scratch_path(spark, "zones")
-    path = fixtures.write_product_landing(spark, sf_dir, f"{root}/landing")
-    raw = ld.read_by_headers(spark, [path], "product_key", PRODUCT.names)
+    fixtures.write_product_landing(spark, sf_dir, f"{root}/landing")
+    paths, size = ld.landing_files(ld.list_files(spark, f"{root}/landing", ld.PRODUCT_NAME))
+    raw = ld.read_by_headers(spark, paths, "product_key", PRODUCT.names, size)
     table = f"{root}/staging/product"
     sinks.write_table(stg.stage_products(raw), table, PRODUCT)
     return read_table(spark, table, PRODUCT)
@@ -146,7 +148,7 @@ def landing_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     ld.record_loaded(first, ledger, ld.new_load_id())
     fixtures.write_landing(spark, sf_dir, root, ("trans_fact_8",))
     second = ld.freeze(ld.new_files(ld.list_files(spark, root), ld.read_ledger(spark, ledger)))
-    raw = ld.read_transactions(spark, ld.landing_paths(second))
+    raw = ld.read_transactions(spark, *ld.landing_files(second))
     return stg.accepted(stg.clean_transactions(raw))
 
 

@@ -44,19 +44,21 @@ class Zones:
         self.ledger = f"{r}/_ledger"
 
 
-def _new_landing(spark: SparkSession, z: Zones, glob: str, table: str) -> tuple[DataFrame, list[str]]:
+def _new_landing(spark: SparkSession, z: Zones, glob: str, table: str
+                 ) -> tuple[DataFrame, list[str], int]:
     files = ld.freeze(ld.new_files(ld.list_files(spark, z.landing, glob),
                                    ld.read_ledger(spark, f"{z.ledger}/{table}")))
-    return files, ld.landing_paths(files)
+    paths, size = ld.landing_files(files)
+    return files, paths, size
 
 
 def _stage_dimension(spark: SparkSession, z: Zones, contract: TableContract, glob: str,
                      marker: str, transform, table_dir: str) -> dict:
-    files, paths = _new_landing(spark, z, glob, contract.name)
+    files, paths, size = _new_landing(spark, z, glob, contract.name)
     if not paths:
         return {"files": 0}
     load_id = ld.new_load_id()
-    raw = ld.read_by_headers(spark, paths, marker, contract.names)
+    raw = ld.read_by_headers(spark, paths, marker, contract.names, size)
     obs = Observation(f"{contract.name}_load")
     staged = transform(raw).observe(obs, F.count(F.lit(1)).alias("rows"))
     sinks.write_table(staged, table_dir, contract)
@@ -87,11 +89,11 @@ def stage_transactions(spark: SparkSession, root: str, glob: str = ld.TRANSACTIO
     there are any (``on_bad='fail'`` raises instead).
     """
     z = Zones(root)
-    files, paths = _new_landing(spark, z, glob, TRANSACTIONS.name)
+    files, paths, size = _new_landing(spark, z, glob, TRANSACTIONS.name)
     if not paths:
         return {"files": 0}
     load_id = ld.new_load_id()
-    raw = ld.read_transactions(spark, paths)
+    raw = ld.read_transactions(spark, paths, size)
     clean = stg.clean_transactions(raw, lenient_dates=lenient_dates)
     obs = Observation("transactions_load")
     clean = clean.observe(obs, F.count(F.lit(1)).alias("rows"),

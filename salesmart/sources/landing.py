@@ -103,26 +103,94 @@ def record_loaded(files: DataFrame, ledger_dir: str, load_id: str) -> None:
      .repartition(1).write.mode("append").parquet(ledger_dir))
 
 
-def header_layouts(spark: SparkSession, paths: list[str], marker_column: str = HEADER_MARKER
+# Bytes read from the start of a file to find its header line.
+HEADER_PROBE_BYTES = 1 << 16
+# Below this much new landing data one text scan is cheaper than starting
+# Python workers for the per-file probe.
+PROBE_MIN_BYTES = 256 << 20
+
+
+def _first_line(uri: str) -> tuple[str | None, bool]:
+    """First non-empty line of a file, read from its first bytes only.
+
+    Returns ``(line, True)``, or ``(None, False)`` when this filesystem cannot
+    be opened from Python (the caller then falls back to a Spark text scan).
+    """
+    from pyarrow import fs as pafs
+    try:
+        if uri.startswith("file:"):
+            filesystem, path = pafs.LocalFileSystem(), uri.split(":", 1)[1]
+            while path.startswith("//"):
+                path = path[1:]
+        else:
+            filesystem, path = pafs.FileSystem.from_uri(uri)
+        with filesystem.open_input_stream(path, compression="detect") as stream:
+            head = stream.read(HEADER_PROBE_BYTES)
+    except Exception:  # noqa: BLE001 - unsupported scheme, credentials, ...
+        return None, False
+    for raw in head.split(b"\n"):
+        line = raw.rstrip(b"\r").decode("utf-8-sig", errors="replace")
+        if line.strip():
+            return line, True
+    return None, True
+
+
+def _probe_batches(batches):
+    import pyarrow as pa
+    for batch in batches:
+        paths = batch.column(0).to_pylist()
+        found = [_first_line(p) for p in paths]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(paths, pa.string()), pa.array([f[0] for f in found], pa.string()),
+             pa.array([f[1] for f in found], pa.bool_())],
+            names=["path", "value", "opened"])
+
+
+def _marker(marker_column: str) -> str:
+    return rf"(^|,)\s*\"?{marker_column}\"?\s*(,|$)"
+
+
+def header_layouts(spark: SparkSession, paths: list[str], marker_column: str = HEADER_MARKER,
+                   probe: str = "auto", total_bytes: int | None = None
                    ) -> list[tuple[tuple[str, ...], list[str]]]:
     """Distinct header lines of ``paths`` and the files that carry each.
 
-    One text scan; only header lines survive the filter, so the rows brought
-    to the driver are (distinct header, file list) pairs — bounded by the
-    number of files, never by their content.
+    ``probe='first_line'`` reads only the first bytes of each file, spread
+    over tasks by the file list, so the cost grows with the number of files,
+    not their size; one row per file (path, header line) comes back. Files it
+    cannot open (and ``probe='scan'``) are handled by one Spark text scan
+    that keeps header lines only, grouped by header. Either way the driver
+    receives file metadata only, bounded by the number of files.
     """
+    import re
+
     if not paths:
         return []
-    marker = rf"(^|,)\s*\"?{marker_column}\"?\s*(,|$)"
-    heads = (spark.read.text(paths)
-             .select(F.col("value"), F.col("_metadata.file_path").alias("path"))
-             .where(F.col("value").rlike(marker))
-             .groupBy("value").agg(F.sort_array(F.collect_set("path")).alias("paths"))
-             .collect())
+    merged: dict[str, set[str]] = {}
+    pending = list(paths)
+    if probe == "first_line":
+        slices = max(1, min(len(paths) // 64 + 1, spark.sparkContext.defaultParallelism * 4))
+        rows = (spark.createDataFrame([(p,) for p in paths], "path string")
+                .repartition(slices)
+                .mapInArrow(_probe_batches, "path string, value string, opened boolean")
+                .collect())
+        pending = [r["path"] for r in rows if not r["opened"]]
+        pattern = re.compile(_marker(marker_column))
+        for r in rows:
+            if r["opened"] and r["value"] is not None and pattern.search(r["value"]):
+                merged.setdefault(r["value"], set()).add(r["path"])
+    if pending:
+        heads = (spark.read.text(pending)
+                 .select(F.col("value"), F.col("_metadata.file_path").alias("path"))
+                 .where(F.col("value").rlike(_marker(marker_column)))
+                 .groupBy("value").agg(F.collect_set("path").alias("paths"))
+                 .collect())
+        for row in heads:
+            merged.setdefault(row["value"], set()).update(row["paths"])
     layouts = []
-    for row in sorted(heads, key=lambda r: r["value"]):
-        names = tuple(c.strip().strip('"').strip() for c in row["value"].split(","))
-        layouts.append((names, list(row["paths"])))
+    for value in sorted(merged):
+        names = tuple(c.strip().strip('"').strip() for c in value.split(","))
+        layouts.append((names, sorted(merged[value])))
     return layouts
 
 
@@ -145,19 +213,20 @@ def landing_name(path):
     return F.regexp_extract(path, r"([^/]+?)(/part-[^/]*)?$", 1)
 
 
-def read_transactions(spark: SparkSession, paths: list[str]) -> DataFrame:
+def read_transactions(spark: SparkSession, paths: list[str],
+                      total_bytes: int | None = None) -> DataFrame:
     """Union of all landing layouts, each read by its own header.
 
     Output: the landing transaction columns as strings, plus the source file
     and its landing name. Missing columns of a layout are NULL.
     """
-    return read_by_headers(spark, paths, HEADER_MARKER, LANDING_TRANSACTION_COLUMNS)
+    return read_by_headers(spark, paths, HEADER_MARKER, LANDING_TRANSACTION_COLUMNS, total_bytes)
 
 
 def read_by_headers(spark: SparkSession, paths: list[str], marker_column: str,
-                    columns) -> DataFrame:
+                    columns, total_bytes: int | None = None) -> DataFrame:
     """Read headed CSV files by column name, whatever their column order."""
-    layouts = header_layouts(spark, paths, marker_column)
+    layouts = header_layouts(spark, paths, marker_column, total_bytes=total_bytes)
     wanted = list(columns) + [SOURCE_FILE, LANDING_NAME]
     if not layouts:
         return spark.createDataFrame([], all_strings(wanted))
@@ -177,6 +246,12 @@ def landing_paths(files: DataFrame) -> list[str]:
     return sorted(r["path"] for r in files.select("path").collect())
 
 
+def landing_files(files: DataFrame) -> tuple[list[str], int]:
+    """Paths of a (frozen) listing and their total size in bytes."""
+    rows = files.select("path", "length").collect()
+    return sorted(r["path"] for r in rows), sum(int(r["length"] or 0) for r in rows)
+
+
 def spark_read_strings(spark: SparkSession, path: str, names) -> DataFrame:
     """Read CSV files written with a header; the header must name exactly
     ``names`` in this order (checked by the reader), all read as strings."""

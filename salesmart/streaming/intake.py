@@ -48,11 +48,11 @@ def _load_batch(spark: SparkSession, table_dir: str, ledger_dir: str, rejects_di
             "path",
             F.col("modificationTime").cast("string").alias("modification_time"),
             F.col("length").cast("string").alias("length")))
-        paths = ld.landing_paths(files)
+        paths, size = ld.landing_files(files)
         if not paths:
             return
         obs = Observation(f"intake_{load_id}")
-        raw = ld.read_transactions(spark, paths)
+        raw = ld.read_transactions(spark, paths, size)
         clean = stg.clean_transactions(raw, lenient_dates=lenient_dates).observe(
             obs, F.count_if(F.col(stg.REJECT_REASON).isNotNull()).alias("rejected"))
         sinks.write_table(stg.accepted(clean), table_dir, TRANSACTIONS, mode="append")

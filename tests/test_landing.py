@@ -102,3 +102,19 @@ def test_lossy_keys_counted_per_file(spark, workdir):
     assert audit["trans_fact_4.csv"]["lossy_trans_keys"] == 1
     assert audit["trans_fact_8.csv"]["sales_filled"] == 1
     assert audit["trans_fact_6.csv"]["units_filled"] == 1
+
+
+def test_header_probe_equals_text_scan(spark, workdir):
+    write_files(workdir, FILES)
+    from salesmart.plans import fixtures
+    fixtures.write_landing(spark, "/root/testdata/sf0.001", workdir, ("trans_fact_8",))
+    paths = ld.landing_paths(ld.list_files(spark, workdir))
+    probed = ld.header_layouts(spark, paths, probe="first_line")
+    scanned = ld.header_layouts(spark, paths, probe="scan")
+    assert probed == scanned
+    assert len(probed) == 3
+
+
+def test_header_probe_falls_back_for_unopenable_paths():
+    line, opened = ld._first_line("nosuchscheme://bucket/file.csv")
+    assert (line, opened) == (None, False)
