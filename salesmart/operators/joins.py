@@ -5,25 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension row of the contracts is seven short strings (~100-200 bytes), so
-# this bound keeps a broadcast copy of a dimension well under 64 MB per
-# executor. Larger dimensions are joined by shuffle; AQE may still convert the
-# join to a broadcast when runtime statistics prove the side small.
+# Broadcast bounds: a side is broadcast only when a bounded job proves it
+# has at most this many rows AND at most this many bytes of values (each
+# executor holds one copy; Spark's own hard limit is 8 GB). Larger sides are
+# joined by shuffle; AQE may still convert the join to a broadcast when
+# runtime statistics prove the side small.
 DEFAULT_BROADCAST_ROWS = 250_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
+FIXED_WIDTH_BYTES = 8  # per non-string value
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def _value_bytes(df: DataFrame):
+    sizes = []
+    for field in df.schema.fields:
+        kind = field.dataType.typeName()
+        if kind in ("string", "binary"):
+            sizes.append(F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)))
+        else:
+            sizes.append(F.lit(FIXED_WIDTH_BYTES))
+    return sum(sizes[1:], sizes[0]) if sizes else F.lit(0)
+
+
+def size_within(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and (if given) at most
+    ``max_bytes`` bytes of values.
 
-    Runs one bounded job: each task stops after ``max_rows + 1`` rows, so the
+    One bounded job: each task stops after ``max_rows + 1`` rows, so the
     check costs little even when the answer is no.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    head = df.limit(max_rows + 1)
+    if max_bytes is None:
+        return head.count() <= max_rows
+    row = head.agg(F.count(F.lit(1)).alias("n"),
+                   F.coalesce(F.sum(_value_bytes(df)), F.lit(0)).alias("b")).first()
+    return row["n"] <= max_rows and row["b"] <= max_bytes
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (one bounded job)."""
+    return size_within(df, max_rows)
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` only behind a row-count check; else ``df`` unchanged."""
-    if max_rows and max_rows > 0 and has_at_most(df, max_rows):
+def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                         max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` only behind a row and byte check; else ``df``."""
+    if max_rows and max_rows > 0 and size_within(df, max_rows, max_bytes):
         return F.broadcast(df)
     return df
 
@@ -79,7 +105,7 @@ def salted_left_join(fact: DataFrame, dim: DataFrame, key: str,
     # Computed once: the checkpoint (in the shared checkpoint folder) serves
     # both the size check and the broadcast, so the fact is aggregated once.
     hot = hot_keys(fact, key, row_budget).withColumnRenamed(key, HOT_KEY).checkpoint(eager=True)
-    if not has_at_most(hot, max_hot_keys):
+    if not size_within(hot, max_hot_keys, DEFAULT_BROADCAST_BYTES):
         return fact.join(dim, on=key, how="left")
     hot = F.broadcast(hot)
     salts = F.coalesce(F.col(SALTS), F.lit(1))
@@ -97,6 +123,7 @@ def left_join_dimension(fact: DataFrame, dim: DataFrame, key: str,
                         row_budget: int = DEFAULT_KEY_ROW_BUDGET) -> DataFrame:
     """Left join fact x dimension: broadcast when the dimension is proven
     small, else a salted shuffle join that splits hot keys."""
-    if broadcast_rows and broadcast_rows > 0 and has_at_most(dim, broadcast_rows):
+    if broadcast_rows and broadcast_rows > 0 and size_within(dim, broadcast_rows,
+                                                             DEFAULT_BROADCAST_BYTES):
         return fact.join(F.broadcast(dim), on=key, how="left")
     return salted_left_join(fact, dim, key, row_budget)

@@ -72,3 +72,12 @@ def test_fanout_guard(spark):
     with pytest.raises(ValueError):
         enrich(txn, doubled, loc, allow_fanout=False)
     assert enrich(txn, prod, loc, allow_fanout=False).count() == txn.count()
+
+
+def test_size_check_bounds_rows_and_bytes(spark):
+    from salesmart.operators.joins import size_within
+    df = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("s"), "id")
+    assert size_within(df, 100)
+    assert not size_within(df, 99)
+    assert size_within(df, 100, 100 * 1008)
+    assert not size_within(df, 100, 100 * 1008 - 1)
