@@ -146,6 +146,13 @@ def _probe_batches(batches):
             names=["path", "value", "opened"])
 
 
+def _parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - sessions without a local context
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+
+
 def _marker(marker_column: str) -> str:
     return rf"(^|,)\s*\"?{marker_column}\"?\s*(,|$)"
 
@@ -169,7 +176,7 @@ def header_layouts(spark: SparkSession, paths: list[str], marker_column: str = H
     merged: dict[str, set[str]] = {}
     pending = list(paths)
     if probe == "first_line":
-        slices = max(1, min(len(paths) // 64 + 1, spark.sparkContext.defaultParallelism * 4))
+        slices = max(1, min(len(paths) // 64 + 1, _parallelism(spark) * 4))
         rows = (spark.createDataFrame([(p,) for p in paths], "path string")
                 .repartition(slices)
                 .mapInArrow(_probe_batches, "path string, value string, opened boolean")
