@@ -190,12 +190,14 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--province", help="reporting: only this province")
     p.add_argument("--year", type=int, help="reporting: only this year")
     p.add_argument("--month", type=int, help="reporting: only this month")
+    p.add_argument("--shuffle-partitions", type=int,
+                   help="initial shuffle partitions (2-3 per cluster core); AQE coalesces")
     args = p.parse_args(argv)
     options = {k: v for k, v in (("province", args.province), ("year", args.year),
                                  ("month", args.month)) if v is not None}
     if options and args.action != "reporting":
         p.error("--province/--year/--month apply to reporting only")
-    spark = get_session()
+    spark = get_session(shuffle_partitions=args.shuffle_partitions)
     print(json.dumps(run(spark, args.root, args.action, **options), default=str))
 
 

@@ -76,3 +76,23 @@ def test_null_and_empty_in_csv(spark, workdir):
     sinks.write_csv(df, workdir, [F.col("y")])
     text = open(glob.glob(f"{workdir}/part-*.csv")[0]).read().splitlines()
     assert text == ["x,y", ",a", '"",b']
+
+
+def test_partitioned_write_keeps_few_files_per_partition(spark, workdir):
+    """Rows are rebalanced on the partition columns before the write, so a
+    partition folder gets a file or two, not one per task."""
+    import os
+
+    from conftest import SF_SMALL
+    from salesmart.contracts import ENRICHED
+    from salesmart.plans.registry import enriched
+    df = enriched(spark, SF_SMALL).repartition(16)  # many input tasks
+    sinks.write_table(df, workdir, ENRICHED, mode="overwrite")
+    folders, files = 0, 0
+    for _dirpath, _dirs, names in os.walk(workdir):
+        parts = [n for n in names if n.startswith("part-")]
+        if parts:
+            folders += 1
+            files += len(parts)
+    assert folders > 10
+    assert files <= 2 * folders, (files, folders)
