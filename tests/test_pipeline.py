@@ -145,3 +145,19 @@ def test_file_arriving_during_a_load_is_not_marked_loaded(spark, tmp_path):
     pending = ld.new_files(ld.list_files(spark, f"{root}/landing"), ld.read_ledger(spark, f"{root}/_ledger"))
     assert [p for p in ld.landing_paths(pending) if "trans_fact_6" in p]
     assert not [p for p in ld.landing_paths(pending) if "trans_fact_5" in p]
+
+
+def test_written_files_carry_contract_types(spark, zone):
+    """Q6: the parquet files themselves hold the contract types (partition
+    columns live in folder names and are typed by the contract on read)."""
+    from salesmart.contracts import CONTRACTS
+    root, _ = zone
+    tables = {"location": "staging/location", "product": "staging/product",
+              "transactions": "staging/transactions",
+              "enriched_transactions": "enrichment/transactions"}
+    for name, folder in tables.items():
+        contract = CONTRACTS[name]
+        files = dict(spark.read.parquet(f"{root}/{folder}").dtypes)
+        for field in contract.schema.fields:
+            if field.name not in contract.partition_by:
+                assert files[field.name] == field.dataType.simpleString(), (name, field.name)
