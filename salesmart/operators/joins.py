@@ -91,7 +91,14 @@ def hot_keys(fact: DataFrame, key: str, row_budget: int = DEFAULT_KEY_ROW_BUDGET
 def salted_left_join(fact: DataFrame, dim: DataFrame, key: str,
                      row_budget: int = DEFAULT_KEY_ROW_BUDGET,
                      max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """Left join of a large fact with a large dimension, robust to hot keys.
+    return salted_join(fact, dim, key, "left", row_budget, max_hot_keys)
+
+
+def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
+                row_budget: int = DEFAULT_KEY_ROW_BUDGET,
+                max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
+    """Left or inner join of a large fact with a large dimension, robust to
+    hot keys.
 
     Rows of a hot key get a salt ``xxhash64(row) mod salts`` — deterministic,
     so a retried task sends each row to the same partition — and the
@@ -105,8 +112,10 @@ def salted_left_join(fact: DataFrame, dim: DataFrame, key: str,
     # Computed once: the checkpoint (in the shared checkpoint folder) serves
     # both the size check and the broadcast, so the fact is aggregated once.
     hot = hot_keys(fact, key, row_budget).withColumnRenamed(key, HOT_KEY).checkpoint(eager=True)
+    if how not in ("left", "inner"):
+        raise ValueError(f"salted join supports left and inner joins, not {how!r}")
     if not size_within(hot, max_hot_keys, DEFAULT_BROADCAST_BYTES):
-        return fact.join(dim, on=key, how="left")
+        return fact.join(dim, on=key, how=how)
     hot = F.broadcast(hot)
     salts = F.coalesce(F.col(SALTS), F.lit(1))
     fact_cols = fact.columns
@@ -115,15 +124,21 @@ def salted_left_join(fact: DataFrame, dim: DataFrame, key: str,
                            F.pmod(F.xxhash64(*fact_cols), salts).cast("int").alias(SALT)))
     salted_dim = (dim.join(hot, F.col(key) == F.col(HOT_KEY), "left")
                   .select(*dim.columns, F.explode(F.sequence(F.lit(0), salts - 1)).alias(SALT)))
-    return salted_fact.join(salted_dim, on=[key, SALT], how="left").drop(SALT)
+    return salted_fact.join(salted_dim, on=[key, SALT], how=how).drop(SALT)
+
+
+def join_dimension(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
+                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                   row_budget: int = DEFAULT_KEY_ROW_BUDGET) -> DataFrame:
+    """Fact x dimension (left or inner): broadcast when the dimension is
+    proven small, else a salted shuffle join that splits hot keys."""
+    if broadcast_rows and broadcast_rows > 0 and size_within(dim, broadcast_rows,
+                                                             DEFAULT_BROADCAST_BYTES):
+        return fact.join(F.broadcast(dim), on=key, how=how)
+    return salted_join(fact, dim, key, how, row_budget)
 
 
 def left_join_dimension(fact: DataFrame, dim: DataFrame, key: str,
                         broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                         row_budget: int = DEFAULT_KEY_ROW_BUDGET) -> DataFrame:
-    """Left join fact x dimension: broadcast when the dimension is proven
-    small, else a salted shuffle join that splits hot keys."""
-    if broadcast_rows and broadcast_rows > 0 and size_within(dim, broadcast_rows,
-                                                             DEFAULT_BROADCAST_BYTES):
-        return fact.join(F.broadcast(dim), on=key, how="left")
-    return salted_left_join(fact, dim, key, row_budget)
+    return join_dimension(fact, dim, key, "left", broadcast_rows, row_budget)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from salesmart.contracts import LOCATION, PRODUCT, TRANSACTIONS
 from salesmart.functions.keys import NON_MEMBER_KEY
+from salesmart.operators.joins import join_dimension
 from salesmart.sources.tables import test_table
 
 # Fixed gap rules of the test mapping.
@@ -29,14 +30,22 @@ def _s(c: str):
     return F.col(c).cast("string")
 
 
+def with_orders(spark: SparkSession, sf_dir: str, line: DataFrame) -> DataFrame:
+    """Lines with their order's customer (inner join on the order key):
+    broadcast when the orders are proven small, else a salted shuffle join
+    that splits an order key holding a large share of the lines."""
+    orders = test_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    return join_dimension(line, orders, "l_orderkey", how="inner")
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = test_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_shipdate")
-    orders = test_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cust = F.col("o_custkey")
     day = F.col("l_shipdate").cast("date")
-    df = line.join(orders, line.l_orderkey == orders.o_orderkey, "inner").select(
+    df = with_orders(spark, sf_dir, line).select(
         _s("l_suppkey").alias("store_location_key"),
         _s("l_partkey").alias("product_key"),
         F.when(cust % NON_MEMBER_EVERY == 0, F.lit(NON_MEMBER_KEY))

@@ -62,7 +62,6 @@ def landing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = test_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_shipdate")
-    orders = test_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cust = F.col("o_custkey")
     rem = F.col("l_linenumber") % 4
     name = F.element_at(F.array(*[F.lit(n) for n in LAYOUTS]), (rem + 1).cast("int"))
@@ -70,7 +69,7 @@ def landing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     product = F.col("l_partkey").cast("string")
     store = F.col("l_suppkey").cast("string")
     units = F.col("l_quantity").cast("int").cast("string")
-    return line.join(orders, line.l_orderkey == orders.o_orderkey).select(
+    return adapter.with_orders(spark, sf_dir, line).select(
         name.alias("layout"),
         F.when(cust % adapter.NON_MEMBER_EVERY == 0, F.lit("-1"))
          .when(cust % adapter.NO_CARD_EVERY == 0, F.lit(None).cast("string"))

@@ -81,3 +81,14 @@ def test_size_check_bounds_rows_and_bytes(spark):
     assert not size_within(df, 99)
     assert size_within(df, 100, 100 * 1008)
     assert not size_within(df, 100, 100 * 1008 - 1)
+
+
+def test_salted_inner_join_equals_plain_inner_join(spark):
+    from salesmart.operators.joins import salted_join
+    fact = skewed_fact(spark)
+    prod = adapter.products(spark, SF_SMALL).select("product_key", "category")
+    plain = fact.join(prod, "product_key", "inner")
+    salted = salted_join(fact, prod, "product_key", "inner", row_budget=200)
+    cols = ["product_key", "trans_key", "sales", "category"]
+    assert sorted(map(tuple, plain.select(*cols).collect())) == \
+        sorted(map(tuple, salted.select(*cols).collect()))
