@@ -216,8 +216,11 @@ def read_layout(spark: SparkSession, header: tuple[str, ...], paths: list[str])
 
 def landing_name(path):
     """Name a landing file goes by: its own name, or its folder's name when it
-    is a part file of a folder written by a distributed writer."""
-    return F.regexp_extract(path, r"([^/]+?)(/part-[^/]*)?$", 1)
+    is a part file of a folder written by a distributed writer. Plain
+    string splitting (no regex): it is evaluated for every row."""
+    file_name = F.substring_index(path, "/", -1)
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    return F.when(file_name.startswith("part-"), folder).otherwise(file_name)
 
 
 def read_transactions(spark: SparkSession, paths: list[str],
