@@ -50,12 +50,13 @@ def write_csv(df: DataFrame, path: str, order: list[Column] | None = None,
               mode: str = "overwrite") -> None:
     """One CSV file with a header (reports are small: one row per group).
 
-    With an order, rows are range-sorted in parallel and the sorted
-    partitions are concatenated in order by ``coalesce(1)``. Without one,
-    ``repartition(1)`` moves the finished small result, so the aggregate
-    before it still runs with full parallelism.
+    ``repartition(1)`` moves the finished small result into the one task that
+    writes the file, so the aggregate before it keeps its full parallelism;
+    that task also sorts it (no range-sampling job for a one-file output).
     """
-    out = df.orderBy(*order).coalesce(1) if order else df.repartition(1)
+    out = df.repartition(1)
+    if order:
+        out = out.sortWithinPartitions(*order)
     out.write.mode(mode).option("header", True).csv(path)
 
 
