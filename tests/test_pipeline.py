@@ -161,3 +161,17 @@ def test_written_files_carry_contract_types(spark, zone):
         for field in contract.schema.fields:
             if field.name not in contract.partition_by:
                 assert files[field.name] == field.dataType.simpleString(), (name, field.name)
+
+
+def test_bad_dates_rejected_or_failing(spark, tmp_path):
+    root = str(tmp_path)
+    os.makedirs(f"{root}/landing")
+    with open(f"{root}/landing/trans_fact_1.csv", "w") as f:
+        f.write("collector_key,trans_dt,store_location_key,product_key,sales,units,trans_key\n"
+                "1,3/1/2015,1,2,3.5,1,10\n1,02/30/2015,1,2,3.5,1,11\n")
+    with pytest.raises(ValueError):
+        pipeline.run(spark, root, "stage-transactions", on_bad="fail")
+    res = pipeline.run(spark, root, "stage-transactions")
+    assert (res["rows"], res["rejected"]) == (2, 1)
+    assert [r["trans_key"] for r in spark.read.parquet(f"{root}/staging/transactions_rejects").collect()] == ["11"]
+    assert read_table(spark, f"{root}/staging/transactions", TRANSACTIONS).count() == 1
