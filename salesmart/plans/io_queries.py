@@ -167,7 +167,7 @@ def intake_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _zone_with_landing(spark: SparkSession, sf_dir: str) -> str:
-    root = scratch_path(spark, "pipeline")
+    root = scratch_path(spark, "zones")
     fixtures.write_landing(spark, sf_dir, f"{root}/landing")
     fixtures.write_location_landing(spark, sf_dir, f"{root}/landing")
     fixtures.write_product_landing(spark, sf_dir, f"{root}/landing")
@@ -177,11 +177,11 @@ def _zone_with_landing(spark: SparkSession, sf_dir: str) -> str:
 def stage_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stage-transactions job end to end (listing, ledger, layouts,
     clean-up, append, archive), run twice: the rerun finds no new file."""
-    from salesmart.plans import pipeline
+    from salesmart.plans import jobs
     root = _zone_with_landing(spark, sf_dir)
-    pipeline.run(spark, root, "stage-transactions")
-    pipeline.run(spark, root, "stage-transactions")
-    return read_table(spark, pipeline.Zones(root).transactions, TRANSACTIONS)
+    jobs.run(spark, root, "stage-transactions")
+    jobs.run(spark, root, "stage-transactions")
+    return read_table(spark, jobs.Zones(root).transactions, TRANSACTIONS)
 
 
 # Long form of the nine CSV reports: one row per report line.
@@ -195,17 +195,17 @@ REPORT_LINE_TYPES = {
 RANK_COLUMNS = (rep.STORE_RANK, rep.CATEGORY_RANK)
 
 
-def pipeline_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+def report_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All five pipeline actions from landing files, then the nine CSV
     reports read back into one long frame (``report`` names the source)."""
-    from salesmart.plans import pipeline
+    from salesmart.plans import jobs
     root = _zone_with_landing(spark, sf_dir)
-    for action in pipeline.ACTIONS:
-        pipeline.run(spark, root, action)
+    for action in jobs.ACTIONS:
+        jobs.run(spark, root, action)
     out = None
     for name, columns in rep.REPORT_COLUMNS.items():
         csv = ld.spark_read_strings(
-            spark, f"{pipeline.Zones(root).reporting}/{rep.REPORT_FOLDERS[name]}", columns)
+            spark, f"{jobs.Zones(root).reporting}/{rep.REPORT_FOLDERS[name]}", columns)
         cols = [F.lit(name).alias("report")]
         for target, kind in REPORT_LINE_TYPES.items():
             source = next((c for c in columns if c in RANK_COLUMNS), None) \
@@ -283,7 +283,7 @@ IO_QUERIES = {
     "landing_new_files": landing_new_files,
     "intake_stream": intake_stream,
     "stage_transactions": stage_transactions,
-    "pipeline_reports": pipeline_reports,
+    "report_run": report_run,
     "null_profile": null_profile,
     "null_profile_by_file": null_profile_by_file,
     "duplicate_keys": duplicate_keys,

@@ -288,7 +288,7 @@ ORACLE_SQL.update({
 })
 
 
-# ------------------------------------------------------- pipeline end to end
+# ------------------------------------------------------------ jobs end to end
 
 # Staged landing lines joined with the staged dimensions (whose landing keys
 # are zero-padded and come back canonical, i.e. equal to the clean keys).
@@ -343,7 +343,7 @@ def _line_metrics(report: str, key: str) -> str:
     return _line(report, given, f"FROM enriched GROUP BY {key}")
 
 
-PIPELINE_REPORTS = PIPE + "\nUNION ALL\n".join([
+REPORT_RUN = PIPE + "\nUNION ALL\n".join([
     _line_sales("sales_by_province", "province"),
     _line_sales("sales_by_store", "store_num"),
     _line_sales("sales_by_category", "category"),
@@ -367,5 +367,5 @@ PIPELINE_REPORTS = PIPE + "\nUNION ALL\n".join([
 
 ORACLE_SQL.update({
     "stage_transactions": CLEAN_TRANSACTIONS,
-    "pipeline_reports": PIPELINE_REPORTS,
+    "report_run": REPORT_RUN,
 })

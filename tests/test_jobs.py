@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from salesmart.contracts import ENRICHED, TRANSACTIONS
 from salesmart.operators import reports as rep
-from salesmart.plans import fixtures, pipeline
+from salesmart.plans import fixtures, jobs
 from salesmart.sources.tables import read_table
 
 from conftest import SF_SMALL
@@ -22,7 +22,7 @@ def zone(spark, tmp_path_factory):
     fixtures.write_landing(spark, SF_SMALL, landing)
     fixtures.write_location_landing(spark, SF_SMALL, landing)
     fixtures.write_product_landing(spark, SF_SMALL, landing)
-    results = {a: pipeline.run(spark, root, a) for a in pipeline.ACTIONS}
+    results = {a: jobs.run(spark, root, a) for a in jobs.ACTIONS}
     return root, results
 
 
@@ -91,10 +91,10 @@ def test_province_average_is_total_over_stores(spark, zone):
 
 def test_rerun_adds_nothing(spark, zone):
     root, _ = zone
-    again = pipeline.run(spark, root, "stage-transactions")
+    again = jobs.run(spark, root, "stage-transactions")
     assert again == {"files": 0}
     assert read_table(spark, f"{root}/staging/transactions", TRANSACTIONS).count() == 6000
-    pipeline.run(spark, root, "enrich")
+    jobs.run(spark, root, "enrich")
     assert read_table(spark, f"{root}/enrichment/transactions", ENRICHED).count() == 6000
 
 
@@ -106,14 +106,14 @@ def test_new_file_is_loaded_alone(spark, zone):
     n = lines.count()
     (lines.select(*[F.col("trans_key" if c == "trans_id" else c).alias(c) for c in fixtures.T8_HEADER])
      .write.option("header", True).csv(f"{landing}/trans_fact_8b"))
-    res = pipeline.run(spark, root, "stage-transactions")
+    res = jobs.run(spark, root, "stage-transactions")
     assert res["files"] >= 1 and res["rows"] == n
     assert read_table(spark, f"{root}/staging/transactions", TRANSACTIONS).count() == 6000 + n
 
 
 def test_unknown_action(spark, tmp_path):
     with pytest.raises(ValueError):
-        pipeline.run(spark, str(tmp_path), "publish")
+        jobs.run(spark, str(tmp_path), "publish")
 
 
 def test_archive_written(zone):
@@ -129,7 +129,7 @@ def test_reporting_prunes_partitions(spark, zone, tmp_path):
     filtered = sales.where(F.col("trans_year") == year)
     plan = filtered._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(trans_year" in plan
-    pipeline.reporting(spark, root, year=year)
+    jobs.reporting(spark, root, year=year)
     got = _read_report(root, "metrics_by_year")
     assert got["trans_year"].tolist() == [str(year)]
 
@@ -170,8 +170,8 @@ def test_bad_dates_rejected_or_failing(spark, tmp_path):
         f.write("collector_key,trans_dt,store_location_key,product_key,sales,units,trans_key\n"
                 "1,3/1/2015,1,2,3.5,1,10\n1,02/30/2015,1,2,3.5,1,11\n")
     with pytest.raises(ValueError):
-        pipeline.run(spark, root, "stage-transactions", on_bad="fail")
-    res = pipeline.run(spark, root, "stage-transactions")
+        jobs.run(spark, root, "stage-transactions", on_bad="fail")
+    res = jobs.run(spark, root, "stage-transactions")
     assert (res["rows"], res["rejected"]) == (2, 1)
     assert [r["trans_key"] for r in spark.read.parquet(f"{root}/staging/transactions_rejects").collect()] == ["11"]
     assert read_table(spark, f"{root}/staging/transactions", TRANSACTIONS).count() == 1
