@@ -20,6 +20,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast only what is proven small: no broadcast from planning-time
+    # size estimates; explicit broadcasts follow a bounded size check, and AQE
+    # may still broadcast a side whose measured shuffle output is small.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.compression.codec": "snappy",
     # Remove reliable checkpoints (report bundles, hot-key tables) once no
