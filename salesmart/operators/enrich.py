@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from salesmart.contracts import ENRICHED
 from salesmart.operators.joins import (DEFAULT_BROADCAST_ROWS, DEFAULT_KEY_ROW_BUDGET,
-                                       assert_unique_key, left_join_dimension)
+                                       assert_unique_key, join_dimensions)
 
 HAS_PRODUCT = "_has_product"
 HAS_LOCATION = "_has_location"
@@ -29,8 +29,8 @@ def enrich_flagged(txn: DataFrame, prod: DataFrame, loc: DataFrame,
     """
     prod = prod.withColumn(HAS_PRODUCT, F.lit(True))
     loc = loc.withColumn(HAS_LOCATION, F.lit(True))
-    joined = left_join_dimension(txn, prod, "product_key", broadcast_rows, row_budget)
-    joined = left_join_dimension(joined, loc, "store_location_key", broadcast_rows, row_budget)
+    joined = join_dimensions(txn, [(prod, "product_key"), (loc, "store_location_key")],
+                             "left", broadcast_rows, row_budget)
     return joined.select(*ENRICHED.columns(),
                          F.coalesce(F.col(HAS_PRODUCT), F.lit(False)).alias(HAS_PRODUCT),
                          F.coalesce(F.col(HAS_LOCATION), F.lit(False)).alias(HAS_LOCATION))

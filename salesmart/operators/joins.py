@@ -88,6 +88,29 @@ def hot_keys(fact: DataFrame, key: str, row_budget: int = DEFAULT_KEY_ROW_BUDGET
             .select(key, F.ceil(F.col("_rows") / F.lit(row_budget)).cast("int").alias(SALTS)))
 
 
+def hot_key_tables(fact: DataFrame, keys: list[str],
+                   row_budget: int = DEFAULT_KEY_ROW_BUDGET) -> dict[str, DataFrame]:
+    """Hot keys of several join keys from ONE pass over the fact.
+
+    Grouping sets count every key column in the same scan; the small result
+    is checkpointed once and split per key. Use it before a chain of joins so
+    a later join does not re-run an earlier one just to count its keys
+    (salting changes only where rows go, so counts on the input suffice).
+    """
+    cols = [F.col(k) for k in keys]
+    counted = (fact.select(*keys).groupingSets([[c] for c in cols], *cols)
+               .agg(F.count(F.lit(1)).alias("_rows"), F.grouping_id(*cols).alias("_gid"))
+               .where(F.col("_rows") > row_budget)
+               .checkpoint(eager=True))
+    tables = {}
+    for i, k in enumerate(keys):
+        gid = (1 << len(keys)) - 1 - (1 << (len(keys) - 1 - i))
+        tables[k] = (counted.where(F.col("_gid") == gid)
+                     .select(F.col(k).alias(HOT_KEY),
+                             F.ceil(F.col("_rows") / F.lit(row_budget)).cast("int").alias(SALTS)))
+    return tables
+
+
 def salted_left_join(fact: DataFrame, dim: DataFrame, key: str,
                      row_budget: int = DEFAULT_KEY_ROW_BUDGET,
                      max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
@@ -96,7 +119,8 @@ def salted_left_join(fact: DataFrame, dim: DataFrame, key: str,
 
 def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
                 row_budget: int = DEFAULT_KEY_ROW_BUDGET,
-                max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
+                max_hot_keys: int = MAX_HOT_KEYS,
+                hot: DataFrame | None = None) -> DataFrame:
     """Left or inner join of a large fact with a large dimension, robust to
     hot keys.
 
@@ -107,13 +131,16 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
     many tasks instead of one. Cold keys keep salt 0 and join as usual. NULL
     keys never match and are spread the same way. When there are more hot
     keys than ``max_hot_keys`` the plain shuffle join is used (AQE still
-    splits skewed partitions at runtime).
+    splits skewed partitions at runtime). ``hot`` may pass a hot-key table
+    computed earlier (``hot_key_tables``).
     """
     if how not in ("left", "inner"):
         raise ValueError(f"salted join supports left and inner joins, not {how!r}")
     # Computed once: the checkpoint (in the shared checkpoint folder) serves
     # both the size check and the broadcast, so the fact is aggregated once.
-    hot = hot_keys(fact, key, row_budget).withColumnRenamed(key, HOT_KEY).checkpoint(eager=True)
+    if hot is None:
+        hot = (hot_keys(fact, key, row_budget).withColumnRenamed(key, HOT_KEY)
+               .checkpoint(eager=True))
     if not size_within(hot, max_hot_keys, DEFAULT_BROADCAST_BYTES):
         return fact.join(dim, on=key, how=how)
     hot = F.broadcast(hot)
@@ -127,17 +154,38 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
     return salted_fact.join(salted_dim, on=[key, SALT], how=how).drop(SALT)
 
 
+def broadcastable(dim: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    return bool(broadcast_rows and broadcast_rows > 0
+                and size_within(dim, broadcast_rows, DEFAULT_BROADCAST_BYTES))
+
+
 def join_dimension(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                    row_budget: int = DEFAULT_KEY_ROW_BUDGET) -> DataFrame:
     """Fact x dimension (left or inner): broadcast when the dimension is
     proven small, else a salted shuffle join that splits hot keys."""
-    if broadcast_rows and broadcast_rows > 0 and size_within(dim, broadcast_rows,
-                                                             DEFAULT_BROADCAST_BYTES):
+    if broadcastable(dim, broadcast_rows):
         return fact.join(F.broadcast(dim), on=key, how=how)
     return salted_join(fact, dim, key, how, row_budget)
 
 
+def join_dimensions(fact: DataFrame, dims: list[tuple[DataFrame, str]], how: str = "left",
+                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                    row_budget: int = DEFAULT_KEY_ROW_BUDGET) -> DataFrame:
+    """A chain of fact x dimension joins, each broadcast when proven small;
+    the hot keys of all the others are counted in one pass over the fact."""
+    plan = [(dim, key, broadcastable(dim, broadcast_rows)) for dim, key in dims]
+    salted_keys = [key for _, key, small in plan if not small]
+    hot = hot_key_tables(fact, salted_keys, row_budget) if salted_keys else {}
+    out = fact
+    for dim, key, small in plan:
+        if small:
+            out = out.join(F.broadcast(dim), on=key, how=how)
+        else:
+            out = salted_join(out, dim, key, how, row_budget, hot=hot[key])
+    return out
+
+
 def left_join_dimension(fact: DataFrame, dim: DataFrame, key: str,
                         broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                         row_budget: int = DEFAULT_KEY_ROW_BUDGET) -> DataFrame:

@@ -92,3 +92,13 @@ def test_salted_inner_join_equals_plain_inner_join(spark):
     cols = ["product_key", "trans_key", "sales", "category"]
     assert sorted(map(tuple, plain.select(*cols).collect())) == \
         sorted(map(tuple, salted.select(*cols).collect()))
+
+
+def test_hot_key_tables_one_pass_match_single_key_counts(spark):
+    from salesmart.operators.joins import hot_key_tables
+    fact = skewed_fact(spark)
+    tables = hot_key_tables(fact, ["product_key", "trans_key"], 5)
+    for key in ("product_key", "trans_key"):
+        single = {r[key]: r[SALTS] for r in hot_keys(fact, key, 5).collect()}
+        multi = {r[HOT_KEY]: r[SALTS] for r in tables[key].collect()}
+        assert single == multi, key
