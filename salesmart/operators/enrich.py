@@ -79,7 +79,8 @@ def enrich_counts(txn: DataFrame, prod: DataFrame, loc: DataFrame,
 
 
 def observed_enrich(txn: DataFrame, prod: DataFrame, loc: DataFrame,
-                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                    row_budget: int = DEFAULT_KEY_ROW_BUDGET
                     ) -> tuple[DataFrame, Observation, Observation]:
     """Enriched frame with two observations filled by the job that writes it.
 
@@ -89,7 +90,7 @@ def observed_enrich(txn: DataFrame, prod: DataFrame, loc: DataFrame,
     obs_in = Observation("enrich_in")
     obs_out = Observation("enrich_out")
     txn = txn.observe(obs_in, F.count(F.lit(1)).alias("rows_in"))
-    flagged = enrich_flagged(txn, prod, loc, broadcast_rows).observe(
+    flagged = enrich_flagged(txn, prod, loc, broadcast_rows, row_budget).observe(
         obs_out,
         F.count(F.lit(1)).alias("rows_out"),
         F.count_if(F.col(HAS_PRODUCT)).alias("rows_with_product"),

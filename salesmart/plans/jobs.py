@@ -115,7 +115,8 @@ def stage_transactions(spark: SparkSession, root: str, glob: str = ld.TRANSACTIO
 
 
 def enrich(spark: SparkSession, root: str, mode: str = "dynamic",
-           allow_fanout: bool = False) -> dict:
+           allow_fanout: bool = False, broadcast_rows: int = enr.DEFAULT_BROADCAST_ROWS,
+           row_budget: int = enr.DEFAULT_KEY_ROW_BUDGET) -> dict:
     """Staging tables -> enrichment/transactions in one write job.
 
     Rows in and out are observed by that job; a difference means a dimension
@@ -128,7 +129,7 @@ def enrich(spark: SparkSession, root: str, mode: str = "dynamic",
     if not allow_fanout:
         enr.assert_unique_key(prod, "product_key", "products")
         enr.assert_unique_key(loc, "store_location_key", "locations")
-    out, obs_in, obs_out = enr.observed_enrich(txn, prod, loc)
+    out, obs_in, obs_out = enr.observed_enrich(txn, prod, loc, broadcast_rows, row_budget)
     sinks.write_table(out, z.enriched, ENRICHED, mode=mode)
     metrics = {**obs_in.get, **obs_out.get}
     if not allow_fanout and metrics.get("rows_in") != metrics.get("rows_out"):

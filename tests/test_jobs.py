@@ -175,3 +175,13 @@ def test_bad_dates_rejected_or_failing(spark, tmp_path):
     assert (res["rows"], res["rejected"]) == (2, 1)
     assert [r["trans_key"] for r in spark.read.parquet(f"{root}/staging/transactions_rejects").collect()] == ["11"]
     assert read_table(spark, f"{root}/staging/transactions", TRANSACTIONS).count() == 1
+
+
+def test_enrich_salted_path_keeps_counts(spark, zone):
+    root, results = zone
+    staged = read_table(spark, f"{root}/staging/transactions", TRANSACTIONS).count()
+    plain = jobs.run(spark, root, "enrich")
+    salted = jobs.run(spark, root, "enrich", broadcast_rows=0, row_budget=10)
+    assert salted == plain
+    assert salted["rows_in"] == salted["rows_out"] == staged
+    assert read_table(spark, f"{root}/enrichment/transactions", ENRICHED).count() == staged
