@@ -52,3 +52,10 @@ def test_dimension_broadcast_is_size_checked(spark):
     assert "BroadcastHashJoin" in plan
     unhinted = broadcast_if_bounded(small, 5)
     assert unhinted is small  # over the bound: returned unchanged, no broadcast hint
+
+
+def test_report_bundle_scans_sales_once(spark):
+    df = rep.report_bundle(enriched(spark, SF_SMALL))
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("lineitem.parquet") == 1, final
