@@ -5,7 +5,8 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 
-import importlib.util, os, sys  # noqa: E401
+import importlib.util
+import os
 _spec = importlib.util.spec_from_file_location(
     "check_oracle", os.path.join(os.path.dirname(os.path.dirname(__file__)), "scripts", "check_oracle.py"))
 check = importlib.util.module_from_spec(_spec)
