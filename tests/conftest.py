@@ -22,3 +22,13 @@ def spark():
 def workdir():
     """A fresh folder per test (tests run on one machine)."""
     return tempfile.mkdtemp(prefix="salesmart-test-")
+
+
+def plan_text(df, mode="formatted"):
+    """The plan as ``df.explain`` prints it (final plan once executed)."""
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode=mode)
+    return buf.getvalue()

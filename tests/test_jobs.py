@@ -12,7 +12,7 @@ from salesmart.operators import reports as rep
 from salesmart.plans import fixtures, jobs
 from salesmart.sources.tables import read_table
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, plan_text
 
 
 @pytest.fixture(scope="module")
@@ -127,7 +127,7 @@ def test_reporting_prunes_partitions(spark, zone, tmp_path):
     sales = read_table(spark, f"{root}/enrichment/transactions", ENRICHED)
     year = sales.agg(F.min("trans_year")).first()[0]
     filtered = sales.where(F.col("trans_year") == year)
-    plan = filtered._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(filtered)
     assert "PartitionFilters: [isnotnull(trans_year" in plan
     jobs.reporting(spark, root, year=year)
     got = _read_report(root, "metrics_by_year")

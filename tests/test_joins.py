@@ -4,7 +4,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, plan_text
 from salesmart.operators.joins import (HOT_KEY, SALTS, hot_keys, left_join_dimension,
                                        salted_left_join)
 from salesmart.plans import adapter
@@ -59,7 +59,7 @@ def test_left_join_dimension_broadcasts_small_side(spark):
     fact = skewed_fact(spark)
     prod = adapter.products(spark, SF_SMALL).select("product_key", "category")
     df = left_join_dimension(fact, prod, "product_key", broadcast_rows=10_000)
-    assert "BroadcastHashJoin" in df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan_text(df)
     df = left_join_dimension(fact, prod, "product_key", broadcast_rows=0, row_budget=200)
     assert df.count() == fact.count()
 

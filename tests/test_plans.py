@@ -3,13 +3,13 @@
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from conftest import SF_SMALL, plan_text
 from salesmart.operators import reports as rep
 from salesmart.plans.registry import enriched
 
 
 def plan_of(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    return plan_text(df)
 
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
@@ -27,20 +27,19 @@ def test_no_python_udf_in_plans(spark, name):
 def test_top_categories_uses_window_group_limit(spark):
     df = rep.top_categories_by_department(enriched(spark, SF_SMALL))
     df.collect()
-    assert "WindowGroupLimit" in df._jdf.queryExecution().executedPlan().toString() or \
-        "WindowGroupLimit" in df._jdf.queryExecution().optimizedPlan().toString()
+    assert "WindowGroupLimit" in plan_text(df)
 
 
 def test_reports_prune_columns(spark):
     df = rep.sales_by_province(enriched(spark, SF_SMALL))
-    plan = df._jdf.queryExecution().sparkPlan().toString()
+    plan = plan_text(df)
     assert "l_extendedprice" in plan
     assert "l_discount" not in plan and "l_tax" not in plan
 
 
 def test_key_lookup_pushes_filter(spark):
     df = entry.queries()["key_lookup"](spark, SF_SMALL)
-    plan = df._jdf.queryExecution().sparkPlan().toString()
+    plan = plan_text(df)
     assert "PushedFilters: [IsNotNull(product_key), EqualTo(product_key,7)]" in plan
 
 
@@ -57,5 +56,5 @@ def test_dimension_broadcast_is_size_checked(spark):
 def test_report_bundle_scans_sales_once(spark):
     df = rep.report_bundle(enriched(spark, SF_SMALL))
     df.collect()
-    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    final = plan_text(df, "simple").split("Initial Plan")[0]
     assert final.count("lineitem.parquet") == 1, final
