@@ -52,19 +52,34 @@ def _new_landing(spark: SparkSession, z: Zones, glob: str, table: str
     return files, paths, size
 
 
+def _read_new(spark: SparkSession, files: DataFrame, paths: list[str], size: int,
+              marker: str, columns) -> tuple[DataFrame | None, DataFrame, list[str]]:
+    """Raw rows of the new files (None when no file has a recognised header),
+    the files to record as loaded, and the non-empty files without a
+    recognised header (left pending)."""
+    layouts = ld.header_layouts(spark, paths, marker, total_bytes=size)
+    skipped = ld.unrecognized(files, layouts)
+    loaded = files.where(~F.col("path").isin(skipped)) if skipped else files
+    raw = ld.read_layouts(spark, layouts, columns) if layouts else None
+    return raw, loaded, skipped
+
+
 def _stage_dimension(spark: SparkSession, z: Zones, contract: TableContract, glob: str,
                      marker: str, transform, table_dir: str) -> dict:
     files, paths, size = _new_landing(spark, z, glob, contract.name)
     if not paths:
         return {"files": 0}
     load_id = ld.new_load_id()
-    raw = ld.read_by_headers(spark, paths, marker, contract.names, size)
+    raw, files, skipped = _read_new(spark, files, paths, size, marker, contract.names)
+    if raw is None:
+        return {"files": 0, "unrecognized_files": skipped}
     obs = Observation(f"{contract.name}_load")
     staged = transform(raw).observe(obs, F.count(F.lit(1)).alias("rows"))
     sinks.write_table(staged, table_dir, contract)
     sinks.write_text_csv(raw.drop(ld.SOURCE_FILE), f"{z.archive}/{contract.name}/{load_id}")
     ld.record_loaded(files, f"{z.ledger}/{contract.name}", load_id)
-    return {"files": len(paths), "load_id": load_id, **obs.get}
+    return {"files": len(paths) - len(skipped), "load_id": load_id, **obs.get,
+            "unrecognized_files": skipped}
 
 
 def stage_locations(spark: SparkSession, root: str) -> dict:
@@ -84,7 +99,9 @@ def stage_transactions(spark: SparkSession, root: str, glob: str = ld.TRANSACTIO
     """New landing transaction files -> staging/transactions (append).
 
     Order: staging table, rejects, archive, then the ledger, so a crash before
-    the ledger entry leaves the files to be loaded again. Rejected rows are
+    the ledger entry leaves the files to be loaded again. A non-empty file
+    without a recognised header is not loaded and not recorded: it stays
+    pending and is listed under ``unrecognized_files``. Rejected rows are
     counted while the good rows are written; their table is only written when
     there are any (``on_bad='fail'`` raises instead).
     """
@@ -93,7 +110,10 @@ def stage_transactions(spark: SparkSession, root: str, glob: str = ld.TRANSACTIO
     if not paths:
         return {"files": 0}
     load_id = ld.new_load_id()
-    raw = ld.read_transactions(spark, paths, size)
+    raw, files, skipped = _read_new(spark, files, paths, size, ld.HEADER_MARKER,
+                                    ld.LANDING_TRANSACTION_COLUMNS)
+    if raw is None:
+        return {"files": 0, "unrecognized_files": skipped}
     clean = stg.clean_transactions(raw, lenient_dates=lenient_dates)
     obs = Observation("transactions_load")
     clean = clean.observe(obs, F.count(F.lit(1)).alias("rows"),
@@ -111,7 +131,8 @@ def stage_transactions(spark: SparkSession, root: str, glob: str = ld.TRANSACTIO
          .write.mode("append").parquet(z.rejects))
     sinks.write_text_csv(raw.drop(ld.SOURCE_FILE), f"{z.archive}/transactions/{load_id}")
     ld.record_loaded(files, f"{z.ledger}/{TRANSACTIONS.name}", load_id)
-    return {"files": len(paths), "load_id": load_id, **metrics}
+    return {"files": len(paths) - len(skipped), "load_id": load_id, **metrics,
+            "unrecognized_files": skipped}
 
 
 def enrich(spark: SparkSession, root: str, mode: str = "dynamic",

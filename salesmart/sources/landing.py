@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from salesmart.contracts import LANDING_TRANSACTION_COLUMNS
+from salesmart.contracts import LANDING_TRANSACTION_COLUMNS  # noqa: F401 (re-exported)
 
 # Fixed names of the landing zone.
 TRANSACTION_GLOB = "trans_fact_*"
@@ -166,7 +166,8 @@ def header_layouts(spark: SparkSession, paths: list[str], marker_column: str = H
     over tasks by the file list, so the cost grows with the number of files,
     not their size; one row per file (path, header line) comes back. Files it
     cannot open (and ``probe='scan'``) are handled by one Spark text scan
-    that keeps header lines only, grouped by header. Either way the driver
+    that keeps each file's first non-blank line, grouped by header. Either
+    way the header is the file's first line, as the CSV reader assumes. Either way the driver
     receives file metadata only, bounded by the number of files.
     """
     import re
@@ -187,9 +188,15 @@ def header_layouts(spark: SparkSession, paths: list[str], marker_column: str = H
             if r["opened"] and r["value"] is not None and pattern.search(r["value"]):
                 merged.setdefault(r["value"], set()).add(r["path"])
     if pending:
-        heads = (spark.read.text(pending)
-                 .select(F.col("value"), F.col("_metadata.file_path").alias("path"))
-                 .where(F.col("value").rlike(_marker(marker_column)))
+        # First non-blank line of each file: rows of the split starting at
+        # offset 0, in read order (the id grows with the row order of a task).
+        first = (spark.read.text(pending)
+                 .where((F.col("_metadata.file_block_start") == 0)
+                        & (F.trim(F.col("value")) != ""))
+                 .select(F.col("value"), F.col("_metadata.file_path").alias("path"),
+                         F.monotonically_increasing_id().alias("_order"))
+                 .groupBy("path").agg(F.min_by("value", "_order").alias("value")))
+        heads = (first.where(F.col("value").rlike(_marker(marker_column)))
                  .groupBy("value").agg(F.collect_set("path").alias("paths"))
                  .collect())
         for row in heads:
@@ -237,6 +244,21 @@ def read_by_headers(spark: SparkSession, paths: list[str], marker_column: str,
                     columns, total_bytes: int | None = None) -> DataFrame:
     """Read headed CSV files by column name, whatever their column order."""
     layouts = header_layouts(spark, paths, marker_column, total_bytes=total_bytes)
+    return read_layouts(spark, layouts, columns)
+
+
+def unrecognized(files: DataFrame, layouts) -> list[str]:
+    """Non-empty files of a (frozen) listing that carry no recognised header.
+
+    Their rows cannot be placed in columns; they must not be recorded as
+    loaded."""
+    known = {p for _, ps in layouts for p in ps}
+    return sorted(r["path"] for r in files.select("path", "length").collect()
+                  if r["path"] not in known and int(r["length"] or 0) > 0)
+
+
+def read_layouts(spark: SparkSession, layouts, columns) -> DataFrame:
+    """Union of the layouts' by-name reads in ``columns`` order."""
     wanted = list(columns) + [SOURCE_FILE, LANDING_NAME]
     if not layouts:
         return spark.createDataFrame([], all_strings(wanted))

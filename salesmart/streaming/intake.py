@@ -39,6 +39,8 @@ BINARY_FILE_SCHEMA = StructType([
 
 def _load_batch(spark: SparkSession, table_dir: str, ledger_dir: str, rejects_dir: str,
                 lenient_dates: bool):
+    unrecognized_dir = f"{table_dir.rstrip('/')}_unrecognized"
+
     def load(files: DataFrame, batch_id: int) -> None:
         load_id = f"stream-{batch_id:010d}"
         done = ld.read_ledger(spark, ledger_dir).where(F.col("load_id") == load_id)
@@ -52,14 +54,22 @@ def _load_batch(spark: SparkSession, table_dir: str, ledger_dir: str, rejects_di
         if not paths:
             return
         obs = Observation(f"intake_{load_id}")
-        raw = ld.read_transactions(spark, paths, size)
+        layouts = ld.header_layouts(spark, paths, ld.HEADER_MARKER, total_bytes=size)
+        skipped = ld.unrecognized(files, layouts)
+        if skipped:  # the checkpoint marks them offered: keep them visible
+            (spark.createDataFrame([(p, load_id) for p in skipped], "path string, load_id string")
+             .write.mode("append").parquet(unrecognized_dir))
+        if not layouts:
+            return
+        raw = ld.read_layouts(spark, layouts, ld.LANDING_TRANSACTION_COLUMNS)
         clean = stg.clean_transactions(raw, lenient_dates=lenient_dates).observe(
             obs, F.count_if(F.col(stg.REJECT_REASON).isNotNull()).alias("rejected"))
         sinks.write_table(stg.accepted(clean), table_dir, TRANSACTIONS, mode="append")
         if obs.get["rejected"]:  # only then pay a second pass for the rejects
             (stg.rejects(raw, lenient_dates).withColumn("load_id", F.lit(load_id))
              .write.mode("append").parquet(rejects_dir))
-        ld.record_loaded(files, ledger_dir, load_id)
+        loaded = files.where(~F.col("path").isin(skipped)) if skipped else files
+        ld.record_loaded(loaded, ledger_dir, load_id)
     return load
 
 

@@ -185,3 +185,21 @@ def test_enrich_salted_path_keeps_counts(spark, zone):
     assert salted == plain
     assert salted["rows_in"] == salted["rows_out"] == staged
     assert read_table(spark, f"{root}/enrichment/transactions", ENRICHED).count() == staged
+
+
+def test_file_without_header_stays_pending(spark, tmp_path):
+    root = str(tmp_path)
+    os.makedirs(f"{root}/landing")
+    with open(f"{root}/landing/trans_fact_1.csv", "w") as f:
+        f.write("collector_key,trans_dt,store_location_key,product_key,sales,units,trans_key\n"
+                "1,3/1/2015,1,2,3.5,1,10\n")
+    with open(f"{root}/landing/trans_fact_2.csv", "w") as f:
+        f.write("garbage before the header\n"
+                "collector_key,trans_dt,store_location_key,product_key,sales,units,trans_key\n"
+                "1,3/2/2015,1,2,3.5,1,11\n")
+    res = jobs.run(spark, root, "stage-transactions")
+    assert res["rows"] == 1 and res["files"] == 1
+    assert [p.rsplit("/", 1)[1] for p in res["unrecognized_files"]] == ["trans_fact_2.csv"]
+    again = jobs.run(spark, root, "stage-transactions")  # still pending, still reported
+    assert again["files"] == 0 and len(again["unrecognized_files"]) == 1
+    assert read_table(spark, f"{root}/staging/transactions", TRANSACTIONS).count() == 1

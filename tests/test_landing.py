@@ -118,3 +118,16 @@ def test_header_probe_equals_text_scan(spark, workdir):
 def test_header_probe_falls_back_for_unopenable_paths():
     line, opened = ld._first_line("nosuchscheme://bucket/file.csv")
     assert (line, opened) == (None, False)
+
+
+def test_header_must_be_first_line_in_both_probes(spark, workdir):
+    write_files(workdir, {"trans_fact_x.csv": (
+        "junk line", "collector_key,trans_dt,store_location_key,product_key,sales,units,trans_key",
+        "1,3/2/2015,1,2,3.5,1,11")})
+    write_files(workdir, FILES)
+    paths = ld.landing_paths(ld.list_files(spark, workdir))
+    for probe in ("first_line", "scan"):
+        layouts = ld.header_layouts(spark, paths, probe=probe)
+        known = {p for _, ps in layouts for p in ps}
+        assert not [p for p in known if p.endswith("trans_fact_x.csv")], probe
+        assert len(known) == 4, probe
