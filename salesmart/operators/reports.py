@@ -23,7 +23,8 @@ from salesmart.functions.keys import is_member
 from salesmart.functions.measures import (money_partial, money_sum, to_money,
                                           units_sum)
 
-# Public output column names (the rank spelling is kept as published).
+# Published output column names (the rank spelling is kept as
+# published), default report sizes, and the output folder of each report.
 TOTAL_SALES = "total_sales"
 STORE_RANK = "store_rank_in_provice"
 CATEGORY_RANK = "category_rank_in_department"
@@ -31,8 +32,6 @@ AVG_STORE_SALES = "avg_store_total_sales_in_province"
 DEFAULT_TOP_STORES = 5
 DEFAULT_TOP_CATEGORIES = 10
 PREVIEW_ROWS = 20
-
-# Report name -> output folder name.
 REPORT_FOLDERS = {
     "sales_by_province": "salesByProvince",
     "sales_by_store": "salesByStore",
