@@ -178,7 +178,8 @@ def stage_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stage-transactions job end to end (listing, ledger, layouts,
     clean-up, append, archive), run twice: the rerun finds no new file."""
     from salesmart.plans import jobs
-    root = _zone_with_landing(spark, sf_dir)
+    root = scratch_path(spark, "zones")
+    fixtures.write_landing(spark, sf_dir, jobs.Zones(root).landing)
     jobs.run(spark, root, "stage-transactions")
     jobs.run(spark, root, "stage-transactions")
     return read_table(spark, jobs.Zones(root).transactions, TRANSACTIONS)
@@ -196,7 +197,7 @@ RANK_COLUMNS = (rep.STORE_RANK, rep.CATEGORY_RANK)
 
 
 def report_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All five pipeline actions from landing files, then the nine CSV
+    """All five jobs from landing files, then the nine CSV
     reports read back into one long frame (``report`` names the source)."""
     from salesmart.plans import jobs
     root = _zone_with_landing(spark, sf_dir)
