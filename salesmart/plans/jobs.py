@@ -248,6 +248,10 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--year", type=int, help="reporting: only this year")
     p.add_argument("--month", type=int, help="reporting: only this month")
     p.add_argument("--months", help="enrich: only these year-months, e.g. 2015-10,2015-11")
+    p.add_argument("--lenient-dates", action="store_true",
+                   help="stage-transactions: roll impossible dates over instead of rejecting")
+    p.add_argument("--on-bad", choices=("reject", "fail"),
+                   help="stage-transactions: reject bad rows (default) or fail the load")
     p.add_argument("--shuffle-partitions", type=int,
                    help="initial shuffle partitions (2-3 per cluster core); AQE coalesces")
     args = p.parse_args(argv)
@@ -259,6 +263,12 @@ def main(argv: list[str] | None = None) -> None:
         if args.action != "enrich":
             p.error("--months applies to enrich only")
         options["months"] = [m.strip() for m in args.months.split(",") if m.strip()]
+    if args.lenient_dates or args.on_bad:
+        if args.action != "stage-transactions":
+            p.error("--lenient-dates/--on-bad apply to stage-transactions only")
+        options["lenient_dates"] = args.lenient_dates
+        if args.on_bad:
+            options["on_bad"] = args.on_bad
     spark = get_session(shuffle_partitions=args.shuffle_partitions)
     print(json.dumps(run(spark, args.root, args.action, **options), default=str))
 
