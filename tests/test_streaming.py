@@ -50,3 +50,14 @@ def test_stream_rejects_bad_dates(spark, workdir):
     assert [r["trans_key"] for r in read_table(spark, table, TRANSACTIONS).collect()] == ["10"]
     bad = spark.read.parquet(f"{table}_rejects").collect()
     assert [r["trans_key"] for r in bad] == ["11"]
+
+
+def test_stream_in_several_batches(spark, workdir):
+    landing, table, ckpt = f"{workdir}/landing", f"{workdir}/txn", f"{workdir}/ckpt"
+    fixtures.write_landing(spark, SF_SMALL, landing)
+    n_files = len(ld.landing_paths(ld.list_files(spark, landing)))
+    intake_stream(spark, landing, table, ckpt, max_files_per_trigger=1)
+    assert read_table(spark, table, TRANSACTIONS).count() == fixtures.landing_lines(spark, SF_SMALL).count()
+    ledger = ld.read_ledger(spark, f"{table}_ledger")
+    assert ledger.select("load_id").distinct().count() == n_files
+    assert ledger.count() == n_files
