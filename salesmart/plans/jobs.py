@@ -47,42 +47,77 @@ class Zones:
         self.ledger = f"{r}/_ledger"
 
 
-def _new_landing(spark: SparkSession, z: Zones, glob: str, table: str
-                 ) -> tuple[DataFrame, list[str], int]:
-    files = ld.freeze(ld.new_files(ld.list_files(spark, z.landing, glob),
-                                   ld.read_ledger(spark, f"{z.ledger}/{table}")))
+def _loads(spark: SparkSession, z: Zones, glob: str, table: str) -> list[tuple[str, DataFrame, bool]]:
+    """Loads to run now, each ``(load_id, frozen files, recovering)``: first
+    any load that recorded its intent but not its ledger entry (same files,
+    same id), then one new load over the files the ledger does not hold."""
+    ledger = f"{z.ledger}/{table}"
+    loads = [(load_id, files, True) for load_id, files in ld.unfinished_loads(spark, ledger)]
+    taken = [p for _, files, _ in loads for p in ld.landing_paths(files)]
+    new = ld.new_files(ld.list_files(spark, z.landing, glob), ld.read_ledger(spark, ledger))
+    if taken:
+        new = new.where(~F.col("path").isin(taken))
+    new = ld.freeze(new)
+    if ld.landing_paths(new):
+        loads.append((ld.new_load_id(), new, False))
+    return loads
+
+
+def _open_load(spark: SparkSession, z: Zones, table: str, load_id: str, files: DataFrame,
+               recovering: bool, marker: str, columns
+               ) -> tuple[DataFrame | None, DataFrame, list[str]]:
+    """Raw rows of a load (None when no file has a recognised header), the
+    files it loads, and the non-empty files without a recognised header
+    (never recorded, so they stay pending). The intent is recorded before
+    anything is written."""
     paths, size = ld.landing_files(files)
-    return files, paths, size
-
-
-def _read_new(spark: SparkSession, files: DataFrame, paths: list[str], size: int,
-              marker: str, columns) -> tuple[DataFrame | None, DataFrame, list[str]]:
-    """Raw rows of the new files (None when no file has a recognised header),
-    the files to record as loaded, and the non-empty files without a
-    recognised header (left pending)."""
     layouts = ld.header_layouts(spark, paths, marker, total_bytes=size)
     skipped = ld.unrecognized(files, layouts)
+    if not layouts:
+        return None, files, skipped
     loaded = files.where(~F.col("path").isin(skipped)) if skipped else files
-    raw = ld.read_layouts(spark, layouts, columns) if layouts else None
-    return raw, loaded, skipped
+    if not recovering:
+        ld.record_intent(loaded, f"{z.ledger}/{table}", load_id)
+    return ld.read_layouts(spark, layouts, columns), loaded, skipped
+
+
+def _combine(results: list[dict], skipped: list[str]) -> dict:
+    """One summary over the loads of a run."""
+    if not results:
+        return {"files": 0, "unrecognized_files": sorted(set(skipped))} if skipped else {"files": 0}
+    out: dict = {"files": 0, "load_ids": [r["load_id"] for r in results],
+                 "load_id": results[-1]["load_id"]}
+    for r in results:
+        for k, v in r.items():
+            if k in ("load_id",):
+                continue
+            if k == "months":
+                out["months"] = sorted(set(out.get("months", [])) | set(v))
+            elif isinstance(v, (int, float)):
+                out[k] = out.get(k, 0) + v
+    out["unrecognized_files"] = sorted(set(skipped))
+    return out
 
 
 def _stage_dimension(spark: SparkSession, z: Zones, contract: TableContract, glob: str,
                      marker: str, transform, table_dir: str) -> dict:
-    files, paths, size = _new_landing(spark, z, glob, contract.name)
-    if not paths:
-        return {"files": 0}
-    load_id = ld.new_load_id()
-    raw, files, skipped = _read_new(spark, files, paths, size, marker, contract.names)
-    if raw is None:
-        return {"files": 0, "unrecognized_files": skipped}
-    obs = Observation(f"{contract.name}_load")
-    staged = transform(raw).observe(obs, F.count(F.lit(1)).alias("rows"))
-    sinks.write_table(staged, table_dir, contract)
-    sinks.write_text_csv(raw.drop(ld.SOURCE_FILE), f"{z.archive}/{contract.name}/{load_id}")
-    ld.record_loaded(files, f"{z.ledger}/{contract.name}", load_id)
-    return {"files": len(paths) - len(skipped), "load_id": load_id, **obs.get,
-            "unrecognized_files": skipped}
+    results, skipped_all = [], []
+    for load_id, files, recovering in _loads(spark, z, glob, contract.name):
+        raw, files, skipped = _open_load(spark, z, contract.name, load_id, files, recovering,
+                                         marker, contract.names)
+        skipped_all += skipped
+        if raw is None:
+            continue
+        obs = Observation(f"{contract.name}_{load_id}")
+        staged = transform(raw).observe(obs, F.count(F.lit(1)).alias("rows"))
+        if contract.mode == "append":
+            sinks.write_table(staged, table_dir, contract, load_id=load_id)
+        else:
+            sinks.write_table(staged, table_dir, contract)
+        sinks.write_text_csv(raw.drop(ld.SOURCE_FILE), f"{z.archive}/{contract.name}/{load_id}")
+        ld.record_loaded(files, f"{z.ledger}/{contract.name}", load_id)
+        results.append({"load_id": load_id, "files": len(ld.landing_paths(files)), **obs.get})
+    return _combine(results, skipped_all)
 
 
 def stage_locations(spark: SparkSession, root: str) -> dict:
@@ -101,24 +136,32 @@ def stage_transactions(spark: SparkSession, root: str, glob: str = ld.TRANSACTIO
                        lenient_dates: bool = False, on_bad: str = "reject") -> dict:
     """New landing transaction files -> staging/transactions (append).
 
-    Order: staging table, rejects, archive, then the ledger, so a crash before
-    the ledger entry leaves the files to be loaded again. A non-empty file
-    without a recognised header is not loaded and not recorded: it stays
+    Each load records its intent (files and load id) first, then writes the
+    staging rows under ``load_id=<id>`` (replacing that load's folders only),
+    the rejects, the archive, and finally its ledger entry. A run first
+    finishes any load that stopped before its ledger entry — same files, same
+    id — so a crash at any point loads every file exactly once. A non-empty
+    file without a recognised header is not loaded and not recorded: it stays
     pending and is listed under ``unrecognized_files``. Rejected rows are
     counted while the good rows are written; their table is only written when
     there are any (``on_bad='fail'`` raises instead).
     """
     z = Zones(root)
-    files, paths, size = _new_landing(spark, z, glob, TRANSACTIONS.name)
-    if not paths:
-        return {"files": 0}
-    load_id = ld.new_load_id()
-    raw, files, skipped = _read_new(spark, files, paths, size, ld.HEADER_MARKER,
-                                    ld.LANDING_TRANSACTION_COLUMNS)
-    if raw is None:
-        return {"files": 0, "unrecognized_files": skipped}
+    results, skipped_all = [], []
+    for load_id, files, recovering in _loads(spark, z, glob, TRANSACTIONS.name):
+        raw, files, skipped = _open_load(spark, z, TRANSACTIONS.name, load_id, files, recovering,
+                                         ld.HEADER_MARKER, ld.LANDING_TRANSACTION_COLUMNS)
+        skipped_all += skipped
+        if raw is None:
+            continue
+        results.append(_load_transactions(spark, z, raw, files, load_id, lenient_dates, on_bad))
+    return _combine(results, skipped_all)
+
+
+def _load_transactions(spark: SparkSession, z: Zones, raw: DataFrame, files: DataFrame,
+                       load_id: str, lenient_dates: bool, on_bad: str) -> dict:
     clean = stg.clean_transactions(raw, lenient_dates=lenient_dates)
-    obs = Observation("transactions_load")
+    obs = Observation(f"transactions_{load_id}")
     good = F.col(stg.REJECT_REASON).isNull()
     month = F.format_string("%04d-%02d", F.col("trans_year"), F.col("trans_month"))
     clean = clean.observe(obs, F.count(F.lit(1)).alias("rows"),
@@ -132,15 +175,15 @@ def stage_transactions(spark: SparkSession, root: str, glob: str = ld.TRANSACTIO
         bad = stg.rejects(raw, lenient_dates).limit(1).count()
         if bad:
             raise ValueError("landing transactions hold rows with an unparseable trans_dt")
-    sinks.write_table(stg.accepted(clean), z.transactions, TRANSACTIONS, mode="append")
+    sinks.write_table(stg.accepted(clean), z.transactions, TRANSACTIONS, load_id=load_id)
     metrics = dict(obs.get)
     if metrics.get("rejected"):
-        (stg.rejects(raw, lenient_dates).withColumn("load_id", F.lit(load_id))
-         .write.mode("append").parquet(z.rejects))
+        (stg.rejects(raw, lenient_dates).withColumn(sinks.LOAD_COLUMN, F.lit(load_id))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(sinks.LOAD_COLUMN).parquet(z.rejects))
     sinks.write_text_csv(raw.drop(ld.SOURCE_FILE), f"{z.archive}/transactions/{load_id}")
     ld.record_loaded(files, f"{z.ledger}/{TRANSACTIONS.name}", load_id)
-    return {"files": len(paths) - len(skipped), "load_id": load_id, **metrics,
-            "unrecognized_files": skipped}
+    return {"load_id": load_id, "files": len(ld.landing_paths(files)), **metrics}
 
 
 def _month_filter(months: list[str]):

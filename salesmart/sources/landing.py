@@ -157,6 +157,30 @@ def _marker(marker_column: str) -> str:
     return rf"(^|,)\s*\"?{marker_column}\"?\s*(,|$)"
 
 
+def intents_dir(ledger_dir: str) -> str:
+    return f"{ledger_dir.rstrip('/')}_intents"
+
+
+def record_intent(files: DataFrame, ledger_dir: str, load_id: str) -> None:
+    """Before a load writes anything: which files it reads, under which id."""
+    (files.select("path", "modification_time", "length", F.lit(load_id).alias("load_id"))
+     .repartition(1).write.mode("append").parquet(intents_dir(ledger_dir)))
+
+
+def unfinished_loads(spark: SparkSession, ledger_dir: str) -> list[tuple[str, DataFrame]]:
+    """Loads whose intent was written but whose ledger entry was not (the job
+    stopped half-way): ``(load_id, frozen file listing)`` each, oldest first.
+    Re-running one with the same id replaces whatever it had written."""
+    intents = read_ledger(spark, intents_dir(ledger_dir))
+    done = read_ledger(spark, ledger_dir).select("load_id").distinct()
+    rows = intents.join(done, on="load_id", how="left_anti").collect()
+    by_load: dict[str, set] = {}
+    for r in rows:
+        by_load.setdefault(r["load_id"], set()).add((r["path"], r["modification_time"], r["length"]))
+    return [(load_id, spark.createDataFrame(sorted(files), FILES_SCHEMA))
+            for load_id, files in sorted(by_load.items())]
+
+
 def header_layouts(spark: SparkSession, paths: list[str], marker_column: str = HEADER_MARKER,
                    probe: str = "auto", total_bytes: int | None = None
                    ) -> list[tuple[tuple[str, ...], list[str]]]:

@@ -5,22 +5,28 @@ Write modes of a table load:
 * ``overwrite`` — replace the whole table (static overwrite);
 * ``append``    — add files; a rerun of the same input adds the rows again;
 * ``dynamic``   — overwrite only the partitions present in the new data, so a
-  rerun of the same input replaces instead of duplicating.
+  rerun of the same input replaces instead of duplicating;
+* ``append`` with a ``load_id`` — an append that a rerun of the same load
+  replaces (the load id is an extra partition level).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from salesmart.contracts import TableContract
 
 MODES = ("overwrite", "append", "dynamic")
+# Extra partition level of a load-scoped append (dropped by contract reads).
+LOAD_COLUMN = "load_id"
 # Bound on rows per output file; keeps files a few hundred MB at most.
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
 def write_table(df: DataFrame, path: str, contract: TableContract, mode: str | None = None,
-                max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
+                max_records_per_file: int = MAX_RECORDS_PER_FILE,
+                load_id: str | None = None) -> None:
     """Write ``df`` in contract order, partitioned by the contract.
 
     Rows are rebalanced on the partition columns first, so each task writes
@@ -32,6 +38,16 @@ def write_table(df: DataFrame, path: str, contract: TableContract, mode: str | N
     if mode not in MODES:
         raise ValueError(f"unknown write mode {mode!r}; expected one of {MODES}")
     out = contract.conform(df)
+    partition_by = list(contract.partition_by)
+    if load_id is not None:
+        # An append scoped to one load: rows go under load_id=<id> inside
+        # their partitions and the write replaces only that load's folders,
+        # so re-running the same load (after a crash) cannot add rows twice.
+        if mode != "append":
+            raise ValueError("a load-scoped write is an append")
+        out = out.withColumn(LOAD_COLUMN, F.lit(load_id))
+        partition_by.append(LOAD_COLUMN)
+        mode = "dynamic"
     if contract.partition_by:
         out = out.hint("rebalance", *contract.partition_by)
     writer = out.write.option("maxRecordsPerFile", max_records_per_file)
@@ -41,8 +57,8 @@ def write_table(df: DataFrame, path: str, contract: TableContract, mode: str | N
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "static")
     else:
         writer = writer.mode("append")
-    if contract.partition_by:
-        writer = writer.partitionBy(*contract.partition_by)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
 
 

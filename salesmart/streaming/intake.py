@@ -12,8 +12,9 @@ micro-batch loads exactly the files it discovered:
 
 The stream checkpoint records which files were offered in which batch, so a
 rerun over the same landing folder loads nothing twice. A batch replayed
-after a crash keeps its batch id; if its ledger entry exists the batch was
-fully written and is skipped. ``trigger(availableNow=True)`` processes what
+after a crash keeps its batch id: its rows are written under
+``load_id=stream-<batch id>`` and the replay replaces them, and if its ledger
+entry exists the batch was fully written and is skipped altogether. ``trigger(availableNow=True)`` processes what
 is there and stops, which suits scheduled runs.
 """
 
@@ -64,10 +65,12 @@ def _load_batch(spark: SparkSession, table_dir: str, ledger_dir: str, rejects_di
         raw = ld.read_layouts(spark, layouts, ld.LANDING_TRANSACTION_COLUMNS)
         clean = stg.clean_transactions(raw, lenient_dates=lenient_dates).observe(
             obs, F.count_if(F.col(stg.REJECT_REASON).isNotNull()).alias("rejected"))
-        sinks.write_table(stg.accepted(clean), table_dir, TRANSACTIONS, mode="append")
+        # Scoped to the batch: a replay (same batch id) replaces this output.
+        sinks.write_table(stg.accepted(clean), table_dir, TRANSACTIONS, load_id=load_id)
         if obs.get["rejected"]:  # only then pay a second pass for the rejects
-            (stg.rejects(raw, lenient_dates).withColumn("load_id", F.lit(load_id))
-             .write.mode("append").parquet(rejects_dir))
+            (stg.rejects(raw, lenient_dates).withColumn(sinks.LOAD_COLUMN, F.lit(load_id))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(sinks.LOAD_COLUMN).parquet(rejects_dir))
         loaded = files.where(~F.col("path").isin(skipped)) if skipped else files
         ld.record_loaded(loaded, ledger_dir, load_id)
     return load

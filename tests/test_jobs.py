@@ -235,3 +235,27 @@ def test_incremental_enrich_rewrites_only_touched_months(spark, tmp_path):
     rebuilt = sorted(map(tuple, read_table(spark, f"{root}/enrichment/transactions", ENRICHED)
                          .select(*cols).collect()), key=str)
     assert incremental == rebuilt
+
+
+def test_crash_before_ledger_entry_loads_each_file_once(spark, tmp_path, monkeypatch):
+    from salesmart.sources import landing as ld
+    root = str(tmp_path)
+    landing = f"{root}/landing"
+    fixtures.write_landing(spark, SF_SMALL, landing, ("trans_fact_5", "trans_fact_4"))
+    real = ld.record_loaded
+
+    def crash(*args, **kwargs):
+        raise RuntimeError("driver lost after the table write")
+    monkeypatch.setattr(ld, "record_loaded", crash)
+    with pytest.raises(RuntimeError):
+        jobs.run(spark, root, "stage-transactions")
+    written = read_table(spark, f"{root}/staging/transactions", TRANSACTIONS).count()
+    assert written > 0  # the half-done load left rows behind
+    monkeypatch.setattr(ld, "record_loaded", real)
+    fixtures.write_landing(spark, SF_SMALL, landing, ("trans_fact_6",))  # arrives meanwhile
+    res = jobs.run(spark, root, "stage-transactions")
+    assert len(res["load_ids"]) == 2  # the unfinished load, then the new one
+    lines = fixtures.landing_lines(spark, SF_SMALL)
+    want = lines.where(F.col("layout").isin("trans_fact_5", "trans_fact_4", "trans_fact_6")).count()
+    assert read_table(spark, f"{root}/staging/transactions", TRANSACTIONS).count() == want
+    assert jobs.run(spark, root, "stage-transactions") == {"files": 0}

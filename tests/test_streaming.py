@@ -61,3 +61,24 @@ def test_stream_in_several_batches(spark, workdir):
     ledger = ld.read_ledger(spark, f"{table}_ledger")
     assert ledger.select("load_id").distinct().count() == n_files
     assert ledger.count() == n_files
+
+
+def test_replay_after_crash_before_ledger(spark, workdir, monkeypatch):
+    landing, table = f"{workdir}/landing", f"{workdir}/txn"
+    fixtures.write_landing(spark, SF_SMALL, landing, ("trans_fact_6",))
+    files = spark.read.format("binaryFile").load(f"{landing}/trans_fact_*").select(
+        "path", "modificationTime", "length")
+    load = _load_batch(spark, table, f"{table}_ledger", f"{table}_rejects", False)
+    real = ld.record_loaded
+
+    def crash(*args, **kwargs):
+        raise RuntimeError("lost before the ledger entry")
+    monkeypatch.setattr(ld, "record_loaded", crash)
+    try:
+        load(files, 3)
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(ld, "record_loaded", real)
+    load(files, 3)  # the replay of batch 3
+    want = fixtures.landing_lines(spark, SF_SMALL).where(F.col("layout") == "trans_fact_6").count()
+    assert read_table(spark, table, TRANSACTIONS).count() == want
