@@ -79,13 +79,21 @@ def _load_batch(spark: SparkSession, table_dir: str, ledger_dir: str, rejects_di
 def intake_stream(spark: SparkSession, landing_dir: str, table_dir: str, checkpoint_dir: str,
                   ledger_dir: str | None = None, rejects_dir: str | None = None,
                   glob: str = ld.TRANSACTION_GLOB, max_files_per_trigger: int = 1000,
-                  lenient_dates: bool = False) -> None:
-    """Load every landing file not loaded before, then stop."""
+                  lenient_dates: bool = False, source_archive_dir: str | None = None) -> None:
+    """Load every landing file not loaded before, then stop.
+
+    ``source_archive_dir`` lets the file source move processed landing files
+    there (Spark's ``cleanSource=archive``), so the landing listing does not
+    grow without bound; exactly-once never relies on it (a file is moved only
+    after a later batch commits)."""
     ledger_dir = ledger_dir or f"{table_dir.rstrip('/')}_ledger"
     rejects_dir = rejects_dir or f"{table_dir.rstrip('/')}_rejects"
-    files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-             .option("maxFilesPerTrigger", max_files_per_trigger)
-             .load(f"{landing_dir.rstrip('/')}/{glob}")
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+              .option("maxFilesPerTrigger", max_files_per_trigger))
+    if source_archive_dir:
+        reader = (reader.option("cleanSource", "archive")
+                  .option("sourceArchiveDir", source_archive_dir))
+    files = (reader.load(f"{landing_dir.rstrip('/')}/{glob}")
              .select("path", "modificationTime", "length"))
     query = (files.writeStream
              .foreachBatch(_load_batch(spark, table_dir, ledger_dir, rejects_dir, lenient_dates))

@@ -82,3 +82,14 @@ def test_replay_after_crash_before_ledger(spark, workdir, monkeypatch):
     load(files, 3)  # the replay of batch 3
     want = fixtures.landing_lines(spark, SF_SMALL).where(F.col("layout") == "trans_fact_6").count()
     assert read_table(spark, table, TRANSACTIONS).count() == want
+
+
+def test_stream_with_source_archive(spark, workdir):
+    landing, table, ckpt = f"{workdir}/landing", f"{workdir}/txn", f"{workdir}/ckpt"
+    fixtures.write_landing(spark, SF_SMALL, landing, ("trans_fact_5",))
+    intake_stream(spark, landing, table, ckpt, source_archive_dir=f"{workdir}/retired")
+    fixtures.write_landing(spark, SF_SMALL, landing, ("trans_fact_4",))
+    intake_stream(spark, landing, table, ckpt, source_archive_dir=f"{workdir}/retired")
+    lines = fixtures.landing_lines(spark, SF_SMALL)
+    want = lines.where(F.col("layout").isin("trans_fact_5", "trans_fact_4")).count()
+    assert read_table(spark, table, TRANSACTIONS).count() == want
