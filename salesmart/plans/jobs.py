@@ -1,16 +1,20 @@
-"""The batch pipeline: one action per run, state passed through zone folders.
+"""The batch jobs: one action per run, state passed through zone folders.
 
 Zones under ``root``::
 
     landing/      location.csv, product.csv, trans_fact_*   (input)
-    staging/      location, product, transactions            (contract tables)
+    staging/      location, product, transactions            (contract tables;
+                  appended tables hold one load_id=<id> level per load)
     enrichment/   transactions                               (wide sales table)
     reporting/    one CSV folder per report
     archive/      landing/<table>/<load id>/                 (all-string copies)
-    _ledger/      <table>                                    (loaded files)
+    _ledger/      <table>, <table>_intents                   (loaded / started)
 
-Every load is rerun-safe: a landing file already in the ledger is skipped, and
-enrichment overwrites only the partitions it rewrites.
+Every load is rerun-safe and crash-safe: a landing file already in the ledger
+is skipped; a load records its intent before writing and its ledger entry
+last, and a load found with an intent but no ledger entry is re-run with the
+same files and id, replacing what it had written. Enrichment overwrites only
+the partitions it rewrites.
 """
 
 from __future__ import annotations
