@@ -14,10 +14,6 @@ def plan_of(df):
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_no_python_udf_in_plans(spark, name):
-    if name in {"intake_stream", "landing_new_files", "append_load", "partitioned_roundtrip",
-                "key_lookup", "stage_locations", "stage_products", "csv_roundtrip",
-                "archive_roundtrip"}:
-        pytest.skip("writes files first; covered by the oracle test")
     df = entry.queries()[name](spark, SF_SMALL)
     plan = plan_of(df)
     for marker in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
