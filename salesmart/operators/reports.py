@@ -150,21 +150,30 @@ def _rank_categories(totals: DataFrame, n: int) -> DataFrame:
 
 # ---------------------------------------------------------------- metrics
 
-def _metric_columns() -> list[Column]:
+def _distinct(column: str, approx_rsd: float | None) -> Column:
+    if approx_rsd is None:
+        return F.countDistinct(column)
+    return F.approx_count_distinct(column, rsd=approx_rsd)
+
+
+def _metric_columns(approx_rsd: float | None = None) -> list[Column]:
     return [money_sum("sales").alias(TOTAL_SALES),
             units_sum("units").alias("total_units"),
-            F.countDistinct("trans_key").alias("count_distinct_trans_key"),
-            F.countDistinct("collector_key").alias("count_distinct_collector_key")]
+            _distinct("trans_key", approx_rsd).alias("count_distinct_trans_key"),
+            _distinct("collector_key", approx_rsd).alias("count_distinct_collector_key")]
 
 
-def metrics_by(df: DataFrame, key: str) -> DataFrame:
-    """Sales, units and exact distinct transaction / collector counts.
+def metrics_by(df: DataFrame, key: str, approx_rsd: float | None = None) -> DataFrame:
+    """Sales, units and distinct transaction / collector counts.
 
-    Distinct counts are not additive: never sum them across groups (one
-    transaction may span two years).
+    Exact by default: the plan shuffles one row per distinct (group, value).
+    ``approx_rsd`` (e.g. 0.01) switches the two counts to HyperLogLog++
+    sketches, which shuffle a fixed-size sketch per group and task instead —
+    the opt-in for very large inputs. Distinct counts are not additive: never
+    sum them across groups (one transaction may span two years).
     """
     df = _needs_membership(df, (key,))
-    return df.groupBy(key).agg(*_metric_columns())
+    return df.groupBy(key).agg(*_metric_columns(approx_rsd))
 
 
 def metrics_by_year(df: DataFrame) -> DataFrame:
@@ -246,13 +255,14 @@ def report_bundle(df: DataFrame) -> DataFrame:
             .where(F.col("report").isNotNull()))
 
 
-def metrics_bundle(df: DataFrame) -> DataFrame:
-    """Both metric reports from one scan: ``report, trans_year, is_member, ...``."""
+def metrics_bundle(df: DataFrame, approx_rsd: float | None = None) -> DataFrame:
+    """Both metric reports from one scan: ``report, trans_year, is_member, ...``
+    (``approx_rsd`` as in ``metrics_by``)."""
     src = with_membership(df.select("trans_year", "collector_key", "trans_key",
                                     "sales", "units"))
     keys = [F.col("trans_year"), F.col("is_member")]
     grouped = (src.groupingSets([[F.col("trans_year")], [F.col("is_member")]], *keys)
-               .agg(*_metric_columns(), F.grouping_id(*keys).alias("_gid")))
+               .agg(*_metric_columns(approx_rsd), F.grouping_id(*keys).alias("_gid")))
     report = F.when(F.col("_gid") == 1, F.lit("metrics_by_year")).otherwise(F.lit("metrics_by_loyalty"))
     return grouped.select(report.alias("report"), "trans_year", "is_member", TOTAL_SALES,
                           "total_units", "count_distinct_trans_key",

@@ -235,14 +235,16 @@ def enrich(spark: SparkSession, root: str, mode: str = "dynamic",
 def reporting(spark: SparkSession, root: str, top_stores: int = rep.DEFAULT_TOP_STORES,
               top_categories: int = rep.DEFAULT_TOP_CATEGORIES, province: str | None = None,
               year: int | None = None, month: int | None = None,
-              preview: bool = False) -> dict:
+              preview: bool = False, approx_distinct: float | None = None) -> dict:
     """All nine reports from two scans of the enriched table.
 
     The two bundles are small (bounded by the dimensions) and are
     checkpointed to the shared checkpoint folder, so the nine report writes
     read them instead of re-running the scans. ``province``, ``year`` and
     ``month`` restrict the reports to matching partitions; the filters prune
-    partition folders before any file is opened.
+    partition folders before any file is opened. ``approx_distinct`` (a
+    relative standard deviation such as 0.01) opts the two distinct counts
+    into HyperLogLog++ sketches; exact counts are the default.
     """
     z = Zones(root)
     sales = read_table(spark, z.enriched, ENRICHED)
@@ -250,7 +252,7 @@ def reporting(spark: SparkSession, root: str, top_stores: int = rep.DEFAULT_TOP_
         if value is not None:
             sales = sales.where(F.col(column) == F.lit(value))
     bundle = rep.report_bundle(sales).checkpoint(eager=True)
-    metrics = rep.metrics_bundle(sales).checkpoint(eager=True)
+    metrics = rep.metrics_bundle(sales, approx_distinct).checkpoint(eager=True)
     reports = rep.split_bundle(bundle, metrics, top_stores, top_categories)
 
     def write(item):
@@ -294,6 +296,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--province", help="reporting: only this province")
     p.add_argument("--year", type=int, help="reporting: only this year")
     p.add_argument("--month", type=int, help="reporting: only this month")
+    p.add_argument("--approx-distinct", type=float,
+                   help="reporting: approximate distinct counts with this relative error")
     p.add_argument("--months", help="enrich: only these year-months, e.g. 2015-10,2015-11")
     p.add_argument("--lenient-dates", action="store_true",
                    help="stage-transactions: roll impossible dates over instead of rejecting")
@@ -303,9 +307,10 @@ def main(argv: list[str] | None = None) -> None:
                    help="initial shuffle partitions (2-3 per cluster core); AQE coalesces")
     args = p.parse_args(argv)
     options = {k: v for k, v in (("province", args.province), ("year", args.year),
-                                 ("month", args.month)) if v is not None}
+                                 ("month", args.month),
+                                 ("approx_distinct", args.approx_distinct)) if v is not None}
     if options and args.action != "reporting":
-        p.error("--province/--year/--month apply to reporting only")
+        p.error("--province/--year/--month/--approx-distinct apply to reporting only")
     if args.months:
         if args.action != "enrich":
             p.error("--months applies to enrich only")

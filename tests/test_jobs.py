@@ -259,3 +259,14 @@ def test_crash_before_ledger_entry_loads_each_file_once(spark, tmp_path, monkeyp
     want = lines.where(F.col("layout").isin("trans_fact_5", "trans_fact_4", "trans_fact_6")).count()
     assert read_table(spark, f"{root}/staging/transactions", TRANSACTIONS).count() == want
     assert jobs.run(spark, root, "stage-transactions") == {"files": 0}
+
+
+def test_approximate_distinct_counts_stay_close(spark):
+    from salesmart.plans.registry import enriched
+    sales = enriched(spark, "/root/testdata/sf0.01")
+    exact = {r["is_member"]: r for r in rep.metrics_by(sales, "is_member").collect()}
+    approx = {r["is_member"]: r for r in rep.metrics_by(sales, "is_member", approx_rsd=0.02).collect()}
+    for k, row in exact.items():
+        assert approx[k]["total_sales"] == row["total_sales"]  # sums stay exact
+        for c in ("count_distinct_trans_key", "count_distinct_collector_key"):
+            assert abs(approx[k][c] - row[c]) <= 0.08 * row[c], (k, c)
