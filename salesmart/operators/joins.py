@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -174,7 +176,10 @@ def join_dimensions(fact: DataFrame, dims: list[tuple[DataFrame, str]], how: str
                     row_budget: int = DEFAULT_KEY_ROW_BUDGET) -> DataFrame:
     """A chain of fact x dimension joins, each broadcast when proven small;
     the hot keys of all the others are counted in one pass over the fact."""
-    plan = [(dim, key, broadcastable(dim, broadcast_rows)) for dim, key in dims]
+    # The size checks are independent small jobs: submit them together.
+    with ThreadPoolExecutor(max_workers=max(1, len(dims))) as pool:
+        small = list(pool.map(lambda d: broadcastable(d[0], broadcast_rows), dims))
+    plan = [(dim, key, is_small) for (dim, key), is_small in zip(dims, small)]
     salted_keys = [key for _, key, small in plan if not small]
     hot = hot_key_tables(fact, salted_keys, row_budget) if salted_keys else {}
     out = fact
