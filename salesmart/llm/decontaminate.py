@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm.textkit import grouped, joined_words, small_batches, words_of
+from salesmart.llm.textkit import grouped, joined_words, workers_ready, words_of
 
 WINDOW = 10
 #: Benchmark text in one block (one broadcast).
@@ -261,7 +261,7 @@ def find_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> D
     """doc_id, n_words, spans (in words), byte_spans (in UTF-8 bytes) and
     items (distinct item ids as strings, sorted) of every row of ``docs``."""
     spark = docs.sparkSession
-    small_batches(spark)
+    workers_ready(spark)
     out = docs.select(
         "doc_id", "text", F.lit(0).cast("bigint").alias("n_words"), F.expr(f"cast(array() as {SPAN})").alias("spans"),
         F.expr(f"cast(array() as {SPAN})").alias("byte_spans"), F.expr("cast(array() as array<string>)").alias("items"))
@@ -343,7 +343,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     (``n_chars`` follows where there is such a column); a document of which
     no word is left goes. Documents without a hit stay as they are."""
     spark: SparkSession = docs.sparkSession
-    small_batches(spark)
+    workers_ready(spark)
     for block in benchmark_blocks(benchmark):
         held = spark.sparkContext.broadcast(windows_of(block, window))
         docs = docs.mapInArrow(_cutter(held), docs.schema)

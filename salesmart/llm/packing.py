@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from salesmart.llm.scratch import kept, removed
-from salesmart.llm.textkit import small_batches
+from salesmart.llm.textkit import workers_ready
 from salesmart.llm.tokens import encoder, tokenizer_json
 
 CAPACITY = 1024
@@ -61,7 +61,7 @@ def tokenized_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = EN
     """One row per piece: doc_id, piece, start, length, ids_crc32 and, on
     demand, ids (little-endian uint32)."""
     spark = docs.sparkSession
-    small_batches(spark)
+    workers_ready(spark)
     held = spark.sparkContext.broadcast(tokenizer_json(tokenizer))
     end = np.array([end_id], "<u4").tobytes()
     id_type = docs.schema["doc_id"].dataType.simpleString()

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from salesmart.llm import decontaminate, packing
-from salesmart.llm.textkit import read
+from salesmart.llm import decontaminate, langid, packing, secret_scan, toxicity
+from salesmart.llm.textkit import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -24,6 +25,28 @@ def op1_best_fit_packing(spark, sf_dir):
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@query
+def op4_language_id(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    model = langid.fit(docs.filter(~held_out))
+    return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op6_secret_scan(spark, sf_dir):
+    return secret_scan.digest(secret_scan.scan(read(spark, sf_dir, "documents")))
+
+
+@query
+def op8_toxicity(spark, sf_dir):
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    held_out = crc_mod(F.col("doc_id"), 5) == 0
+    model = toxicity.fit(docs, labels.filter(~held_out))
+    return toxicity.predict(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op10_benchmark_decontamination(spark, sf_dir):
     spans = decontaminate.find_spans(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))

@@ -8,6 +8,7 @@ character), which on UTF-8 bytes is a run of the bytes below.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -92,9 +93,12 @@ def lowered(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound what one Arrow batch of texts can hold in a Python worker."""
+def workers_ready(spark: SparkSession, rows: int = 1000) -> None:
+    """Bounds what one Arrow batch of texts can hold in a Python worker, and
+    lets the workers of a local session import this package from here (a
+    cluster gets it with --py-files)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
 
 
 def crc_mod(col: Column, n: int) -> Column:
