@@ -145,7 +145,7 @@ def best_fit(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     spark = pieces.sparkSession
     sizes = pieces.select("uid", F.col("length").alias("size"))
     counts = {r["size"]: r["count"] for r in sizes.groupBy("size").count().collect()}  # at most `capacity` rows
-    n_buckets = max(8, max(counts.values(), default=0) // BUCKET_ROWS)
+    n_buckets = max(32, max(counts.values(), default=0) // BUCKET_ROWS)
     full = sizes.filter(F.col("size") == capacity).select("uid", F.col("uid").alias("seq"), "size", F.lit(0).alias("round"), F.lit(0).alias("slot"))
     high, rounds, placed, spent = capacity, 0, [], []
     while high:

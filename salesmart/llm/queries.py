@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import decontaminate, langid, packing, secret_scan, toxicity
+from salesmart.llm import decontaminate, langid, packing, secret_scan, toxicity, vectors
 from salesmart.llm.textkit import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,11 @@ def op1_best_fit_packing(spark, sf_dir):
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@query
+def op3_embedding_near_dedup(spark, sf_dir):
+    return vectors.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 @query
 def op4_language_id(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
