@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import decontaminate, langid, packing, secret_scan, toxicity, vectors
+from salesmart.llm import decontaminate, langid, neardup, packing, secret_scan, toxicity, vectors
 from salesmart.llm.textkit import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,12 @@ def op4_language_id(spark, sf_dir):
     return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op5_minhash_near_dedup(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return neardup.report(docs, neardup.classes(docs))
+
+
 @query
 def op6_secret_scan(spark, sf_dir):
     return secret_scan.digest(secret_scan.scan(read(spark, sf_dir, "documents")))
