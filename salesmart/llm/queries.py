@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import decontaminate, langid, neardup, packing, secret_scan, toxicity, vectors
+from salesmart.llm import decontaminate, langid, linededup, neardup, packing, secret_scan, toxicity, vectors
 from salesmart.llm.textkit import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,13 @@ def op8_toxicity(spark, sf_dir):
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query
+def op9_line_dedup(spark, sf_dir):
+    docs = linededup.cleaned(read(spark, sf_dir, "documents"))
+    return docs.select("doc_id", F.col("llm_lines").alias("n_lines"), F.size("llm_gone").cast("bigint").alias("n_removed"),
+                       F.array_join("llm_gone", ",").alias("removed_lines"), F.col("llm_left").alias("text"))
+
+
 @query
 def op10_benchmark_decontamination(spark, sf_dir):
     spans = decontaminate.find_spans(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
