@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import decontaminate, langid, linededup, neardup, packing, secret_scan, toxicity, vectors
+from salesmart.llm import (
+    binary_output,
+    decontaminate,
+    langid,
+    linededup,
+    neardup,
+    packing,
+    quotes,
+    secret_scan,
+    toxicity,
+    vectors,
+)
 from salesmart.llm.textkit import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +36,11 @@ def op1_best_fit_packing(spark, sf_dir):
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@query
+def op2_quotation_linking(spark, sf_dir):
+    return quotes.conversations(read(spark, sf_dir, "conversations"))
+
+
 @query
 def op3_embedding_near_dedup(spark, sf_dir):
     return vectors.near_duplicates(read(spark, sf_dir, "embeddings"))
@@ -49,6 +65,11 @@ def op6_secret_scan(spark, sf_dir):
     return secret_scan.digest(secret_scan.scan(read(spark, sf_dir, "documents")))
 
 
+@query
+def op7_token_output(spark, sf_dir):
+    return binary_output.binary_rows(read(spark, sf_dir, "documents"))
+
+
 @query
 def op8_toxicity(spark, sf_dir):
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
