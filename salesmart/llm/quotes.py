@@ -58,11 +58,10 @@ def _key(text: Column) -> Column:
 
 def own_text(text: Column) -> Column:
     """The text without quoted lines and the lines that announce them."""
-    lines = _lines(text)
-    kept_lines = F.filter(lines, lambda x, i: (x["level"] == 0) & ~(
-        x["body"].rlike(r"wrote:\s*$") & (F.coalesce(F.get(lines, i + 1)["level"], F.lit(0)) > 0)))
-    plain = F.array_join(F.transform(kept_lines, lambda x: x["body"]), "\n")
-    return F.when(text.rlike(_QUOTES), F.trim(F.regexp_replace(plain, "\n{3,}", "\n\n"))).otherwise(text)
+    announced = F.regexp_replace(text, r"(?m)^(?![ \t]*>)[^\n]*wrote:[ \t]*\n(?=[ \t]*>)", "")
+    kept_lines = F.filter(F.split(announced, "\n"), lambda x: ~x.rlike(r"^[ \t]*>"))
+    plain = F.regexp_replace(F.array_join(kept_lines, "\n"), r"^\s+|\s+$", "")
+    return F.when(text.rlike(_QUOTES), F.regexp_replace(plain, "\n{3,}", "\n\n")).otherwise(text)
 
 
 def passages(messages: DataFrame) -> DataFrame:
