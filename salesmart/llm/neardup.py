@@ -14,8 +14,10 @@ candidates, and weighted Jaccard similarity of their whole shingle sets decides.
 
 Candidates are not expanded to all pairs: each class of a key is first verified
 against the key's least class, and verified links are united. Only classes of
-a key which then are in different components are compared with each other, so
-no link that could join two groups is lost.
+a key which then are in different components are compared with each other, and
+only where their similarities to the key's least class differ by 0.2 or less:
+one less the similarity is a metric, so others cannot be linked. No link that
+could join two groups is lost.
 
 Defined cases: null or wordless text, or a null doc_id, is alike to nothing;
 rows with equal doc_id and text are one document, with equal doc_id and other
@@ -48,12 +50,16 @@ _SEEDS = mix64(np.arange(1, 1 + BANDS * ROWS, dtype=np.uint64) * np.uint64(0x9E3
 _SKETCH_SEEDS = mix64(np.arange(1001, 1001 + DEPTH, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+#: Bytes of text whose draws are made together: their arrays stay in cache.
+DRAW_BYTES = 250_000
+
+
 def _tables() -> tuple[np.ndarray, np.ndarray]:
     """Quantiles of Gamma(2, 1), as they are and as logarithms, for 16 bits."""
     x = np.concatenate([[0], np.geomspace(1e-6, 40, 200_000)])
     at = (np.arange(1 << 16) + 0.5) / (1 << 16)
     gamma = np.interp(at, 1 - np.exp(-x) * (1 + x), x)
-    return gamma, np.log(gamma)
+    return gamma.astype(np.float32), np.log(gamma).astype(np.float32)
 
 
 _GAMMA, _LOG_GAMMA = _tables()
@@ -137,14 +143,17 @@ def draws(s: Shingles, weights: np.ndarray) -> np.ndarray:
     some = np.flatnonzero(np.diff(s.bounds) > 0)
     begins = s.bounds[:-1][some]
     owner = np.repeat(np.arange(len(some)), np.diff(s.bounds)[some])
-    log_weight = np.log(weights)
+    log_weight = np.log(weights).astype(np.float32)
     out = np.zeros((len(some), BANDS), np.uint64)
     for k, seed in enumerate(_SEEDS):
-        u = mix64(s.hashes ^ seed)
-        r = _GAMMA[u & np.uint64(0xFFFF)]
-        shift = (u >> np.uint64(32)).astype(np.float64) * (0.5**32)
+        u = (s.hashes ^ seed) * np.uint64(0x9E3779B97F4A7C15)
+        u ^= u >> np.uint64(29)
+        u *= np.uint64(0xBF58476D1CE4E5B9)
+        parts = u.view(np.uint16).reshape(-1, 4)  # two draws and a shift
+        r = _GAMMA[parts[:, 3]]
+        shift = parts[:, 2].astype(np.float32) * np.float32(1 / 65536)
         level = np.floor(log_weight / r + shift)
-        rank = _LOG_GAMMA[(u >> np.uint64(16)) & np.uint64(0xFFFF)] - r * (level - shift + 1)
+        rank = _LOG_GAMMA[parts[:, 1]] - r * (level - shift + 1)
         least = np.minimum.reduceat(rank, begins)
         at = np.flatnonzero(rank == least[owner])
         chosen = np.empty(len(some), np.int64)
@@ -158,7 +167,7 @@ def _signer(held):
     def run(batches):
         for batch in batches:
             ids = batch.column("doc_id")
-            for first, group in grouped(batch.column("text").to_pylist()):
+            for first, group in grouped(batch.column("text").to_pylist(), DRAW_BYTES):
                 s = shingles(group)
                 some = np.flatnonzero(s.sizes > 0)
                 if not len(some):
@@ -186,7 +195,8 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 _KEPT_SETS = 256
 
 
-def _verifier(held, threshold: float):
+def _verifier(held):
+    """Pairs with their texts to pairs with their similarity."""
     def run(batches):
         sets: dict = {}
 
@@ -201,8 +211,8 @@ def _verifier(held, threshold: float):
 
         for batch in batches:
             rows = zip(*(batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b")), strict=True)
-            good = [similarity(weighted(a, s), weighted(b, t)) >= threshold for a, b, s, t in rows]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+            found = [similarity(weighted(a, s), weighted(b, t)) for a, b, s, t in rows]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], names=["a", "b", "similar"])
 
     return run
 
@@ -232,12 +242,9 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.first("total").alias("total"), F.first("bands").alias("bands")), "neardup-nodes")
     members = nodes.select(F.posexplode("bands").alias("band", "value"), F.col("key").alias("node"), "total")
     # A key's least class is its leader; a key with one class has no pairs.
-    leaders = members.groupBy("band", "value").agg(F.min(F.struct("node", "total")).alias("leader"), F.count("*").alias("n")).filter("n > 1")
-    shared = kept(members.join(leaders, ["band", "value"]).select("band", "value", "node", "total", F.col("leader.node").alias("leader"), F.col("leader.total").alias("leader_total")), "neardup-shared")
-    # Similarity cannot exceed the ratio of the total weights.
-    near = lambda a, b: F.least(a, b) >= F.lit(threshold * (1 - 1e-9)) * F.greatest(a, b)
-    pairs = (shared.filter("node != leader").filter(near(F.col("total"), F.col("leader_total")))
-             .select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct())
+    leaders = members.groupBy("band", "value").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")
+    shared = kept(members.join(leaders, ["band", "value"]).select("band", "value", "node", "total", "leader"), "neardup-shared")
+    pairs = shared.filter("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     needed = shared.select("node").distinct().join(nodes.select(F.col("key").alias("node"), "rep"), "node")
     texts = (docs.join(needed.withColumnRenamed("rep", "doc_id"), "doc_id").select("node", "text")
              .mapInArrow(_keyed("node"), "node bigint, text string").groupBy("node").agg(F.first("text").alias("text")))
@@ -246,21 +253,29 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         sides = [texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in ("a", "b")]
         rows = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "text_a", "text_b")
-        return kept(rows.mapInArrow(_verifier(held, threshold), "a bigint, b bigint"), name)
+        return kept(rows.mapInArrow(_verifier(held), "a bigint, b bigint, similar double"), name)
 
-    first = verified(pairs, "neardup-links")
-    groups = components(first, "neardup-components")
+    first = verified(pairs, "neardup-led")
+    groups = components(first.filter(F.col("similar") >= threshold).select("a", "b"), "neardup-components")
     # What a leader did not unite: classes of a key in different components.
-    labelled = (shared.join(groups.withColumnRenamed("component", "group"), "node", "left")
-                .select("band", "value", "node", "total", "leader", F.coalesce("group", "node").alias("group")))
+    labelled = (shared.join(first.select(F.col("a").alias("node"), F.col("b").alias("leader"), "similar"), ["node", "leader"])
+                .join(groups.withColumnRenamed("component", "group"), "node", "left")
+                .join(groups.select(F.col("node").alias("leader"), F.col("component").alias("leader_group")), "leader", "left")
+                .select("band", "value", "node", "total", "similar", F.coalesce("group", "node").alias("group"),
+                        F.coalesce("leader_group", "leader").alias("leader_group")))
     labelled = kept(labelled, "neardup-labelled")
-    open_keys = labelled.groupBy("band", "value").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high").select("band", "value")
-    rest = labelled.join(open_keys, ["band", "value"]).filter("node != leader")
-    left = rest.select("band", "value", F.col("node").alias("a"), F.col("group").alias("group_a"), F.col("total").alias("total_a"))
-    right = rest.select("band", "value", F.col("node").alias("b"), F.col("group").alias("group_b"), F.col("total").alias("total_b"))
-    more = (left.join(right, ["band", "value"]).filter("a < b and group_a != group_b").filter(near(F.col("total_a"), F.col("total_b")))
-            .select("a", "b").distinct())
-    second = verified(more, "neardup-more")
+    apart = labelled.filter("group != leader_group").select("band", "value").distinct()
+    rest = labelled.join(apart, ["band", "value"])
+    left = rest.select("band", "value", *(F.col(c).alias(f"{c}_a") for c in ("node", "group", "total", "similar")))
+    right = rest.select("band", "value", *(F.col(c).alias(f"{c}_b") for c in ("node", "group", "total", "similar")))
+    # Neither the ratio of the total weights nor the leader may rule a pair out.
+    slack = 1e-9
+    ratio = F.least("total_a", "total_b") >= F.lit(threshold - slack) * F.greatest("total_a", "total_b")
+    near = F.abs(F.col("similar_a") - F.col("similar_b")) <= 1 - threshold + slack
+    same = (left["band"] == right["band"]) & (left["value"] == right["value"])
+    more = (left.join(right, same & (F.col("node_a") < F.col("node_b")) & (F.col("group_a") != F.col("group_b")) & ratio & near)
+            .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
+    second = verified(more, "neardup-more").filter(F.col("similar") >= threshold).select("a", "b")
     links = groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(second)
     groups = components(links, "neardup-components")
     known = nodes.select("key", "rep", "n_copies").join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
