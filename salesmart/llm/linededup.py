@@ -1,4 +1,4 @@
-"""Line dedup by an exact set-similarity join, in DataFrame operations only.
+"""Line dedup by an exact set-similarity join.
 
 A line's tokens are its distinct five-word shingles; a line of fewer words has
 none and matches nothing. Lines match at a Jaccard similarity of 0.8 or more.
@@ -7,16 +7,20 @@ then by place in the text.
 
 Lines of equal words are one class, of which the first line stands for all.
 Its tokens are ordered by rarity: the level (power of two) of a counter that
-all lines' tokens are counted in (``COUNTERS`` counters, whatever the input),
-then the token's hash. Two lines that match share a token among the first
-``n - ceil(0.8 n) + 1`` of each; such prefixes are joined on the token, pairs
-pass the length and the positional filter, and whole token sets decide.
+all lines' tokens are counted in (a fixed number of counters, summed over all
+tasks), then the token's hash. Two lines that match share a token among the
+first ``n - ceil(0.8 n) + 1`` of each; such prefixes are joined on the token,
+pairs pass the length and the positional filter, and whole token sets decide.
 
 Of the lines that share a prefix token, each is first verified against the
 earliest; a match settles it. Only lines still not settled are compared with
 the other earlier lines of the token, so a large group of alike lines costs
 rows in proportion to its size, and no match is missed.
 
+Joins, filters and verification are DataFrame operations. Cutting lines into
+hashed shingles runs in numpy on Arrow batches: as DataFrame functions it took
+about five times the CPU seconds that the check tool allows (see README).
+
 Defined cases: a null or empty text, and a row with null doc_id, stays as it
 is and takes no part; rows with equal doc_id and text count as one document
 and lose the same lines; equal doc_id and other text are two documents; a
@@ -27,60 +31,119 @@ named with a prefix of their own, so the input's other columns cannot clash.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from salesmart.llm.neardup import Shingles, shingles
+from salesmart.llm.ngrams import BLOCK_SCHEMA, block_batches, summed_blocks
 from salesmart.llm.scratch import kept
-from salesmart.llm.textkit import lowered
+from salesmart.llm.textkit import workers_ready
 
 SHINGLE = 5
 #: The threshold as a fraction, so that bounds are exact integers.
 SIMILAR, OF = 4, 5
-#: Counters of the rarity order (2^16); their levels travel in the plan.
-COUNTER_BITS = 16
-#: Needed lines that may be broadcast; more are joined by a shuffle.
-BROADCAST_LINES = 500_000
+#: Counters of the rarity order (2^18).
+COUNTER_BITS = 18
+#: Rows (line numbers by document) that may be broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 500_000
+#: Bytes of lines that are worked on together.
+_GROUP = 250_000
+
+_ID = ["doc_id", "line_no", "text_key"]
+
+
+def _documents(docs: DataFrame) -> DataFrame:
+    return docs.filter("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+
+
+def _line_groups(texts: list[str], wanted: list | None = None):
+    """(text numbers, line numbers, shingles) of groups of lines; only the
+    lines with a shingle, of those ``wanted`` by text."""
+    owners, numbers, group, size = [], [], [], 0
+    for i, text in enumerate(texts):
+        lines = text.encode("utf-8", "replace").split(b"\n")
+        for n in range(len(lines)) if wanted is None else wanted[i]:
+            if group and size + len(lines[n]) > _GROUP:
+                yield _with_shingles(owners, numbers, group)
+                owners, numbers, group, size = [], [], [], 0
+            owners.append(i)
+            numbers.append(n)
+            group.append(lines[n])
+            size += len(lines[n])
+    if group:
+        yield _with_shingles(owners, numbers, group)
+
+
+def _with_shingles(owners: list[int], numbers: list[int], group: list[bytes]):
+    s = shingles(group, SHINGLE)
+    long = np.flatnonzero(s.sizes >= SHINGLE)
+    counts = np.diff(s.bounds)
+    keep = np.repeat(s.sizes >= SHINGLE, counts)
+    bounds = np.concatenate([[0], np.cumsum(counts[long])])
+    return np.array(owners)[long], np.array(numbers, np.int32)[long], Shingles(
+        bounds, s.hashes[keep], s.counts[keep], s.keys[:, long], s.sizes[long])
+
+
+def _counter(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+
+
+def _count_tokens(batches):
+    total = np.zeros(1 << COUNTER_BITS, np.int64)
+    for batch in batches:
+        for _, _, s in _line_groups(batch.column("text").to_pylist()):
+            total += np.bincount(_counter(s.hashes), minlength=1 << COUNTER_BITS)
+    yield from block_batches({"tokens": total}, 1 << COUNTER_BITS)
 
-_NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+def rarity_levels(docs: DataFrame) -> np.ndarray:
+    """The level of each counter over the tokens of all lines."""
+    found = summed_blocks(_documents(docs).select("text").mapInArrow(_count_tokens, BLOCK_SCHEMA), 1 << COUNTER_BITS)
+    counts = found.get("tokens", np.zeros(1 << COUNTER_BITS, np.int64))
+    return np.log2(np.maximum(counts, 1)).astype(np.int8)
 
-def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, line_no, words of the lines with at least a shingle."""
-    rows = docs.filter("doc_id is not null and text is not null").select(
-        "doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    words = F.filter(F.split(lowered(F.col("line")), _NOT_WORD), lambda w: w != "")
-    return rows.select("doc_id", "text_key", "line_no", words.alias("words")).filter(F.size("words") >= SHINGLE)
 
+def prefixes(s: Shingles, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bounds, tokens): the first tokens of each line in order of rarity."""
+    counts = np.diff(s.bounds)
+    owner = np.repeat(np.arange(len(counts)), counts)
+    order = np.lexsort((s.hashes, levels[_counter(s.hashes)], owner))
+    lengths = counts - (counts * SIMILAR + OF - 1) // OF + 1
+    within = np.arange(len(owner)) - np.repeat(s.bounds[:-1], counts)
+    tokens = s.hashes[order][within < np.repeat(lengths, counts)]
+    return np.concatenate([[0], np.cumsum(lengths)]), tokens
 
-def _class_key() -> list[Column]:
-    return [F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(1), "words").alias("k2")]
 
+def _list(bounds: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values.view(np.int64)))
 
-def _shingles() -> Column:
-    word = lambda i, k: F.get(F.col("words"), i + k)
-    return F.array_distinct(F.transform(
-        F.sequence(F.lit(0), F.size("words") - SHINGLE),
-        lambda i: F.xxhash64(*(word(i, k) for k in range(SHINGLE)))))
 
+def _liner(held):
+    def run(batches):
+        for batch in batches:
+            for owners, numbers, s in _line_groups(batch.column("text").to_pylist()):
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("doc_id").take(pa.array(owners)), pa.array(numbers), batch.column("text_key").take(pa.array(owners)),
+                    pa.array(s.keys[0].view(np.int64)), pa.array(s.keys[1].view(np.int64)), pa.array(np.diff(s.bounds), pa.int32()),
+                    _list(*prefixes(s, held.value))], names=[*_ID, "k1", "k2", "n", "prefix"])
 
-def _counter(token: Column) -> Column:
-    return F.shiftrightunsigned(token, 64 - COUNTER_BITS).cast("int")
+    return run
 
 
-def rarity_levels(lines: DataFrame) -> Column:
-    """The level of each counter over the tokens of all lines, as an array."""
-    counted = lines.select(F.explode(_shingles()).alias("token")).groupBy(_counter(F.col("token")).alias("counter")).count()
-    levels = ["0"] * (1 << COUNTER_BITS)
-    for r in counted.select("counter", F.floor(F.log2("count")).cast("int").alias("level")).collect():  # at most 2^16 rows
-        levels[r["counter"]] = str(r["level"])
-    return F.split(F.lit(",".join(levels)), ",").cast("array<int>")
+def _set_rows(batches):
+    for batch in batches:
+        for owners, numbers, s in _line_groups(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id").take(pa.array(owners)), pa.array(numbers),
+                batch.column("text_key").take(pa.array(owners)), _list(s.bounds, s.hashes)], names=[*_ID, "tokens"])
 
 
-def _ordered(levels: Column) -> Column:
-    """Tokens in order of rarity, as (level, 58 bits of hash) in one number."""
-    code = lambda t: F.shiftleft(F.get(levels, _counter(t)).cast("bigint"), 58).bitwiseOR(F.shiftrightunsigned(t, 6))
-    return F.sort_array(F.transform(_shingles(), code))
+def _bounded(rows: DataFrame) -> DataFrame:
+    """The rows, to be broadcast if they are few enough."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
 def _needed_overlap(a: Column, b: Column) -> Column:
@@ -96,14 +159,15 @@ def _may_match(n: Column, at: Column, m: Column, to: Column) -> Column:
 
 def _verified(pairs: DataFrame, docs: DataFrame, name: str) -> DataFrame:
     """The pairs (line, earlier) whose whole token sets are similar enough."""
-    ids = ["doc_id", "line_no", "text_key"]
-    needed = kept(pairs.select("line.*").union(pairs.select("earlier.*")).distinct(), f"{name}-lines")
-    wanted = needed.select(*(F.col(c).alias(f"need_{c}") for c in ids))
-    if needed.count() <= BROADCAST_LINES:
-        wanted = F.broadcast(wanted)
-    lines = lines_of(docs)
-    same = [F.col(c) == F.col(f"need_{c}") for c in ids]
-    sets = lines.join(wanted, same).select(F.struct(*ids).alias("id"), _shingles().alias("tokens")).dropDuplicates(["id"])
+    ids = pairs.select("line.*").union(pairs.select("earlier.*")).distinct()
+    wanted = kept(ids.groupBy(F.col("doc_id").alias("of_doc"), F.col("text_key").alias("of_key")).agg(
+        F.collect_set("line_no").alias("wanted")), f"{name}-lines")
+    rows = _documents(docs)
+    same = (rows["doc_id"] == F.col("of_doc")) & (rows["text_key"] == F.col("of_key"))
+    rows = rows.join(_bounded(wanted), same).select("doc_id", "text_key", "text", "wanted")
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    sets = (rows.mapInArrow(_set_rows, f"doc_id {id_type}, line_no int, text_key bigint, tokens array<bigint>")
+            .select(F.struct(*_ID).alias("id"), "tokens").dropDuplicates(["id"]))
     sets = kept(sets, f"{name}-sets")
     both = (pairs.join(sets.select(F.col("id").alias("line"), F.col("tokens").alias("mine")), "line")
             .join(sets.select(F.col("id").alias("earlier"), F.col("tokens").alias("other")), "earlier"))
@@ -113,14 +177,15 @@ def _verified(pairs: DataFrame, docs: DataFrame, name: str) -> DataFrame:
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, line_no of each line that matches an earlier one."""
-    lines = lines_of(docs)
-    levels = rarity_levels(lines)
-    tokens = lines.select(F.struct("doc_id", "line_no", "text_key").alias("id"), *_class_key(), _ordered(levels).alias("tokens"))
-    n = F.size("tokens")
-    prefix = F.slice("tokens", 1, n - F.ceil(n * SIMILAR / F.lit(OF)).cast("int") + 1)
-    first = F.min(F.struct("id", n.alias("n"), prefix.alias("prefix")))
-    classes = kept(tokens.groupBy("k1", "k2").agg(first.alias("first"), F.count("*").alias("copies"))
+    """doc_id, line_no, text_key of each line that matches an earlier one."""
+    spark = docs.sparkSession
+    workers_ready(spark)
+    held = spark.sparkContext.broadcast(rarity_levels(docs))
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    lines = kept(_documents(docs).mapInArrow(
+        _liner(held), f"doc_id {id_type}, line_no int, text_key bigint, k1 bigint, k2 bigint, n int, prefix array<bigint>"), "lines")
+    first = F.min(F.struct(F.struct(*_ID).alias("id"), "n", "prefix"))
+    classes = kept(lines.groupBy("k1", "k2").agg(first.alias("first"), F.count("*").alias("copies"))
                    .select("k1", "k2", "first.*", "copies"), "lines-classes")
     entries = classes.select("id", "n", F.posexplode("prefix").alias("at", "token")).withColumn("at", F.col("at") + 1)
     group = Window.partitionBy("token")
@@ -134,28 +199,25 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     # The lines not settled, against the other earlier lines of their tokens.
     open_lines = shared.filter(F.col("id") != lead["id"]).join(settled.select(F.col("line").alias("id")), "id", "left_anti")
     later = open_lines.select("token", F.col("id").alias("line"), F.col("n").alias("line_n"), F.col("at").alias("line_at"), lead["id"].alias("led_by"))
-    rest = (later.join(shared.select("token", F.col("id").alias("earlier"), "n", "at"), "token")
-            .filter("earlier < line and earlier != led_by")
-            .filter(_may_match(F.col("line_n"), F.col("line_at"), F.col("n"), F.col("at")))
-            .select("line", "earlier").distinct().join(pairs, ["line", "earlier"], "left_anti"))
-    rest = kept(rest, "lines-rest")
+    others = shared.select("token", F.col("id").alias("earlier"), "n", "at")
+    rest = later.join(others, (later["token"] == others["token"]) & (F.col("earlier") < F.col("line")) & (F.col("earlier") != F.col("led_by"))
+                      & _may_match(F.col("line_n"), F.col("line_at"), F.col("n"), F.col("at")))
+    rest = kept(rest.select("line", "earlier").distinct().join(pairs, ["line", "earlier"], "left_anti"), "lines-rest")
     gone = settled.union(_verified(rest, docs, "lines-open").select("line")).distinct()
     # From classes back to lines: a later copy goes, and the first if it matched.
     affected = (classes.select("k1", "k2", "id", "copies").join(gone.select(F.col("line").alias("id"), F.lit(True).alias("matched")), "id", "left")
                 .filter("copies > 1 or matched").select("k1", "k2", F.col("id").alias("first"), F.coalesce("matched", F.lit(False)).alias("matched")))
-    mine = lines.select("doc_id", "text_key", "line_no", *_class_key())
-    return (mine.join(affected, ["k1", "k2"])
-            .filter(F.col("matched") | (F.struct("doc_id", "line_no", "text_key") != F.col("first")))
-            .select("doc_id", "text_key", "line_no"))
+    return (lines.select(*_ID, "k1", "k2").join(affected, ["k1", "k2"])
+            .filter(F.col("matched") | (F.struct(*_ID) != F.col("first"))).select(*_ID))
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
     """``docs`` with ``llm_lines`` (count of all lines), ``llm_gone`` (removed
     line numbers, in order) and ``llm_left`` (the text of the other lines)."""
-    gone = removed_lines(docs).groupBy(F.col("doc_id").alias("llm_doc"), F.col("text_key").alias("llm_key")).agg(
-        F.sort_array(F.collect_set("line_no")).alias("llm_gone"))
+    gone = kept(removed_lines(docs).groupBy(F.col("doc_id").alias("llm_doc"), F.col("text_key").alias("llm_key")).agg(
+        F.sort_array(F.collect_set("line_no")).alias("llm_gone")), "lines-gone")
     same = (F.col("doc_id") == F.col("llm_doc")) & (F.xxhash64("text") == F.col("llm_key"))
-    out = docs.join(gone, same, "left").drop("llm_doc", "llm_key")
+    out = docs.join(_bounded(gone), same, "left").drop("llm_doc", "llm_key")
     lines = F.split("text", "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "llm_gone")
     text = F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")

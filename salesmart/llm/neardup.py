@@ -296,5 +296,5 @@ def report(docs: DataFrame, found: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, unchanged, less all but one document of each class."""
-    gone = classes(docs, threshold).filter("doc_id != class_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    gone = classes(docs, threshold).filter("doc_id != class_id").select(F.col("doc_id").alias("llm_gone_id")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("llm_gone_id"), "left_anti")
