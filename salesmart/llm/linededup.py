@@ -157,20 +157,20 @@ def _may_match(n: Column, at: Column, m: Column, to: Column) -> Column:
     return length & (1 + F.least(n - at, m - to) >= _needed_overlap(n, m))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, name: str) -> DataFrame:
-    """The pairs (line, earlier) whose whole token sets are similar enough."""
-    ids = pairs.select("line.*").union(pairs.select("earlier.*")).distinct()
-    wanted = kept(ids.groupBy(F.col("doc_id").alias("of_doc"), F.col("text_key").alias("of_key")).agg(
-        F.collect_set("line_no").alias("wanted")), f"{name}-lines")
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+    """The pairs (line, earlier) of class numbers whose whole token sets are
+    similar enough."""
+    ids = pairs.select(F.col("line").alias("number")).union(pairs.select("earlier")).distinct()
+    ids = kept(ids.join(classes.select("number", "first.*"), "number"), f"{name}-lines")
+    wanted = ids.groupBy(F.col("doc_id").alias("of_doc"), F.col("text_key").alias("of_key")).agg(F.collect_set("line_no").alias("wanted"))
     rows = _documents(docs)
     same = (rows["doc_id"] == F.col("of_doc")) & (rows["text_key"] == F.col("of_key"))
     rows = rows.join(_bounded(wanted), same).select("doc_id", "text_key", "text", "wanted")
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    sets = (rows.mapInArrow(_set_rows, f"doc_id {id_type}, line_no int, text_key bigint, tokens array<bigint>")
-            .select(F.struct(*_ID).alias("id"), "tokens").dropDuplicates(["id"]))
-    sets = kept(sets, f"{name}-sets")
-    both = (pairs.join(sets.select(F.col("id").alias("line"), F.col("tokens").alias("mine")), "line")
-            .join(sets.select(F.col("id").alias("earlier"), F.col("tokens").alias("other")), "earlier"))
+    sets = rows.mapInArrow(_set_rows, f"doc_id {id_type}, line_no int, text_key bigint, tokens array<bigint>")
+    sets = kept(sets.dropDuplicates(_ID).join(ids, _ID).select("number", "tokens"), f"{name}-sets")
+    both = (pairs.join(sets.select(F.col("number").alias("line"), F.col("tokens").alias("mine")), "line")
+            .join(sets.select(F.col("number").alias("earlier"), F.col("tokens").alias("other")), "earlier"))
     common = F.size(F.array_intersect("mine", "other"))
     union = F.size("mine") + F.size("other") - common
     return kept(both.filter(common * OF >= union * SIMILAR).select("line", "earlier"), f"{name}-matches")
@@ -184,29 +184,33 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
     lines = kept(_documents(docs).mapInArrow(
         _liner(held), f"doc_id {id_type}, line_no int, text_key bigint, k1 bigint, k2 bigint, n int, prefix array<bigint>"), "lines")
-    first = F.min(F.struct(F.struct(*_ID).alias("id"), "n", "prefix"))
-    classes = kept(lines.groupBy("k1", "k2").agg(first.alias("first"), F.count("*").alias("copies"))
-                   .select("k1", "k2", "first.*", "copies"), "lines-classes")
-    entries = classes.select("id", "n", F.posexplode("prefix").alias("at", "token")).withColumn("at", F.col("at") + 1)
+    # Classes get numbers in the order of their first lines, so that the rows
+    # that are joined on tokens are small.
+    classes = lines.groupBy("k1", "k2").agg(F.min(F.struct(*_ID)).alias("first"), F.count("*").alias("copies"))
+    classes = kept(classes.orderBy("first").withColumn("number", F.monotonically_increasing_id()), "lines-classes")
+    firsts = classes.select("number", *(F.col(f"first.{c}").alias(f"first_{c}") for c in _ID))
+    entries = lines.join(firsts, [lines[c] == firsts[f"first_{c}"] for c in _ID])
+    entries = entries.select("number", "n", F.posexplode("prefix").alias("at", "token")).withColumn("at", F.col("at") + 1)
     group = Window.partitionBy("token")
-    shared = (entries.withColumn("lead", F.min(F.struct("id", "n", "at")).over(group))
-              .withColumn("members", F.count("*").over(group)).filter("members > 1").drop("members"))
+    shared = (entries.withColumn("lead", F.min(F.struct("number", "n", "at")).over(group))
+              .withColumn("last", F.max("number").over(group)).filter(F.col("last") != F.col("lead.number")).drop("last"))
     shared = kept(shared, "lines-shared")
     lead = F.col("lead")
-    pairs = shared.filter(F.col("id") != lead["id"]).filter(_may_match(F.col("n"), F.col("at"), lead["n"], lead["at"]))
-    pairs = kept(pairs.select(F.col("id").alias("line"), lead["id"].alias("earlier")).distinct(), "lines-pairs")
-    settled = _verified(pairs, docs, "lines-led").select("line").distinct()
+    followers = shared.filter(F.col("number") != lead["number"])
+    pairs = followers.filter(_may_match(F.col("n"), F.col("at"), lead["n"], lead["at"]))
+    pairs = kept(pairs.select(F.col("number").alias("line"), lead["number"].alias("earlier")).distinct(), "lines-pairs")
+    settled = _verified(pairs, classes, docs, "lines-led").select("line").distinct()
     # The lines not settled, against the other earlier lines of their tokens.
-    open_lines = shared.filter(F.col("id") != lead["id"]).join(settled.select(F.col("line").alias("id")), "id", "left_anti")
-    later = open_lines.select("token", F.col("id").alias("line"), F.col("n").alias("line_n"), F.col("at").alias("line_at"), lead["id"].alias("led_by"))
-    others = shared.select("token", F.col("id").alias("earlier"), "n", "at")
+    later = (followers.join(settled.select(F.col("line").alias("number")), "number", "left_anti")
+             .select("token", F.col("number").alias("line"), F.col("n").alias("line_n"), F.col("at").alias("line_at"), lead["number"].alias("led_by")))
+    others = shared.select("token", F.col("number").alias("earlier"), "n", "at")
     rest = later.join(others, (later["token"] == others["token"]) & (F.col("earlier") < F.col("line")) & (F.col("earlier") != F.col("led_by"))
                       & _may_match(F.col("line_n"), F.col("line_at"), F.col("n"), F.col("at")))
     rest = kept(rest.select("line", "earlier").distinct().join(pairs, ["line", "earlier"], "left_anti"), "lines-rest")
-    gone = settled.union(_verified(rest, docs, "lines-open").select("line")).distinct()
+    gone = settled.union(_verified(rest, classes, docs, "lines-open").select("line")).distinct()
     # From classes back to lines: a later copy goes, and the first if it matched.
-    affected = (classes.select("k1", "k2", "id", "copies").join(gone.select(F.col("line").alias("id"), F.lit(True).alias("matched")), "id", "left")
-                .filter("copies > 1 or matched").select("k1", "k2", F.col("id").alias("first"), F.coalesce("matched", F.lit(False)).alias("matched")))
+    affected = (classes.join(gone.select(F.col("line").alias("number"), F.lit(True).alias("matched")), "number", "left")
+                .filter("copies > 1 or matched").select("k1", "k2", "first", F.coalesce("matched", F.lit(False)).alias("matched")))
     return (lines.select(*_ID, "k1", "k2").join(affected, ["k1", "k2"])
             .filter(F.col("matched") | (F.struct(*_ID) != F.col("first"))).select(*_ID))
 
