@@ -18,6 +18,9 @@ SLASH_DATE_FORMAT = "M/d/yyyy"  # landing dates such as 6/26/2015 or 06/26/2015
 SLASH_DATE_PATTERN = r"^(\d{1,2})/(\d{1,2})/(\d{4})$"
 TRANS_KEY_DECIMAL = "decimal(30,0)"
 INTEGER_TEXT = r"^[+-]?[0-9]+$"
+NUMBER_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# Amounts beyond this do not count as good values (see functions.measures).
+AMOUNT_LIMIT = 1e15
 
 
 def _col(c: Column | str) -> Column:
@@ -56,7 +59,8 @@ def parse_trans_dt(c: Column | str, lenient: bool = False) -> Column:
     a lenient calendar does (``13/45/2015`` -> 2016-02-14).
     """
     s = blank_to_null(c)
-    strict = F.coalesce(s.try_cast("date"), F.try_to_date(s, SLASH_DATE_FORMAT))
+    strict = (F.when(s.rlike(SLASH_DATE_PATTERN), F.try_to_date(s, SLASH_DATE_FORMAT))
+              .otherwise(s.try_cast("date")))
     if not lenient:
         return strict
     m = F.regexp_extract(s, SLASH_DATE_PATTERN, 1).try_cast("int")
@@ -74,9 +78,13 @@ def is_member(collector_key: Column | str = "collector_key") -> Column:
 
 
 def to_double(c: Column | str) -> Column:
-    return blank_to_null(c).try_cast("double")
+    """Decimal text as a double; other text a numeric cast might take (``NaN``,
+    ``Infinity``, ``1.5d``) and values beyond ``AMOUNT_LIMIT`` are NULL."""
+    s = blank_to_null(c)
+    value = F.when(s.rlike(NUMBER_TEXT), s.try_cast("double"))
+    return F.when(F.abs(value) < AMOUNT_LIMIT, value)
 
 
 def to_int(c: Column | str) -> Column:
     """Integer measure; ``1.0`` is accepted as 1 like a numeric read would."""
-    return blank_to_null(c).try_cast("double").try_cast("int")
+    return to_double(c).try_cast("int")

@@ -4,7 +4,9 @@ Sales are stored as DOUBLE. Report totals are summed as DECIMAL so that the
 third decimal does not depend on the order partial sums are combined in (a
 double sum of a large group can differ in the last printed digit between two
 runs with other partitioning). Each value is exact to 4 decimals before the
-sum; the total is rounded half-up to 3 decimals once, at the end.
+sum; the total is rounded half-up to 3 decimals once, at the end. Staging flags
+amounts of 1e15 and more and text that is no finite number, so every staged
+amount fits the partial type.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 
 # Fixed output types of the reports.
 MONEY_TYPE = "decimal(28,3)"
-MONEY_PARTIAL_TYPE = "decimal(18,4)"
+MONEY_PARTIAL_TYPE = "decimal(22,4)"
 
 
 def _col(c: Column | str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Broadcast bounds: a side is broadcast only when a bounded job proves it
@@ -28,34 +28,18 @@ def _value_bytes(df: DataFrame):
     return sum(sizes[1:], sizes[0]) if sizes else F.lit(0)
 
 
-def size_within(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and (if given) at most
-    ``max_bytes`` bytes of values.
+def size_within(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes
+    of values.
 
-    One bounded job: each task stops after ``max_rows + 1`` rows, so the
-    check costs little even when the answer is no.
+    One aggregate whose tasks send a single row each; no rows of ``df`` are
+    shuffled. It scans the whole side once, in parallel.
     """
-    head = df.limit(max_rows + 1)
-    if max_bytes is None:
-        return head.count() <= max_rows
-    row = head.agg(F.count(F.lit(1)).alias("n"),
-                   F.coalesce(F.sum(_value_bytes(df)), F.lit(0)).alias("b")).first()
+    row = df.agg(F.count(F.lit(1)).alias("n"),
+                 F.coalesce(F.sum(_value_bytes(df)), F.lit(0)).alias("b")).first()
     return row["n"] <= max_rows and row["b"] <= max_bytes
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (one bounded job)."""
-    return size_within(df, max_rows)
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                         max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """``broadcast(df)`` only behind a row and byte check; else ``df``."""
-    if max_rows and max_rows > 0 and size_within(df, max_rows, max_bytes):
-        return F.broadcast(df)
-    return df
-
-
 def duplicate_key_count(df: DataFrame, key: str) -> DataFrame:
     """One row: number of key values that occur more than once (NULL keys
     never join, so they are not counted)."""
@@ -74,83 +58,83 @@ def assert_unique_key(df: DataFrame, key: str, what: str) -> None:
 # Rows of one key that one join task should take at most. A key with more
 # fact rows is split over ceil(rows / budget) salted partitions.
 DEFAULT_KEY_ROW_BUDGET = 2_000_000
-# Bound on the number of hot keys (the hot-key table is broadcast).
+# Bound on the hot keys that are salted (their table is broadcast): those with
+# the most rows; AQE splits what the others leave uneven.
 MAX_HOT_KEYS = 100_000
+# Key hashes counted first, to find out whether any key can be hot at all.
+KEY_BUCKETS = 1 << 16
 SALT = "_salt"
 SALTS = "_salts"
 HOT_KEY = "_hot_key"
+ROW_ID = "_row_id"
 
 
-def hot_keys(fact: DataFrame, key: str, row_budget: int = DEFAULT_KEY_ROW_BUDGET) -> DataFrame:
-    """Keys (NULL included) with more than ``row_budget`` fact rows, and how
-    many salted partitions each needs. Exact: one aggregate over the key
-    column, combined map-side, so the hot key itself never lands in one task."""
-    return (fact.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-            .where(F.col("_rows") > row_budget)
-            .select(key, F.ceil(F.col("_rows") / F.lit(row_budget)).cast("int").alias(SALTS)))
+def _bucket(key) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS))
 
 
 def hot_key_tables(fact: DataFrame, keys: list[str],
                    row_budget: int = DEFAULT_KEY_ROW_BUDGET) -> dict[str, DataFrame]:
-    """Hot keys of several join keys from ONE pass over the fact.
-
-    Grouping sets count every key column in the same scan; the small result
-    is checkpointed once and split per key. Use it before a chain of joins so
-    a later join does not re-run an earlier one just to count its keys
-    (salting changes only where rows go, so counts on the input suffice).
+    """Hot keys of several join keys: ``_hot_key`` (NULL included) and how many
+    salted partitions each needs, for keys with more than ``row_budget`` rows.
+
+    A first pass counts rows by key hash (at most ``KEY_BUCKETS`` rows per key
+    column and task). Only keys of buckets over the budget can be hot, so the
+    exact second pass, one aggregate per key column that has such buckets,
+    reads just those; usually there are none. Count on the input of a chain of
+    joins: salting changes only where rows go.
     """
+    buckets = [_bucket(F.col(k)).alias(k) for k in keys]
     cols = [F.col(k) for k in keys]
-    counted = (fact.select(*keys).groupingSets([[c] for c in cols], *cols)
+    counted = (fact.select(*buckets).groupingSets([[c] for c in cols], *cols)
                .agg(F.count(F.lit(1)).alias("_rows"), F.grouping_id(*cols).alias("_gid"))
-               .where(F.col("_rows") > row_budget)
-               .checkpoint(eager=True))
+               .where(F.col("_rows") > row_budget).collect())  # at most KEY_BUCKETS rows a key
     tables = {}
     for i, k in enumerate(keys):
         gid = (1 << len(keys)) - 1 - (1 << (len(keys) - 1 - i))
-        tables[k] = (counted.where(F.col("_gid") == gid)
-                     .select(F.col(k).alias(HOT_KEY),
-                             F.ceil(F.col("_rows") / F.lit(row_budget)).cast("int").alias(SALTS)))
+        full = [r[k] for r in counted if r["_gid"] == gid]
+        kind = fact.schema[k].dataType.simpleString()
+        if not full:
+            tables[k] = fact.sparkSession.createDataFrame([], f"{HOT_KEY} {kind}, {SALTS} int")
+            continue
+        some = fact.select(F.col(k).alias(HOT_KEY))
+        if len(full) < KEY_BUCKETS // 8:  # else nearly every bucket: count all keys
+            some = some.where(_bucket(F.col(HOT_KEY)).isin(full))
+        tables[k] = (some.groupBy(HOT_KEY).agg(F.count(F.lit(1)).alias("_rows"))
+                     .where(F.col("_rows") > row_budget)
+                     .orderBy(F.desc("_rows"), HOT_KEY).limit(MAX_HOT_KEYS)
+                     .select(HOT_KEY, F.ceil(F.col("_rows") / F.lit(row_budget)).cast("int").alias(SALTS))
+                     .checkpoint(eager=True))
     return tables
 
 
-def salted_left_join(fact: DataFrame, dim: DataFrame, key: str,
-                     row_budget: int = DEFAULT_KEY_ROW_BUDGET,
-                     max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    return salted_join(fact, dim, key, "left", row_budget, max_hot_keys)
-
-
 def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
                 row_budget: int = DEFAULT_KEY_ROW_BUDGET,
-                max_hot_keys: int = MAX_HOT_KEYS,
                 hot: DataFrame | None = None) -> DataFrame:
     """Left or inner join of a large fact with a large dimension, robust to
     hot keys.
 
-    Rows of a hot key get a salt ``xxhash64(row) mod salts`` — deterministic,
-    so a retried task sends each row to the same partition — and the
-    dimension row of that key is repeated once per salt. The join then
-    shuffles on (key, salt): a key holding a third of all rows is spread over
-    many tasks instead of one. Cold keys keep salt 0 and join as usual. NULL
-    keys never match and are spread the same way. When there are more hot
-    keys than ``max_hot_keys`` the plain shuffle join is used (AQE still
-    splits skewed partitions at runtime). ``hot`` may pass a hot-key table
-    computed earlier (``hot_key_tables``).
+    Rows of a hot key get the salt ``xxhash64(row id) mod salts`` and the
+    dimension row of that key is repeated once per salt. The row id numbers
+    the rows of the fact's scan (or is the column ``_row_id``, where a chain
+    of joins numbered them before its first shuffle): a retried scan task
+    numbers them alike, equal rows get different ids, and no column is read
+    for it. The join then shuffles on (key, salt): a key holding a third of
+    all rows is spread over many tasks. Cold keys keep salt 0 and join as
+    usual. NULL keys never match and are spread the same way. ``hot`` may
+    pass a hot-key table computed earlier (``hot_key_tables``).
     """
     if how not in ("left", "inner"):
         raise ValueError(f"salted join supports left and inner joins, not {how!r}")
-    # Computed once: the checkpoint (in the shared checkpoint folder) serves
-    # both the size check and the broadcast, so the fact is aggregated once.
     if hot is None:
-        hot = (hot_keys(fact, key, row_budget).withColumnRenamed(key, HOT_KEY)
-               .checkpoint(eager=True))
-    if not size_within(hot, max_hot_keys, DEFAULT_BROADCAST_BYTES):
-        return fact.join(dim, on=key, how=how)
-    hot = F.broadcast(hot)
+        hot = hot_key_tables(fact, [key], row_budget)[key]
+    hot = F.broadcast(hot)  # at most MAX_HOT_KEYS rows
     salts = F.coalesce(F.col(SALTS), F.lit(1))
     fact_cols = fact.columns
-    salted_fact = (fact.join(hot, F.col(key).eqNullSafe(F.col(HOT_KEY)), "left")
+    numbered = fact if ROW_ID in fact_cols else fact.withColumn(ROW_ID, F.monotonically_increasing_id())
+    salted_fact = (numbered.join(hot, F.col(key).eqNullSafe(F.col(HOT_KEY)), "left")
                    .select(*fact_cols,
-                           F.pmod(F.xxhash64(*fact_cols), salts).cast("int").alias(SALT)))
+                           F.pmod(F.xxhash64(ROW_ID), salts).cast("int").alias(SALT)))
     salted_dim = (dim.join(hot, F.col(key) == F.col(HOT_KEY), "left")
                   .select(*dim.columns, F.explode(F.sequence(F.lit(0), salts - 1)).alias(SALT)))
     return salted_fact.join(salted_dim, on=[key, SALT], how=how).drop(SALT)
@@ -182,16 +166,11 @@ def join_dimensions(fact: DataFrame, dims: list[tuple[DataFrame, str]], how: str
     plan = [(dim, key, is_small) for (dim, key), is_small in zip(dims, small)]
     salted_keys = [key for _, key, small in plan if not small]
     hot = hot_key_tables(fact, salted_keys, row_budget) if salted_keys else {}
-    out = fact
+    # Rows are numbered once, on the scan, before any join shuffles them.
+    out = fact.withColumn(ROW_ID, F.monotonically_increasing_id()) if salted_keys else fact
     for dim, key, small in plan:
         if small:
             out = out.join(F.broadcast(dim), on=key, how=how)
         else:
             out = salted_join(out, dim, key, how, row_budget, hot=hot[key])
-    return out
-
-
-def left_join_dimension(fact: DataFrame, dim: DataFrame, key: str,
-                        broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                        row_budget: int = DEFAULT_KEY_ROW_BUDGET) -> DataFrame:
-    return join_dimension(fact, dim, key, "left", broadcast_rows, row_budget)
+    return out.drop(ROW_ID)

@@ -84,19 +84,19 @@ def sales_by_province(df: DataFrame) -> DataFrame:
 
 
 def sales_by_store(df: DataFrame) -> DataFrame:
-    return sales_by(df, "store_num")
+    return sales_by(df, "store_num").orderBy(*report_order("sales_by_store"))
 
 
 def sales_by_category(df: DataFrame) -> DataFrame:
-    return sales_by(df, "category")
+    return sales_by(df, "category").orderBy(*report_order("sales_by_category"))
 
 
 def sales_by_loyalty_province(df: DataFrame) -> DataFrame:
-    return sales_by(df, "province", "is_member")
+    return sales_by(df, "province", "is_member").orderBy(*report_order("sales_by_loyalty_province"))
 
 
 def sales_by_loyalty(df: DataFrame) -> DataFrame:
-    return sales_by(df, "is_member")
+    return sales_by(df, "is_member").orderBy(*report_order("sales_by_loyalty"))
 
 
 def top_sales(report: DataFrame, key: str, n: int = PREVIEW_ROWS) -> DataFrame:
@@ -257,12 +257,25 @@ def report_bundle(df: DataFrame) -> DataFrame:
 
 def metrics_bundle(df: DataFrame, approx_rsd: float | None = None) -> DataFrame:
     """Both metric reports from one scan: ``report, trans_year, is_member, ...``
-    (``approx_rsd`` as in ``metrics_by``)."""
-    src = with_membership(df.select("trans_year", "collector_key", "trans_key",
-                                    "sales", "units"))
+    (``approx_rsd`` as in ``metrics_by``).
+
+    Exact counts first aggregate the sales to one row per (year, transaction,
+    collector), whose partial sums and values both reports then use: the
+    expansion that distinct counts need works on that smaller set.
+    """
+    src = df.select("trans_year", "collector_key", "trans_key", "sales", "units")
+    sums = [money_partial("sales").alias("_sales"), F.sum("units").alias("_units")]
+    metrics = [to_money(F.sum("_sales")).alias(TOTAL_SALES), F.sum("_units").cast("bigint").alias("total_units")]
+    if approx_rsd is None:
+        src = with_membership(src.groupBy("trans_year", "trans_key", "collector_key").agg(*sums))
+    else:
+        src = with_membership(src)
+        metrics = _metric_columns(approx_rsd)[:2]
+    metrics += [_distinct("trans_key", approx_rsd).alias("count_distinct_trans_key"),
+                _distinct("collector_key", approx_rsd).alias("count_distinct_collector_key")]
     keys = [F.col("trans_year"), F.col("is_member")]
     grouped = (src.groupingSets([[F.col("trans_year")], [F.col("is_member")]], *keys)
-               .agg(*_metric_columns(approx_rsd), F.grouping_id(*keys).alias("_gid")))
+               .agg(*metrics, F.grouping_id(*keys).alias("_gid")))
     report = F.when(F.col("_gid") == 1, F.lit("metrics_by_year")).otherwise(F.lit("metrics_by_loyalty"))
     return grouped.select(report.alias("report"), "trans_year", "is_member", TOTAL_SALES,
                           "total_units", "count_distinct_trans_key",

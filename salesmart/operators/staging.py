@@ -14,6 +14,7 @@ from salesmart.contracts import LOCATION, PRODUCT, TRANSACTIONS
 from salesmart.functions.keys import (blank_to_null, canonical_key,
                                       normalize_trans_key, parse_trans_dt,
                                       to_double, to_int)
+from salesmart.functions.measures import money_sum
 from salesmart.sources.landing import LANDING_NAME, SOURCE_FILE
 
 REJECT_REASON = "reject_reason"
@@ -55,9 +56,10 @@ def clean_transactions(raw: DataFrame, lenient_dates: bool = False) -> DataFrame
     source file columns when present. Missing or bad ``sales``/``units``
     become 0, flagged by the audit columns.
     """
-    trans_dt = parse_trans_dt("trans_dt", lenient=lenient_dates)
-    sales = to_double("sales")
-    units = to_int("units")
+    # Parsed once per row; the select below only refers to the results.
+    raw = (raw.withColumn("trans_dt", parse_trans_dt("trans_dt", lenient=lenient_dates))
+           .withColumn("sales", to_double("sales")).withColumn("units", to_int("units")))
+    trans_dt, sales, units = F.col("trans_dt"), F.col("sales"), F.col("units")
     extra = [c for c in (SOURCE_FILE, LANDING_NAME) if c in raw.columns]
     typed = raw.select(
         canonical_key("store_location_key").alias("store_location_key"),
@@ -95,6 +97,6 @@ def measure_audit(clean: DataFrame, by: str = LANDING_NAME) -> DataFrame:
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(F.col("sales_was_missing")).alias("sales_filled"),
         F.count_if(F.col("units_was_missing")).alias("units_filled"),
-        F.sum(F.col("sales").cast("decimal(18,4)")).cast("decimal(28,3)").alias("total_sales"),
+        money_sum("sales").alias("total_sales"),
         F.sum("units").cast("bigint").alias("total_units"),
         F.count_if(F.col("trans_key").rlike(LOSSY_KEY_PATTERN)).alias("lossy_trans_keys"))

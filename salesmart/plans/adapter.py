@@ -5,8 +5,9 @@ gaps are made on purpose to exercise the left joins and the loyalty flag:
 
 * transactions: one per ``lineitem`` row, collector taken from ``orders``;
   customers divisible by 3 are non-members (``-1``), by 7 have no card (NULL);
-* products: every tenth part is missing;
-* locations: every twentieth supplier (store) is missing.
+* sales of every tenth part or twentieth store carry a product or store key
+  that no dimension row has (the key behind a prefix); both dimensions are
+  loaded whole.
 """
 
 from __future__ import annotations
@@ -22,8 +23,19 @@ from salesmart.sources.tables import test_table
 # Fixed gap rules of the test mapping.
 NON_MEMBER_EVERY = 3
 NO_CARD_EVERY = 7
-MISSING_PRODUCT_EVERY = 10
-MISSING_STORE_EVERY = 20
+UNKNOWN_PRODUCT_EVERY = 10
+UNKNOWN_STORE_EVERY = 20
+UNKNOWN_PREFIX = "9000"
+
+
+def product_of(key):
+    """The sale's product key: unknown to the dimension for every tenth part."""
+    return F.when(key % UNKNOWN_PRODUCT_EVERY == 0, F.concat(F.lit(UNKNOWN_PREFIX), key.cast("string"))).otherwise(key.cast("string"))
+
+
+def store_of(key):
+    """The sale's store key: unknown to the dimension for every twentieth store."""
+    return F.when(key % UNKNOWN_STORE_EVERY == 0, F.concat(F.lit(UNKNOWN_PREFIX), key.cast("string"))).otherwise(key.cast("string"))
 
 
 def _s(c: str):
@@ -46,8 +58,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = F.col("o_custkey")
     day = F.col("l_shipdate").cast("date")
     df = with_orders(spark, sf_dir, line).select(
-        _s("l_suppkey").alias("store_location_key"),
-        _s("l_partkey").alias("product_key"),
+        store_of(F.col("l_suppkey")).alias("store_location_key"),
+        product_of(F.col("l_partkey")).alias("product_key"),
         F.when(cust % NON_MEMBER_EVERY == 0, F.lit(NON_MEMBER_KEY))
          .when(cust % NO_CARD_EVERY == 0, F.lit(None).cast("string"))
          .otherwise(_s("o_custkey")).alias("collector_key"),
@@ -63,7 +75,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = test_table(spark, sf_dir, "part")
-    df = part.where(F.col("p_partkey") % MISSING_PRODUCT_EVERY != 0).select(
+    df = part.select(
         _s("p_partkey").alias("product_key"),
         _s("p_size").alias("sku"),
         _s("p_partkey").alias("upc"),
@@ -79,10 +91,9 @@ def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = test_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = test_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = test_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    # nation and region are fixed-size code tables (25 and 5 rows).
-    df = (supplier.where(F.col("s_suppkey") % MISSING_STORE_EVERY != 0)
-          .join(F.broadcast(nation), supplier.s_nationkey == nation.n_nationkey)
-          .join(F.broadcast(region), F.col("n_regionkey") == region.r_regionkey)
+    # Plain joins: the planner broadcasts a side whose measured size is small.
+    df = (supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
+          .join(region, F.col("n_regionkey") == region.r_regionkey)
           .select(_s("s_suppkey").alias("store_location_key"),
                   F.lit("NA").alias("region"),
                   F.col("r_name").alias("province"),

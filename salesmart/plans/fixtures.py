@@ -66,8 +66,8 @@ def landing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     rem = F.col("l_linenumber") % 4
     name = F.element_at(F.array(*[F.lit(n) for n in LAYOUTS]), (rem + 1).cast("int"))
     key = F.col("l_orderkey").cast("string")
-    product = F.col("l_partkey").cast("string")
-    store = F.col("l_suppkey").cast("string")
+    product = adapter.product_of(F.col("l_partkey"))
+    store = adapter.store_of(F.col("l_suppkey"))
     units = F.col("l_quantity").cast("int").cast("string")
     return adapter.with_orders(spark, sf_dir, line).select(
         name.alias("layout"),
@@ -88,13 +88,14 @@ def landing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_landing(spark: SparkSession, sf_dir: str, landing_dir: str,
-                  layouts: tuple[str, ...] | None = None) -> list[str]:
-    """Write the chosen layouts (default: all) under ``landing_dir``."""
-    lines = landing_lines(spark, sf_dir)
+                  layouts: tuple[str, ...] | None = None, spell=str) -> list[str]:
+    """Write the chosen layouts (default: all) under ``landing_dir``, with
+    header names spelled by ``spell``. The lines are joined once."""
+    lines = landing_lines(spark, sf_dir).checkpoint(eager=True)
     written = []
     for name in layouts or tuple(LAYOUTS):
         _, header = LAYOUTS[name]
-        cols = [F.col("trans_key" if c == "trans_id" else c).alias(c) for c in header]
+        cols = [F.col("trans_key" if c == "trans_id" else c).alias(spell(c)) for c in header]
         (lines.where(F.col("layout") == name).select(*cols)
          .write.mode("overwrite").option("header", True)
          .csv(f"{landing_dir.rstrip('/')}/{name}"))
@@ -102,10 +103,15 @@ def write_landing(spark: SparkSession, sf_dir: str, landing_dir: str,
     return written
 
 
-def write_location_landing(spark: SparkSession, sf_dir: str, landing_dir: str) -> str:
-    loc = adapter.locations(spark, sf_dir).withColumn(
-        "store_location_key", F.lpad("store_location_key", KEY_PAD, "0"))
+def write_location_landing(spark: SparkSession, sf_dir: str, landing_dir: str, part: int | None = None) -> str:
+    """``part``: 0 or 1 drops only the stores with that key remainder, as a
+    folder of their own below location.csv."""
+    loc = adapter.locations(spark, sf_dir)
     path = f"{landing_dir.rstrip('/')}/location.csv"
+    if part is not None:
+        loc = loc.where(F.col("store_location_key").cast("int") % 2 == part)
+        path = f"{path}/part={part}"
+    loc = loc.withColumn("store_location_key", F.lpad("store_location_key", KEY_PAD, "0"))
     loc.select(*LOCATION_HEADER).write.mode("overwrite").option("header", True).csv(path)
     return path
 

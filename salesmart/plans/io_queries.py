@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from salesmart.contracts import ENRICHED, LOCATION, PRODUCT, TRANSACTIONS
 from salesmart.functions.keys import (canonical_key, is_member, normalize_trans_key as ntk,
@@ -32,8 +33,7 @@ def _landing(spark: SparkSession, sf_dir: str, layouts=None) -> str:
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _landing(spark, sf_dir)
-    paths, size = ld.landing_files(ld.list_files(spark, root))
-    return ld.read_transactions(spark, paths, size)
+    return ld.read_transactions(spark, ld.landing_paths(ld.list_files(spark, root)))
 
 
 def clean_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,24 +86,116 @@ def membership_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """location.csv (shuffled columns, padded keys) -> staging/location."""
+    from salesmart.plans import jobs
     root = scratch_path(spark, "zones")
     fixtures.write_location_landing(spark, sf_dir, f"{root}/landing")
-    paths, size = ld.landing_files(ld.list_files(spark, f"{root}/landing", ld.LOCATION_NAME))
-    raw = ld.read_by_headers(spark, paths, "store_location_key", LOCATION.names, size)
-    table = f"{root}/staging/location"
-    sinks.write_table(stg.stage_locations(raw), table, LOCATION)
-    return read_table(spark, table, LOCATION)
+    jobs.run(spark, root, "stage-locations")
+    return read_table(spark, jobs.Zones(root).location, LOCATION)
+
+
+def stage_locations_partial_redrop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One of location.csv's part files is dropped again: the table still has
+    every store."""
+    from salesmart.plans import jobs
+    root = scratch_path(spark, "zones")
+    for part in (0, 1):
+        fixtures.write_location_landing(spark, sf_dir, f"{root}/landing", part=part)
+    jobs.run(spark, root, "stage-locations")
+    fixtures.write_location_landing(spark, sf_dir, f"{root}/landing", part=1)
+    jobs.run(spark, root, "stage-locations")
+    return read_table(spark, jobs.Zones(root).location, LOCATION)
 
 
 def stage_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """product.csv (shuffled columns, padded keys) -> staging/product."""
+    from salesmart.plans import jobs
     root = scratch_path(spark, "zones")
     fixtures.write_product_landing(spark, sf_dir, f"{root}/landing")
-    paths, size = ld.landing_files(ld.list_files(spark, f"{root}/landing", ld.PRODUCT_NAME))
-    raw = ld.read_by_headers(spark, paths, "product_key", PRODUCT.names, size)
-    table = f"{root}/staging/product"
-    sinks.write_table(stg.stage_products(raw), table, PRODUCT)
-    return read_table(spark, table, PRODUCT)
+    jobs.run(spark, root, "stage-products")
+    return read_table(spark, jobs.Zones(root).product, PRODUCT)
+
+
+def header_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing files whose headers are spelled in upper and mixed case load
+    like the others; one without a sales column stays pending."""
+    from salesmart.plans import jobs
+    root = scratch_path(spark, "zones")
+    landing = jobs.Zones(root).landing
+    fixtures.write_landing(spark, sf_dir, landing, ("trans_fact_5", "trans_fact_4"), spell=str.upper)
+    fixtures.write_landing(spark, sf_dir, landing, ("trans_fact_6", "trans_fact_8"), spell=str.title)
+    spark.createDataFrame([("1", "1/2/2016")], "trans_key string, trans_dt string").write.option(
+        "header", True).csv(f"{landing}/trans_fact_9")
+    jobs.run(spark, root, "stage-transactions")
+    return read_table(spark, jobs.Zones(root).transactions, TRANSACTIONS)
+
+
+def recovered_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that stopped before its ledger entry, whose files were dropped
+    again meanwhile: the next two runs hold every line once."""
+    from salesmart.plans import jobs
+    root = scratch_path(spark, "zones")
+    z = jobs.Zones(root)
+    fixtures.write_landing(spark, sf_dir, z.landing, ("trans_fact_5", "trans_fact_4"))
+    files = ld.freeze(ld.list_files(spark, z.landing))
+    load_id = ld.new_load_id()
+    ledger = f"{z.ledger}/{TRANSACTIONS.name}"
+    ld.record_intent(files, ledger, load_id)
+    raw = ld.read_transactions(spark, ld.landing_paths(files))
+    sinks.write_table(stg.accepted(stg.clean_transactions(raw)), z.transactions, TRANSACTIONS, load_id=load_id)
+    fixtures.write_landing(spark, sf_dir, z.landing)
+    jobs.run(spark, root, "stage-transactions")
+    jobs.run(spark, root, "stage-transactions")
+    return read_table(spark, z.transactions, TRANSACTIONS)
+
+
+def enrich_after_dimension_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enriched with half of the stores, then with all, in full and again for
+    its months: every sale is there once, under its present attributes."""
+    from salesmart.plans import jobs
+    root = scratch_path(spark, "zones")
+    z = jobs.Zones(root)
+    fixtures.write_product_landing(spark, sf_dir, z.landing)
+    fixtures.write_landing(spark, sf_dir, z.landing, ("trans_fact_5",))
+    fixtures.write_location_landing(spark, sf_dir, z.landing, part=0)
+    for action in ("stage-locations", "stage-products"):
+        jobs.run(spark, root, action)
+    months = jobs.run(spark, root, "stage-transactions")["months"]
+    jobs.run(spark, root, "enrich")
+    fixtures.write_location_landing(spark, sf_dir, z.landing, part=1)
+    jobs.run(spark, root, "stage-locations")
+    half = len(months) // 2
+    jobs.run(spark, root, "enrich", months=months[:half])
+    jobs.run(spark, root, "enrich", months=months[half:])
+    by_months = read_table(spark, z.enriched, ENRICHED).groupBy("province").agg(F.count("*").alias("by_months"))
+    by_months = by_months.checkpoint(eager=True)
+    jobs.run(spark, root, "enrich")
+    full = read_table(spark, z.enriched, ENRICHED).groupBy("province").agg(F.count("*").alias("row_count"))
+    return full.join(by_months, full.province.eqNullSafe(by_months.province), "full").select(full.province, "row_count", "by_months")
+
+
+def _positions(name: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """A report's rows with their place in its published order."""
+        report = rep.REPORTS[name](enriched(spark, sf_dir))
+        place = F.row_number().over(Window.orderBy(*rep.report_order(name)))
+        return report.withColumn("position", place)
+    run.__name__ = f"{name}_ordered"
+    return run
+
+
+def empty_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing folder without transaction files: no rows, all columns."""
+    root = scratch_path(spark, "landing")
+    fixtures.write_location_landing(spark, sf_dir, root)
+    return stg.accepted(stg.clean_transactions(ld.read_transactions(
+        spark, ld.landing_paths(ld.list_files(spark, root)))))
+
+
+def schema_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns and types of the enriched frame, in order."""
+    fields = enriched(spark, sf_dir).schema.fields
+    return spark.createDataFrame([(i, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)],
+                                 "place int, column_name string, column_type string")
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,7 +240,7 @@ def landing_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     ld.record_loaded(first, ledger, ld.new_load_id())
     fixtures.write_landing(spark, sf_dir, root, ("trans_fact_8",))
     second = ld.freeze(ld.new_files(ld.list_files(spark, root), ld.read_ledger(spark, ledger)))
-    raw = ld.read_transactions(spark, *ld.landing_files(second))
+    raw = ld.read_transactions(spark, ld.landing_paths(second))
     return stg.accepted(stg.clean_transactions(raw))
 
 
@@ -257,11 +349,9 @@ def group_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every enriched sale of one product, read from the written table so
-    the equality reaches the parquet scan."""
-    path = scratch_path(spark, "enrichment") + "/transactions"
-    sinks.write_table(enriched(spark, sf_dir), path, ENRICHED, mode="overwrite")
-    return dq.key_lookup(read_table(spark, path, ENRICHED), "product_key", LOOKUP_KEY)
+    """Every enriched sale of one product: the equality reaches the scans of
+    sales and products before they are joined."""
+    return dq.key_lookup(enriched(spark, sf_dir), "product_key", LOOKUP_KEY)
 
 
 # Fixed product key of the lookup (present at every scale factor).
@@ -277,6 +367,13 @@ IO_QUERIES = {
     "membership_flag": membership_flag,
     "stage_locations": stage_locations,
     "stage_products": stage_products,
+    "stage_locations_partial_redrop": stage_locations_partial_redrop,
+    "header_variants": header_variants,
+    "recovered_load": recovered_load,
+    "enrich_after_dimension_change": enrich_after_dimension_change,
+    **{f"{n}_ordered": _positions(n) for n in ("sales_by_store", "sales_by_category", "sales_by_loyalty_province", "sales_by_loyalty")},
+    "empty_landing": empty_landing,
+    "schema_contract": schema_contract,
     "csv_roundtrip": csv_roundtrip,
     "partitioned_roundtrip": partitioned_roundtrip,
     "append_load": append_load,

@@ -13,13 +13,15 @@ Zones under ``root``::
 Every load is rerun-safe and crash-safe: a landing file already in the ledger
 is skipped; a load records its intent before writing and its ledger entry
 last, and a load found with an intent but no ledger entry is re-run with the
-same files and id, replacing what it had written. Enrichment overwrites only
-the partitions it rewrites.
+same files and id, replacing what it had written. A full enrichment replaces
+the wide table.
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -51,119 +53,161 @@ class Zones:
         self.ledger = f"{r}/_ledger"
 
 
-def _loads(spark: SparkSession, z: Zones, glob: str, table: str) -> list[tuple[str, DataFrame, bool]]:
-    """Loads to run now, each ``(load_id, frozen files, recovering)``: first
-    any load that recorded its intent but not its ledger entry (same files,
-    same id), then one new load over the files the ledger does not hold."""
+class Load(NamedTuple):
+    load_id: str
+    files: DataFrame        # frozen listing of the files to read
+    gone: DataFrame | None  # a recovered load's files that are no longer there
+    recovering: bool
+    also: tuple[str, ...] = ()  # older unfinished loads that this one replaces
+
+
+def _loads(spark: SparkSession, z: Zones, glob: str, table: str, whole: bool = False) -> list[Load]:
+    """Loads to run now: first any load that recorded its intent but not its
+    ledger entry (same files, same id), then one new load over the files the
+    ledger does not hold. ``whole``: the table is replaced by each load, so
+    one load, unfinished or new, reads the whole listing as soon as any file
+    of it is new."""
     ledger = f"{z.ledger}/{table}"
-    loads = [(load_id, files, True) for load_id, files in ld.unfinished_loads(spark, ledger)]
-    taken = [p for _, files, _ in loads for p in ld.landing_paths(files)]
-    new = ld.new_files(ld.list_files(spark, z.landing, glob), ld.read_ledger(spark, ledger))
+    listing = ld.freeze(ld.list_files(spark, z.landing, glob))
+    loads = [Load(*found, True) for found in ld.unfinished_loads(spark, ledger, listing)]
+    new = ld.new_files(listing, ld.read_ledger(spark, ledger))
+    if whole and loads:
+        return [loads[-1]._replace(files=listing, also=tuple(load.load_id for load in loads[:-1]))]
+    taken = [p for load in loads for p in ld.landing_paths(load.files)]
     if taken:
         new = new.where(~F.col("path").isin(taken))
     new = ld.freeze(new)
     if ld.landing_paths(new):
-        loads.append((ld.new_load_id(), new, False))
+        loads.append(Load(ld.new_load_id(), listing if whole else new, None, False))
     return loads
 
 
-def _open_load(spark: SparkSession, z: Zones, table: str, load_id: str, files: DataFrame,
-               recovering: bool, marker: str, columns
-               ) -> tuple[DataFrame | None, DataFrame, list[str]]:
-    """Raw rows of a load (None when no file has a recognised header), the
-    files it loads, and the non-empty files without a recognised header
-    (never recorded, so they stay pending). The intent is recorded before
-    anything is written."""
-    paths, size = ld.landing_files(files)
-    layouts = ld.header_layouts(spark, paths, marker, total_bytes=size)
-    skipped = ld.unrecognized(files, layouts)
+def _open_load(spark: SparkSession, z: Zones, table: str, load: Load, columns
+               ) -> tuple[DataFrame | None, DataFrame, dict[str, str]]:
+    """Raw rows of a load (None when no file can be read), the files it loads,
+    and why each other file with text is refused (never recorded, so it stays
+    pending). The intent is recorded before anything is written."""
+    layouts, refused = ld.header_layouts(spark, ld.landing_paths(load.files), columns)
     if not layouts:
-        return None, files, skipped
-    loaded = files.where(~F.col("path").isin(skipped)) if skipped else files
-    if not recovering:
-        ld.record_intent(loaded, f"{z.ledger}/{table}", load_id)
-    return ld.read_layouts(spark, layouts, columns), loaded, skipped
+        return None, load.files, refused
+    loaded = load.files.where(~F.col("path").isin(list(refused))) if refused else load.files
+    if not load.recovering:
+        ld.record_intent(loaded, f"{z.ledger}/{table}", load.load_id)
+    return ld.read_layouts(spark, layouts, columns), loaded, refused
+
 
+def _close_load(spark: SparkSession, z: Zones, table: str, load: Load, files: DataFrame, retire: bool) -> None:
+    """The ledger entry, last; a recovered load's lost files are part of it, so
+    that it counts as finished. Then landing files may be retired."""
+    done = files if load.gone is None else files.unionByName(load.gone)
+    for load_id in (*load.also, load.load_id):
+        ld.record_loaded(done, f"{z.ledger}/{table}", load_id)
+    if retire:
+        ld.retire(spark, ld.landing_paths(files))
 
-def _combine(results: list[dict], skipped: list[str]) -> dict:
+
+def _combine(results: list[dict], refused: dict[str, str], loads: list[Load]) -> dict:
     """One summary over the loads of a run."""
-    if not results:
-        return {"files": 0, "unrecognized_files": sorted(set(skipped))} if skipped else {"files": 0}
-    out: dict = {"files": 0, "load_ids": [r["load_id"] for r in results],
-                 "load_id": results[-1]["load_id"]}
+    out: dict = {"files": 0}
+    if results:
+        out |= {"load_ids": [r["load_id"] for r in results], "load_id": results[-1]["load_id"]}
     for r in results:
         for k, v in r.items():
-            if k in ("load_id",):
-                continue
             if k == "months":
                 out["months"] = sorted(set(out.get("months", [])) | set(v))
             elif isinstance(v, (int, float)):
                 out[k] = out.get(k, 0) + v
-    out["unrecognized_files"] = sorted(set(skipped))
+    gone = [p for load in loads if load.gone is not None for p in ld.landing_paths(load.gone)]
+    if results or refused:
+        out["unrecognized_files"] = sorted(refused)
+        out["refused"] = refused
+    if gone:
+        out["gone_files"] = gone
     return out
 
 
 def _stage_dimension(spark: SparkSession, z: Zones, contract: TableContract, glob: str,
-                     marker: str, transform, table_dir: str) -> dict:
-    results, skipped_all = [], []
-    for load_id, files, recovering in _loads(spark, z, glob, contract.name):
-        raw, files, skipped = _open_load(spark, z, contract.name, load_id, files, recovering,
-                                         marker, contract.names)
-        skipped_all += skipped
+                     transform, table_dir: str, retire: bool) -> dict:
+    append = contract.mode == "append"
+    if retire and not append:
+        raise ValueError(f"{contract.name} is rebuilt from its landing files; they cannot be retired")
+    results, refused_all = [], {}
+    loads = _loads(spark, z, glob, contract.name, whole=not append)
+    for load in loads:
+        raw, files, refused = _open_load(spark, z, contract.name, load, contract.names)
+        refused_all |= refused
         if raw is None:
+            if load.recovering:
+                _close_load(spark, z, contract.name, load, files.limit(0), False)
             continue
-        obs = Observation(f"{contract.name}_{load_id}")
+        obs = Observation(f"{contract.name}_{load.load_id}")
         staged = transform(raw).observe(obs, F.count(F.lit(1)).alias("rows"))
-        if contract.mode == "append":
-            sinks.write_table(staged, table_dir, contract, load_id=load_id)
+        if append:
+            sinks.write_table(staged, table_dir, contract, load_id=load.load_id)
         else:
             sinks.write_table(staged, table_dir, contract)
-        sinks.write_text_csv(raw.drop(ld.SOURCE_FILE), f"{z.archive}/{contract.name}/{load_id}")
-        ld.record_loaded(files, f"{z.ledger}/{contract.name}", load_id)
-        results.append({"load_id": load_id, "files": len(ld.landing_paths(files)), **obs.get})
-    return _combine(results, skipped_all)
+        sinks.write_text_csv(raw.drop(ld.SOURCE_FILE), f"{z.archive}/{contract.name}/{load.load_id}")
+        _close_load(spark, z, contract.name, load, files, retire)
+        results.append({"load_id": load.load_id, "files": len(ld.landing_paths(files)), **obs.get})
+    return _combine(results, refused_all, loads)
 
 
 def stage_locations(spark: SparkSession, root: str) -> dict:
+    """The store table, replaced as a whole: as soon as one landing file is
+    new or changed, all of them are read."""
     z = Zones(root)
-    return _stage_dimension(spark, z, LOCATION, ld.LOCATION_NAME, "store_location_key",
-                            stg.stage_locations, z.location)
+    return _stage_dimension(spark, z, LOCATION, ld.LOCATION_NAME, stg.stage_locations, z.location, False)
 
 
-def stage_products(spark: SparkSession, root: str) -> dict:
+def stage_products(spark: SparkSession, root: str, retire: bool = False) -> dict:
     z = Zones(root)
-    return _stage_dimension(spark, z, PRODUCT, ld.PRODUCT_NAME, "product_key",
-                            stg.stage_products, z.product)
+    return _stage_dimension(spark, z, PRODUCT, ld.PRODUCT_NAME, stg.stage_products, z.product, retire)
 
 
 def stage_transactions(spark: SparkSession, root: str, glob: str = ld.TRANSACTION_GLOB,
-                       lenient_dates: bool = False, on_bad: str = "reject") -> dict:
+                       lenient_dates: bool = False, on_bad: str = "reject", retire: bool = False) -> dict:
     """New landing transaction files -> staging/transactions (append).
 
     Each load records its intent (files and load id) first, then writes the
     staging rows under ``load_id=<id>`` (replacing that load's folders only),
     the rejects, the archive, and finally its ledger entry. A run first
-    finishes any load that stopped before its ledger entry — same files, same
-    id — so a crash at any point loads every file exactly once. A non-empty
-    file without a recognised header is not loaded and not recorded: it stays
-    pending and is listed under ``unrecognized_files``. Rejected rows are
-    counted while the good rows are written; their table is only written when
-    there are any (``on_bad='fail'`` raises instead).
+    finishes any load that stopped before its ledger entry — the same files
+    as they are now, under the same id — so each file version is loaded once
+    after a crash at any point; files lost meanwhile are listed under
+    ``gone_files``. A file whose header lacks a column is not loaded and not
+    recorded: it stays pending and is listed under ``refused`` with the
+    reason. ``retire`` deletes a load's landing files after its ledger entry.
+    Rejected rows are counted while the good rows are written; their table is
+    only written when there are any (``on_bad='fail'`` raises instead).
     """
     z = Zones(root)
-    results, skipped_all = [], []
-    for load_id, files, recovering in _loads(spark, z, glob, TRANSACTIONS.name):
-        raw, files, skipped = _open_load(spark, z, TRANSACTIONS.name, load_id, files, recovering,
-                                         ld.HEADER_MARKER, ld.LANDING_TRANSACTION_COLUMNS)
-        skipped_all += skipped
+    results, refused_all = [], {}
+    loads = _loads(spark, z, glob, TRANSACTIONS.name)
+    for load in loads:
+        raw, files, refused = _open_load(spark, z, TRANSACTIONS.name, load, ld.LANDING_TRANSACTION_COLUMNS)
+        refused_all |= refused
         if raw is None:
+            if load.recovering:
+                _close_load(spark, z, TRANSACTIONS.name, load, files.limit(0), False)
             continue
-        results.append(_load_transactions(spark, z, raw, files, load_id, lenient_dates, on_bad))
-    return _combine(results, skipped_all)
+        result = _load_transactions(spark, z, raw, load.load_id, lenient_dates, on_bad)
+        _close_load(spark, z, TRANSACTIONS.name, load, files, retire)
+        results.append({"load_id": load.load_id, "files": len(ld.landing_paths(files)), **result})
+    return _combine(results, refused_all, loads)
+
 
+def stream_transactions(spark: SparkSession, root: str, **options) -> None:
+    """The landing files not loaded yet, by the streaming intake. It shares
+    the ledger of stage-transactions, so either may load a file, once."""
+    from salesmart.streaming.intake import intake_stream
 
-def _load_transactions(spark: SparkSession, z: Zones, raw: DataFrame, files: DataFrame,
-                       load_id: str, lenient_dates: bool, on_bad: str) -> dict:
+    z = Zones(root)
+    intake_stream(spark, z.landing, z.transactions, f"{z.ledger}/stream_checkpoint",
+                  ledger_dir=f"{z.ledger}/{TRANSACTIONS.name}", rejects_dir=z.rejects, **options)
+
+
+def _load_transactions(spark: SparkSession, z: Zones, raw: DataFrame, load_id: str,
+                       lenient_dates: bool, on_bad: str) -> dict:
     clean = stg.clean_transactions(raw, lenient_dates=lenient_dates)
     obs = Observation(f"transactions_{load_id}")
     good = F.col(stg.REJECT_REASON).isNull()
@@ -186,8 +230,7 @@ def _load_transactions(spark: SparkSession, z: Zones, raw: DataFrame, files: Dat
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(sinks.LOAD_COLUMN).parquet(z.rejects))
     sinks.write_text_csv(raw.drop(ld.SOURCE_FILE), f"{z.archive}/transactions/{load_id}")
-    ld.record_loaded(files, f"{z.ledger}/{TRANSACTIONS.name}", load_id)
-    return {"load_id": load_id, "files": len(ld.landing_paths(files)), **metrics}
+    return metrics
 
 
 def _month_filter(months: list[str]):
@@ -199,25 +242,46 @@ def _month_filter(months: list[str]):
     return cond
 
 
-def enrich(spark: SparkSession, root: str, mode: str = "dynamic",
+def _drop_stale_months(spark: SparkSession, path: str, months: list[str], written: set[tuple]) -> None:
+    """Removes the enrichment folders of ``months`` that a rebuild of those
+    months no longer has rows for (their rows moved to another province)."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    base = fs_path(path)
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    for ym in months:
+        year, month = (int(x) for x in ym.split("-"))
+        for status in fs.globStatus(fs_path(f"{path}/province=*/trans_year={year}/trans_month={month}")) or []:
+            folder = status.getPath()
+            name = folder.getParent().getParent().getName().partition("=")[2]
+            province = None if name == "__HIVE_DEFAULT_PARTITION__" else unquote(name)
+            if (province, year, month) not in written:
+                fs.delete(folder, True)
+
+
+def enrich(spark: SparkSession, root: str, mode: str | None = None,
            allow_fanout: bool = False, broadcast_rows: int = enr.DEFAULT_BROADCAST_ROWS,
            row_budget: int = enr.DEFAULT_KEY_ROW_BUDGET,
            months: list[str] | None = None) -> dict:
     """Staging tables -> enrichment/transactions in one write job.
 
-    Rows in and out are observed by that job; a difference means a dimension
-    key repeats, which the up-front key check rejects unless allowed.
-
-    ``months`` (``YYYY-MM``, as reported by stage-transactions) re-enriches
-    only those year-months: staging partitions outside them are never read,
-    and the dynamic overwrite replaces exactly the enrichment partitions of
-    those months (every row of a year-month comes from that staging month).
+    A full run replaces the whole table, so a sale whose store or product
+    became known is found under its new attributes only. ``months``
+    (``YYYY-MM``, as reported by stage-transactions) re-enriches only those
+    year-months: staging partitions outside them are never read, the months'
+    partitions are overwritten, and those that no row falls into any more are
+    removed. After a change of a dimension run it in full: other months keep
+    the attributes they were enriched with.
+
+    Rows in and out are observed by the write job; a difference means a
+    dimension key repeats, which the up-front key check rejects unless
+    allowed.
     """
     z = Zones(root)
+    mode = mode or ("overwrite" if months is None else "dynamic")
+    if (months is not None) != (mode == "dynamic"):
+        raise ValueError("a full enrich overwrites the table; mode='dynamic' goes with months=...")
     txn = read_table(spark, z.transactions, TRANSACTIONS)
     if months is not None:
-        if mode != "dynamic":
-            raise ValueError("an incremental enrich (months=...) needs mode='dynamic'")
         txn = txn.where(_month_filter(months))
     prod = read_table(spark, z.product, PRODUCT)
     loc = read_table(spark, z.location, LOCATION)
@@ -225,7 +289,12 @@ def enrich(spark: SparkSession, root: str, mode: str = "dynamic",
         enr.assert_unique_key(prod, "product_key", "products")
         enr.assert_unique_key(loc, "store_location_key", "locations")
     out, obs_in, obs_out = enr.observed_enrich(txn, prod, loc, broadcast_rows, row_budget)
+    if months is not None:
+        parts = Observation("enrich_partitions")  # provinces x months
+        out = out.observe(parts, F.collect_set(F.struct("province", "trans_year", "trans_month")).alias("parts"))
     sinks.write_table(out, z.enriched, ENRICHED, mode=mode)
+    if months is not None:
+        _drop_stale_months(spark, z.enriched, months, {tuple(p) for p in parts.get["parts"]})
     metrics = {**obs_in.get, **obs_out.get}
     if not allow_fanout and metrics.get("rows_in") != metrics.get("rows_out"):
         raise RuntimeError(f"enrichment changed the row count: {metrics}")
@@ -303,24 +372,30 @@ def main(argv: list[str] | None = None) -> None:
                    help="stage-transactions: roll impossible dates over instead of rejecting")
     p.add_argument("--on-bad", choices=("reject", "fail"),
                    help="stage-transactions: reject bad rows (default) or fail the load")
+    p.add_argument("--retire", action="store_true",
+                   help="stage-products/-transactions: delete landing files once recorded as loaded")
+    p.add_argument("--allow-fanout", action="store_true",
+                   help="enrich: accept repeated dimension keys")
+    p.add_argument("--broadcast-rows", type=int, help="enrich: largest dimension to broadcast")
+    p.add_argument("--row-budget", type=int, help="enrich: rows of one key per join task")
+    p.add_argument("--preview", action="store_true", help="reporting: print three reports")
     p.add_argument("--shuffle-partitions", type=int,
                    help="initial shuffle partitions (2-3 per cluster core); AQE coalesces")
     args = p.parse_args(argv)
-    options = {k: v for k, v in (("province", args.province), ("year", args.year),
-                                 ("month", args.month),
-                                 ("approx_distinct", args.approx_distinct)) if v is not None}
-    if options and args.action != "reporting":
-        p.error("--province/--year/--month/--approx-distinct apply to reporting only")
-    if args.months:
-        if args.action != "enrich":
-            p.error("--months applies to enrich only")
+    allowed = {
+        "reporting": ("province", "year", "month", "approx_distinct", "preview"),
+        "enrich": ("months", "allow_fanout", "broadcast_rows", "row_budget"),
+        "stage-transactions": ("lenient_dates", "on_bad", "retire"),
+        "stage-products": ("retire",),
+    }
+    given = {k: v for k, v in vars(args).items()
+             if k not in ("root", "action", "shuffle_partitions") and v is not None and v is not False}
+    other = sorted(set(given) - set(allowed.get(args.action, ())))
+    if other:
+        p.error(f"{args.action} does not take " + ", ".join("--" + k.replace("_", "-") for k in other))
+    options = dict(given)
+    if "months" in options:
         options["months"] = [m.strip() for m in args.months.split(",") if m.strip()]
-    if args.lenient_dates or args.on_bad:
-        if args.action != "stage-transactions":
-            p.error("--lenient-dates/--on-bad apply to stage-transactions only")
-        options["lenient_dates"] = args.lenient_dates
-        if args.on_bad:
-            options["on_bad"] = args.on_bad
     spark = get_session(shuffle_partitions=args.shuffle_partitions)
     print(json.dumps(run(spark, args.root, args.action, **options), default=str))
 

@@ -13,8 +13,8 @@ MONEY = "CAST(SUM(CAST(sales AS DECIMAL(18,4))) AS DECIMAL(28,3))"
 # The test mapping (see salesmart.plans.adapter) and the enriched table.
 BASE = """
 WITH txn AS (
-  SELECT CAST(l_suppkey AS VARCHAR) AS store_location_key,
-         CAST(l_partkey AS VARCHAR) AS product_key,
+  SELECT CASE WHEN l_suppkey % 20 = 0 THEN '9000' ELSE '' END || CAST(l_suppkey AS VARCHAR) AS store_location_key,
+         CASE WHEN l_partkey % 10 = 0 THEN '9000' ELSE '' END || CAST(l_partkey AS VARCHAR) AS product_key,
          CASE WHEN o_custkey % 3 = 0 THEN '-1'
               WHEN o_custkey % 7 = 0 THEN NULL
               ELSE CAST(o_custkey AS VARCHAR) END AS collector_key,
@@ -32,15 +32,14 @@ prod AS (
          CAST(p_partkey AS VARCHAR) AS upc,
          p_name AS item_name, p_type AS item_description,
          p_brand AS department, p_name AS category
-  FROM part WHERE p_partkey % 10 <> 0),
+  FROM part),
 loc AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS store_location_key,
          'NA' AS region, r_name AS province, n_name AS city,
          'NA' AS postal_code, s_name AS banner,
          CAST(s_suppkey AS VARCHAR) AS store_num
   FROM supplier JOIN nation ON s_nationkey = n_nationkey
-                JOIN region ON n_regionkey = r_regionkey
-  WHERE s_suppkey % 20 <> 0),
+                JOIN region ON n_regionkey = r_regionkey),
 enriched AS (
   SELECT t.collector_key, t.trans_dt, t.sales, t.units, t.trans_key,
          t.trans_year, t.trans_month, t.product_key, p.sku, p.upc,
@@ -155,8 +154,8 @@ LANDING = """
 WITH src AS (
   SELECT l_linenumber % 4 AS rem,
          CAST(l_orderkey AS VARCHAR) AS k,
-         CAST(l_partkey AS VARCHAR) AS p,
-         CAST(l_suppkey AS VARCHAR) AS s,
+         CASE WHEN l_partkey % 10 = 0 THEN '9000' ELSE '' END || CAST(l_partkey AS VARCHAR) AS p,
+         CASE WHEN l_suppkey % 20 = 0 THEN '9000' ELSE '' END || CAST(l_suppkey AS VARCHAR) AS s,
          CASE WHEN o_custkey % 3 = 0 THEN '-1'
               WHEN o_custkey % 7 = 0 THEN NULL
               ELSE CAST(o_custkey AS VARCHAR) END AS collector_key,
@@ -296,13 +295,12 @@ PIPE = LANDING + """,
 ptxn AS (SELECT """ + CLEAN_COLUMNS + """ FROM raw),
 prod AS (
   SELECT CAST(p_partkey AS VARCHAR) AS product_key, p_brand AS department, p_name AS category
-  FROM part WHERE p_partkey % 10 <> 0),
+  FROM part),
 loc AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS store_location_key, r_name AS province,
          CAST(s_suppkey AS VARCHAR) AS store_num
   FROM supplier JOIN nation ON s_nationkey = n_nationkey
-                JOIN region ON n_regionkey = r_regionkey
-  WHERE s_suppkey % 20 <> 0),
+                JOIN region ON n_regionkey = r_regionkey),
 enriched AS (
   SELECT t.*, p.department, p.category, l.province, l.store_num,
          CASE WHEN t.collector_key IS NULL OR t.collector_key = '-1'
@@ -369,3 +367,34 @@ ORACLE_SQL.update({
     "stage_transactions": CLEAN_TRANSACTIONS,
     "report_run": REPORT_RUN,
 })
+
+
+# ------------------------------------------------- loads beyond the plain case
+
+def _ordered(order: str, *keys: str) -> str:
+    k = ", ".join(keys)
+    return f"""{BASE}, totals AS (SELECT {k}, {MONEY} AS total_sales FROM enriched GROUP BY {k})
+SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY {order}) AS INTEGER) AS position FROM totals"""
+
+
+_ENRICHED_TYPES = {"trans_dt": "date", "sales": "double", "units": "int", "trans_year": "int", "trans_month": "int"}
+
+ORACLE_SQL.update({
+    "stage_locations_partial_redrop": f"{BASE} SELECT * FROM loc",
+    "header_variants": CLEAN_TRANSACTIONS,
+    "recovered_load": CLEAN_TRANSACTIONS,
+    "enrich_after_dimension_change": f"""{LANDING}
+SELECT r_name AS province, COUNT(*) AS row_count, COUNT(*) AS by_months
+FROM raw LEFT JOIN (SELECT CAST(s_suppkey AS VARCHAR) AS store, r_name
+                    FROM supplier JOIN nation ON s_nationkey = n_nationkey
+                                  JOIN region ON n_regionkey = r_regionkey) ON s = store
+WHERE rem = 0 GROUP BY r_name""",
+    "sales_by_store_ordered": _ordered("total_sales DESC NULLS LAST, store_num NULLS FIRST", "store_num"),
+    "sales_by_category_ordered": _ordered("total_sales DESC NULLS LAST, category NULLS FIRST", "category"),
+    "sales_by_loyalty_province_ordered": _ordered("province NULLS FIRST, is_member NULLS FIRST", "province", "is_member"),
+    "sales_by_loyalty_ordered": _ordered("is_member NULLS FIRST", "is_member"),
+    "empty_landing": f"{BASE} SELECT {TXN_COLUMNS} FROM txn WHERE 1 = 0",
+    "schema_contract": "\nUNION ALL\n".join(
+        f"SELECT CAST({i} AS INTEGER) AS place, '{c}' AS column_name, '{_ENRICHED_TYPES.get(c, 'string')}' AS column_type"
+        for i, c in enumerate(_ENRICHED_NAMES)),
+})

@@ -2,12 +2,12 @@
 
 Scratch data (fixtures, lineage cuts, round-trip tests) always lives under the
 cluster's shared checkpoint folder (``spark.checkpoint.dir``). Only when that
-setting is absent — local tests — a private temporary folder is used instead.
+setting is absent on a local master — tests — a private temporary folder is
+used instead; on any other master that is an error.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -64,6 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         # Tests on one machine only: a cluster names a shared folder.
         configured = tempfile.mkdtemp(prefix="salesmart-ckpt-")
     sc.setCheckpointDir(configured)
@@ -74,16 +76,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/salesmart/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python file APIs can open the folder."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def is_local(path: str) -> bool:
-    return path.startswith("file:") or path.startswith("/") or os.path.exists(path)

@@ -26,7 +26,6 @@ TRANSACTION_GLOB = "trans_fact_*"
 LOCATION_NAME = "location.csv"
 PRODUCT_NAME = "product.csv"
 KEY_ALIASES = {"trans_id": "trans_key"}
-HEADER_MARKER = "trans_dt"
 SOURCE_FILE = "source_file"
 LANDING_NAME = "landing_name"
 
@@ -103,15 +102,12 @@ def record_loaded(files: DataFrame, ledger_dir: str, load_id: str) -> None:
      .repartition(1).write.mode("append").parquet(ledger_dir))
 
 
-# Bytes read from the start of a file to find its header line.
-HEADER_PROBE_BYTES = 1 << 16
-# Below this much new landing data one text scan is cheaper than starting
-# Python workers for the per-file probe.
-PROBE_MIN_BYTES = 256 << 20
+# Bytes of a file read at once until its header line is complete.
+PROBE_CHUNK_BYTES = 1 << 16
 
 
 def _first_line(uri: str) -> tuple[str | None, bool]:
-    """First non-empty line of a file, read from its first bytes only.
+    """First non-empty line of a file, however long; nothing after it is read.
 
     Returns ``(line, True)``, or ``(None, False)`` when this filesystem cannot
     be opened from Python (the caller then falls back to a Spark text scan).
@@ -125,14 +121,18 @@ def _first_line(uri: str) -> tuple[str | None, bool]:
         else:
             filesystem, path = pafs.FileSystem.from_uri(uri)
         with filesystem.open_input_stream(path, compression="detect") as stream:
-            head = stream.read(HEADER_PROBE_BYTES)
+            rest = b""
+            while True:
+                chunk = stream.read(PROBE_CHUNK_BYTES)
+                *lines, rest = (rest + chunk).split(b"\n")
+                for raw in lines if chunk else [*lines, rest]:
+                    line = raw.rstrip(b"\r").decode("utf-8-sig", errors="replace")
+                    if line.strip():
+                        return line, True
+                if not chunk:
+                    return None, True
     except Exception:  # noqa: BLE001 - unsupported scheme, credentials, ...
         return None, False
-    for raw in head.split(b"\n"):
-        line = raw.rstrip(b"\r").decode("utf-8-sig", errors="replace")
-        if line.strip():
-            return line, True
-    return None, True
 
 
 def _probe_batches(batches):
@@ -153,10 +153,6 @@ def _parallelism(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
 
 
-def _marker(marker_column: str) -> str:
-    return rf"(^|,)\s*\"?{marker_column}\"?\s*(,|$)"
-
-
 def intents_dir(ledger_dir: str) -> str:
     return f"{ledger_dir.rstrip('/')}_intents"
 
@@ -167,81 +163,101 @@ def record_intent(files: DataFrame, ledger_dir: str, load_id: str) -> None:
      .repartition(1).write.mode("append").parquet(intents_dir(ledger_dir)))
 
 
-def unfinished_loads(spark: SparkSession, ledger_dir: str) -> list[tuple[str, DataFrame]]:
+def unfinished_loads(spark: SparkSession, ledger_dir: str, listing: DataFrame
+                     ) -> list[tuple[str, DataFrame, DataFrame]]:
     """Loads whose intent was written but whose ledger entry was not (the job
-    stopped half-way): ``(load_id, frozen file listing)`` each, oldest first.
-    Re-running one with the same id replaces whatever it had written."""
+    stopped half-way): ``(load_id, frozen files, gone files)`` each, oldest
+    first. The files are those of the intent as ``listing`` shows them now, so
+    the ledger gets what a re-run really reads; ``gone`` are the intent's rows
+    of files no longer there. Re-running a load with the same id replaces
+    whatever it had written."""
     intents = read_ledger(spark, intents_dir(ledger_dir))
     done = read_ledger(spark, ledger_dir).select("load_id").distinct()
-    rows = intents.join(done, on="load_id", how="left_anti").collect()
-    by_load: dict[str, set] = {}
-    for r in rows:
-        by_load.setdefault(r["load_id"], set()).add((r["path"], r["modification_time"], r["length"]))
-    return [(load_id, spark.createDataFrame(sorted(files), FILES_SCHEMA))
-            for load_id, files in sorted(by_load.items())]
-
-
-def header_layouts(spark: SparkSession, paths: list[str], marker_column: str = HEADER_MARKER,
-                   probe: str = "auto", total_bytes: int | None = None
-                   ) -> list[tuple[tuple[str, ...], list[str]]]:
-    """Distinct header lines of ``paths`` and the files that carry each.
-
-    ``probe='first_line'`` reads only the first bytes of each file, spread
-    over tasks by the file list, so the cost grows with the number of files,
-    not their size; one row per file (path, header line) comes back. Files it
-    cannot open (and ``probe='scan'``) are handled by one Spark text scan
-    that keeps each file's first non-blank line, grouped by header. Either
-    way the header is the file's first line, as the CSV reader assumes. Either way the driver
-    receives file metadata only, bounded by the number of files.
+    rows = intents.join(done, on="load_id", how="left_anti").distinct()
+    now = listing.select("path", F.col("modification_time").alias("now_time"), F.col("length").alias("now_length"))
+    rows = rows.join(now, "path", "left").collect()
+    out = []
+    for load_id in sorted({r["load_id"] for r in rows}):
+        mine = [r for r in rows if r["load_id"] == load_id]
+        there = sorted({(r["path"], r["now_time"], r["now_length"]) for r in mine if r["now_length"] is not None})
+        gone = sorted({(r["path"], r["modification_time"], r["length"]) for r in mine if r["now_length"] is None})
+        out.append((load_id, spark.createDataFrame(there, FILES_SCHEMA), spark.createDataFrame(gone, FILES_SCHEMA)))
+    return out
+
+
+def header_names(line: str) -> tuple[str, ...]:
+    return tuple(c.strip().strip('"').strip() for c in line.split(","))
+
+
+def resolved_header(header: tuple[str, ...], columns) -> tuple[dict[str, str], str | None]:
+    """Which header name gives each wanted column, or why the file cannot be
+    read: names match without case and through ``KEY_ALIASES``, every wanted
+    column must be there, and only once."""
+    found: dict[str, str] = {}
+    wanted = {c.lower(): c for c in columns}
+    for name in header:
+        low = name.lower()
+        target = wanted.get(KEY_ALIASES.get(low, low))
+        if target is None:
+            continue
+        if target in found:
+            return {}, f"{target} given twice ({found[target]}, {name})"
+        found[target] = name
+    missing = [c for c in columns if c not in found]
+    return (found, None) if not missing else ({}, "no column " + ", ".join(missing))
+
+
+def header_layouts(spark: SparkSession, paths: list[str], columns=LANDING_TRANSACTION_COLUMNS
+                   ) -> tuple[list[tuple[tuple[str, ...], list[str]]], dict[str, str]]:
+    """``(layouts, refused)``: the distinct readable headers with the files
+    that carry each, and for every other file with text why it is refused.
+
+    Each file's first non-blank line is read by a task that opens the file and
+    stops there, so discovery costs grow with the number of files and not with
+    their size. A file whose filesystem Python cannot open goes through a Spark
+    text scan instead. The driver receives one (path, line) row per file.
     """
-    import re
-
     if not paths:
-        return []
-    merged: dict[str, set[str]] = {}
-    pending = list(paths)
-    if probe == "first_line":
-        slices = max(1, min(len(paths) // 64 + 1, _parallelism(spark) * 4))
-        rows = (spark.createDataFrame([(p,) for p in paths], "path string")
-                .repartition(slices)
-                .mapInArrow(_probe_batches, "path string, value string, opened boolean")
-                .collect())
-        pending = [r["path"] for r in rows if not r["opened"]]
-        pattern = re.compile(_marker(marker_column))
-        for r in rows:
-            if r["opened"] and r["value"] is not None and pattern.search(r["value"]):
-                merged.setdefault(r["value"], set()).add(r["path"])
+        return [], {}
+    slices = max(1, min(len(paths) // 64 + 1, _parallelism(spark) * 4))
+    rows = (spark.createDataFrame([(p,) for p in paths], "path string")
+            .repartition(slices)
+            .mapInArrow(_probe_batches, "path string, value string, opened boolean")
+            .collect())
+    lines = {r["path"]: r["value"] for r in rows if r["opened"]}
+    pending = [r["path"] for r in rows if not r["opened"]]
     if pending:
-        # First non-blank line of each file: rows of the split starting at
-        # offset 0, in read order (the id grows with the row order of a task).
+        # Rows of the split starting at offset 0, in read order (the id grows
+        # with the row order of a task).
         first = (spark.read.text(pending)
-                 .where((F.col("_metadata.file_block_start") == 0)
-                        & (F.trim(F.col("value")) != ""))
+                 .where((F.col("_metadata.file_block_start") == 0) & (F.trim(F.col("value")) != ""))
                  .select(F.col("value"), F.col("_metadata.file_path").alias("path"),
                          F.monotonically_increasing_id().alias("_order"))
                  .groupBy("path").agg(F.min_by("value", "_order").alias("value")))
-        heads = (first.where(F.col("value").rlike(_marker(marker_column)))
-                 .groupBy("value").agg(F.collect_set("path").alias("paths"))
-                 .collect())
-        for row in heads:
-            merged.setdefault(row["value"], set()).update(row["paths"])
-    layouts = []
-    for value in sorted(merged):
-        names = tuple(c.strip().strip('"').strip() for c in value.split(","))
-        layouts.append((names, sorted(merged[value])))
-    return layouts
-
-
-def read_layout(spark: SparkSession, header: tuple[str, ...], paths: list[str]) -> DataFrame:
+        lines.update({r["path"]: r["value"] for r in first.collect()})
+    merged: dict[tuple[str, ...], list[str]] = {}
+    refused: dict[str, str] = {}
+    for path in sorted(lines):
+        if lines[path] is None:
+            continue  # no text in the file
+        header = header_names(lines[path])
+        reason = resolved_header(header, columns)[1]
+        if reason:
+            refused[path] = reason
+        else:
+            merged.setdefault(header, []).append(path)
+    return sorted(merged.items()), refused
+
+
+def read_layout(spark: SparkSession, header: tuple[str, ...], paths: list[str], columns) -> DataFrame:
     """All-string read of files sharing one header, in landing column names."""
-    df = (spark.read.schema(all_strings(header)).option("header", True)
+    names, _ = resolved_header(header, columns)
+    # Columns not wanted may repeat a name; they are read under their place.
+    fields = [n if n in names.values() else f"_unused_{i}" for i, n in enumerate(header)]
+    df = (spark.read.schema(all_strings(fields)).option("header", True)
           .option("mode", "PERMISSIVE").csv(paths))
-    cols = []
-    for name in header:
-        target = KEY_ALIASES.get(name, name)
-        cols.append(F.col(name).alias(target))
     source = F.col("_metadata.file_path")
-    return df.select(*cols, source.alias(SOURCE_FILE),
+    return df.select(*(F.col(names[c]).alias(c) for c in columns), source.alias(SOURCE_FILE),
                      landing_name(source).alias(LANDING_NAME))
 
 
@@ -254,46 +270,30 @@ def landing_name(path):
     return F.when(file_name.startswith("part-"), folder).otherwise(file_name)
 
 
-def read_transactions(spark: SparkSession, paths: list[str],
-                      total_bytes: int | None = None) -> DataFrame:
+def read_transactions(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Union of all landing layouts, each read by its own header.
 
     Output: the landing transaction columns as strings, plus the source file
-    and its landing name. Missing columns of a layout are NULL.
+    and its landing name. Files whose header lacks a column are left out (the
+    jobs keep them pending and report them).
     """
-    return read_by_headers(spark, paths, HEADER_MARKER, LANDING_TRANSACTION_COLUMNS, total_bytes)
+    return read_by_headers(spark, paths, LANDING_TRANSACTION_COLUMNS)
 
 
-def read_by_headers(spark: SparkSession, paths: list[str], marker_column: str,
-                    columns, total_bytes: int | None = None) -> DataFrame:
+def read_by_headers(spark: SparkSession, paths: list[str], columns) -> DataFrame:
     """Read headed CSV files by column name, whatever their column order."""
-    layouts = header_layouts(spark, paths, marker_column, total_bytes=total_bytes)
-    return read_layouts(spark, layouts, columns)
-
-
-def unrecognized(files: DataFrame, layouts) -> list[str]:
-    """Non-empty files of a (frozen) listing that carry no recognised header.
-
-    Their rows cannot be placed in columns; they must not be recorded as
-    loaded."""
-    known = {p for _, ps in layouts for p in ps}
-    return sorted(r["path"] for r in files.select("path", "length").collect()
-                  if r["path"] not in known and int(r["length"] or 0) > 0)
+    return read_layouts(spark, header_layouts(spark, paths, columns)[0], columns)
 
 
 def read_layouts(spark: SparkSession, layouts, columns) -> DataFrame:
     """Union of the layouts' by-name reads in ``columns`` order."""
-    wanted = list(columns) + [SOURCE_FILE, LANDING_NAME]
     if not layouts:
-        return spark.createDataFrame([], all_strings(wanted))
-    frames = [read_layout(spark, header, files) for header, files in layouts]
+        return spark.createDataFrame([], all_strings([*columns, SOURCE_FILE, LANDING_NAME]))
+    frames = [read_layout(spark, header, files, columns) for header, files in layouts]
     out = frames[0]
     for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    for c in wanted:
-        if c not in out.columns:
-            out = out.withColumn(c, F.lit(None).cast("string"))
-    return out.select(*wanted)
+        out = out.unionByName(f)
+    return out
 
 
 def landing_paths(files: DataFrame) -> list[str]:
@@ -302,10 +302,11 @@ def landing_paths(files: DataFrame) -> list[str]:
     return sorted(r["path"] for r in files.select("path").collect())
 
 
-def landing_files(files: DataFrame) -> tuple[list[str], int]:
-    """Paths of a (frozen) listing and their total size in bytes."""
-    rows = files.select("path", "length").collect()
-    return sorted(r["path"] for r in rows), sum(int(r["length"] or 0) for r in rows)
+def retire(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes landing files of a load whose ledger entry is written."""
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, False)
 
 
 def spark_read_strings(spark: SparkSession, path: str, names) -> DataFrame:

@@ -38,44 +38,73 @@ BINARY_FILE_SCHEMA = StructType([
 ])
 
 
-def _load_batch(spark: SparkSession, table_dir: str, ledger_dir: str, rejects_dir: str,
-                lenient_dates: bool):
-    unrecognized_dir = f"{table_dir.rstrip('/')}_unrecognized"
-
-    def load(files: DataFrame, batch_id: int) -> None:
-        load_id = f"stream-{batch_id:010d}"
-        done = ld.read_ledger(spark, ledger_dir).where(F.col("load_id") == load_id)
-        if not done.isEmpty():
-            return  # replay of a batch that was fully written
-        files = ld.freeze(files.select(
-            "path",
-            F.col("modificationTime").cast("string").alias("modification_time"),
-            F.col("length").cast("string").alias("length")))
-        paths, size = ld.landing_files(files)
-        if not paths:
-            return
-        obs = Observation(f"intake_{load_id}")
-        layouts = ld.header_layouts(spark, paths, ld.HEADER_MARKER, total_bytes=size)
-        skipped = ld.unrecognized(files, layouts)
-        if skipped:  # the checkpoint marks them offered: keep them visible
-            (spark.createDataFrame([(p, load_id) for p in skipped], "path string, load_id string")
-             .write.mode("append").parquet(unrecognized_dir))
+def _loader(spark: SparkSession, table_dir: str, ledger_dir: str, rejects_dir: str,
+            lenient_dates: bool):
+    """``load(files, load_id, refuse)``: reads the listed files that the
+    ledger does not hold into the table, scoped to the load id; ``refuse``
+    gets the files that cannot be read, with the reason, before the ledger
+    entry is written."""
+    def load(files: DataFrame, load_id: str, refuse) -> None:
+        ledger = ld.read_ledger(spark, ledger_dir)
+        if not ledger.where(F.col("load_id") == load_id).isEmpty():
+            return  # replay of a load that was fully written
+        files = ld.freeze(ld.new_files(files, ledger))
+        layouts, refused = ld.header_layouts(spark, ld.landing_paths(files), ld.LANDING_TRANSACTION_COLUMNS)
+        if refused:
+            refuse(refused)
         if not layouts:
             return
+        obs = Observation(f"intake_{load_id}")
         raw = ld.read_layouts(spark, layouts, ld.LANDING_TRANSACTION_COLUMNS)
         clean = stg.clean_transactions(raw, lenient_dates=lenient_dates).observe(
             obs, F.count_if(F.col(stg.REJECT_REASON).isNotNull()).alias("rejected"))
-        # Scoped to the batch: a replay (same batch id) replaces this output.
+        # Scoped to the load: a replay (same id) replaces this output.
         sinks.write_table(stg.accepted(clean), table_dir, TRANSACTIONS, load_id=load_id)
         if obs.get["rejected"]:  # only then pay a second pass for the rejects
             (stg.rejects(raw, lenient_dates).withColumn(sinks.LOAD_COLUMN, F.lit(load_id))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(sinks.LOAD_COLUMN).parquet(rejects_dir))
-        loaded = files.where(~F.col("path").isin(skipped)) if skipped else files
+        loaded = files.where(~F.col("path").isin(list(refused))) if refused else files
         ld.record_loaded(loaded, ledger_dir, load_id)
     return load
 
 
+PENDING_SCHEMA = "path string, reason string, load_id string"
+
+
+def _load_batch(spark: SparkSession, load, pending_dir: str):
+    def run(files: DataFrame, batch_id: int) -> None:
+        load_id = f"stream-{batch_id:010d}"
+
+        def refuse(refused: dict[str, str]) -> None:
+            # The checkpoint marks them offered: keep them pending here.
+            (spark.createDataFrame([(p, r, load_id) for p, r in refused.items()], PENDING_SCHEMA)
+             .write.mode("append").parquet(pending_dir))
+
+        load(_listed(files), load_id, refuse)
+    return run
+
+
+def _listed(files: DataFrame) -> DataFrame:
+    return files.select("path", F.col("modificationTime").cast("string").alias("modification_time"),
+                        F.col("length").cast("string").alias("length"))
+
+
+def _retry_pending(spark: SparkSession, load, pending_dir: str, landing_dir: str, glob: str) -> None:
+    """Files refused by an earlier batch, as they are now: those that can be
+    read meanwhile are loaded, under an id that follows from their listing."""
+    try:
+        paths = spark.read.schema(PENDING_SCHEMA).parquet(pending_dir).select("path").distinct()
+    except Exception as e:  # nothing was ever refused
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return
+        raise
+    files = ld.freeze(ld.list_files(spark, landing_dir, glob).join(paths, "path", "left_semi"))
+    mark = files.agg(F.sum(F.xxhash64("path", "modification_time", "length").cast("decimal(20,0)"))).first()[0]
+    if mark is not None:
+        load(files, f"retry-{mark}", lambda refused: None)
+
+
 def intake_stream(spark: SparkSession, landing_dir: str, table_dir: str, checkpoint_dir: str,
                   ledger_dir: str | None = None, rejects_dir: str | None = None,
                   glob: str = ld.TRANSACTION_GLOB, max_files_per_trigger: int = 1000,
@@ -95,11 +124,14 @@ def intake_stream(spark: SparkSession, landing_dir: str, table_dir: str, checkpo
                   .option("sourceArchiveDir", source_archive_dir))
     files = (reader.load(f"{landing_dir.rstrip('/')}/{glob}")
              .select("path", "modificationTime", "length"))
+    pending_dir = f"{table_dir.rstrip('/')}_unrecognized"
+    load = _loader(spark, table_dir, ledger_dir, rejects_dir, lenient_dates)
     query = (files.writeStream
-             .foreachBatch(_load_batch(spark, table_dir, ledger_dir, rejects_dir, lenient_dates))
+             .foreachBatch(_load_batch(spark, load, pending_dir))
              .option("checkpointLocation", checkpoint_dir)
              .trigger(availableNow=True)
              .start())
     query.awaitTermination()
     if query.exception():
         raise RuntimeError(f"landing intake failed: {query.exception()}")
+    _retry_pending(spark, load, pending_dir, landing_dir, glob)

@@ -22,7 +22,7 @@ def test_unknown_action_is_rejected(tmp_path):
 
 def test_options_belong_to_their_action(tmp_path):
     res = run_cli(str(tmp_path), "enrich", "--province", "ASIA")
-    assert res.returncode == 2 and "reporting only" in res.stderr
+    assert res.returncode == 2 and "does not take --province" in res.stderr
 
 
 def test_stage_locations_runs(spark, tmp_path):
@@ -30,4 +30,4 @@ def test_stage_locations_runs(spark, tmp_path):
     res = run_cli(str(tmp_path), "stage-locations")
     assert res.returncode == 0, res.stderr[-2000:]
     summary = json.loads(res.stdout.strip().splitlines()[-1])
-    assert summary["rows"] == 9 and summary["files"] >= 1
+    assert summary["rows"] == 10 and summary["files"] >= 1

@@ -270,3 +270,63 @@ def test_approximate_distinct_counts_stay_close(spark):
         assert approx[k]["total_sales"] == row["total_sales"]  # sums stay exact
         for c in ("count_distinct_trans_key", "count_distinct_collector_key"):
             assert abs(approx[k][c] - row[c]) <= 0.08 * row[c], (k, c)
+
+
+def _csv(path, *lines):
+    import os
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write("\n".join(lines) + "\n")
+
+
+STORE_HEADER = "store_location_key,region,province,city,postal_code,banner,store_num"
+SALE_HEADER = "collector_key,trans_dt,store_location_key,product_key,sales,units,trans_key"
+
+
+def test_dimension_change_leaves_no_stale_partition(spark, tmp_path):
+    """A store that arrives after its sale: the sale moves, it is not doubled."""
+    root = str(tmp_path)
+    _csv(f"{root}/landing/product.csv", "product_key,sku,upc,item_name,item_description,department,category", "2,1,1,a,b,c,d")
+    _csv(f"{root}/landing/location.csv/a.csv", STORE_HEADER, "1,r,ON,c,p,b,1")
+    _csv(f"{root}/landing/trans_fact_1.csv", SALE_HEADER, "5,3/1/2015,1,2,3.5,1,10", "5,3/2/2015,7,2,4.5,1,11")
+    for action in ("stage-locations", "stage-products", "stage-transactions", "enrich"):
+        jobs.run(spark, root, action)
+    _csv(f"{root}/landing/location.csv/b.csv", STORE_HEADER, "7,r,QC,c,p,b,7")
+    assert jobs.run(spark, root, "stage-locations")["rows"] == 2
+    for options in ({"months": ["2015-03"]}, {}):
+        jobs.run(spark, root, "enrich", **options)
+        rows = read_table(spark, f"{root}/enrichment/transactions", ENRICHED).collect()
+        assert sorted((r["trans_key"], r["province"]) for r in rows) == [("10", "ON"), ("11", "QC")]
+        folders = {p.name for p in (tmp_path / "enrichment/transactions").glob("province=*") if any(p.rglob("*.parquet"))}
+        assert folders == {"province=ON", "province=QC"}
+
+
+def test_recovery_reads_what_is_there_and_reports_what_is_gone(spark, tmp_path, monkeypatch):
+    import os
+    from salesmart.sources import landing as ld
+    root = str(tmp_path)
+    for n in (1, 2):
+        _csv(f"{root}/landing/trans_fact_{n}.csv", SALE_HEADER, f"5,3/1/2015,1,2,3.5,1,{n}")
+
+    def crash(*args, **kwargs):
+        raise RuntimeError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(ld, "record_loaded", crash)
+        with pytest.raises(RuntimeError):
+            jobs.run(spark, root, "stage-transactions")
+    os.remove(f"{root}/landing/trans_fact_1.csv")
+    _csv(f"{root}/landing/trans_fact_2.csv", SALE_HEADER, "5,3/1/2015,1,2,3.5,1,20", "5,3/1/2015,1,2,3.5,1,21")
+    res = jobs.run(spark, root, "stage-transactions")
+    assert [p.rsplit("/", 1)[1] for p in res["gone_files"]] == ["trans_fact_1.csv"]
+    assert jobs.run(spark, root, "stage-transactions") == {"files": 0}
+    keys = [r["trans_key"] for r in read_table(spark, f"{root}/staging/transactions", TRANSACTIONS).collect()]
+    assert sorted(keys) == ["20", "21"]
+
+
+def test_retired_files_are_gone_and_stay_loaded(spark, tmp_path):
+    root = str(tmp_path)
+    _csv(f"{root}/landing/trans_fact_1.csv", SALE_HEADER, "5,3/1/2015,1,2,3.5,1,1")
+    assert jobs.run(spark, root, "stage-transactions", retire=True)["files"] == 1
+    assert not (tmp_path / "landing/trans_fact_1.csv").exists()
+    assert jobs.run(spark, root, "stage-transactions") == {"files": 0}
+    assert read_table(spark, f"{root}/staging/transactions", TRANSACTIONS).count() == 1

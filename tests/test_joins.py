@@ -5,8 +5,8 @@ import math
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, plan_text
-from salesmart.operators.joins import (HOT_KEY, SALTS, hot_keys, left_join_dimension,
-                                       salted_left_join)
+from salesmart.operators.joins import (HOT_KEY, ROW_ID, SALTS, hot_key_tables, join_dimension,
+                                       salted_join)
 from salesmart.plans import adapter
 
 
@@ -26,7 +26,7 @@ def test_hot_key_found_exactly(spark):
     fact = skewed_fact(spark)
     n_hot = fact.where(F.col("product_key") == "1").count()
     assert n_hot > fact.count() / 4
-    hot = {r["product_key"]: r[SALTS] for r in hot_keys(fact, "product_key", 500).collect()}
+    hot = {r[HOT_KEY]: r[SALTS] for r in hot_key_tables(fact, ["product_key"], 500)["product_key"].collect()}
     assert hot["1"] == math.ceil(n_hot / 500)
 
 
@@ -34,7 +34,7 @@ def test_salted_join_equals_plain_join(spark):
     fact = skewed_fact(spark)
     prod = adapter.products(spark, SF_SMALL).select("product_key", "category")
     plain = fact.join(prod, "product_key", "left")
-    salted = salted_left_join(fact, prod, "product_key", row_budget=200)
+    salted = salted_join(fact, prod, "product_key", row_budget=200)
     cols = ["product_key", "trans_key", "sales", "category"]
     a = sorted((tuple(r) for r in plain.select(*cols).collect()), key=str)
     b = sorted((tuple(r) for r in salted.select(*cols).collect()), key=str)
@@ -45,10 +45,10 @@ def test_salted_join_equals_plain_join(spark):
 def test_hot_key_rows_spread_over_salts(spark):
     fact = skewed_fact(spark)
     budget = 200
-    hot = F.broadcast(hot_keys(fact, "product_key", budget).withColumnRenamed("product_key", HOT_KEY))
-    salted = (fact.join(hot, F.col("product_key").eqNullSafe(F.col(HOT_KEY)), "left")
+    hot = F.broadcast(hot_key_tables(fact, ["product_key"], budget)["product_key"])
+    salted = (fact.withColumn(ROW_ID, F.monotonically_increasing_id()).join(hot, F.col("product_key").eqNullSafe(F.col(HOT_KEY)), "left")
               .select("product_key",
-                      F.pmod(F.xxhash64(*fact.columns), F.coalesce(F.col(SALTS), F.lit(1))).alias("s")))
+                      F.pmod(F.xxhash64(ROW_ID), F.coalesce(F.col(SALTS), F.lit(1))).alias("s")))
     per_salt = [r["count"] for r in salted.where(F.col("product_key") == "1")
                 .groupBy("s").count().collect()]
     assert len(per_salt) > 1
@@ -58,9 +58,9 @@ def test_hot_key_rows_spread_over_salts(spark):
 def test_left_join_dimension_broadcasts_small_side(spark):
     fact = skewed_fact(spark)
     prod = adapter.products(spark, SF_SMALL).select("product_key", "category")
-    df = left_join_dimension(fact, prod, "product_key", broadcast_rows=10_000)
+    df = join_dimension(fact, prod, "product_key", broadcast_rows=10_000)
     assert "BroadcastHashJoin" in plan_text(df)
-    df = left_join_dimension(fact, prod, "product_key", broadcast_rows=0, row_budget=200)
+    df = join_dimension(fact, prod, "product_key", broadcast_rows=0, row_budget=200)
     assert df.count() == fact.count()
 
 
@@ -77,8 +77,7 @@ def test_fanout_guard(spark):
 def test_size_check_bounds_rows_and_bytes(spark):
     from salesmart.operators.joins import size_within
     df = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("s"), "id")
-    assert size_within(df, 100)
-    assert not size_within(df, 99)
+    assert not size_within(df, 99, 100 * 1008)
     assert size_within(df, 100, 100 * 1008)
     assert not size_within(df, 100, 100 * 1008 - 1)
 
@@ -94,11 +93,18 @@ def test_salted_inner_join_equals_plain_inner_join(spark):
         sorted(map(tuple, salted.select(*cols).collect()))
 
 
-def test_hot_key_tables_one_pass_match_single_key_counts(spark):
-    from salesmart.operators.joins import hot_key_tables
+def test_hot_key_tables_hold_the_keys_over_the_budget(spark):
     fact = skewed_fact(spark)
     tables = hot_key_tables(fact, ["product_key", "trans_key"], 5)
     for key in ("product_key", "trans_key"):
-        single = {r[key]: r[SALTS] for r in hot_keys(fact, key, 5).collect()}
-        multi = {r[HOT_KEY]: r[SALTS] for r in tables[key].collect()}
-        assert single == multi, key
+        counts = {r[key]: r["count"] for r in fact.groupBy(key).count().collect()}
+        want = {k: math.ceil(n / 5) for k, n in counts.items() if n > 5}
+        assert {r[HOT_KEY]: r[SALTS] for r in tables[key].collect()} == want, key
+
+
+def test_most_hot_keys_are_salted_when_there_are_too_many(spark, monkeypatch):
+    from salesmart.operators import joins
+    monkeypatch.setattr(joins, "MAX_HOT_KEYS", 1)
+    fact = skewed_fact(spark)
+    tables = hot_key_tables(fact, ["product_key"], 5)
+    assert [r[HOT_KEY] for r in tables["product_key"].collect()] == ["1"]

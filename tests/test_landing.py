@@ -40,7 +40,8 @@ def test_four_layouts_clean_rows(spark, workdir):
     write_files(workdir, FILES)
     paths = ld.landing_paths(ld.list_files(spark, workdir))
     assert len(paths) == 4
-    layouts = ld.header_layouts(spark, paths)
+    layouts, refused = ld.header_layouts(spark, paths)
+    assert not refused
     assert len(layouts) == 3  # trans_fact_4 and _5 share a header
     clean = stg.clean_transactions(ld.read_transactions(spark, paths))
     rows = {r["landing_name"]: r for r in clean.collect()}
@@ -104,15 +105,20 @@ def test_lossy_keys_counted_per_file(spark, workdir):
     assert audit["trans_fact_6.csv"]["units_filled"] == 1
 
 
-def test_header_probe_equals_text_scan(spark, workdir):
+def test_text_scan_finds_the_same_headers(spark, workdir, monkeypatch):
     write_files(workdir, FILES)
-    from salesmart.plans import fixtures
-    fixtures.write_landing(spark, "/root/testdata/sf0.001", workdir, ("trans_fact_8",))
     paths = ld.landing_paths(ld.list_files(spark, workdir))
-    probed = ld.header_layouts(spark, paths, probe="first_line")
-    scanned = ld.header_layouts(spark, paths, probe="scan")
-    assert probed == scanned
-    assert len(probed) == 3
+    probed = ld.header_layouts(spark, paths)
+
+    def unopened(batches):
+        import pyarrow as pa
+        for batch in batches:
+            n = batch.num_rows
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.nulls(n, pa.string()), pa.array([False] * n)],
+                                             names=["path", "value", "opened"])
+    monkeypatch.setattr(ld, "_probe_batches", unopened)
+    assert ld.header_layouts(spark, paths) == probed
+    assert len(probed[0]) == 3
 
 
 def test_header_probe_falls_back_for_unopenable_paths():
@@ -120,14 +126,53 @@ def test_header_probe_falls_back_for_unopenable_paths():
     assert (line, opened) == (None, False)
 
 
-def test_header_must_be_first_line_in_both_probes(spark, workdir):
+def test_header_line_beyond_one_chunk_is_read_whole(workdir):
+    import os
+    path = os.path.join(workdir, "long.csv")
+    header = ",".join(f"column_{i}" for i in range(20_000))
+    with open(path, "w") as f:
+        f.write("\n" + header + "\n1,2\n")
+    assert len(header) > ld.PROBE_CHUNK_BYTES
+    assert ld._first_line(f"file:{path}") == (header, True)
+
+
+def test_header_must_be_first_line(spark, workdir):
     write_files(workdir, {"trans_fact_x.csv": (
         "junk line", "collector_key,trans_dt,store_location_key,product_key,sales,units,trans_key",
         "1,3/2/2015,1,2,3.5,1,11")})
     write_files(workdir, FILES)
     paths = ld.landing_paths(ld.list_files(spark, workdir))
-    for probe in ("first_line", "scan"):
-        layouts = ld.header_layouts(spark, paths, probe=probe)
-        known = {p for _, ps in layouts for p in ps}
-        assert not [p for p in known if p.endswith("trans_fact_x.csv")], probe
-        assert len(known) == 4, probe
+    layouts, refused = ld.header_layouts(spark, paths)
+    assert len([p for _, ps in layouts for p in ps]) == 4
+    assert [p.rsplit("/", 1)[1] for p in refused] == ["trans_fact_x.csv"]
+
+
+def test_names_match_without_case_and_missing_or_double_columns_refuse(spark, workdir):
+    write_files(workdir, {
+        "trans_fact_1.csv": ("Collector_Key,TRANS_DT,store_location_key,product_key,Sales,units,Trans_Id",
+                             "5,3/1/2015,1,2,3.5,1,13"),
+        "trans_fact_2.csv": ("collector_key,trans_dt,store_location_key,product_key,units,trans_key",
+                             "5,3/1/2015,1,2,1,14"),
+        "trans_fact_3.csv": ("collector_key,trans_dt,store_location_key,product_key,sales,units,trans_key,trans_id",
+                             "5,3/1/2015,1,2,3.5,1,15,15")})
+    paths = ld.landing_paths(ld.list_files(spark, workdir))
+    _, refused = ld.header_layouts(spark, paths)
+    reasons = {p.rsplit("/", 1)[1]: r for p, r in refused.items()}
+    assert reasons == {"trans_fact_2.csv": "no column sales",
+                       "trans_fact_3.csv": "trans_key given twice (trans_key, trans_id)"}
+    rows = stg.accepted(stg.clean_transactions(ld.read_transactions(spark, paths))).collect()
+    assert [(r["sales"], r["trans_key"]) for r in rows] == [(3.5, "13")]
+
+
+def test_amounts_that_are_no_finite_number_are_flagged(spark, workdir):
+    header = "collector_key,trans_dt,store_location_key,product_key,sales,units,trans_key"
+    texts = ("NaN", "Infinity", "-Infinity", "1e15", "1.5d", "1e999", "12.50", "1e14")
+    write_files(workdir, {"trans_fact_9.csv": (header, *(
+        f"5,3/1/2015,1,2,{t},1,{'1' + '0' * 25 if i == 0 else '2' * 26}" for i, t in enumerate(texts)))})
+    clean = stg.clean_transactions(ld.read_transactions(spark, ld.landing_paths(ld.list_files(spark, workdir))))
+    rows = clean.collect()
+    assert [r["sales_was_missing"] for r in rows] == [True] * 6 + [False] * 2
+    assert {r["trans_key"] for r in rows} == {"1" + "0" * 25, "2" * 26}
+    audit = stg.measure_audit(clean).first()
+    assert audit["total_sales"] == 100000000000012.5 or str(audit["total_sales"]) == "100000000000012.500"
+    assert audit["sales_filled"] == 6 and audit["lossy_trans_keys"] == 1

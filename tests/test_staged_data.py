@@ -112,8 +112,8 @@ def test_transactions_year_month_match_date(staged):
 
 
 def test_transactions_null_profile_per_landing_file(spark, staged):
-    paths, size = ld.landing_files(ld.list_files(spark, f"{staged['root']}/landing"))
-    clean = stg.clean_transactions(ld.read_transactions(spark, paths, size))
+    paths = ld.landing_paths(ld.list_files(spark, f"{staged['root']}/landing"))
+    clean = stg.clean_transactions(ld.read_transactions(spark, paths))
     prof = dq.null_profile_by(clean.select(ld.LANDING_NAME, "trans_dt", "trans_key", "sales"),
                               ld.LANDING_NAME).collect()
     assert {r["landing_name"] for r in prof} == set(fixtures.LAYOUTS)

@@ -7,7 +7,7 @@ from salesmart.contracts import TRANSACTIONS
 from salesmart.plans import fixtures
 from salesmart.sources import landing as ld
 from salesmart.sources.tables import read_table
-from salesmart.streaming.intake import _load_batch, intake_stream
+from salesmart.streaming.intake import _load_batch, _loader, intake_stream
 
 
 def test_stream_loads_new_files_once(spark, workdir):
@@ -30,7 +30,7 @@ def test_replayed_batch_is_skipped(spark, workdir):
     fixtures.write_landing(spark, SF_SMALL, landing, ("trans_fact_4",))
     files = spark.read.format("binaryFile").load(f"{landing}/trans_fact_*").select(
         "path", "modificationTime", "length")
-    load = _load_batch(spark, table, f"{table}_ledger", f"{table}_rejects", False)
+    load = _load_batch(spark, _loader(spark, table, f"{table}_ledger", f"{table}_rejects", False), f"{table}_unrecognized")
     load(files, 7)
     n = read_table(spark, table, TRANSACTIONS).count()
     load(files, 7)  # the same batch id again, as after a crash before the checkpoint commit
@@ -68,7 +68,7 @@ def test_replay_after_crash_before_ledger(spark, workdir, monkeypatch):
     fixtures.write_landing(spark, SF_SMALL, landing, ("trans_fact_6",))
     files = spark.read.format("binaryFile").load(f"{landing}/trans_fact_*").select(
         "path", "modificationTime", "length")
-    load = _load_batch(spark, table, f"{table}_ledger", f"{table}_rejects", False)
+    load = _load_batch(spark, _loader(spark, table, f"{table}_ledger", f"{table}_rejects", False), f"{table}_unrecognized")
     real = ld.record_loaded
 
     def crash(*args, **kwargs):
@@ -93,3 +93,35 @@ def test_stream_with_source_archive(spark, workdir):
     lines = fixtures.landing_lines(spark, SF_SMALL)
     want = lines.where(F.col("layout").isin("trans_fact_5", "trans_fact_4")).count()
     assert read_table(spark, table, TRANSACTIONS).count() == want
+
+
+def test_refused_file_is_loaded_once_it_can_be_read(spark, workdir):
+    import os
+    landing, table, ckpt = f"{workdir}/landing", f"{workdir}/txn", f"{workdir}/ckpt"
+    os.makedirs(landing)
+    header = "collector_key,trans_dt,store_location_key,product_key,{},units,trans_key\n1,3/1/2015,1,2,3.5,1,10\n"
+    for name in ("trans_fact_1.csv", "trans_fact_2.csv"):
+        with open(f"{landing}/{name}", "w") as f:
+            f.write(header.format("sales" if name.endswith("1.csv") else "amount"))
+    intake_stream(spark, landing, table, ckpt)
+    pending = spark.read.parquet(f"{table}_unrecognized").collect()
+    assert [r["reason"] for r in pending] == ["no column sales"]
+    assert read_table(spark, table, TRANSACTIONS).count() == 1
+    with open(f"{landing}/trans_fact_2.csv", "w") as f:
+        f.write(header.format("Sales"))
+    intake_stream(spark, landing, table, ckpt)
+    intake_stream(spark, landing, table, ckpt)
+    assert read_table(spark, table, TRANSACTIONS).count() == 2
+
+
+def test_batch_and_stream_share_one_ledger(spark, tmp_path):
+    from salesmart.plans import jobs
+    root = str(tmp_path)
+    z = jobs.Zones(root)
+    fixtures.write_landing(spark, SF_SMALL, z.landing, ("trans_fact_5",))
+    jobs.run(spark, root, "stage-transactions")
+    fixtures.write_landing(spark, SF_SMALL, z.landing, ("trans_fact_6",))
+    jobs.stream_transactions(spark, root)
+    assert jobs.run(spark, root, "stage-transactions")["files"] == 0
+    lines = fixtures.landing_lines(spark, SF_SMALL).where(F.col("layout").isin("trans_fact_5", "trans_fact_6"))
+    assert read_table(spark, z.transactions, TRANSACTIONS).count() == lines.count()
