@@ -13,11 +13,12 @@ a key. Texts of equal words are one class; classes that share a key are
 candidates, and weighted Jaccard similarity of their whole shingle sets decides.
 
 Candidates are not expanded to all pairs: each class of a key is first verified
-against the key's least class, and verified links are united. Only classes of
-a key which then are in different components are compared with each other, and
-only where their similarities to the key's least class differ by 0.2 or less:
-one less the similarity is a metric, so others cannot be linked. No link that
-could join two groups is lost.
+against the key's class with the least doc_id, and verified links are united.
+Classes of keys whose members then are in different components are compared by
+an exact similarity join: their rarest shingles, up to a fifth of the weight,
+are joined, and a pair of different components is verified unless its total
+weights or what they can still have in common after the first common shingle
+rule it out. No link that could join two groups is lost.
 
 Defined cases: null or wordless text, or a null doc_id, is alike to nothing;
 rows with equal doc_id and text are one document, with equal doc_id and other
@@ -217,6 +218,30 @@ def _verifier(held):
     return run
 
 
+def _prefixes(held, threshold: float):
+    """(node, text) to (node, total, tokens, befores): a text's shingles in
+    order of rarity, then hash, until they outweigh what similar texts may
+    differ in, and the weight before each."""
+    def run(batches):
+        for batch in batches:
+            rows: list[list] = [[], [], []]
+            for text in batch.column("text").to_pylist():
+                s = shingles([(text or "").encode("utf-8", "replace")])
+                factor = held.value.of(s.hashes, np.ones(len(s.hashes)))
+                order = np.lexsort((s.hashes, -factor))
+                weight = (factor * s.counts)[order]
+                before = np.cumsum(weight) - weight
+                total = float(weight.sum())
+                n = int(np.searchsorted(before, (1 - threshold) * total + 1e-6, side="right"))
+                for column, value in zip(rows, (total, s.hashes[order][:n].view(np.int64), before[:n]), strict=True):
+                    column.append(value)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("node"), pa.array(rows[0], pa.float64()), pa.array(rows[1], pa.list_(pa.int64())),
+                pa.array(rows[2], pa.list_(pa.float64()))], names=["node", "total", "tokens", "befores"])
+
+    return run
+
+
 def _keyed(held_key: str):
     """Rows of (class key, text) whose text has that key."""
     def run(batches):
@@ -240,10 +265,10 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     nodes = kept(signed.filter("doc_id is not null").groupBy("key").agg(
         F.min("doc_id").alias("rep"), F.countDistinct("doc_id").alias("n_copies"),
         F.first("total").alias("total"), F.first("bands").alias("bands")), "neardup-nodes")
-    members = nodes.select(F.posexplode("bands").alias("band", "value"), F.col("key").alias("node"), "total")
-    # A key's least class is its leader; a key with one class has no pairs.
-    leaders = members.groupBy("band", "value").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")
-    shared = kept(members.join(leaders, ["band", "value"]).select("band", "value", "node", "total", "leader"), "neardup-shared")
+    members = nodes.select(F.posexplode("bands").alias("band", "value"), F.col("key").alias("node"), "rep")
+    # A key's first class is its leader; a key with one class has no pairs.
+    leaders = members.groupBy("band", "value").agg(F.min(F.struct("rep", "node"))["node"].alias("leader"), F.count("*").alias("n")).filter("n > 1")
+    shared = kept(members.join(leaders, ["band", "value"]).select("band", "value", "node", "leader"), "neardup-shared")
     pairs = shared.filter("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     needed = shared.select("node").distinct().join(nodes.select(F.col("key").alias("node"), "rep"), "node")
     texts = (docs.join(needed.withColumnRenamed("rep", "doc_id"), "doc_id").select("node", "text")
@@ -258,22 +283,22 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     first = verified(pairs, "neardup-led")
     groups = components(first.filter(F.col("similar") >= threshold).select("a", "b"), "neardup-components")
     # What a leader did not unite: classes of a key in different components.
-    labelled = (shared.join(first.select(F.col("a").alias("node"), F.col("b").alias("leader"), "similar"), ["node", "leader"])
-                .join(groups.withColumnRenamed("component", "group"), "node", "left")
-                .join(groups.select(F.col("node").alias("leader"), F.col("component").alias("leader_group")), "leader", "left")
-                .select("band", "value", "node", "total", "similar", F.coalesce("group", "node").alias("group"),
-                        F.coalesce("leader_group", "leader").alias("leader_group")))
-    labelled = kept(labelled, "neardup-labelled")
-    apart = labelled.filter("group != leader_group").select("band", "value").distinct()
-    rest = labelled.join(apart, ["band", "value"])
-    left = rest.select("band", "value", *(F.col(c).alias(f"{c}_a") for c in ("node", "group", "total", "similar")))
-    right = rest.select("band", "value", *(F.col(c).alias(f"{c}_b") for c in ("node", "group", "total", "similar")))
-    # Neither the ratio of the total weights nor the leader may rule a pair out.
-    slack = 1e-9
-    ratio = F.least("total_a", "total_b") >= F.lit(threshold - slack) * F.greatest("total_a", "total_b")
-    near = F.abs(F.col("similar_a") - F.col("similar_b")) <= 1 - threshold + slack
-    same = (left["band"] == right["band"]) & (left["value"] == right["value"])
-    more = (left.join(right, same & (F.col("node_a") < F.col("node_b")) & (F.col("group_a") != F.col("group_b")) & ratio & near)
+    label = F.coalesce("component", "node").alias("group")
+    labelled = shared.join(groups, "node", "left").select("band", "value", "node", label)
+    apart = labelled.groupBy("band", "value").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high")
+    rest = kept(labelled.join(apart.select("band", "value"), ["band", "value"]).select("node", "group").distinct(), "neardup-rest")
+    prefixes = (texts.join(rest.select("node"), "node").select("node", "text")
+                .mapInArrow(_prefixes(held, threshold), "node bigint, total double, tokens array<bigint>, befores array<double>"))
+    entries = (prefixes.join(rest, "node").select("node", "group", "total", F.explode(F.arrays_zip("tokens", "befores")).alias("e"))
+               .select("node", "group", "total", F.col("e.tokens").alias("token"), F.col("e.befores").alias("before")))
+    entries = kept(entries, "neardup-prefixes")
+    left, right = (entries.select("token", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "group", "total", "before"))) for side in "ab")
+    slack = 1 - 1e-9
+    ratio = F.least("total_a", "total_b") >= F.greatest("total_a", "total_b") * threshold * slack
+    common = (F.least(F.col("total_a") - F.col("before_a"), F.col("total_b") - F.col("before_b"))
+              >= (F.col("total_a") + F.col("total_b")) * (threshold / (1 + threshold) * slack))
+    same = left["token"] == right["token"]
+    more = (left.join(right, same & (F.col("node_a") < F.col("node_b")) & (F.col("group_a") != F.col("group_b")) & ratio & common)
             .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
     second = verified(more, "neardup-more").filter(F.col("similar") >= threshold).select("a", "b")
     links = groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(second)
