@@ -90,3 +90,60 @@ def op9_line_dedup(spark, sf_dir):
 def op10_benchmark_decontamination(spark, sf_dir):
     spans = decontaminate.find_spans(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return decontaminate.digest(spans)
+
+
+# ------------------------------------------------------------------- SQL
+
+_WORDS = ("regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
+
+ORACLE_SQL["op10_benchmark_decontamination"] = f"""
+WITH d AS (SELECT ROW_NUMBER() OVER () AS r, doc_id, {_WORDS.format("COALESCE(text, '')")} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS.format("text")} AS w FROM benchmark WHERE text IS NOT NULL),
+windows AS (SELECT DISTINCT item_id, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS win
+  FROM (SELECT item_id, w, LEAST(10, len(w)) AS n, UNNEST(range(1, len(w) - LEAST(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+places AS (SELECT r, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS win
+  FROM (SELECT r, w, n, UNNEST(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+hits AS (SELECT r, i, n, item_id FROM places JOIN windows USING (n, win)),
+covered AS (SELECT r, COUNT(DISTINCT p) AS n_hit FROM (SELECT r, UNNEST(range(i, i + n)) AS p FROM hits) GROUP BY r),
+items AS (SELECT r, COUNT(DISTINCT item_id) AS n_items,
+                 string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM hits GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(COALESCE(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(COALESCE(n_items, 0) AS BIGINT) AS n_items, sha256(COALESCE(ids, '')) AS items_sha256,
+       COALESCE(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)"""
+
+ORACLE_SQL["op3_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (SELECT DISTINCT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+good AS (SELECT vec_id, label, x, sqrt(list_dot_product(x, x)) AS size FROM v
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(x) > 0
+    AND len(list_filter(x, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0 AND list_dot_product(x, x) > 0),
+links AS (SELECT DISTINCT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_dot_product(a.x, b.x) / (a.size * b.size) >= 0.93),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT a, MIN(b) AS component_id FROM reach GROUP BY a),
+degree AS (SELECT a, COUNT(*) AS n FROM links GROUP BY a)
+SELECT vec_id, COALESCE(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN least ON vec_id = least.a LEFT JOIN degree ON vec_id = degree.a"""
+
+ORACLE_SQL["op9_line_dedup"] = f"""
+WITH docs AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+lines AS (SELECT doc_id, i - 1 AS line_no, {_WORDS.format("ls[i]")} AS w
+  FROM (SELECT doc_id, ls, UNNEST(range(1, len(ls) + 1)) AS i FROM docs WHERE text IS NOT NULL AND doc_id IS NOT NULL)),
+numbered AS (SELECT doc_id, line_no, w, ROW_NUMBER() OVER (ORDER BY doc_id, line_no) AS place FROM lines WHERE len(w) >= 5),
+classes AS (SELECT w, MIN(place) AS first FROM numbered GROUP BY w),
+tokens AS (SELECT DISTINCT first, array_to_string(list_slice(w, i, i + 4), ' ') AS token
+  FROM (SELECT first, w, UNNEST(range(1, len(w) - 3)) AS i FROM classes)),
+sizes AS (SELECT first, COUNT(*) AS n FROM tokens GROUP BY first),
+common AS (SELECT a.first AS later, b.first AS earlier, COUNT(*) AS n
+  FROM tokens a JOIN tokens b ON a.token = b.token AND a.first > b.first GROUP BY ALL),
+matched AS (SELECT DISTINCT later FROM common JOIN sizes a ON a.first = later JOIN sizes b ON b.first = earlier
+  WHERE common.n * 5 >= (a.n + b.n - common.n) * 4),
+gone AS (SELECT doc_id, list_sort(list(line_no)) AS nos
+  FROM numbered JOIN classes USING (w) WHERE place <> first OR first IN (SELECT later FROM matched) GROUP BY doc_id)
+SELECT doc_id, CAST(COALESCE(len(ls), 0) AS BIGINT) AS n_lines, CAST(COALESCE(len(nos), 0) AS BIGINT) AS n_removed,
+       COALESCE(array_to_string(nos, ','), '') AS removed_lines,
+       CASE WHEN nos IS NULL THEN text ELSE array_to_string(
+         list_transform(list_filter(range(0, len(ls)), lambda i: NOT list_contains(nos, i)), lambda i: ls[i + 1]), chr(10)) END AS text
+FROM docs LEFT JOIN gone USING (doc_id)"""
