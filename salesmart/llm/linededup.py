@@ -227,7 +227,7 @@ def cleaned(docs: DataFrame) -> DataFrame:
     text = F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
     return out.select(
         *(c for c in out.columns if c != "llm_gone"),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("bigint").alias("llm_lines"),
+        F.coalesce(F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("bigint").alias("llm_lines"),
         F.coalesce("llm_gone", F.array().cast("array<int>")).alias("llm_gone"),
         F.when(F.col("llm_gone").isNull(), F.col("text")).otherwise(text).alias("llm_left"))
 
