@@ -147,3 +147,47 @@ SELECT doc_id, CAST(COALESCE(len(ls), 0) AS BIGINT) AS n_lines, CAST(COALESCE(le
        CASE WHEN nos IS NULL THEN text ELSE array_to_string(
          list_transform(list_filter(range(0, len(ls)), lambda i: NOT list_contains(nos, i)), lambda i: ls[i + 1]), chr(10)) END AS text
 FROM docs LEFT JOIN gone USING (doc_id)"""
+
+ORACLE_SQL["op2_quotation_linking"] = r"""
+WITH RECURSIVE m AS (SELECT ROW_NUMBER() OVER () AS r, conv_id, turn, role, text FROM conversations),
+cut AS (SELECT r, UNNEST(range(1, len(ls) + 1)) AS i, ls
+  FROM (SELECT r, string_split(text, chr(10)) AS ls FROM m WHERE text IS NOT NULL)),
+lines AS (SELECT r, i, length(regexp_replace(regexp_extract(ls[i], '^((?:[ \t]*>)+)', 1), '[^>]', '', 'g')) AS level,
+    regexp_replace(ls[i], '^(?:[ \t]*>)+[ \t]?', '') AS body, ls[i] AS line FROM cut),
+marked AS (SELECT *, LEAD(level) OVER w AS after, LAG(level, 1, -1) OVER w AS before FROM lines WINDOW w AS (PARTITION BY r ORDER BY i)),
+own AS (SELECT r, regexp_replace(regexp_replace(string_agg(line, chr(10) ORDER BY i), '^\s+|\s+$', '', 'g'), '\n{3,}', chr(10) || chr(10), 'g') AS own
+  FROM marked WHERE level = 0 AND NOT (regexp_matches(line, 'wrote:[ \t]*$') AND COALESCE(after, 0) > 0) GROUP BY r),
+quoting AS (SELECT DISTINCT r FROM lines WHERE level > 0),
+said AS (SELECT m.*, CASE WHEN text IS NULL THEN NULL WHEN quoting.r IS NULL THEN text ELSE COALESCE(own, '') END AS own,
+    quoting.r IS NOT NULL AS quotes FROM m LEFT JOIN quoting USING (r) LEFT JOIN own USING (r)),
+runs AS (SELECT *, SUM(CASE WHEN level <> before THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS run FROM marked),
+passages AS (SELECT r, run, MIN(level) AS level, trim(regexp_replace(lower(string_agg(body, chr(10) ORDER BY i)), '\s+', ' ', 'g')) AS whole,
+    MAX({'n': length(trim(regexp_replace(lower(body), '\s+', ' ', 'g'))), 'line': trim(regexp_replace(lower(body), '\s+', ' ', 'g'))}) AS longest
+  FROM runs WHERE level > 0 GROUP BY r, run),
+placed AS (SELECT * FROM said WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+sources AS (SELECT 'whole' AS kind, trim(regexp_replace(lower(own), '\s+', ' ', 'g')) AS key, conv_id, turn FROM placed WHERE own IS NOT NULL
+  UNION ALL SELECT 'longest', trim(regexp_replace(lower(line), '\s+', ' ', 'g')), conv_id, turn
+  FROM (SELECT conv_id, turn, UNNEST(string_split(own, chr(10))) AS line FROM placed WHERE own IS NOT NULL)),
+inside AS (SELECT kind, key, conv_id, MIN(turn) AS turn FROM sources WHERE key <> '' GROUP BY ALL),
+anywhere AS (SELECT kind, key, MIN({'conv': conv_id, 'turn': turn}) AS source FROM sources WHERE key <> '' GROUP BY kind, key),
+asked AS (SELECT r, run, level, kind, CASE kind WHEN 'whole' THEN whole ELSE longest.line END AS key, conv_id, turn
+  FROM passages JOIN placed USING (r), (VALUES ('whole'), ('longest')) AS kinds(kind)),
+linked AS (SELECT a.r, a.run, a.level, CASE
+    WHEN i.turn < a.turn THEN {'rank': CASE a.kind WHEN 'whole' THEN 0 ELSE 1 END, 'conv': a.conv_id, 'turn': i.turn}
+    WHEN s.source < {'conv': a.conv_id, 'turn': a.turn}
+      THEN {'rank': CASE a.kind WHEN 'whole' THEN 2 ELSE 3 END, 'conv': s.source.conv, 'turn': s.source.turn} END AS link
+  FROM asked a LEFT JOIN inside i ON i.kind = a.kind AND i.key = a.key AND i.conv_id = a.conv_id
+               LEFT JOIN anywhere s ON s.kind = a.kind AND s.key = a.key),
+best AS (SELECT r, run, level, MIN(link) AS link FROM linked GROUP BY r, run, level),
+answers AS (SELECT r, COUNT(*) AS n_passages, COUNT(link) AS n_linked,
+    MIN(CASE WHEN link IS NOT NULL THEN {'level': level, 'later': -link.turn, 'conv': link.conv} END) AS source FROM best GROUP BY r),
+up AS (SELECT conv_id, turn, MIN({'conv': source.conv, 'turn': -source.later}) AS parent
+  FROM answers JOIN placed USING (r) WHERE source IS NOT NULL GROUP BY conv_id, turn),
+climb AS (SELECT conv_id, turn, parent AS root FROM up
+  UNION ALL SELECT climb.conv_id, climb.turn, up.parent FROM climb JOIN up ON up.conv_id = climb.root.conv AND up.turn = climb.root.turn),
+roots AS (SELECT climb.conv_id, climb.turn, root FROM climb LEFT JOIN up ON up.conv_id = root.conv AND up.turn = root.turn WHERE up.conv_id IS NULL)
+SELECT said.conv_id, said.turn, role, own AS text, COALESCE(n_passages, 0) AS n_passages, COALESCE(n_linked, 0) AS n_linked,
+       source.conv AS parent_conv, -source.later AS parent_turn, COALESCE(root.conv, said.conv_id) AS thread_conv,
+       COALESCE(root.turn, said.turn) AS thread_turn,
+       '<|' || COALESCE(role, 'unknown') || '|>' || chr(10) || COALESCE(own, '') || chr(10) AS chat
+FROM said LEFT JOIN answers USING (r) LEFT JOIN roots ON roots.conv_id = said.conv_id AND roots.turn = said.turn"""

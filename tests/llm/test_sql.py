@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 from llm_cases import SF
 from salesmart.llm.queries import ORACLE_SQL, QUERIES
 
-TABLES = ("documents", "embeddings", "benchmark")
+TABLES = ("documents", "embeddings", "benchmark", "conversations")
 
 
 def test_ten_operators_and_the_pipeline_are_registered():
