@@ -37,7 +37,7 @@ WINDOW = 10
 #: Benchmark text in one block (one broadcast).
 BLOCK_BYTES = 32_000_000
 #: Words in one FM-index.
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 500_000
 #: Every so many positions of the indexed text keep their suffix position.
 SAMPLE_STEP = 16
 

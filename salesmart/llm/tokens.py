@@ -19,7 +19,7 @@ import numpy as np
 
 #: Pieces kept by one Python worker in each of two generations: a full young
 #: generation becomes the old one, whose pieces in use move back.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 250_000
 #: Strings that make a text odd: white space other than single spaces and
 #: single line breaks between other characters.
 _ODD = ["  ", " \n", "\n ", "\n\n", *(chr(c) for c in range(0x3001) if chr(c).isspace() and c not in (10, 32))]
