@@ -1,5 +1,6 @@
 """Token ids, best-fit packing and binary rows."""
 
+import functools
 import random
 import zlib
 
@@ -15,9 +16,14 @@ from salesmart.llm import packing
 from salesmart.llm.tokens import Encoder, tokenizer_json
 
 
+@functools.cache
+def the_encoder():
+    return Encoder(tokenizer_json())
+
+
 @pytest.fixture(scope="module")
 def encoder():
-    return Encoder(tokenizer_json())
+    return the_encoder()
 
 
 def reference_ids(encoder, text):
@@ -36,7 +42,7 @@ def test_ids_are_the_tokenizer_library_s(encoder):
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet=st.sampled_from("aBé漢1 2\n\t'.,s ll !") , max_size=60))
 def test_ids_of_any_text(text):
-    encoder = test_ids_of_any_text.__dict__.setdefault("encoder", Encoder(tokenizer_json()))
+    encoder = the_encoder()
     assert encoder.encode(text) == reference_ids(encoder, text)
 
 
