@@ -2,9 +2,15 @@
 
 A document is the weighted set of its five-word shingles (a text of fewer words
 is one shingle), a shingle's weight being its count in the text times an
-inverse document frequency. Frequencies cover all documents: a count-min sketch
-of fixed size, counted by task and summed. The factor runs from 1 (in every
-document) to 2 (in one), so that a passage which thousands share still counts.
+inverse document frequency. The factor runs from 1 (in every document) to 2 (in
+one), so that a passage which thousands share still counts.
+
+Frequencies are exact at every size. Documents are dealt to parts by a hash;
+each part sends its distinct shingle hashes, with its own counts, to buckets by
+hash; a bucket sums them and sends each part the frequencies of two or more of
+the hashes it asked for (all others are 1). Parts and buckets grow in number
+with the text, so neither outgrows a task, and no table of frequencies is held
+in one place.
 
 Improved consistent weighted sampling draws, for each of ``BANDS * ROWS``
 seeds, one (shingle, level) of a document; two documents draw the same with the
@@ -29,26 +35,27 @@ returns the input's own columns, so other columns cannot clash.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from salesmart.llm.components import components
-from salesmart.llm.ngrams import BLOCK_SCHEMA, block_batches, summed_blocks
-from salesmart.llm.scratch import kept, removed
+from salesmart.llm.scratch import kept, removed, shuffles_freed
 from salesmart.llm.textkit import grouped, joined_words, mix64, workers_ready
 
 SHINGLE, THRESHOLD = 5, 0.8
 #: A pair at the threshold shares a key with probability 1 - (1 - 0.8^4)^18 = 0.9999.
 BANDS, ROWS = 18, 4
-#: The sketch: rows and (a power of two) counters of each.
-DEPTH, WIDTH = 2, 1 << 18
+#: Bytes of text in a part and, as shingles, in a bucket; least numbers of them.
+PART_BYTES, BUCKET_BYTES = 16_000_000, 32_000_000
+PARTS, BUCKETS = 1024, 512
 
 _SEEDS = mix64(np.arange(1, 1 + BANDS * ROWS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_SKETCH_SEEDS = mix64(np.arange(1001, 1001 + DEPTH, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 #: Bytes of text whose draws are made together: their arrays stay in cache.
@@ -109,34 +116,125 @@ def shingles(group: list[bytes], width: int = SHINGLE) -> Shingles:
 
 @dataclass
 class Weights:
-    """The factor of each counter's frequency: ``factors[row][counter]``."""
+    """Inverse document frequency factors, among ``n`` documents: ``found`` are
+    shingle hashes in order, ``frequencies`` theirs; all other shingles are in
+    one document."""
+
+    found: np.ndarray
+    frequencies: np.ndarray
+    n: int
 
-    factors: np.ndarray
+    def factors(self, hashes: np.ndarray) -> np.ndarray:
+        frequency = np.ones(len(hashes))
+        if len(self.found):
+            at = np.minimum(np.searchsorted(self.found, hashes), len(self.found) - 1)
+            frequency = np.where(self.found[at] == hashes, self.frequencies[at], frequency)
+        return 1 + np.log1p(self.n / frequency) / np.log1p(self.n)
 
     def of(self, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        # The least frequency of the rows has the largest factor.
-        found = [self.factors[k][((hashes ^ _SKETCH_SEEDS[k]) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - 18)] for k in range(DEPTH)]
-        return np.maximum.reduce(found) * counts
+        return self.factors(hashes) * counts
 
 
-def _sketched(batches):
-    counts = {k: np.zeros(WIDTH + 1, np.int64) for k in range(DEPTH)}
-    for batch in batches:
-        for _, group in grouped(batch.column("text").to_pylist()):
-            s = shingles(group)
-            for k in range(DEPTH):
-                at = ((s.hashes ^ _SKETCH_SEEDS[k]) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - 18)
-                counts[k][:-1] += np.bincount(at.astype(np.int64), minlength=WIDTH)
-                counts[k][-1] += int((s.sizes > 0).sum())
-    yield from block_batches(counts, WIDTH + 1)
+def _wordy(docs: DataFrame) -> DataFrame:
+    """The rows whose text has a word."""
+    return docs.filter(F.col("text").isNotNull() & F.col("text").rlike(r"[0-9A-Za-z]|[^\x00-\x7F]"))
+
+
+def _lists(arrays: list[np.ndarray], kind) -> pa.ListArray:
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in arrays])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate([*arrays, np.empty(0, kind)]).astype(kind)))
+
+
+def _flat(column: pa.ChunkedArray, kind) -> tuple[np.ndarray, np.ndarray]:
+    """(values, lengths) of a column of lists."""
+    lengths = column.combine_chunks().value_lengths().to_numpy() if len(column) else np.empty(0, np.int64)
+    values = [c.flatten().to_numpy() for c in column.chunks]
+    return np.concatenate([*values, np.empty(0, kind)]).astype(kind), lengths
+
+
+def _asker(buckets: int):
+    """A part's texts to its distinct shingles, by bucket."""
+    def run(table: pa.Table) -> pa.Table:
+        hashes = [shingles(group).hashes for _, group in grouped(table.column("text").to_pylist())]
+        hashes, counts = np.unique(np.concatenate(hashes), return_counts=True)
+        # Unsigned products of the high half: buckets are runs of sorted hashes.
+        bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        at = np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1))
+        part = table.column("part")[0].as_py()
+        return pa.table({
+            "bucket": pa.array(bucket[at].astype(np.int32)), "part": pa.array(np.full(len(at), part), pa.int32()),
+            "hashes": _lists(np.split(hashes.view(np.int64), at[1:]), np.int64), "counts": _lists(np.split(counts, at[1:]), np.int32)})
+
+    return run
+
+
+def _answered(table: pa.Table) -> pa.Table:
+    """A bucket's rows to, by part, its shingles that are in several documents."""
+    hashes, lengths = _flat(table.column("hashes"), np.int64)
+    counts, _ = _flat(table.column("counts"), np.int64)
+    _, at = np.unique(hashes, return_inverse=True)
+    frequency = np.bincount(at, weights=counts).astype(np.int64)[at]
+    several = frequency > 1
+    owner = np.repeat(np.arange(len(lengths)), lengths)[several]
+    cuts = np.searchsorted(owner, np.arange(1, len(lengths)))
+    answer = pa.table({
+        "part": table.column("part").combine_chunks(), "hashes": _lists(np.split(hashes[several], cuts), np.int64),
+        "frequencies": _lists(np.split(frequency[several], cuts), np.int64)})
+    return answer.filter(pa.array(np.bincount(owner, minlength=len(lengths)) > 0))
+
+
+def _weights(answers: pa.Table, n: int) -> Weights:
+    found = _flat(answers.column("hashes"), np.int64)[0].view(np.uint64)
+    order = np.argsort(found)
+    return Weights(found[order], _flat(answers.column("frequencies"), np.int64)[0][order], n)
+
+
+@dataclass
+class Frequencies:
+    """Document frequencies of the shingles of ``docs``: ``answers`` holds, by
+    part, those of two or more; ``n`` is the number of documents."""
+
+    answers: DataFrame
+    n: int
+    parts: int
+
+    def part(self, docs: DataFrame) -> DataFrame:
+        return docs.withColumn("part", F.pmod(F.xxhash64("doc_id", "text"), F.lit(self.parts)).cast("int"))
+
+    def weighted(self, docs: DataFrame, fn, schema: str) -> DataFrame:
+        """``fn(rows, weights)`` of each part of ``docs`` (rows with doc_id and
+        text that were counted), as record batches."""
+        n = self.n
+
+        def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
+            if not len(rows):
+                return empty
+            return pa.Table.from_batches(list(fn(rows.combine_chunks(), _weights(answers, n))), empty.schema)
+
+        empty = to_arrow_schema(docs.sparkSession.createDataFrame([], schema).schema).empty_table()
+        return self.part(docs).groupBy("part").cogroup(self.answers.groupBy("part")).applyInArrow(run, schema)
+
+
+def frequencies(docs: DataFrame) -> Frequencies:
+    """Exact document frequencies over all rows of ``docs``."""
+    docs = _wordy(docs.select("doc_id", "text"))
+    n, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    parts, buckets = max(PARTS, math.ceil(size / PART_BYTES)), max(BUCKETS, math.ceil(size / BUCKET_BYTES))
+    out = Frequencies(None, n, parts)
+    asked = out.part(docs).groupBy("part").applyInArrow(_asker(buckets), "bucket int, part int, hashes array<bigint>, counts array<int>")
+    answers = asked.groupBy("bucket").applyInArrow(_answered, "part int, hashes array<bigint>, frequencies array<bigint>")
+    out.answers = kept(answers, "neardup-frequencies")
+    return out
 
 
 def fitted_weights(docs: DataFrame) -> Weights:
-    """Inverse document frequencies over all rows of ``docs``."""
-    found = summed_blocks(docs.select("text").mapInArrow(_sketched, BLOCK_SCHEMA), WIDTH + 1)
-    counts = np.array([found.get(str(k), np.zeros(WIDTH + 1)) for k in range(DEPTH)], float)
-    n = max(1.0, counts[0, -1])
-    return Weights(1 + np.log1p(n / np.maximum(counts[:, :-1], 1)) / np.log1p(n))
+    """The factors of all shingles of ``docs``, on the driver: for tables whose
+    shared shingles fit there. ``classes`` never collects them."""
+    found = frequencies(docs)
+    rows = found.answers.select(F.explode(F.arrays_zip("hashes", "frequencies")).alias("e")).select("e.*").distinct().toArrow()
+    hashes = rows.column("hashes").to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    return Weights(hashes[order], rows.column("frequencies").to_numpy()[order], found.n)
 
 
 def draws(s: Shingles, weights: np.ndarray) -> np.ndarray:
@@ -164,25 +262,37 @@ def draws(s: Shingles, weights: np.ndarray) -> np.ndarray:
     return out
 
 
-def _signer(held):
-    def run(batches):
-        for batch in batches:
-            ids = batch.column("doc_id")
-            for first, group in grouped(batch.column("text").to_pylist(), DRAW_BYTES):
-                s = shingles(group)
-                some = np.flatnonzero(s.sizes > 0)
-                if not len(some):
-                    continue
-                weights = held.value.of(s.hashes, s.counts)
-                bands = draws(s, weights)
-                total = np.add.reduceat(weights, s.bounds[:-1][some])
-                flat = pa.array(bands.view(np.int64).ravel())
-                yield pa.RecordBatch.from_arrays([
-                    ids.take(pa.array(first + some)), pa.array(s.keys[0, some].view(np.int64)), pa.array(s.keys[1, some].view(np.int64)),
-                    pa.array(total), pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, BANDS, dtype=np.int32)), flat)],
-                    names=["doc_id", "key", "key2", "total", "bands"])
-
-    return run
+def _signed(rows: pa.Table, weighting: Weights):
+    ids = rows.column("doc_id").combine_chunks()
+    for first, group in grouped(rows.column("text").to_pylist(), DRAW_BYTES):
+        s = shingles(group)
+        some = np.flatnonzero(s.sizes > 0)
+        if not len(some):
+            continue
+        weights = weighting.of(s.hashes, s.counts)
+        bands = draws(s, weights)
+        total = np.add.reduceat(weights, s.bounds[:-1][some])
+        flat = pa.array(bands.view(np.int64).ravel())
+        yield pa.RecordBatch.from_arrays([
+            ids.take(pa.array(first + some)), pa.array(s.keys[0, some].view(np.int64)), pa.array(s.keys[1, some].view(np.int64)),
+            pa.array(total), pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, BANDS, dtype=np.int32)), flat)],
+            names=["doc_id", "key", "key2", "total", "bands"])
+
+
+def _sets(rows: pa.Table, weighting: Weights):
+    """The shingle sets of the rows (node, text) whose text has the node's key."""
+    nodes = rows.column("node").combine_chunks().to_numpy()
+    for first, group in grouped(rows.column("text").to_pylist()):
+        s = shingles(group)
+        right = np.flatnonzero(s.keys[0].view(np.int64) == nodes[first:first + len(group)])
+        if not len(right):
+            continue
+        spans = [slice(s.bounds[i], s.bounds[i + 1]) for i in right]
+        factors = weighting.factors(s.hashes)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(nodes[first + right]), _lists([s.hashes[x].view(np.int64) for x in spans], np.int64),
+            _lists([s.counts[x] for x in spans], np.int32), _lists([factors[x] for x in spans], np.float64)],
+            names=["node", "hashes", "counts", "factors"])
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -192,48 +302,37 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return common / (a[1].sum() + b[1].sum() - common)
 
 
-#: Shingle sets that a verifying task keeps for the next pairs.
-_KEPT_SETS = 256
-
+def _set_of(batch: pa.RecordBatch, i: int, side: str = "") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, counts, factors) of a row."""
+    hashes, counts, factors = (batch.column(c + side)[i].values.to_numpy() for c in ("hashes", "counts", "factors"))
+    return hashes.view(np.uint64), counts, factors
 
-def _verifier(held):
-    """Pairs with their texts to pairs with their similarity."""
-    def run(batches):
-        sets: dict = {}
-
-        def weighted(key, text):
-            found = sets.get(key)
-            if found is None:
-                s = shingles([(text or "").encode("utf-8", "replace")])
-                if len(sets) >= _KEPT_SETS:
-                    sets.clear()
-                found = sets[key] = (s.hashes, held.value.of(s.hashes, s.counts))
-            return found
 
-        for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b")), strict=True)
-            found = [similarity(weighted(a, s), weighted(b, t)) for a, b, s, t in rows]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], names=["a", "b", "similar"])
-
-    return run
+def _verified(batches):
+    """Pairs with their shingle sets to pairs with their similarity."""
+    for batch in batches:
+        found = []
+        for i in range(len(batch)):
+            sides = [_set_of(batch, i, side) for side in ("_a", "_b")]
+            found.append(similarity(*((hashes, factors * counts) for hashes, counts, factors in sides)))
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], names=["a", "b", "similar"])
 
 
-def _prefixes(held, threshold: float):
-    """(node, text) to (node, total, tokens, befores): a text's shingles in
+def _prefixes(threshold: float):
+    """A node's shingle set to (node, total, tokens, befores): its shingles in
     order of rarity, then hash, until they outweigh what similar texts may
     differ in, and the weight before each."""
     def run(batches):
         for batch in batches:
             rows: list[list] = [[], [], []]
-            for text in batch.column("text").to_pylist():
-                s = shingles([(text or "").encode("utf-8", "replace")])
-                factor = held.value.of(s.hashes, np.ones(len(s.hashes)))
-                order = np.lexsort((s.hashes, -factor))
-                weight = (factor * s.counts)[order]
+            for i in range(len(batch)):
+                hashes, counts, factor = _set_of(batch, i)
+                order = np.lexsort((hashes, -factor))
+                weight = (factor * counts)[order]
                 before = np.cumsum(weight) - weight
                 total = float(weight.sum())
                 n = int(np.searchsorted(before, (1 - threshold) * total + 1e-6, side="right"))
-                for column, value in zip(rows, (total, s.hashes[order][:n].view(np.int64), before[:n]), strict=True):
+                for column, value in zip(rows, (total, hashes[order][:n].view(np.int64), before[:n]), strict=True):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([
                 batch.column("node"), pa.array(rows[0], pa.float64()), pa.array(rows[1], pa.list_(pa.int64())),
@@ -242,26 +341,22 @@ def _prefixes(held, threshold: float):
     return run
 
 
-def _keyed(held_key: str):
-    """Rows of (class key, text) whose text has that key."""
-    def run(batches):
-        for batch in batches:
-            keys = np.concatenate([shingles(g).keys[0] for _, g in grouped(batch.column("text").to_pylist())] or [np.empty(0, np.uint64)])
-            yield batch.filter(pa.array(keys.view(np.int64) == batch.column(held_key).to_numpy(), pa.bool_()))
-
-    return run
-
-
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, class_id, n_copies, kept of every row: class_id is the least
     doc_id of the documents linked directly or over others, n_copies the number
     of documents with the same words."""
+    with shuffles_freed(docs.sparkSession):
+        return _classes(docs, threshold)
+
+
+def _classes(docs: DataFrame, threshold: float) -> DataFrame:
     spark = docs.sparkSession
     workers_ready(spark)
     docs = docs.select("doc_id", "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    held = spark.sparkContext.broadcast(fitted_weights(docs))
-    signed = kept(docs.mapInArrow(_signer(held), f"doc_id {id_type}, key bigint, key2 bigint, total double, bands array<bigint>"), "neardup-signed")
+    counted = frequencies(docs)
+    signed = kept(counted.weighted(
+        _wordy(docs), _signed, f"doc_id {id_type}, key bigint, key2 bigint, total double, bands array<bigint>"), "neardup-signed")
     nodes = kept(signed.filter("doc_id is not null").groupBy("key").agg(
         F.min("doc_id").alias("rep"), F.countDistinct("doc_id").alias("n_copies"),
         F.first("total").alias("total"), F.first("bands").alias("bands")), "neardup-nodes")
@@ -271,14 +366,14 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     shared = kept(members.join(leaders, ["band", "value"]).select("band", "value", "node", "leader"), "neardup-shared")
     pairs = shared.filter("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     needed = shared.select("node").distinct().join(nodes.select(F.col("key").alias("node"), "rep"), "node")
-    texts = (docs.join(needed.withColumnRenamed("rep", "doc_id"), "doc_id").select("node", "text")
-             .mapInArrow(_keyed("node"), "node bigint, text string").groupBy("node").agg(F.first("text").alias("text")))
-    texts = kept(texts, "neardup-texts")
+    texts = _wordy(docs).join(needed.withColumnRenamed("rep", "doc_id"), "doc_id").select("doc_id", "text", "node")
+    sets = kept(counted.weighted(texts, _sets, "node bigint, hashes array<bigint>, counts array<int>, factors array<double>")
+                .dropDuplicates(["node"]), "neardup-sets")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        sides = [texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in ("a", "b")]
-        rows = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "text_a", "text_b")
-        return kept(rows.mapInArrow(_verifier(held), "a bigint, b bigint, similar double"), name)
+        sides = [sets.select(F.col("node").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in ("hashes", "counts", "factors"))) for c in ("a", "b")]
+        rows = pairs.join(sides[0], "a").join(sides[1], "b")
+        return kept(rows.mapInArrow(_verified, "a bigint, b bigint, similar double"), name)
 
     first = verified(pairs, "neardup-led")
     groups = components(first.filter(F.col("similar") >= threshold).select("a", "b"), "neardup-components")
@@ -287,8 +382,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     labelled = shared.join(groups, "node", "left").select("band", "value", "node", label)
     apart = labelled.groupBy("band", "value").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high")
     rest = kept(labelled.join(apart.select("band", "value"), ["band", "value"]).select("node", "group").distinct(), "neardup-rest")
-    prefixes = (texts.join(rest.select("node"), "node").select("node", "text")
-                .mapInArrow(_prefixes(held, threshold), "node bigint, total double, tokens array<bigint>, befores array<double>"))
+    prefixes = (sets.join(rest.select("node"), "node")
+                .mapInArrow(_prefixes(threshold), "node bigint, total double, tokens array<bigint>, befores array<double>"))
     entries = (prefixes.join(rest, "node").select("node", "group", "total", F.explode(F.arrays_zip("tokens", "befores")).alias("e"))
                .select("node", "group", "total", F.col("e.tokens").alias("token"), F.col("e.befores").alias("before")))
     entries = kept(entries, "neardup-prefixes")
@@ -307,7 +402,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     least = known.groupBy("component").agg(F.min("rep").alias("class_id"))
     known = known.join(least, "component").select("key", "class_id", "n_copies")
     found = signed.filter("doc_id is not null").select("doc_id", "key").join(known, "key").select("doc_id", "key", "class_id", "n_copies")
-    removed(spark, texts)
+    removed(spark, sets, counted.answers)
     return found
 
 

@@ -168,6 +168,20 @@ def test_draws_agree_with_probability_of_the_similarity():
     assert abs(agreed - exact ** neardup.ROWS) < 0.35 and exact > 0.8 and agreed > 0
 
 
+def test_weights_are_those_of_exact_frequencies(spark):
+    # 720,000 shingles of one document each: nearly three to a counter of a sketch of 2^18.
+    docs = spark.range(60_000).selectExpr(
+        "id AS doc_id", "concat_ws(' ', transform(sequence(0, 11), i -> concat('r', id, 'x', i)), 'one two three four', concat('five', id % 100)) AS text")
+    weights = neardup.fitted_weights(docs)
+    assert weights.n == 60_000
+    exact = lambda df: 1 + np.log1p(60_000 / df) / np.log1p(60_000)
+    for i in range(0, 60_000, 977):
+        s = neardup.shingles([f"{' '.join(f'r{i}x{k}' for k in range(12))} one two three four five{i % 100}".encode()])
+        want = [exact(1)] * 12 + [exact(600)]
+        assert sorted(weights.of(s.hashes, s.counts)) == pytest.approx(sorted(want), abs=1e-12)
+    assert neardup.fitted_weights(docs.limit(0)).n == 0
+
+
 def test_near_dedup_edges(edge_docs, no_docs):
     rows = neardup.report(edge_docs, neardup.classes(edge_docs)).collect()
     assert len(rows) == len(EDGE_ROWS)
