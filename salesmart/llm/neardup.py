@@ -263,7 +263,7 @@ def draws(s: Shingles, weights: np.ndarray) -> np.ndarray:
 
 
 def _signed(rows: pa.Table, weighting: Weights):
-    ids = rows.column("doc_id").combine_chunks()
+    ids, text_keys = (rows.column(c).combine_chunks() for c in ("doc_id", "text_key"))
     for first, group in grouped(rows.column("text").to_pylist(), DRAW_BYTES):
         s = shingles(group)
         some = np.flatnonzero(s.sizes > 0)
@@ -274,9 +274,10 @@ def _signed(rows: pa.Table, weighting: Weights):
         total = np.add.reduceat(weights, s.bounds[:-1][some])
         flat = pa.array(bands.view(np.int64).ravel())
         yield pa.RecordBatch.from_arrays([
-            ids.take(pa.array(first + some)), pa.array(s.keys[0, some].view(np.int64)), pa.array(s.keys[1, some].view(np.int64)),
+            ids.take(pa.array(first + some)), text_keys.take(pa.array(first + some)),
+            pa.array(s.keys[0, some].view(np.int64)), pa.array(s.keys[1, some].view(np.int64)),
             pa.array(total), pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, BANDS, dtype=np.int32)), flat)],
-            names=["doc_id", "key", "key2", "total", "bands"])
+            names=["doc_id", "text_key", "key", "key2", "total", "bands"])
 
 
 def _sets(rows: pa.Table, weighting: Weights):
@@ -342,9 +343,10 @@ def _prefixes(threshold: float):
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, class_id, n_copies, kept of every row: class_id is the least
-    doc_id of the documents linked directly or over others, n_copies the number
-    of documents with the same words."""
+    """doc_id, text_key, key, class_id, n_copies of every row with words:
+    class_id is the least doc_id of the documents linked directly or over
+    others, n_copies the number of documents with the same words, text_key a
+    hash of the text, which tells texts of one doc_id apart."""
     with shuffles_freed(docs.sparkSession):
         return _classes(docs, threshold)
 
@@ -356,7 +358,7 @@ def _classes(docs: DataFrame, threshold: float) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
     counted = frequencies(docs)
     signed = kept(counted.weighted(
-        _wordy(docs), _signed, f"doc_id {id_type}, key bigint, key2 bigint, total double, bands array<bigint>"), "neardup-signed")
+        _wordy(docs).withColumn("text_key", F.xxhash64("text")), _signed, f"doc_id {id_type}, text_key bigint, key bigint, key2 bigint, total double, bands array<bigint>"), "neardup-signed")
     nodes = kept(signed.filter("doc_id is not null").groupBy("key").agg(
         F.min("doc_id").alias("rep"), F.countDistinct("doc_id").alias("n_copies"),
         F.first("total").alias("total"), F.first("bands").alias("bands")), "neardup-nodes")
@@ -401,7 +403,7 @@ def _classes(docs: DataFrame, threshold: float) -> DataFrame:
     known = nodes.select("key", "rep", "n_copies").join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     least = known.groupBy("component").agg(F.min("rep").alias("class_id"))
     known = known.join(least, "component").select("key", "class_id", "n_copies")
-    found = signed.filter("doc_id is not null").select("doc_id", "key").join(known, "key").select("doc_id", "key", "class_id", "n_copies")
+    found = signed.filter("doc_id is not null").select("doc_id", "text_key", "key").join(known, "key").select("doc_id", "text_key", "key", "class_id", "n_copies")
     removed(spark, sets, counted.answers)
     return found
 
@@ -416,5 +418,7 @@ def report(docs: DataFrame, found: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, unchanged, less all but one document of each class."""
-    gone = classes(docs, threshold).filter("doc_id != class_id").select(F.col("doc_id").alias("llm_gone_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("llm_gone_id"), "left_anti")
+    gone = classes(docs, threshold).filter("doc_id != class_id").select(
+        F.col("doc_id").alias("llm_gone_id"), F.col("text_key").alias("llm_gone_key")).distinct()
+    # By id and text: of two texts with one id, only the copy goes.
+    return docs.join(gone, (F.col("doc_id") == F.col("llm_gone_id")) & (F.xxhash64("text") == F.col("llm_gone_key")), "left_anti")

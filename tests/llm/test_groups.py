@@ -192,6 +192,13 @@ def test_near_dedup_edges(edge_docs, no_docs):
     assert neardup.deduplicated(no_docs).count() == 0
 
 
+def test_of_two_texts_with_one_id_only_the_copy_goes(spark):
+    copied, own = "a text that two documents hold word for word", "another text that only the second id holds"
+    rows = [(4, copied), (7, copied), (7, own), (9, own.upper())]
+    left = neardup.deduplicated(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(map(tuple, left)) == [(4, copied), (7, own)]
+
+
 # --- embeddings ----------------------------------------------------------
 
 def plain_links(rows, threshold=vectors.THRESHOLD):
