@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesmart.llm.scratch import kept
 from salesmart.llm.textkit import grouped, joined_words, workers_ready, words_of
 
 WINDOW = 10
@@ -262,18 +263,20 @@ def find_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> D
     items (distinct item ids as strings, sorted) of every row of ``docs``."""
     spark = docs.sparkSession
     workers_ready(spark)
-    out = docs.select(
-        "doc_id", "text", F.lit(0).cast("bigint").alias("n_words"), F.expr(f"cast(array() as {SPAN})").alias("spans"),
+    helds = [spark.sparkContext.broadcast(windows_of(b, window)) for b in benchmark_blocks(benchmark)]
+    helds = helds or [spark.sparkContext.broadcast(windows_of([], window))]
+    return _scanned(docs.select("doc_id", "text"), helds).drop("text")
+
+
+def _scanned(rows: DataFrame, helds: list) -> DataFrame:
+    """``rows`` (with a text) and the spans of all blocks in it."""
+    out = rows.select(
+        "*", F.lit(0).cast("bigint").alias("n_words"), F.expr(f"cast(array() as {SPAN})").alias("spans"),
         F.expr(f"cast(array() as {SPAN})").alias("byte_spans"), F.expr("cast(array() as array<string>)").alias("items"))
     schema = out.schema
-    blocks = benchmark_blocks(benchmark)
-    block = next(blocks, [])
-    while block is not None:
-        following = next(blocks, None)
-        held = spark.sparkContext.broadcast(windows_of(block, window))
+    for held in helds:
         out = out.mapInArrow(_scanner(held), schema)
-        block = following
-    return out.drop("text")
+    return out
 
 
 def _shards(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
@@ -288,13 +291,14 @@ def _scanner(held):
             found = [x for _, group in _shards(texts) for x in scan_shard(group, held.value)]
             old = {k: batch.column(k).to_pylist() for k in ("spans", "byte_spans", "items")}
             pairs = {k: [[(s["start"], s["end"]) for s in x] for x in old[k]] for k in ("spans", "byte_spans")}
+            own = batch.schema.names[:-4]
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), batch.column("text"),
+                *(batch.column(c) for c in own),
                 pa.array([x[0] for x in found], pa.int64()),
                 pa.array([_as_structs(merged(a, x[1])) for a, x in zip(pairs["spans"], found, strict=True)], _SPAN_ARROW),
                 pa.array([_as_structs(merged(a, x[3])) for a, x in zip(pairs["byte_spans"], found, strict=True)], _SPAN_ARROW),
                 pa.array([sorted({*a, *(str(i) for i in x[2] if i is not None)}) for a, x in zip(old["items"], found, strict=True)], pa.list_(pa.string())),
-            ], names=["doc_id", "text", "n_words", "spans", "byte_spans", "items"])
+            ], names=[*own, "n_words", "spans", "byte_spans", "items"])
 
     return scan
 
@@ -344,12 +348,50 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     no word is left goes. Documents without a hit stay as they are."""
     spark: SparkSession = docs.sparkSession
     workers_ready(spark)
-    for block in benchmark_blocks(benchmark):
-        held = spark.sparkContext.broadcast(windows_of(block, window))
+    helds = [spark.sparkContext.broadcast(windows_of(b, window)) for b in benchmark_blocks(benchmark)]
+    if len(helds) > 1:
+        return _cut_in_rounds(docs, helds)
+    for held in helds:
         docs = docs.mapInArrow(_cutter(held), docs.schema)
     return docs
 
 
+def _cut_in_rounds(docs: DataFrame, helds: list) -> DataFrame:
+    """``decontaminate`` by several blocks: the spans of all are found on the
+    same text and cut together; texts that changed go through all blocks again."""
+    others = [c for c in docs.schema.fields if c.name != "text"]
+    row = F.struct(F.lit(0).alias("llm_none"), *(docs[f"`{c.name}`"].alias(f"c{k}") for k, c in enumerate(others)))
+    rows = docs.select(row.alias("row"), "text", F.lit(False).alias("hit"))
+    done = []
+    while True:
+        found = kept(_scanned(rows, helds).mapInArrow(
+            _span_cutter, f"row {rows.schema['row'].dataType.simpleString()}, text string, hit boolean, changed boolean, has_words boolean"), "decontaminate-round")
+        done.append(found.filter("not changed"))
+        rows = found.filter("changed and has_words").select("row", "text", "hit")
+        if rows.isEmpty():
+            break
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    columns = {c.name: F.col(f"row.c{k}") for k, c in enumerate(others)} | {"text": F.col("text")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(F.col("hit"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(columns["n_chars"])
+    return out.select(*(columns[c].alias(c) for c in docs.columns))
+
+
+def _span_cutter(batches):
+    """Rows with the byte spans of all blocks to rows less those spans."""
+    for batch in batches:
+        texts, spans, hit = (batch.column(c).to_pylist() for c in ("text", "byte_spans", "hit"))
+        left = [n - sum(s["end"] - s["start"] for s in x) for n, x in zip(*(batch.column(c).to_pylist() for c in ("n_words", "spans")), strict=True)]
+        out = [without(t.encode("utf-8", "replace"), [(s["start"], s["end"]) for s in x]).decode("utf-8") if x else t
+               for t, x in zip(texts, spans, strict=True)]
+        changed = [bool(x) for x in spans]
+        yield pa.RecordBatch.from_arrays([
+            batch.column("row"), pa.array(out, pa.string()), pa.array([a or b for a, b in zip(hit, changed, strict=True)], pa.bool_()),
+            pa.array(changed, pa.bool_()), pa.array([n > 0 for n in left], pa.bool_())], names=["row", "text", "hit", "changed", "has_words"])
+
+
 def _cutter(held):
     def cut(batches):
         for batch in _gathered(batches):

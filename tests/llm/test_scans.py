@@ -147,6 +147,22 @@ def test_benchmark_in_blocks_gives_the_same(spark, monkeypatch, small_docs):
     assert sorted(map(tuple, dc.digest(dc.find_spans(small_docs, b)).collect())) == whole
 
 
+def test_cutting_in_blocks_gives_the_same(spark, monkeypatch):
+    w = [f"w{i}" for i in range(40)]
+    items = [(k, " ".join(w[at:at + 12])) for k, at in enumerate((0, 7, 14, 21))]
+    docs = [(i, " ".join(["own", *w[:n], "end", "x", *w[n - 5:n]]), 7) for i, n in enumerate(range(12, 40))]
+    docs += [(90, " ".join(w[:5] + w[14:26] + w[5:12])), (91, " ".join(w[:26])), (92, None), (93, "clean text. ")]
+    d = spark.createDataFrame([(*r[:2], 7) for r in docs], "doc_id bigint, text string, n_chars int").repartition(3)
+    b = spark.createDataFrame(items, "item_id bigint, text string")
+    rows = lambda: sorted(map(tuple, dc.decontaminate(d, b).collect()))
+    whole = rows()
+    monkeypatch.setattr(dc.benchmark_blocks, "__defaults__", (60,))
+    assert sum(len(x) > 0 for x in dc.benchmark_blocks(b)) > 1
+    assert rows() == whole
+    assert (92, None, 7) in whole and (93, "clean text. ", 7) in whole and not any(r[0] == 91 for r in whole)
+    assert all(plain_hits(t, items)[1] == 0 for _, t, _ in whole)
+
+
 def test_cut_documents_hold_no_window_and_others_stay(spark, small_docs):
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
     out = {r["doc_id"]: r for r in dc.decontaminate(small_docs, spark.createDataFrame(items, "item_id bigint, text string")).collect()}
