@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from salesmart.llm import (
     binary_output,
     decontaminate,
+    fill_middle,
     langid,
     linededup,
+    merkle,
     neardup,
     packing,
+    prefix_bpe,
     quotes,
     secret_scan,
     toxicity,
@@ -92,6 +95,30 @@ def op10_benchmark_decontamination(spark, sf_dir):
     return decontaminate.digest(spans)
 
 
+@query
+def op11_fill_middle(spark, sf_dir):
+    made = fill_middle.restored(fill_middle.arranged(read(spark, sf_dir, "documents")))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
+@query
+def op12_merkle_manifest(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    leaves = merkle.leaves(docs, crc_mod(F.col("doc_id"), 2) == 0, F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    proven = merkle.proven(merkle.manifest(leaves)).withColumn("shown", F.coalesce("changed", "digest"))
+    return merkle.folded(proven, "shown").select(
+        "doc_id", F.col("digest").alias("leaf"), "subroot", "root", F.sha2(F.array_join("proof", ""), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query
+def op13_prefix_bpe(spark, sf_dir):
+    tokens = prefix_bpe.encoded(read(spark, sf_dir, "documents"))
+    tokens = tokens.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                           F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), "ids")
+    return prefix_bpe.decoded(tokens).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 # ------------------------------------------------------------------- SQL
 
 _WORDS = ("regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
@@ -191,3 +218,58 @@ SELECT said.conv_id, said.turn, role, own AS text, COALESCE(n_passages, 0) AS n_
        COALESCE(root.turn, said.turn) AS thread_turn,
        '<|' || COALESCE(role, 'unknown') || '|>' || chr(10) || COALESCE(own, '') || chr(10) AS chat
 FROM said LEFT JOIN answers USING (r) LEFT JOIN roots ON roots.conv_id = said.conv_id AND roots.turn = said.turn"""
+
+ORACLE_SQL["op11_fill_middle"] = """
+WITH d AS (SELECT ROW_NUMBER() OVER () AS r, doc_id, COALESCE(text, '') AS t, length(COALESCE(text, '')) AS n,
+    sha256('1:' || COALESCE(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+drawn AS (SELECT *, CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS p, CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS q,
+    CAST('0x' || h[17:24] AS BIGINT) % 100 AS h3, CAST('0x' || h[25:32] AS BIGINT) % 100 AS h4 FROM d),
+formed AS (SELECT *, LEAST(p, q) AS a, GREATEST(p, q) AS b, CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>')
+    OR contains(t, '<M>') OR h3 >= 90 THEN 'plain' WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+made AS (SELECT *, CASE form WHEN 'plain' THEN t
+    WHEN 'psm' THEN '<P>' || substr(t, 1, a) || '<S>' || substr(t, b + 1) || '<M>' || substr(t, a + 1, b - a)
+    ELSE '<S>' || substr(t, b + 1) || '<P>' || substr(t, 1, a) || '<M>' || substr(t, a + 1, b - a) END AS output FROM formed),
+found AS (SELECT *, strpos(output, '<P>') AS at_p, strpos(output, '<S>') AS at_s, strpos(output, '<M>') AS at_m FROM made),
+back AS (SELECT *, CASE form WHEN 'plain' THEN output
+    WHEN 'psm' THEN substr(output, 4, at_s - 4) || substr(output, at_m + 3) || substr(output, at_s + 3, at_m - at_s - 3)
+    ELSE substr(output, at_p + 3, at_m - at_p - 3) || substr(output, at_m + 3) || substr(output, 4, at_p - 4) END AS restored FROM found)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(output) AS output_sha256, sha256(restored) AS restored_sha256 FROM back"""
+
+
+def _framed_sql(column: str) -> str:
+    return f"COALESCE(strlen(CAST({column} AS VARCHAR)) || ':' || {column}, '-')"
+
+
+_LEAF_SQL = "sha256(" + " || ".join(_framed_sql(c) for c in ("doc_id", "source", "lang", "n_chars")) + " || {0})"
+_UP_SQL = "list_transform(range(0, (len({0}) + 2) // 3), lambda i: sha256(array_to_string({0}[i * 3 + 1:i * 3 + 3], '')))"
+
+# Each tree is a list of digests per level; a leaf's place in a level is place // 3^level.
+# crc32 is not in DuckDB: it is a fold over bits, as the polynomial defines it.
+ORACLE_SQL["op12_merkle_manifest"] = f"""
+WITH RECURSIVE crc_table AS (SELECT list(v ORDER BY b) AS t FROM (SELECT b, list_reduce(list_concat([b], range(0, 8)), lambda x, k:
+    CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS v FROM (SELECT UNNEST(range(0, 256)) AS b))),
+d AS (SELECT ROW_NUMBER() OVER () AS r, *, CASE WHEN doc_id IS NOT NULL THEN xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+      list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+      lambda x, c: xor(x >> 8, t[1 + (xor(x, c) & 255)])), 4294967295) % 2 = 0 ELSE FALSE END AS tampered FROM documents, crc_table),
+leaves AS (SELECT r, doc_id, source, {_LEAF_SQL.format(_framed_sql("text"))} AS leaf,
+    CASE WHEN tampered THEN {_LEAF_SQL.format(_framed_sql("replace(text, chr(10), '')"))} END AS changed FROM d),
+placed AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS place FROM leaves),
+trees AS (SELECT source, 0 AS level, list(leaf ORDER BY place) AS nodes FROM placed GROUP BY source
+  UNION ALL SELECT source, level + 1, {_UP_SQL.format("nodes")} FROM trees WHERE len(nodes) > 1),
+subroots AS (SELECT source, nodes[1] AS subroot, ROW_NUMBER() OVER (ORDER BY source IS NOT NULL, encode(source)) - 1 AS rank FROM trees WHERE len(nodes) = 1),
+over_all AS (SELECT 0 AS level, list(subroot ORDER BY rank) AS nodes FROM subroots
+  UNION ALL SELECT level + 1, {_UP_SQL.format("nodes")} FROM over_all WHERE len(nodes) > 1),
+steps AS (SELECT r, 0 AS part, level, nodes, place // CAST(pow(3, level) AS BIGINT) AS spot FROM placed JOIN trees ON trees.source IS NOT DISTINCT FROM placed.source
+    WHERE len(nodes) > 1
+  UNION ALL SELECT r, 1, level, nodes, rank // CAST(pow(3, level) AS BIGINT) AS spot FROM placed JOIN subroots ON subroots.source IS NOT DISTINCT FROM placed.source, over_all
+    WHERE len(nodes) > 1),
+runs AS (SELECT r, ROW_NUMBER() OVER (PARTITION BY r ORDER BY part, level) AS step, nodes[spot - spot % 3 + 1:spot] AS before, nodes[spot + 2:spot - spot % 3 + 3] AS after FROM steps),
+proofs AS (SELECT r, sha256(string_agg(array_to_string(list_concat(before, after), ''), '' ORDER BY step)) AS proof_sha256 FROM runs GROUP BY r),
+climbs AS (SELECT r, 0 AS step, COALESCE(changed, leaf) AS digest FROM placed
+  UNION ALL SELECT climbs.r, runs.step, sha256(array_to_string(list_concat(before, [digest], after), ''))
+  FROM climbs JOIN runs ON runs.r = climbs.r AND runs.step = climbs.step + 1),
+ends AS (SELECT r, arg_max(digest, step) AS folded_root FROM climbs GROUP BY r)
+SELECT doc_id, leaf, subroot, root, COALESCE(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM placed JOIN ends USING (r) LEFT JOIN proofs USING (r) JOIN subroots ON subroots.source IS NOT DISTINCT FROM placed.source,
+     (SELECT nodes[1] AS root FROM over_all WHERE len(nodes) = 1)"""

@@ -12,6 +12,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +29,8 @@ _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 #: Texts are worked on in groups of about this many bytes.
 GROUP_BYTES = 2_000_000
+#: Size of an Arrow batch sent to a Python worker.
+BATCH_BYTES = 4_000_000
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -79,6 +82,20 @@ def grouped(texts: list[str | None], limit: int = GROUP_BYTES) -> Iterator[tuple
         yield first, group
 
 
+def slices(batch: pa.RecordBatch, other: str = "doc_id", text: str = "text",
+           limit: int = GROUP_BYTES) -> Iterator[tuple[pa.Array, list[bytes]]]:
+    """(values of ``other``, texts as UTF-8 bytes) of runs of rows up to
+    ``limit`` bytes; a longer text is a run of its own. Null counts as empty."""
+    texts = batch.column(text).cast(pa.binary())
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(sizes):
+        before = int(sizes[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(sizes, before + limit, "right")))
+        yield batch.column(other).slice(at, end - at), [t or b"" for t in texts.slice(at, end - at).to_pylist()]
+        at = end
+
+
 def joined_words(group: list[bytes]):
     """Words of a group of texts: (starts, ends, hashes, text offsets, word
     bounds): text i holds the words ``bounds[i]:bounds[i + 1]``."""
@@ -93,11 +110,11 @@ def lowered(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
 
 
-def workers_ready(spark: SparkSession, rows: int = 1000) -> None:
-    """Bounds what one Arrow batch of texts can hold in a Python worker, and
-    lets the workers of a local session import this package from here (a
-    cluster gets it with --py-files)."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def workers_ready(spark: SparkSession) -> None:
+    """Bounds by bytes what one Arrow batch holds in a Python worker, at one
+    value for all operators, and lets the workers of a local session import
+    this package from here (a cluster gets it with --py-files)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
 
 

@@ -46,15 +46,15 @@ def _ranks(model: dict) -> dict[bytes, int] | None:
 
 
 class PieceCache(dict):
-    def __init__(self, prefix: str, encode):
-        self.prefix, self.encode = prefix, encode
+    def __init__(self, prefix: str, encode, most: int = CACHE_PIECES):
+        self.prefix, self.encode, self.most = prefix, encode, most
         self.old: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
             ids = self.encode(self.prefix + piece)
-        if len(self) >= CACHE_PIECES:
+        if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
         self[piece] = ids

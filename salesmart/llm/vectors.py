@@ -255,7 +255,7 @@ def _pair_task(threshold: float):
 
 def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, shard_nodes: int = SHARD_NODES) -> DataFrame:
     """vec_id, n_links, component_id, kept for rows (vec_id, label, embedding)."""
-    workers_ready(rows.sparkSession, 5000)
+    workers_ready(rows.sparkSession)
     rows = rows.select("vec_id", "label", "embedding").distinct()
     value = F.transform("embedding", lambda x: x.cast("double"))
     length = F.aggregate(value, F.lit(0.0), lambda a, x: a + x * x)
