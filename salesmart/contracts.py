@@ -20,7 +20,10 @@ class TableContract:
     name: str
     schema: StructType
     partition_by: tuple[str, ...]
-    mode: str  # default write mode of the load
+    # Default mode of a load: "overwrite" replaces the table, "merge" replaces
+    # the rows of the keys it brings, "append" and "dynamic" as in sinks.
+    mode: str
+    key: str | None = None  # of a merge
 
     @property
     def names(self) -> list[str]:
@@ -51,7 +54,8 @@ PRODUCT = TableContract(
     schema=StructType(_strings("product_key", "sku", "upc", "item_name",
                                "item_description", "department", "category")),
     partition_by=("department",),
-    mode="append",
+    mode="merge",
+    key="product_key",
 )
 
 TRANSACTIONS = TableContract(

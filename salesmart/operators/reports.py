@@ -84,19 +84,19 @@ def sales_by_province(df: DataFrame) -> DataFrame:
 
 
 def sales_by_store(df: DataFrame) -> DataFrame:
-    return sales_by(df, "store_num").orderBy(*report_order("sales_by_store"))
+    return sales_by(df, "store_num")
 
 
 def sales_by_category(df: DataFrame) -> DataFrame:
-    return sales_by(df, "category").orderBy(*report_order("sales_by_category"))
+    return sales_by(df, "category")
 
 
 def sales_by_loyalty_province(df: DataFrame) -> DataFrame:
-    return sales_by(df, "province", "is_member").orderBy(*report_order("sales_by_loyalty_province"))
+    return sales_by(df, "province", "is_member")
 
 
 def sales_by_loyalty(df: DataFrame) -> DataFrame:
-    return sales_by(df, "is_member").orderBy(*report_order("sales_by_loyalty"))
+    return sales_by(df, "is_member")
 
 
 def top_sales(report: DataFrame, key: str, n: int = PREVIEW_ROWS) -> DataFrame:
@@ -240,6 +240,17 @@ def report_bundle(df: DataFrame) -> DataFrame:
     base = (src.groupingSets([[F.col(k) for k in STORE_BASE], [F.col(k) for k in PRODUCT_BASE]],
                              *base_cols)
             .agg(money_partial("sales").alias("_sales"), F.grouping_id(*base_cols).alias("_base")))
+    return rolled_up(base)
+
+
+def base_id(base: tuple[str, ...]) -> int:
+    """``_base`` of the rows that ``base`` groups by."""
+    return _grouping_id_of(STORE_BASE + PRODUCT_BASE, base)
+
+
+def rolled_up(base: DataFrame) -> DataFrame:
+    """The additive reports from partial sums (``_sales``) at the two base
+    grains, told apart by ``_base``."""
     roll_keys = ("_base",) + BASE_KEYS
     roll_cols = [F.col(k) for k in roll_keys]
     sets = [[F.col("_base")] + [F.col(k) for k in ks] for ks in ADDITIVE_SETS.values()]
@@ -249,7 +260,7 @@ def report_bundle(df: DataFrame) -> DataFrame:
     report = F.lit(None).cast("string")
     for name, ks in ADDITIVE_SETS.items():
         match = ((F.col("_gid") == _grouping_id_of(roll_keys, ("_base",) + ks))
-                 & (F.col("_base") == _grouping_id_of(base_keys, _base_of(ks))))
+                 & (F.col("_base") == base_id(_base_of(ks))))
         report = F.when(match, F.lit(name)).otherwise(report)
     return (grouped.select(report.alias("report"), *BASE_KEYS, TOTAL_SALES)
             .where(F.col("report").isNotNull()))
@@ -264,15 +275,22 @@ def metrics_bundle(df: DataFrame, approx_rsd: float | None = None) -> DataFrame:
     expansion that distinct counts need works on that smaller set.
     """
     src = df.select("trans_year", "collector_key", "trans_key", "sales", "units")
+    if approx_rsd is not None:
+        return _by_year_and_loyalty(with_membership(src), _metric_columns(approx_rsd))
     sums = [money_partial("sales").alias("_sales"), F.sum("units").alias("_units")]
-    metrics = [to_money(F.sum("_sales")).alias(TOTAL_SALES), F.sum("_units").cast("bigint").alias("total_units")]
-    if approx_rsd is None:
-        src = with_membership(src.groupBy("trans_year", "trans_key", "collector_key").agg(*sums))
-    else:
-        src = with_membership(src)
-        metrics = _metric_columns(approx_rsd)[:2]
-    metrics += [_distinct("trans_key", approx_rsd).alias("count_distinct_trans_key"),
-                _distinct("collector_key", approx_rsd).alias("count_distinct_collector_key")]
+    return metrics_of(with_membership(src.groupBy("trans_year", "trans_key", "collector_key").agg(*sums)))
+
+
+def metrics_of(rows: DataFrame) -> DataFrame:
+    """Both metric reports from partial sums (``_sales``, ``_units``) by
+    transaction and collector."""
+    return _by_year_and_loyalty(rows, [
+        to_money(F.sum("_sales")).alias(TOTAL_SALES), F.sum("_units").cast("bigint").alias("total_units"),
+        _distinct("trans_key", None).alias("count_distinct_trans_key"),
+        _distinct("collector_key", None).alias("count_distinct_collector_key")])
+
+
+def _by_year_and_loyalty(src: DataFrame, metrics: list[Column]) -> DataFrame:
     keys = [F.col("trans_year"), F.col("is_member")]
     grouped = (src.groupingSets([[F.col("trans_year")], [F.col("is_member")]], *keys)
                .agg(*metrics, F.grouping_id(*keys).alias("_gid")))

@@ -48,6 +48,13 @@ def stage_products(raw: DataFrame) -> DataFrame:
         blank_to_null("category").alias("category")))
 
 
+def merge_by_key(current: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """The rows of ``current`` whose key ``new`` does not bring (a NULL key is a
+    key like any other); with the rows of ``new`` they are the merged table."""
+    keys = new.select(F.col(key).alias("_new_key")).distinct()
+    return current.join(keys, current[key].eqNullSafe(keys["_new_key"]), "left_anti")
+
+
 def clean_transactions(raw: DataFrame, lenient_dates: bool = False) -> DataFrame:
     """Typed transaction rows with audit columns.
 

@@ -49,6 +49,7 @@ PRODUCT_HEADER = ("category", "department", "product_key", "sku", "upc", "item_n
 ISO_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 SLASH_FORMAT = "M/d/yyyy"
 KEY_PAD = 12
+SPOILED_EVERY = 11
 
 
 def e_notation(digits: Column) -> Column:
@@ -57,8 +58,9 @@ def e_notation(digits: Column) -> Column:
                     F.lit("0E+"), (F.length(digits) - 1).cast("string"))
 
 
-def landing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All landing transaction lines as text, tagged by layout name."""
+def landing_lines(spark: SparkSession, sf_dir: str, spoiled: bool = False) -> DataFrame:
+    """All landing transaction lines as text, tagged by layout name;
+    ``spoiled``: every eleventh order has a month and a day past their ends."""
     line = test_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_shipdate")
@@ -69,12 +71,17 @@ def landing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     product = adapter.product_of(F.col("l_partkey"))
     store = adapter.store_of(F.col("l_suppkey"))
     units = F.col("l_quantity").cast("int").cast("string")
+    day = F.col("l_shipdate")
+    bad = (F.col("l_orderkey") % SPOILED_EVERY == 0) if spoiled else F.lit(False)
+    bad_month, bad_day, year = (x.cast("string") for x in (F.month(day) + 12, F.dayofmonth(day) + 31, F.year(day)))
     return adapter.with_orders(spark, sf_dir, line).select(
         name.alias("layout"),
         F.when(cust % adapter.NON_MEMBER_EVERY == 0, F.lit("-1"))
          .when(cust % adapter.NO_CARD_EVERY == 0, F.lit(None).cast("string"))
          .otherwise(cust.cast("string")).alias("collector_key"),
-        F.when(rem == 0, F.date_format("l_shipdate", ISO_TIME_FORMAT))
+        F.when(bad & (rem == 0), F.concat(year, F.lit("-"), bad_month, F.lit("-"), bad_day, F.lit(" 00:00:00")))
+         .when(bad, F.concat(bad_month, F.lit("/"), bad_day, F.lit("/"), year))
+         .when(rem == 0, F.date_format("l_shipdate", ISO_TIME_FORMAT))
          .otherwise(F.date_format("l_shipdate", SLASH_FORMAT)).alias("trans_dt"),
         F.when(rem == 3, F.lpad(store, KEY_PAD, "0")).otherwise(store).alias("store_location_key"),
         F.when(rem == 1, F.lpad(product, KEY_PAD, "0")).otherwise(product).alias("product_key"),
@@ -88,17 +95,20 @@ def landing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_landing(spark: SparkSession, sf_dir: str, landing_dir: str,
-                  layouts: tuple[str, ...] | None = None, spell=str) -> list[str]:
+                  layouts: tuple[str, ...] | None = None, spell=str,
+                  where: Column | None = None, suffix: str = "", spoiled: bool = False) -> list[str]:
     """Write the chosen layouts (default: all) under ``landing_dir``, with
-    header names spelled by ``spell``. The lines are joined once."""
-    lines = landing_lines(spark, sf_dir).checkpoint(eager=True)
+    header names spelled by ``spell``; ``where`` picks lines, ``suffix`` ends the
+    folders' names. The lines are joined once."""
+    lines = landing_lines(spark, sf_dir, spoiled)
+    lines = (lines if where is None else lines.where(where)).checkpoint(eager=True)
     written = []
     for name in layouts or tuple(LAYOUTS):
         _, header = LAYOUTS[name]
         cols = [F.col("trans_key" if c == "trans_id" else c).alias(spell(c)) for c in header]
         (lines.where(F.col("layout") == name).select(*cols)
          .write.mode("overwrite").option("header", True)
-         .csv(f"{landing_dir.rstrip('/')}/{name}"))
+         .csv(f"{landing_dir.rstrip('/')}/{name}{suffix}"))
         written.append(name)
     return written
 
@@ -116,9 +126,15 @@ def write_location_landing(spark: SparkSession, sf_dir: str, landing_dir: str, p
     return path
 
 
-def write_product_landing(spark: SparkSession, sf_dir: str, landing_dir: str) -> str:
-    prod = adapter.products(spark, sf_dir).withColumn(
+def write_product_landing(spark: SparkSession, sf_dir: str, landing_dir: str,
+                          change=None, drop: int | None = None) -> str:
+    """``change`` maps the products to those of one drop, which ``drop`` puts
+    into a folder of its own below product.csv."""
+    prod = adapter.products(spark, sf_dir)
+    prod = (change(prod) if change else prod).withColumn(
         "product_key", F.lpad("product_key", KEY_PAD, "0"))
     path = f"{landing_dir.rstrip('/')}/product.csv"
+    if drop is not None:
+        path = f"{path}/drop={drop}"
     prod.select(*PRODUCT_HEADER).write.mode("overwrite").option("header", True).csv(path)
     return path

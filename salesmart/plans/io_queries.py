@@ -14,12 +14,14 @@ from pyspark.sql.window import Window
 from salesmart.contracts import ENRICHED, LOCATION, PRODUCT, TRANSACTIONS
 from salesmart.functions.keys import (canonical_key, is_member, normalize_trans_key as ntk,
                                       parse_trans_dt)
+from salesmart.operators import gates, partials
 from salesmart.operators import quality as dq
 from salesmart.operators import reports as rep
 from salesmart.operators import staging as stg
 from salesmart.plans import adapter, fixtures
 from salesmart.plans.registry import enriched
 from salesmart.session import scratch_path
+from salesmart.sources import commits
 from salesmart.sources import landing as ld
 from salesmart.sources import sinks
 from salesmart.sources.tables import read_table
@@ -103,7 +105,7 @@ def stage_locations_partial_redrop(spark: SparkSession, sf_dir: str) -> DataFram
     jobs.run(spark, root, "stage-locations")
     fixtures.write_location_landing(spark, sf_dir, f"{root}/landing", part=1)
     jobs.run(spark, root, "stage-locations")
-    return read_table(spark, jobs.Zones(root).location, LOCATION)
+    return commits.snapshot(spark, jobs.Zones(root).location, LOCATION)
 
 
 def stage_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +147,91 @@ def recovered_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     fixtures.write_landing(spark, sf_dir, z.landing)
     jobs.run(spark, root, "stage-transactions")
     jobs.run(spark, root, "stage-transactions")
-    return read_table(spark, z.transactions, TRANSACTIONS)
+    return commits.snapshot(spark, z.transactions, TRANSACTIONS)
+
+
+def product_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping product drops; the second moves its products to another
+    department and renames them: one row per product, its latest version."""
+    from salesmart.plans import jobs
+    root = scratch_path(spark, "zones")
+    landing, key = f"{root}/landing", F.col("product_key").cast("int")
+
+    def moved(products: DataFrame) -> DataFrame:
+        return products.where(key % 3 == 0).withColumns({
+            "department": F.concat(F.lit("NEW "), "department"), "item_name": F.upper("item_name")})
+
+    fixtures.write_product_landing(spark, sf_dir, landing, lambda p: p.where(key % 5 != 4), drop=1)
+    jobs.run(spark, root, "stage-products")
+    fixtures.write_product_landing(spark, sf_dir, landing, moved, drop=2)
+    jobs.run(spark, root, "stage-products")
+    return commits.snapshot(spark, jobs.Zones(root).product, PRODUCT)
+
+
+def gated_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One load per landing layout behind a gate on missing measures: what was
+    published or quarantined, why, and the rows that readers see."""
+    from salesmart.plans import jobs
+    root = scratch_path(spark, "zones")
+    z = jobs.Zones(root)
+    for layout in fixtures.LAYOUTS:
+        fixtures.write_landing(spark, sf_dir, z.landing, (layout,))
+        jobs.run(spark, root, "stage-transactions", gate=gates.Gate(rejected=0.0, sales_filled=0.5, units_filled=0.5))
+    names = ld.read_ledger(spark, f"{z.ledger}/{TRANSACTIONS.name}").select(
+        sinks.LOAD_COLUMN, ld.landing_name(F.col("path")).alias(ld.LANDING_NAME)).distinct()
+    every = (commits.PUBLISHED, commits.QUARANTINED)
+    staged = commits.snapshot(spark, z.transactions, TRANSACTIONS, states=every, keep_load=True)
+    staged = staged.groupBy(sinks.LOAD_COLUMN).agg(F.count("*").alias("staged_rows"))
+    seen = commits.snapshot(spark, z.transactions, TRANSACTIONS, keep_load=True)
+    seen = seen.groupBy(sinks.LOAD_COLUMN).agg(F.count("*").alias("seen_rows"))
+    loads = commits.manifest(spark, z.transactions).join(names, sinks.LOAD_COLUMN).join(staged, sinks.LOAD_COLUMN)
+    return loads.join(seen, sinks.LOAD_COLUMN, "left").select(
+        ld.LANDING_NAME, "state", "reason", "staged_rows", F.coalesce("seen_rows", F.lit(0).cast("bigint")).alias("seen_rows"))
+
+
+def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing lines whose date cannot be, as the rejects table has them: their
+    text, the reason and the landing file they came from."""
+    from salesmart.plans import jobs
+    root = scratch_path(spark, "zones")
+    z = jobs.Zones(root)
+    fixtures.write_landing(spark, sf_dir, z.landing, spoiled=True)
+    jobs.run(spark, root, "stage-transactions")
+    return spark.read.parquet(z.rejects).select(
+        *ld.LANDING_TRANSACTION_COLUMNS, stg.REJECT_REASON, ld.landing_name(F.col(ld.SOURCE_FILE)).alias(ld.LANDING_NAME))
+
+
+def lenient_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines under a lenient calendar: months and days past their ends
+    roll over; only impossible ISO dates are still rejected."""
+    from salesmart.plans import jobs
+    root = scratch_path(spark, "zones")
+    z = jobs.Zones(root)
+    fixtures.write_landing(spark, sf_dir, z.landing, spoiled=True)
+    jobs.run(spark, root, "stage-transactions", lenient_dates=True)
+    return commits.snapshot(spark, z.transactions, TRANSACTIONS)
+
+
+def distinct_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct transactions and collectors by year and by loyalty, exact and
+    from one table of monthly sketches: whether each estimate is within three
+    standard errors."""
+    sales = enriched(spark, sf_dir)
+    path = scratch_path(spark, "sketches")
+    sinks.write_table(partials.partials(sales)["sketches"], path, partials.SKETCHES)
+    sketches = read_table(spark, path, partials.SKETCHES)
+    out = None
+    for key in ("trans_year", "is_member"):
+        near = partials.sketched_counts(sketches, key).withColumnsRenamed(
+            {"count_distinct_trans_key": "near_trans", "count_distinct_collector_key": "near_collectors"})
+        rows = rep.metrics_by(sales, key).join(near, key)
+        fits = [(F.abs(F.col(n) - F.col(c)) <= 3 * partials.SKETCH_ERROR * F.col(c)).alias(a) for n, c, a in (
+            ("near_trans", "count_distinct_trans_key", "trans_within"),
+            ("near_collectors", "count_distinct_collector_key", "collectors_within"))]
+        part = rows.select(F.lit(key).alias("grouping"), F.col(key).cast("string").alias("value"),
+                           "count_distinct_trans_key", "count_distinct_collector_key", *fits)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def enrich_after_dimension_change(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,18 +270,31 @@ def _positions(name: str):
 
 
 def empty_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A landing folder without transaction files: no rows, all columns."""
-    root = scratch_path(spark, "landing")
-    fixtures.write_location_landing(spark, sf_dir, root)
-    return stg.accepted(stg.clean_transactions(ld.read_transactions(
-        spark, ld.landing_paths(ld.list_files(spark, root)))))
+    """Landing files of which one has only a header and one not a byte: the
+    rows of the others."""
+    from salesmart.plans import jobs
+    root = scratch_path(spark, "zones")
+    z = jobs.Zones(root)
+    fixtures.write_landing(spark, sf_dir, z.landing, ("trans_fact_5", "trans_fact_4"))
+    fixtures.write_landing(spark, sf_dir, z.landing, ("trans_fact_6",), where=F.lit(False))
+    spark.createDataFrame([], "value string").coalesce(1).write.text(f"{z.landing}/trans_fact_8")
+    jobs.run(spark, root, "stage-transactions")
+    return commits.snapshot(spark, z.transactions, TRANSACTIONS)
 
 
 def schema_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Columns and types of the enriched frame, in order."""
-    fields = enriched(spark, sf_dir).schema.fields
-    return spark.createDataFrame([(i, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)],
-                                 "place int, column_name string, column_type string")
+    """The written enriched table, column by column: its place, the type that
+    the files themselves hold (partition columns: the contract's, folders have
+    none) and how many values it has."""
+    path = scratch_path(spark, "enrichment") + "/transactions"
+    sinks.write_table(enriched(spark, sf_dir), path, ENRICHED, mode="overwrite")
+    files = dict(spark.read.parquet(path).dtypes)
+    types = {f.name: f.dataType.simpleString() if f.name in ENRICHED.partition_by else files[f.name] for f in ENRICHED.schema}
+    counts = read_table(spark, path, ENRICHED).agg(*[F.count(c).alias(c) for c in ENRICHED.names])
+    known = F.create_map(*[x for i, (c, t) in enumerate(types.items()) for x in (F.lit(c), F.struct(F.lit(i).alias("place"), F.lit(t).alias("type")))])
+    return counts.unpivot([], ENRICHED.names, "column_name", "value_count").select(
+        known[F.col("column_name")]["place"].alias("place"), "column_name",
+        known[F.col("column_name")]["type"].alias("column_type"), "value_count")
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,10 +394,38 @@ def report_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _zone_with_landing(spark, sf_dir)
     for action in jobs.ACTIONS:
         jobs.run(spark, root, action)
+    return _report_lines(spark, jobs.Zones(root).reporting)
+
+
+def report_run_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same reports, folded from monthly partial results after new files:
+    first all sales but those of one quarter, then that quarter's, for whose
+    months alone sales are enriched and partial results rewritten."""
+    from salesmart.plans import jobs
+    root = scratch_path(spark, "zones")
+    z = jobs.Zones(root)
+    fixtures.write_location_landing(spark, sf_dir, z.landing)
+    fixtures.write_product_landing(spark, sf_dir, z.landing)
+    late = F.trunc(parse_trans_dt("trans_dt"), "quarter") == F.lit(LATE_QUARTER).cast("date")
+    fixtures.write_landing(spark, sf_dir, z.landing, where=~late)
+    for action in jobs.ACTIONS[:4]:
+        jobs.run(spark, root, action)
+    jobs.run(spark, root, "reporting", months=["all"])
+    fixtures.write_landing(spark, sf_dir, z.landing, where=late, suffix="_late")
+    months = jobs.run(spark, root, "stage-transactions")["months"]
+    jobs.run(spark, root, "enrich", months=months)
+    jobs.run(spark, root, "reporting", months=months)
+    return _report_lines(spark, z.reporting)
+
+
+# First day of the quarter whose sales come late.
+LATE_QUARTER = "1995-04-01"
+
+
+def _report_lines(spark: SparkSession, reporting: str) -> DataFrame:
     out = None
     for name, columns in rep.REPORT_COLUMNS.items():
-        csv = ld.spark_read_strings(
-            spark, f"{jobs.Zones(root).reporting}/{rep.REPORT_FOLDERS[name]}", columns)
+        csv = ld.spark_read_strings(spark, f"{reporting}/{rep.REPORT_FOLDERS[name]}", columns)
         cols = [F.lit(name).alias("report")]
         for target, kind in REPORT_LINE_TYPES.items():
             source = next((c for c in columns if c in RANK_COLUMNS), None) \
@@ -370,6 +497,12 @@ IO_QUERIES = {
     "stage_locations_partial_redrop": stage_locations_partial_redrop,
     "header_variants": header_variants,
     "recovered_load": recovered_load,
+    "product_versions": product_versions,
+    "gated_loads": gated_loads,
+    "rejected_rows": rejected_rows,
+    "lenient_dates": lenient_dates,
+    "distinct_sketches": distinct_sketches,
+    "report_run_incremental": report_run_incremental,
     "enrich_after_dimension_change": enrich_after_dimension_change,
     **{f"{n}_ordered": _positions(n) for n in ("sales_by_store", "sales_by_category", "sales_by_loyalty_province", "sales_by_loyalty")},
     "empty_landing": empty_landing,

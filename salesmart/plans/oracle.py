@@ -393,8 +393,64 @@ WHERE rem = 0 GROUP BY r_name""",
     "sales_by_category_ordered": _ordered("total_sales DESC NULLS LAST, category NULLS FIRST", "category"),
     "sales_by_loyalty_province_ordered": _ordered("province NULLS FIRST, is_member NULLS FIRST", "province", "is_member"),
     "sales_by_loyalty_ordered": _ordered("is_member NULLS FIRST", "is_member"),
-    "empty_landing": f"{BASE} SELECT {TXN_COLUMNS} FROM txn WHERE 1 = 0",
-    "schema_contract": "\nUNION ALL\n".join(
-        f"SELECT CAST({i} AS INTEGER) AS place, '{c}' AS column_name, '{_ENRICHED_TYPES.get(c, 'string')}' AS column_type"
+    "empty_landing": f"{LANDING} SELECT {CLEAN_COLUMNS} FROM raw WHERE rem IN (0, 1)",
+    "schema_contract": BASE + "\nUNION ALL\n".join(
+        f"SELECT CAST({i} AS INTEGER) AS place, '{c}' AS column_name, '{_ENRICHED_TYPES.get(c, 'string')}' AS column_type, "
+        f"COUNT({c}) AS value_count FROM enriched"
         for i, c in enumerate(_ENRICHED_NAMES)),
 })
+
+
+# ------------------------------------- versions, gates, rejects, partial results
+
+# Landing lines of which every eleventh order has a month and a day past their
+# ends, and the date a lenient calendar makes of them.
+SPOILED = LANDING + """,
+spoiled AS (
+  SELECT *, CAST(k AS BIGINT) % 11 = 0 AS bad,
+         CASE WHEN CAST(k AS BIGINT) % 11 <> 0 THEN trans_dt_text
+              WHEN rem = 0 THEN YEAR(trans_dt) || '-' || (MONTH(trans_dt) + 12) || '-' || (DAY(trans_dt) + 31) || ' 00:00:00'
+              ELSE (MONTH(trans_dt) + 12) || '/' || (DAY(trans_dt) + 31) || '/' || YEAR(trans_dt) END AS bad_text,
+         CASE WHEN CAST(k AS BIGINT) % 11 <> 0 THEN trans_dt
+              ELSE CAST(make_date(YEAR(trans_dt), 1, 1) + to_months(CAST(MONTH(trans_dt) + 11 AS INTEGER))
+                        + to_days(CAST(DAY(trans_dt) + 30 AS INTEGER)) AS DATE) END AS rolled
+  FROM raw)
+"""
+
+REJECTED_ROWS = f"""{SPOILED}
+SELECT collector_key, bad_text AS trans_dt, store_location_key_text AS store_location_key, product_key_text AS product_key,
+       sales_text AS sales, units_text AS units, trans_key_text AS trans_key,
+       'unparseable trans_dt' AS reject_reason, landing_name
+FROM spoiled WHERE bad"""
+
+LENIENT_DATES = f"""{SPOILED}
+SELECT s AS store_location_key, p AS product_key, collector_key, rolled AS trans_dt, sales, units, k AS trans_key,
+       CAST(YEAR(rolled) AS INTEGER) AS trans_year, CAST(MONTH(rolled) AS INTEGER) AS trans_month
+FROM spoiled WHERE NOT bad OR rem <> 0"""
+
+PRODUCT_VERSIONS = f"""{BASE}
+SELECT product_key, sku, upc, CASE WHEN moved THEN upper(item_name) ELSE item_name END AS item_name, item_description,
+       CASE WHEN moved THEN 'NEW ' || department ELSE department END AS department, category
+FROM (SELECT *, CAST(product_key AS INTEGER) % 3 = 0 AS moved FROM prod)
+WHERE moved OR CAST(product_key AS INTEGER) % 5 <> 4"""
+
+GATED_LOADS = f"""{LANDING}
+SELECT landing_name, CASE WHEN rem IN (2, 3) THEN 'quarantined' ELSE 'published' END AS state,
+       CASE rem WHEN 2 THEN 'rows without units: ' || COUNT(*) || ' of ' || COUNT(*)
+                WHEN 3 THEN 'rows without sales: ' || COUNT(*) || ' of ' || COUNT(*) END AS reason,
+       COUNT(*) AS staged_rows, CASE WHEN rem IN (2, 3) THEN 0 ELSE COUNT(*) END AS seen_rows
+FROM raw GROUP BY landing_name, rem"""
+
+DISTINCT_SKETCHES = BASE + "\nUNION ALL\n".join(
+    f"SELECT '{key}' AS grouping, CAST({key} AS VARCHAR) AS value, COUNT(DISTINCT trans_key) AS count_distinct_trans_key, "
+    f"COUNT(DISTINCT collector_key) AS count_distinct_collector_key, TRUE AS trans_within, TRUE AS collectors_within "
+    f"FROM enriched GROUP BY {key}" for key in ("trans_year", "is_member"))
+
+ORACLE_SQL.update({
+    "product_versions": PRODUCT_VERSIONS,
+    "gated_loads": GATED_LOADS,
+    "rejected_rows": REJECTED_ROWS,
+    "lenient_dates": LENIENT_DATES,
+    "distinct_sketches": DISTINCT_SKETCHES,
+    "report_run_incremental": REPORT_RUN,
+})

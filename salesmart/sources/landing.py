@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from salesmart.contracts import LANDING_TRANSACTION_COLUMNS  # noqa: F401 (re-exported)
+from salesmart.sources.tables import path_exists
 
 # Fixed names of the landing zone.
 TRANSACTION_GLOB = "trans_fact_*"
@@ -82,12 +83,9 @@ def freeze(files: DataFrame) -> DataFrame:
 
 
 def read_ledger(spark: SparkSession, ledger_dir: str) -> DataFrame:
-    try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_dir)
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], LEDGER_SCHEMA)
-        raise
+    if not path_exists(spark, ledger_dir):
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_dir)
 
 
 def new_files(listing: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -109,8 +107,9 @@ PROBE_CHUNK_BYTES = 1 << 16
 def _first_line(uri: str) -> tuple[str | None, bool]:
     """First non-empty line of a file, however long; nothing after it is read.
 
-    Returns ``(line, True)``, or ``(None, False)`` when this filesystem cannot
-    be opened from Python (the caller then falls back to a Spark text scan).
+    Returns ``(line, True)``, with no line for a file without text or one that
+    is gone, or ``(None, False)`` when this filesystem cannot be opened from
+    Python (the caller then falls back to a Spark text scan).
     """
     from pyarrow import fs as pafs
     try:
@@ -131,6 +130,8 @@ def _first_line(uri: str) -> tuple[str | None, bool]:
                         return line, True
                 if not chunk:
                     return None, True
+    except FileNotFoundError:  # listed, but gone since: nothing to read
+        return None, True
     except Exception:  # noqa: BLE001 - unsupported scheme, credentials, ...
         return None, False
 

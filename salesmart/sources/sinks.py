@@ -34,7 +34,7 @@ def write_table(df: DataFrame, path: str, contract: TableContract, mode: str | N
     split a partition value that holds a large share of the rows over
     several tasks instead of sending it to one.
     """
-    mode = mode or contract.mode
+    mode = mode or ("append" if load_id is not None else contract.mode)
     if mode not in MODES:
         raise ValueError(f"unknown write mode {mode!r}; expected one of {MODES}")
     out = contract.conform(df)

@@ -8,13 +8,15 @@ micro-batch loads exactly the files it discovered:
 2. ``foreachBatch`` groups the batch's files by header layout, reads each
    layout as strings, cleans, and appends accepted rows to the staging table
    (rejected rows, as landing text, go to a rejects table next to it);
-3. the batch's files are written to the ledger under ``stream-<batch id>``.
+3. the batch's files are written to the ledger under ``stream-<batch id>``, and
+   the table's manifest publishes that load, so readers see whole batches.
 
 The stream checkpoint records which files were offered in which batch, so a
 rerun over the same landing folder loads nothing twice. A batch replayed
 after a crash keeps its batch id: its rows are written under
-``load_id=stream-<batch id>`` and the replay replaces them, and if its ledger
-entry exists the batch was fully written and is skipped altogether. ``trigger(availableNow=True)`` processes what
+``load_id=stream-<batch id>``; the replay first deletes them, and if its ledger
+entry exists the batch was fully written and is skipped altogether. Files
+that are gone by the time of a replay are left out. ``trigger(availableNow=True)`` processes what
 is there and stops, which suits scheduled runs.
 """
 
@@ -27,8 +29,10 @@ from pyspark.sql.types import (BinaryType, LongType, StringType, StructField,
 
 from salesmart.contracts import TRANSACTIONS
 from salesmart.operators import staging as stg
+from salesmart.sources import commits
 from salesmart.sources import landing as ld
 from salesmart.sources import sinks
+from salesmart.sources.tables import path_exists
 
 BINARY_FILE_SCHEMA = StructType([
     StructField("path", StringType(), False),
@@ -46,8 +50,13 @@ def _loader(spark: SparkSession, table_dir: str, ledger_dir: str, rejects_dir: s
     entry is written."""
     def load(files: DataFrame, load_id: str, refuse) -> None:
         ledger = ld.read_ledger(spark, ledger_dir)
+        commits.begin(spark, table_dir, ledger)
         if not ledger.where(F.col("load_id") == load_id).isEmpty():
             return  # replay of a load that was fully written
+        # What a run of this load that stopped had written, whether or not the
+        # files it came from are still there.
+        commits.drop_load(spark, table_dir, load_id, len(TRANSACTIONS.partition_by))
+        commits.drop_load(spark, rejects_dir, load_id, 0)
         files = ld.freeze(ld.new_files(files, ledger))
         layouts, refused = ld.header_layouts(spark, ld.landing_paths(files), ld.LANDING_TRANSACTION_COLUMNS)
         if refused:
@@ -58,7 +67,6 @@ def _loader(spark: SparkSession, table_dir: str, ledger_dir: str, rejects_dir: s
         raw = ld.read_layouts(spark, layouts, ld.LANDING_TRANSACTION_COLUMNS)
         clean = stg.clean_transactions(raw, lenient_dates=lenient_dates).observe(
             obs, F.count_if(F.col(stg.REJECT_REASON).isNotNull()).alias("rejected"))
-        # Scoped to the load: a replay (same id) replaces this output.
         sinks.write_table(stg.accepted(clean), table_dir, TRANSACTIONS, load_id=load_id)
         if obs.get["rejected"]:  # only then pay a second pass for the rejects
             (stg.rejects(raw, lenient_dates).withColumn(sinks.LOAD_COLUMN, F.lit(load_id))
@@ -66,6 +74,7 @@ def _loader(spark: SparkSession, table_dir: str, ledger_dir: str, rejects_dir: s
              .partitionBy(sinks.LOAD_COLUMN).parquet(rejects_dir))
         loaded = files.where(~F.col("path").isin(list(refused))) if refused else files
         ld.record_loaded(loaded, ledger_dir, load_id)
+        commits.decide(spark, table_dir, load_id, commits.PUBLISHED)
     return load
 
 
@@ -93,12 +102,9 @@ def _listed(files: DataFrame) -> DataFrame:
 def _retry_pending(spark: SparkSession, load, pending_dir: str, landing_dir: str, glob: str) -> None:
     """Files refused by an earlier batch, as they are now: those that can be
     read meanwhile are loaded, under an id that follows from their listing."""
-    try:
-        paths = spark.read.schema(PENDING_SCHEMA).parquet(pending_dir).select("path").distinct()
-    except Exception as e:  # nothing was ever refused
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return
-        raise
+    if not path_exists(spark, pending_dir):  # nothing was ever refused
+        return
+    paths = spark.read.schema(PENDING_SCHEMA).parquet(pending_dir).select("path").distinct()
     files = ld.freeze(ld.list_files(spark, landing_dir, glob).join(paths, "path", "left_semi"))
     mark = files.agg(F.sum(F.xxhash64("path", "modification_time", "length").cast("decimal(20,0)"))).first()[0]
     if mark is not None:
