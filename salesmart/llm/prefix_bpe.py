@@ -13,12 +13,13 @@ last tokens of as many places as the longest token has bytes are the old ones.
 A text is split by the tokenizer's pattern and each match is encoded alone; a
 match that is a token is that token. Between two white-space runs, texts are
 cut into units (a space and the word after it, or white space) that no match
-crosses, so each distinct unit is split and encoded once by a worker.
+crosses. A slice of texts encodes each distinct unit that the worker's cache lacks
+once, in order: neighbours share the table of what they begin with.
 
 The vocabulary (a fixed file) is read on the driver; each token's last merge is
 found there, and the tables are broadcast. Work is one pass without a
-shuffle; a worker holds a bounded cache of units until its task ends, and a few
-megabytes of texts, or one longer text.
+shuffle; a worker holds a bounded cache of units, and a few megabytes of texts, or one
+longer text.
 
 Defined cases: null text is empty and has no ids; rows with equal or null
 ``doc_id`` are encoded each on its own; special tokens' strings are ordinary
@@ -41,19 +42,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.textkit import slices, workers_ready
-from salesmart.llm.tokens import PieceCache
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Units, and matches, kept by one task in each of two generations.
-CACHE_UNITS = 100_000
+#: Units kept by one worker in each of two generations of two caches.
+CACHE_UNITS = 150_000
 #: Pairs of tokens whose seam has been looked at, kept by one worker.
-CACHE_PAIRS = 200_000
+CACHE_PAIRS = 400_000
 _NEVER = 1 << 30
 
 #: White space as the pattern's \s has it (Unicode's White_Space).
 _SPACE = "\t-\r \x85\xa0  -     　"
-#: Any but single spaces and line breaks between other characters.
-_UNEVEN = re.compile(f"\\A[{_SPACE}]|[{_SPACE}]\\Z|[{_SPACE}][{_SPACE}]|(?![ \n])[{_SPACE}]")
+#: Strings that a text with other white space than single spaces and line breaks
+#: between other characters has, or begins or ends with.
+_UNEVEN = ["  ", " \n", "\n ", "\n\n", *(chr(c) for c in range(0x3001) if c not in (10, 32) and re.match(f"[{_SPACE}]", chr(c)))]
+_ENDS = ("", " ", "\n")
 _UNIT = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
 
@@ -99,6 +101,7 @@ class Vocabulary:
         self.token = [b""] * len(self.merges)
         for token, rank in ranks.items():
             self.token[rank] = token
+        self.size = [len(t) for t in self.token]
         left, right = self.merges.T.tolist()
         self.longest = max(map(len, ranks))
         # Finds the tokens that end at a place, the longest first; bytes stand
@@ -154,6 +157,37 @@ class Vocabulary:
         return answer
 
 
+def extend(v: Vocabulary, text: str, last, start: int, stop: int) -> None:
+    """Appends to ``last`` the last tokens of the prefixes of ``text`` (bytes as
+    Latin-1) up to ``stop``; ``last`` holds those of shorter prefixes, and no
+    token that ends behind them begins before ``start``."""
+    known, together, append = v.known.get, v.together, last.append
+    done = len(last)
+    for at, token_of in v.found.iter(text, start, stop):
+        if at == done:  # the place's token is not known yet
+            size, token = token_of
+            if at >= size:
+                pair = last[at - size] << 16 | token
+                fits = known(pair)
+                if fits is None:
+                    fits = together(pair)
+                if not fits:
+                    continue
+            append(token)
+            done += 1
+
+
+def walked_back(v: Vocabulary, last) -> list[int]:
+    """The ids of a string, from its end, given the last token of each prefix."""
+    out, at, size = [], len(last) - 1, v.size
+    while at >= 0:
+        token = last[at]
+        out.append(token)
+        at -= size[token]
+    out.reverse()
+    return out
+
+
 class Prefixes:
     """The last token of every prefix of a byte string that is one match."""
 
@@ -167,19 +201,8 @@ class Prefixes:
 
     def _extend(self, stop: int) -> None:
         """Last tokens of the prefixes up to ``stop`` bytes."""
-        v, last = self.vocabulary, self.last
-        known, together = v.known.get, v.together
-        done, text = len(last), self.data.decode("latin-1")
-        for at, (size, token) in v.found.iter(text, max(0, done + 1 - v.longest), stop):
-            if at < done:
-                continue
-            if at >= size:
-                pair = (last[at - size] << 16) | token
-                fits = known(pair)
-                if not (together(pair) if fits is None else fits):
-                    continue
-            last.append(token)
-            done += 1
+        done = len(self.last)
+        extend(self.vocabulary, self.data.decode("latin-1"), self.last, max(0, done + 1 - self.vocabulary.longest), stop)
 
     def replace(self, start: int, end: int, new: bytes) -> int:
         """Puts ``new`` in place of bytes start..end; returns how many last
@@ -199,14 +222,7 @@ class Prefixes:
     def ids(self) -> list[int]:
         """Ids of the whole string."""
         whole = self.vocabulary.ranks.get(self.data)
-        if whole is not None:
-            return [whole]
-        out, at = [], len(self.data)
-        while at:
-            out.append(self.last[at - 1])
-            at -= len(self.vocabulary.token[out[-1]])
-        out.reverse()
-        return out
+        return walked_back(self.vocabulary, self.last) if whole is None else [whole]
 
 
 def _pattern():
@@ -216,29 +232,97 @@ def _pattern():
     return regex.compile(PATTERN)
 
 
+class Cache(dict):
+    """Ids by unit, in two generations: a full one becomes the old one, whose
+    units in use move back."""
+
+    def __init__(self):
+        self.old: dict[str, bytes] = {}
+
+    def lacking(self, seen: set[str]) -> list[str]:
+        """The units of ``seen`` that are in neither generation."""
+        if len(self) >= CACHE_UNITS:
+            self.old = dict(self)
+            self.clear()
+        out = []
+        for unit in seen.difference(self):
+            ids = self.old.get(unit)
+            if ids is None:
+                out.append(unit)
+            else:
+                self[unit] = ids
+        return out
+
+
 class Encoder:
-    """Ids of texts (uint32 bytes), with bounded caches of units and matches."""
+    """Ids of texts (uint32 bytes), with bounded caches of units: as they are,
+    and after a space."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary, self.pattern = vocabulary, _pattern()
-        self.match = PieceCache("", self._match, CACHE_UNITS)
-        self.unit, self.spaced = PieceCache("", self._unit, CACHE_UNITS), PieceCache(" ", self._unit, CACHE_UNITS)
+        self.plain, self.spaced = Cache(), Cache()
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text. The units that the caches lack are encoded
+        together, once each."""
+        cut, plain, spaced = [], {"\n"}, set()
+        for text in texts:
+            if text[:1] in _ENDS or text[-1] in _ENDS or any(x in text for x in _UNEVEN):
+                units = _UNIT.findall(text)
+                plain.update(units)
+                cut.append((True, units))
+            else:
+                lines = [line.split(" ") for line in text.split("\n")]
+                for words in lines:
+                    plain.add(words[0])
+                    spaced.update(words[1:])
+                cut.append((False, lines))
+        lacking = [(self.plain, u, u) for u in self.plain.lacking(plain)]
+        lacking += [(self.spaced, u, " " + u) for u in self.spaced.lacking(spaced)]
+        parts = [[u] if u.isalpha() or (u[:1] == " " and u[1:].isalpha()) else self.pattern.findall(u) for _, _, u in lacking]
+        ids = self.match_ids({m for matches in parts for m in matches})
+        for (cache, key, _), matches in zip(lacking, parts, strict=True):
+            cache[key] = ids[matches[0]] if len(matches) == 1 else b"".join([ids[m] for m in matches])
+        first, rest = self.plain.__getitem__, self.spaced.__getitem__
+        line_break = first("\n")
+        return [b"".join(map(first, x)) if uneven else line_break.join([first(words[0]) + b"".join(map(rest, words[1:])) for words in x])
+                for uneven, x in cut]
 
-    def _match(self, match: str) -> bytes:
-        return array("I", Prefixes(self.vocabulary, match.encode()).ids()).tobytes()
+    def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
+
+    def match_ids(self, matches: set[str]) -> dict[str, bytes]:
+        """Ids of single matches, taken in order, so that one table serves them
+        all: what a match shares with the one before stays, the rest is appended."""
+        v, out = self.vocabulary, {}
+        last: list[int] = []
+        before = ""
+        for text, match in sorted((m.encode().decode("latin-1"), m) for m in matches):
+            whole = v.ranks.get(text.encode("latin-1"))
+            if whole is not None:
+                out[match] = array("I", (whole,)).tobytes()
+                continue
+            shared = 0
+            for a, b in zip(before, text, strict=False):
+                if a != b:
+                    break
+                shared += 1
+            del last[shared:]
+            extend(v, text, last, max(0, shared + 1 - v.longest), len(text))
+            before = text
+            out[match] = array("I", walked_back(v, last)).tobytes()
+        return out
 
-    def _unit(self, unit: str) -> bytes:
-        matches = self.pattern.findall(unit)
-        return self._match(unit) if len(matches) == 1 else b"".join(map(self.match.__getitem__, matches))
 
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if _UNEVEN.search(text):
-            return b"".join(map(self.unit.__getitem__, _UNIT.findall(text)))
-        first, rest = self.unit.__getitem__, self.spaced.__getitem__
-        lines = [line.split(" ") for line in text.split("\n")]
-        return first("\n").join([first(words[0]) + b"".join(map(rest, words[1:])) for words in lines])
+_encoders: dict[int, Encoder] = {}
+
+
+def _encoder(vocabulary: Vocabulary) -> Encoder:
+    """This worker's encoder for a broadcast vocabulary."""
+    if id(vocabulary) not in _encoders:
+        _encoders.clear()
+        _encoders[id(vocabulary)] = Encoder(vocabulary)
+    return _encoders[id(vocabulary)]
 
 
 class EditedText:
@@ -317,10 +401,10 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        encode = Encoder(held.value).encode
+        encode_all = _encoder(held.value).encode_all
         for batch in batches:
             for ids, texts in slices(batch):
-                lists = _id_lists([encode(t.decode("utf-8", "replace")) for t in texts])
+                lists = _id_lists(encode_all([t.decode("utf-8", "replace") for t in texts]))
                 yield pa.RecordBatch.from_arrays([ids, lists], names=["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, ids array<int>")
