@@ -114,7 +114,7 @@ def binary_rows(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID,
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         tokens = encoder(held)
-        dtype = "<u2" if max(tokens.tokenizer.get_vocab_size(), end_id + 1, pad_id + 1) <= 1 << 16 else "<u4"
+        dtype = "<u2" if max(tokens.n_ids, end_id + 1, pad_id + 1) <= 1 << 16 else "<u4"
         width = np.dtype(dtype).itemsize
         end, pad = np.array([end_id], "<u4").tobytes(), np.array([pad_id], dtype).tobytes()
         types = {"row_id": pa.int64(), "ids": pa.binary(), "n_tokens": pa.int64(), "cu_seqlens": pa.list_(pa.int32()),

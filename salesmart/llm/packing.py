@@ -6,16 +6,18 @@ own. The others are placed by classes of falling size: class k holds the
 lengths in (capacity / 2^(k+1), capacity / 2^k].
 
 A round of a class takes the waiting pieces and the sequences with room (gaps;
-one with room for several of the class counts as several equal slots), orders
-both by size, and sweeps from large to small: a gap opens a bracket, a piece
-closes the one opened last, which is the smallest gap that holds it. Pieces
-and gaps of one size are told apart by rank. The sweep runs as a distributed
-bracket matching: counts by (size, kind, bucket) give each row its depth, and
-at one depth a piece's partner is the row just before it, so the rows of a
-depth are at most two for each size. Then room is updated, and rounds repeat
-until no gap holds a waiting piece; what still waits opens new sequences, equal
-parts of the capacity together. Class 0 fits no two together, so it opens its
-sequences at once.
+one with room for several of the class counts as several equal brackets, but
+stays one row), orders both by size, and sweeps from large to small: a gap opens
+its brackets, a piece closes the one opened last, which is of the smallest gap
+that holds it. Pieces and gaps of one size are told apart by rank, a running sum
+of brackets. The sweep runs as a distributed bracket matching: sums by (size,
+kind, bucket) give each row its depth, so a gap is an interval of levels and a
+piece is one level; blocks of neighbouring levels are swept apart, each by one
+task, and a piece takes the gap that opened its level last. At one level there are
+at most two rows for each size, which bounds a block. Then room is updated, and
+rounds repeat until no gap holds a waiting piece; what still waits opens new
+sequences, equal parts of the capacity together. Class 0 fits no two together,
+so it opens its sequences at once.
 
 Every round is written to the shared scratch folder; a lost executor repeats
 at most one round. Only counts reach the driver.
@@ -42,8 +44,10 @@ from salesmart.llm.tokens import encoder, tokenizer_json
 
 CAPACITY = 1024
 END_ID = 2
-#: Rows of one size that one task ranks together.
-BUCKET_ROWS = 200_000
+#: Rows of one size are ranked in so many buckets at least, of so many rows at most.
+BUCKETS, BUCKET_ROWS = 256, 200_000
+#: Levels that one task sweeps together.
+BLOCK_LEVELS = 256
 
 _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -68,116 +72,147 @@ def tokenized_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = EN
     schema = _PIECES.replace("bigint", id_type, 1) + (", ids binary" if keep_ids else "")
 
     def cut(batches):
-        encode = encoder(held).encode
+        tokens = encoder(held)
         for batch in batches:
-            columns: list[list] = [[] for _ in range(6)]
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text").to_pylist(), strict=True):
-                data = encode(text) + end
+            rows, columns = [], [[] for _ in range(5)]
+            for row, text in enumerate(batch.column("text").to_pylist()):
+                data = tokens.encode(text) + end
                 for piece, (start, length) in enumerate(piece_bounds(len(data) // 4, capacity)):
                     ids = data[4 * start:4 * (start + length)]
-                    for column, value in zip(columns, (doc_id, piece, start, length, zlib.crc32(ids), ids), strict=True):
+                    rows.append(row)
+                    for column, value in zip(columns, (piece, start, length, zlib.crc32(ids), ids), strict=True):
                         column.append(value)
-            types = [batch.schema.field("doc_id").type, pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-            n = 6 if keep_ids else 5
-            arrays = [pa.array([x.as_py() for x in columns[0]], types[0]), *(pa.array(c, t) for c, t in zip(columns[1:n], types[1:n], strict=True))]
-            yield pa.RecordBatch.from_arrays(arrays, names=names[:n])
+            types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()][:5 if keep_ids else 4]
+            names = ["piece", "start", "length", "ids_crc32", "ids"][:len(types)]
+            made = [pa.array(c, t) for c, t in zip(columns, types, strict=False)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(rows, pa.int32())), *made], names=["doc_id", *names])
 
     return docs.select("doc_id", "text").mapInArrow(cut, schema)
 
 
-def _ranked(rows: DataFrame, groups: list[str], within: list[str], by, n_buckets: int) -> DataFrame:
-    """Adds ``rank`` (from 1) of each row in its (groups, within), where a
-    group may hold any share of the rows: ranks count inside hashed buckets,
-    to which the counts of the buckets before are added."""
-    keys = [*groups, *within]
+def _ranked(rows: DataFrame, keys: list[str], by, n_buckets: int) -> DataFrame:
+    """Adds ``before``: the sum of ``weight`` over the rows before a row among
+    those of its ``keys``, which may be any share of all: sums run inside hashed
+    buckets, to which the sums of the buckets before are added."""
     rows = rows.withColumn("bucket", F.pmod(by, F.lit(n_buckets)))
-    counts = rows.groupBy(*keys, "bucket").agg(F.count("*").alias("n"))
-    before = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select(*keys, "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
-    own = F.row_number().over(Window.partitionBy(*keys, "bucket").orderBy(by))
-    return (rows.withColumn("own", own).join(F.broadcast(counts), [*keys, "bucket"])
-            .withColumn("rank", F.col("own") + F.col("earlier")).drop("bucket", "own", "earlier"))
+    sums = rows.groupBy(*keys, "bucket").agg(F.sum("weight").alias("n"))
+    earlier = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*keys, "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("earlier"))
+    own = F.sum("weight").over(Window.partitionBy(*keys, "bucket").orderBy(by, "id").rowsBetween(Window.unboundedPreceding, -1))
+    return (rows.withColumn("own", F.coalesce(own, F.lit(0))).join(sums, [*keys, "bucket"])
+            .withColumn("before", F.col("own") + F.col("earlier")).drop("bucket", "own", "earlier"))
+
+
+def _sweep(levels: int):
+    """The pieces (kind 1) of one block of levels with the gap each takes."""
+    def run(block: pa.Table) -> pa.Table:
+        block = block.sort_by([("size", "descending"), ("kind", "ascending"), ("before", "ascending")])
+        kinds, ids, sizes, lows, highs = (block.column(c).to_numpy() for c in ("kind", "id", "size", "low", "high"))
+        if not (kinds == 0).any():
+            return pa.table({"uid": ids, "size": sizes, "seq": pa.nulls(len(ids), pa.int64())})
+        first = int(block.column("block")[0].as_py()) * levels
+        opened = [-1] * levels
+        taken = np.full(len(ids), -1, np.int64)
+        for row, (kind, low, high) in enumerate(zip(kinds.tolist(), (lows - first).tolist(), (highs - first).tolist(), strict=True)):
+            if kind:
+                taken[row], opened[low] = opened[low], -1
+            else:
+                low, high = max(low, 0), min(high, levels - 1)
+                opened[low:high + 1] = [row] * (high + 1 - low)
+        pieces = np.flatnonzero(kinds == 1)
+        partner = taken[pieces]
+        return pa.table({"uid": ids[pieces], "size": sizes[pieces], "seq": pa.array(ids[partner], mask=partner < 0)})
+
+    return run
 
 
 def _matched(waiting: DataFrame, gaps: DataFrame, largest: int, n_buckets: int) -> DataFrame:
-    """One round: the waiting pieces (uid, size) with seq and slot, null for
-    those without a gap. Bounds: sizes and buckets bound all broadcast counts."""
-    several = F.greatest(F.lit(1), F.floor(F.col("room") / F.lit(largest)))
-    slots = gaps.withColumn("several", several).select(
-        F.lit(0).alias("kind"), F.floor(F.col("room") / F.col("several")).cast("bigint").alias("size"),
-        F.col("seq").alias("id"), F.explode(F.sequence(F.lit(0), F.col("several").cast("int") - 1)).alias("slot"))
-    rows = waiting.select(F.lit(1).alias("kind"), "size", F.col("uid").alias("id"), F.lit(0).alias("slot")).unionByName(slots)
+    """One round: the waiting pieces (uid, size) with seq, null for those
+    without a gap. Depths, at most two for each size, are broadcast."""
+    several = F.greatest(F.lit(1), F.floor(F.col("room") / F.lit(largest))).cast("bigint")
+    gaps = gaps.select(F.lit(0).alias("kind"), F.floor(F.col("room") / several).cast("bigint").alias("size"), F.col("seq").alias("id"), several.alias("weight"))
+    rows = waiting.select(F.lit(1).alias("kind"), "size", F.col("uid").alias("id"), F.lit(1).cast("bigint").alias("weight")).unionByName(gaps)
     # The row's own hash orders it inside its bucket, so ranks are the same
     # whenever a task is run again.
-    by = F.xxhash64("id", "slot", "kind")
-    ranked = _ranked(rows, ["kind"], ["size"], by, n_buckets)
-    totals = rows.groupBy("size", "kind").agg(F.count("*").alias("n"))
+    ranked = _ranked(rows, ["kind", "size"], F.xxhash64("id", "kind"), n_buckets)
+    totals = rows.groupBy("size", "kind").agg(F.sum("weight").alias("n"))
     earlier = Window.orderBy(F.desc("size"), "kind").rowsBetween(Window.unboundedPreceding, -1)
     step = F.when(F.col("kind") == 0, F.col("n")).otherwise(-F.col("n"))
     depths = totals.select("size", "kind", F.coalesce(F.sum(step).over(earlier), F.lit(0)).alias("depth"))
-    level = F.when(F.col("kind") == 0, F.col("depth") + F.col("rank")).otherwise(F.col("depth") - F.col("rank") + 1)
-    leveled = ranked.join(F.broadcast(depths), ["size", "kind"]).withColumn("level", level)
-    order = Window.partitionBy("level").orderBy(F.desc("size"), "kind")
-    partner = F.lag(F.when(F.col("kind") == 0, F.struct("id", "slot"))).over(order)
-    return (leveled.withColumn("partner", partner).filter(F.col("kind") == 1)
-            .select(F.col("id").alias("uid"), "size", F.col("partner.id").alias("seq"), F.col("partner.slot").alias("slot")))
+    low = F.when(F.col("kind") == 0, F.col("depth") + F.col("before") + 1).otherwise(F.col("depth") - F.col("before"))
+    leveled = ranked.join(F.broadcast(depths), ["size", "kind"]).withColumn("low", low)
+    leveled = leveled.withColumn("high", F.col("low") + F.col("weight") - 1)
+    in_block = lambda c: F.floor(F.col(c) / F.lit(BLOCK_LEVELS))
+    # A gap has at most `capacity` brackets, so it reaches into few blocks.
+    rows = leveled.withColumn("block", F.explode(F.sequence(in_block("low"), in_block("high"))))
+    return rows.select("block", "kind", "size", "id", "before", "low", "high").groupBy("block").applyInArrow(
+        _sweep(BLOCK_LEVELS), "uid bigint, size bigint, seq bigint")
 
 
 def _opened(waiting: DataFrame, capacity: int, n_buckets: int) -> DataFrame:
     """New sequences: pieces of which ``parts`` fit together, in order of size,
     so many to a sequence, which is named by its first piece."""
     parts = F.floor(F.lit(capacity) / F.col("size")).cast("int")
-    rows = waiting.select("uid", "size", parts.alias("parts"))
-    ranked = _ranked(rows, ["parts"], ["size"], F.xxhash64("uid"), n_buckets)
-    totals = rows.groupBy("parts", "size").agg(F.count("*").alias("n"))
+    rows = waiting.select(F.col("uid").alias("id"), "size", parts.alias("parts"), F.lit(1).cast("bigint").alias("weight"))
+    ranked = _ranked(rows, ["parts", "size"], F.xxhash64("id"), n_buckets)
+    totals = rows.groupBy("parts", "size").agg(F.count("*").alias("n"))  # one row a size
     earlier = Window.partitionBy("parts").orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select("parts", "size", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("larger"))
-    place = F.col("rank") + F.col("larger") - 1
+    place = F.col("before") + F.col("larger")
     rows = (ranked.join(F.broadcast(totals), ["parts", "size"])
-            .select("uid", "size", "parts", F.floor(place / F.col("parts")).alias("bin"), (place % F.col("parts")).cast("int").alias("slot")))
-    first = F.first("uid").over(Window.partitionBy("parts", "bin").orderBy("slot"))
-    return rows.select("uid", "size", first.alias("seq"), "slot")
+            .select(F.col("id").alias("uid"), "size", "parts", F.floor(place / F.col("parts")).alias("bin"), place.alias("place")))
+    first = F.first("uid").over(Window.partitionBy("parts", "bin").orderBy("place"))
+    return rows.select("uid", "size", first.alias("seq"))
 
 
 def best_fit(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """uid, sequence_id, offset for pieces (uid unique, length 1..capacity)."""
     spark = pieces.sparkSession
+    workers_ready(spark)
     sizes = pieces.select("uid", F.col("length").alias("size"))
     counts = {r["size"]: r["count"] for r in sizes.groupBy("size").count().collect()}  # at most `capacity` rows
-    n_buckets = max(32, max(counts.values(), default=0) // BUCKET_ROWS)
-    full = sizes.filter(F.col("size") == capacity).select("uid", F.col("uid").alias("seq"), "size", F.lit(0).alias("round"), F.lit(0).alias("slot"))
-    high, rounds, placed, spent = capacity, 0, [], []
+    n_buckets = max(BUCKETS, max(counts.values(), default=0) // BUCKET_ROWS)
+    full = sizes.filter(F.col("size") == capacity).select("uid", F.col("uid").alias("seq"), "size", F.lit(0).alias("round"))
+    least = min(counts, default=capacity)
+    high, rounds, placed, spent, rooms, held = capacity, 0, [], [], None, None
     while high:
         low = high // 2
         some = [s for s in counts if low < s <= high and s < capacity]
         if some:
             waiting = sizes.filter((F.col("size") > low) & (F.col("size") <= high) & (F.col("size") < capacity))
             n_waiting, smallest = sum(counts[s] for s in some), min(some)
-            while n_waiting and placed and high <= capacity // 2:
-                taken = functools.reduce(DataFrame.unionByName, placed)
-                gaps = taken.groupBy("seq").agg((F.lit(capacity) - F.sum("size")).alias("room")).filter(F.col("room") >= smallest)
+            while n_waiting and rooms is not None and high <= capacity // 2:
                 rounds += 1
-                found = kept(_matched(waiting, gaps, max(some), n_buckets), f"pack-{rounds}")
+                found = kept(_matched(waiting, rooms.filter(F.col("room") >= smallest), max(some), n_buckets), f"pack-{rounds}")
                 n, left, smallest_left = found.agg(F.count("seq"), F.count("*") - F.count("seq"), F.min(F.when(F.col("seq").isNull(), F.col("size")))).first()
                 if not n:
                     spent.append(found)
                     break
-                placed.append(found.filter("seq is not null").select("uid", "seq", "size", F.lit(rounds).alias("round"), "slot"))
+                new = found.filter("seq is not null")
+                placed.append(new.select("uid", "seq", "size", F.lit(rounds).alias("round")))
+                used = new.groupBy("seq").agg(F.sum("size").alias("used"))
+                if held is not None:
+                    spent.append(held)
+                room = F.col("room") - F.coalesce("used", F.lit(0))
+                rooms = rooms.join(used, "seq", "left").select("seq", room.alias("room")).filter(F.col("room") >= least)
+                rooms = held = kept(rooms, f"pack-rooms-{rounds}")
                 waiting, n_waiting, smallest = found.filter("seq is null").select("uid", "size"), left, smallest_left
             if n_waiting:
                 rounds += 1
                 new = (_opened(waiting, capacity, n_buckets) if high <= capacity // 2
-                       else waiting.select("uid", "size", F.col("uid").alias("seq"), F.lit(0).alias("slot")))
-                new = kept(new.select("uid", "seq", "size", F.lit(rounds).alias("round"), "slot"), f"pack-{rounds}")
+                       else waiting.select("uid", "size", F.col("uid").alias("seq")))
+                new = kept(new.select("uid", "seq", "size", F.lit(rounds).alias("round")), f"pack-{rounds}")
                 placed.append(new)
+                more = new.groupBy("seq").agg((F.lit(capacity) - F.sum("size")).alias("room")).filter(F.col("room") >= least)
+                rooms = more if rooms is None else rooms.unionByName(more)
         high = low
-    removed(spark, *spent)
-    taken = functools.reduce(DataFrame.unionByName, placed, full.limit(0) if placed else full.limit(0))
-    order = Window.partitionBy("seq").orderBy("round", "slot", "uid").rowsBetween(Window.unboundedPreceding, -1)
+    taken = functools.reduce(DataFrame.unionByName, placed, full.limit(0))
+    order = Window.partitionBy("seq").orderBy("round", "uid").rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("size").over(order), F.lit(0)).cast("bigint")
-    return (taken.select("uid", F.col("seq").alias("sequence_id"), offset.alias("offset"))
-            .unionByName(full.select("uid", F.col("seq").alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))))
+    result = (taken.select("uid", F.col("seq").alias("sequence_id"), offset.alias("offset"))
+              .unionByName(full.select("uid", F.col("seq").alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))))
+    removed(spark, *spent)
+    return result
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID,

@@ -12,6 +12,7 @@ ids (then both give the same ids; tested), by ``tokenizers`` otherwise.
 
 from __future__ import annotations
 
+import functools
 import json
 from array import array
 
@@ -66,10 +67,9 @@ class Encoder:
     bytes, as ``Tokenizer.encode(text, add_special_tokens=False)`` has them."""
 
     def __init__(self, tokenizer_json: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.source = tokenizer_json
         spec = json.loads(tokenizer_json)
+        self.n_ids = 1 + max([*spec["model"]["vocab"].values(), *(x["id"] for x in spec.get("added_tokens", []))])
         self.specials = [x["content"] for x in spec.get("added_tokens", [])]
         ranks = _ranks(spec["model"])
         encode = self._whole
@@ -80,7 +80,14 @@ class Encoder:
             core = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
             encode = lambda text: array("I", core(text)).tobytes()
         self.at_start, self.after_space = PieceCache("", encode), PieceCache(" ", encode)
-        self.line_break = self._whole("\n")
+        self.line_break = encode("\n")
+
+    @functools.cached_property
+    def tokenizer(self):
+        """The library's own object, made when a text first needs it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_str(self.source)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -112,7 +119,8 @@ _encoders: dict[int, Encoder] = {}
 
 
 def encoder(held) -> Encoder:
-    """This worker's encoder for a broadcast tokenizer file."""
+    """This worker's encoder for a broadcast tokenizer file. Its pieces stay for
+    the worker's next tasks: encoding them anew in each costs a third more."""
     key = hash(held.value)
     if key not in _encoders:
         _encoders.clear()

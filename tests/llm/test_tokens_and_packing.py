@@ -102,6 +102,56 @@ def test_one_length_may_hold_most_pieces(spark):
     assert check_packing(out, 1024) <= best_fit_decreasing_bins(sizes, 1024) * 1.02 + 1
 
 
+def test_thousands_of_tiny_pieces_make_few_rows(spark, monkeypatch):
+    """A gap with room for hundreds of pieces stays one row, or one for each
+    block of levels it reaches into."""
+    rng = random.Random(9)
+    sizes = [rng.randint(2, 12) for _ in range(4000)] + [rng.randint(300, 700) for _ in range(500)]
+    pieces = spark.createDataFrame(list(enumerate(sizes)), "uid bigint, length bigint").repartition(3)
+    swept, real_matched = [], packing._matched
+
+    def counting(waiting, gaps, *rest):
+        rows = real_matched(waiting, gaps, *rest)
+        swept.append((waiting.count() + gaps.count(), rows))
+        return rows
+    monkeypatch.setattr(packing, "_matched", counting)
+    out = packing.best_fit(pieces).join(pieces, "uid").collect()
+    assert len(out) == len(sizes)
+    assert check_packing(out, 1024) <= best_fit_decreasing_bins(sizes, 1024) * 1.02 + 1
+    assert swept
+    for given, rows in swept:
+        plan = rows._jdf.queryExecution().logical().toString()
+        assert plan.count("explode(sequence(floor") == 1 and rows.count() <= given
+
+
+@pytest.mark.parametrize("levels", [1, 4, 256])
+def test_blocks_of_levels_match_as_one_sweep(spark, monkeypatch, levels):
+    monkeypatch.setattr(packing, "BLOCK_LEVELS", levels)
+    rng = random.Random(levels)
+    waiting = [(i, rng.randint(20, 40)) for i in range(120)]
+    gaps = [(1000 + i, rng.randint(20, 300)) for i in range(40)]
+    rows = packing._matched(spark.createDataFrame(waiting, "uid bigint, size bigint"),
+                            spark.createDataFrame(gaps, "seq bigint, room bigint"), 40, 8).collect()
+    assert sorted(r["uid"] for r in rows) == [i for i, _ in waiting]
+    used, room = {}, dict(gaps)
+    for r in rows:
+        if r["seq"] is not None:
+            used.setdefault(r["seq"], []).append(r["size"])
+    for seq, sizes in used.items():
+        several = max(1, room[seq] // 40)
+        assert len(sizes) <= several and max(sizes) <= room[seq] // several
+    # As a plain sweep: from large to small, a piece takes the bracket opened last.
+    brackets, taken = [], 0
+    events = [(room // max(1, room // 40), 0, max(1, room // 40)) for _, room in gaps] + [(s, 1, 1) for _, s in waiting]
+    for _, kind, n in sorted(events, key=lambda e: (-e[0], e[1])):
+        if kind == 0:
+            brackets += [1] * n
+        elif brackets:
+            brackets.pop()
+            taken += 1
+    assert sum(map(len, used.values())) == taken
+
+
 def test_packing_edges(edge_docs, no_docs):
     rows = packing.pack(edge_docs).collect()
     assert {r["doc_id"] for r in rows} == {i for i, _ in EDGE_ROWS}
