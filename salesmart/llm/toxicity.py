@@ -11,6 +11,9 @@ task holds more than a part. The model is 2^BITS weights, whatever the input.
 
 A text's score is that of its most toxic window: a text is taken whole, in
 windows of about ``WINDOW_CHARS`` characters, so harmless length hides nothing.
+A regression runs until its training texts are told apart with room to spare, so
+that the windows of a long harmless text, of which there are many to be
+suspected in, stay below the threshold.
 
 Defined cases: null or wordless text has no features and scores the bias
 alone; labels that are null or neither 0 nor 1 teach nothing; a document with
@@ -31,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.ngrams import BLOCK_SCHEMA, block_batches, hashed, summed_blocks, sums
-from salesmart.llm.scratch import kept
+from salesmart.llm.scratch import kept, removed
 from salesmart.llm.textkit import workers_ready
 
 ORDERS, BITS = (3, 4, 5), 18
@@ -40,7 +43,9 @@ MAX_DOCS = {1: 4_000, 0: 8_000}
 PART_DOCS = 1_500
 WINDOW_CHARS = 3_000
 #: Smoothing of the ratios; L2 penalty and steps of the regressions.
-ALPHA, PENALTY, STEPS, RATE = 1.0, 1e-5, 80, 0.05
+ALPHA, PENALTY, STEPS, RATE = 1.0, 1e-5, 300, 0.05
+#: Characters of windows whose features are held at once.
+HELD_CHARS = 300_000
 #: Divides the scaled features, about the root of their number in a window.
 SCALE = 30.0
 
@@ -172,16 +177,38 @@ def fit(docs: DataFrame, labels: DataFrame, most: dict[int, int] | None = None)
     parts = int(np.ceil(sum(v[-1] for v in found.values()) / PART_DOCS))
     numbered = rows.withColumn("part", F.least(F.floor(F.col("place") * parts), F.lit(parts - 1)))
     fitted = numbered.groupBy("part").applyInPandas(_fit_part(held), "weights array<float>, bias double").collect()
+    removed(spark, rows)
     return Model(np.mean([r["weights"] for r in fitted], 0).astype(np.float32), float(np.mean([r["bias"] for r in fitted])))
 
 
+def margins(texts: list[str], model: Model) -> np.ndarray:
+    """The margin of each normalised text's most toxic window. Features are held
+    for a group of windows at a time."""
+    best = np.full(len(texts), -np.inf)
+    owners: list[int] = []
+    group: list[str] = []
+    size = 0
+
+    def judge() -> None:
+        offsets, buckets = features(group)
+        np.maximum.at(best, owners, sums(model.weights[buckets], offsets) + model.bias)
+
+    for i, text in enumerate(texts):
+        for window in windows(text):
+            if group and size + len(window) > HELD_CHARS:
+                judge()
+                owners, group, size = [], [], 0
+            owners.append(i)
+            group.append(window)
+            size += len(window)
+    if group:
+        judge()
+    return best
+
+
 def score_texts(texts: list[str | None], model: Model) -> np.ndarray:
-    """Probability of the label 1 for each text: that of its largest window."""
-    cut = [windows(normalised(t)) for t in texts]
-    offsets, buckets = features([w for x in cut for w in x])
-    margins = sums(model.weights[buckets], offsets) + model.bias
-    first = np.cumsum([0, *(len(x) for x in cut[:-1])])
-    best = np.maximum.reduceat(margins, first) if len(cut) else np.zeros(0)
+    """Probability of the label 1 for each text: that of its most toxic window."""
+    best = margins([normalised(t) for t in texts], model)
     return 1 / (1 + np.exp(-np.clip(best, -700, 700)))
 
 
