@@ -18,10 +18,9 @@ are used, so other columns cannot clash.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +34,8 @@ MAX_LANGS = 200
 #: Added to each count.
 SMOOTHING = 0.5
 
-_OTHER = re.compile(r"[\W\d_]+")
+#: Whatever is no letter: numerals such as a half or a square are none.
+_OTHER = regex.compile(r"\P{L}+")
 
 
 def normalised(text: str | None) -> str:

@@ -1,7 +1,8 @@
 """Line dedup by an exact set-similarity join.
 
-A line's tokens are its distinct five-word shingles; a line of fewer words has
-none and matches nothing. Lines match at a Jaccard similarity of 0.8 or more.
+A line's tokens are its distinct five-word shingles; a line of fewer words is
+one shingle of all its words, so it matches lines of the same words only, and a
+line without a word matches nothing. Lines match at a Jaccard similarity of 0.8 or more.
 A line goes if it matches any earlier line; lines are ordered by document id,
 then by place in the text.
 
@@ -79,12 +80,12 @@ def _line_groups(texts: list[str], wanted: list | None = None):
 
 def _with_shingles(owners: list[int], numbers: list[int], group: list[bytes]):
     s = shingles(group, SHINGLE)
-    long = np.flatnonzero(s.sizes >= SHINGLE)
+    some = np.flatnonzero(s.sizes > 0)
     counts = np.diff(s.bounds)
-    keep = np.repeat(s.sizes >= SHINGLE, counts)
-    bounds = np.concatenate([[0], np.cumsum(counts[long])])
-    return np.array(owners)[long], np.array(numbers, np.int32)[long], Shingles(
-        bounds, s.hashes[keep], s.counts[keep], s.keys[:, long], s.sizes[long])
+    keep = np.repeat(s.sizes > 0, counts)
+    bounds = np.concatenate([[0], np.cumsum(counts[some])])
+    return np.array(owners)[some], np.array(numbers, np.int32)[some], Shingles(
+        bounds, s.hashes[keep], s.counts[keep], s.keys[:, some], s.sizes[some])
 
 
 def _counter(tokens: np.ndarray) -> np.ndarray:

@@ -158,10 +158,10 @@ ORACLE_SQL["op9_line_dedup"] = f"""
 WITH docs AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
 lines AS (SELECT doc_id, i - 1 AS line_no, {_WORDS.format("ls[i]")} AS w
   FROM (SELECT doc_id, ls, UNNEST(range(1, len(ls) + 1)) AS i FROM docs WHERE text IS NOT NULL AND doc_id IS NOT NULL)),
-numbered AS (SELECT doc_id, line_no, w, ROW_NUMBER() OVER (ORDER BY doc_id, line_no) AS place FROM lines WHERE len(w) >= 5),
+numbered AS (SELECT doc_id, line_no, w, ROW_NUMBER() OVER (ORDER BY doc_id, line_no) AS place FROM lines WHERE len(w) > 0),
 classes AS (SELECT w, MIN(place) AS first FROM numbered GROUP BY w),
 tokens AS (SELECT DISTINCT first, array_to_string(list_slice(w, i, i + 4), ' ') AS token
-  FROM (SELECT first, w, UNNEST(range(1, len(w) - 3)) AS i FROM classes)),
+  FROM (SELECT first, w, UNNEST(range(1, GREATEST(len(w) - 3, 2))) AS i FROM classes)),
 sizes AS (SELECT first, COUNT(*) AS n FROM tokens GROUP BY first),
 common AS (SELECT a.first AS later, b.first AS earlier, COUNT(*) AS n
   FROM tokens a JOIN tokens b ON a.token = b.token AND a.first > b.first GROUP BY ALL),
@@ -188,24 +188,29 @@ quoting AS (SELECT DISTINCT r FROM lines WHERE level > 0),
 said AS (SELECT m.*, CASE WHEN text IS NULL THEN NULL WHEN quoting.r IS NULL THEN text ELSE COALESCE(own, '') END AS own,
     quoting.r IS NOT NULL AS quotes FROM m LEFT JOIN quoting USING (r) LEFT JOIN own USING (r)),
 runs AS (SELECT *, SUM(CASE WHEN level <> before THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS run FROM marked),
-passages AS (SELECT r, run, MIN(level) AS level, trim(regexp_replace(lower(string_agg(body, chr(10) ORDER BY i)), '\s+', ' ', 'g')) AS whole,
-    MAX({'n': length(trim(regexp_replace(lower(body), '\s+', ' ', 'g'))), 'line': trim(regexp_replace(lower(body), '\s+', ' ', 'g'))}) AS longest
-  FROM runs WHERE level > 0 GROUP BY r, run),
+bodies AS (SELECT r, run, MIN(level) AS level, string_agg(body, chr(10) ORDER BY i) AS body FROM runs WHERE level > 0 GROUP BY r, run),
+passages AS (SELECT r, run, level, trim(regexp_replace(lower(body), '\s+', ' ', 'g')) AS whole,
+    list_distinct(list_filter(list_transform(list_concat(string_split(body, chr(10)), string_split_regex(body, '\n\s*\n')),
+      lambda x: trim(regexp_replace(lower(x), '\s+', ' ', 'g'))), lambda x: x <> '')) AS parts FROM bodies),
 placed AS (SELECT * FROM said WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
 sources AS (SELECT 'whole' AS kind, trim(regexp_replace(lower(own), '\s+', ' ', 'g')) AS key, conv_id, turn FROM placed WHERE own IS NOT NULL
-  UNION ALL SELECT 'longest', trim(regexp_replace(lower(line), '\s+', ' ', 'g')), conv_id, turn
-  FROM (SELECT conv_id, turn, UNNEST(string_split(own, chr(10))) AS line FROM placed WHERE own IS NOT NULL)),
+  UNION ALL SELECT 'part', trim(regexp_replace(lower(part), '\s+', ' ', 'g')), conv_id, turn
+  FROM (SELECT conv_id, turn, UNNEST(list_concat(string_split(own, chr(10)), string_split_regex(own, '\n\s*\n'))) AS part FROM placed WHERE own IS NOT NULL)),
 inside AS (SELECT kind, key, conv_id, MIN(turn) AS turn FROM sources WHERE key <> '' GROUP BY ALL),
 anywhere AS (SELECT kind, key, MIN({'conv': conv_id, 'turn': turn}) AS source FROM sources WHERE key <> '' GROUP BY kind, key),
-asked AS (SELECT r, run, level, kind, CASE kind WHEN 'whole' THEN whole ELSE longest.line END AS key, conv_id, turn
-  FROM passages JOIN placed USING (r), (VALUES ('whole'), ('longest')) AS kinds(kind)),
-linked AS (SELECT a.r, a.run, a.level, CASE
+asked AS (SELECT q.r, run, level, kind, key, chars, conv_id, turn FROM
+  (SELECT r, run, level, 'whole' AS kind, whole AS key, 0 AS chars FROM passages
+   UNION ALL SELECT r, run, level, 'part', part, length(part) FROM (SELECT r, run, level, UNNEST(parts) AS part FROM passages)) q
+  JOIN placed ON placed.r = q.r),
+linked AS (SELECT a.r, a.run, a.level, a.chars, CASE
     WHEN i.turn < a.turn THEN {'rank': CASE a.kind WHEN 'whole' THEN 0 ELSE 1 END, 'conv': a.conv_id, 'turn': i.turn}
     WHEN s.source < {'conv': a.conv_id, 'turn': a.turn}
       THEN {'rank': CASE a.kind WHEN 'whole' THEN 2 ELSE 3 END, 'conv': s.source.conv, 'turn': s.source.turn} END AS link
   FROM asked a LEFT JOIN inside i ON i.kind = a.kind AND i.key = a.key AND i.conv_id = a.conv_id
                LEFT JOIN anywhere s ON s.kind = a.kind AND s.key = a.key),
-best AS (SELECT r, run, level, MIN(link) AS link FROM linked GROUP BY r, run, level),
+votes AS (SELECT r, run, level, link, SUM(chars) AS chars, COUNT(*) AS n FROM linked GROUP BY r, run, level, link),
+best AS (SELECT r, run, level, MIN(CASE WHEN link IS NOT NULL
+    THEN {'rank': link.rank, 'chars': -chars, 'n': -n, 'conv': link.conv, 'turn': link.turn} END) AS link FROM votes GROUP BY r, run, level),
 answers AS (SELECT r, COUNT(*) AS n_passages, COUNT(link) AS n_linked,
     MIN(CASE WHEN link IS NOT NULL THEN {'level': level, 'later': -link.turn, 'conv': link.conv} END) AS source FROM best GROUP BY r),
 up AS (SELECT conv_id, turn, MIN({'conv': source.conv, 'turn': -source.later}) AS parent

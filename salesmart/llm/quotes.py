@@ -5,11 +5,15 @@ A line's quote level is the number of ``>`` marks before its text. Neighbouring
 lines of one level above 0 are a quoted passage; the lines of level 0 are the
 message's own text, of which a line ending in ``wrote:`` just before a quoted
 line is not part. Passages and own texts are normalised (lower case, single
-spaces) and hashed, as wholes and by their longest line. A passage belongs to
-the earliest message of its conversation, before the quoting one, that has the
-whole passage as its text; else, the passage's longest line as one of its
-lines; else to the earliest such message of all conversations, if that comes
-before the quoting one by (conv_id, turn).
+spaces) and hashed, as wholes and by all their parts: every line, and every
+paragraph (the lines between blank ones, joined, so it does not matter where a
+mail client has wrapped them). A passage belongs to the earliest message of its
+conversation, before the quoting one, that has the whole passage as its text.
+Else each part names the earliest message of the conversation, before the
+quoting one, that has it, and the message with the most characters in parts
+that name it wins (then most parts, then the earlier one). Else the same holds
+for the messages of all conversations that come before the quoting one by
+(conv_id, turn): the whole passage first, then the parts.
 
 A message answers the source of its linked passage of the least level (the
 later message, where several are linked on it). Answers lead back to a root;
@@ -64,27 +68,32 @@ def own_text(text: Column) -> Column:
     return F.when(text.rlike(_QUOTES), F.regexp_replace(plain, "\n{3,}", "\n\n")).otherwise(text)
 
 
+def _parts(text: Column) -> Column:
+    """Distinct normalised lines and paragraphs of a text that are not blank."""
+    parts = F.transform(F.concat(F.split(text, "\n"), F.split(text, r"\n\s*\n")), _normal)
+    return F.array_distinct(F.filter(parts, lambda x: x != ""))
+
+
 def passages(messages: DataFrame) -> DataFrame:
     """The quoted passages: the message's columns, passage (its number), level,
-    whole and longest (keys of the passage and of its longest line)."""
+    whole (key of the passage) and parts (normalised lines and paragraphs)."""
     quoting = messages.filter(F.col("text").rlike(_QUOTES) & F.col("conv_id").isNotNull() & F.col("turn").isNotNull()).distinct()
     lines = quoting.select(*_MESSAGE, F.xxhash64(*_MESSAGE).alias("m"), F.posexplode(_lines(F.col("text"))).alias("at", "line"))
     order = Window.partitionBy("m", *_MESSAGE).orderBy("at")
     new = (F.col("line.level") != F.lag("line.level", 1, -1).over(order)).cast("int")
     lines = lines.withColumn("new", new).withColumn("passage", F.sum("new").over(order)).filter("line.level > 0")
     body = F.transform(F.sort_array(F.collect_list(F.struct("at", "line.body"))), lambda x: x["body"])
-    out = lines.groupBy("m", *_MESSAGE, "passage").agg(F.first("line.level").alias("level"), body.alias("body"))
-    longest = F.array_max(F.transform("body", lambda x: F.struct(F.length(_normal(x)).alias("n"), _normal(x).alias("line"))))["line"]
-    return out.select(*_MESSAGE, "passage", "level", _key(_normal(F.array_join("body", "\n"))).alias("whole"), _key(longest).alias("longest"))
+    out = lines.groupBy("m", *_MESSAGE, "passage").agg(F.first("line.level").alias("level"), F.array_join(body, "\n").alias("body"))
+    return out.select(*_MESSAGE, "passage", "level", _key(_normal(F.col("body"))).alias("whole"), _parts(F.col("body")).alias("parts"))
 
 
 def _sources(messages: DataFrame) -> DataFrame:
-    """kind, key, conv_id, turn: the texts and lines that can be quoted."""
+    """kind, key, conv_id, turn: the texts and parts that can be quoted."""
     own = messages.filter("conv_id is not null and turn is not null").select("conv_id", "turn", own_text(F.col("text")).alias("own"))
     whole = own.select(F.lit("whole").alias("kind"), _key(_normal(F.col("own"))).alias("key"), "conv_id", "turn")
-    lines = own.select("conv_id", "turn", F.explode(F.split("own", "\n")).alias("line"))
-    lines = lines.select(F.lit("longest").alias("kind"), _key(_normal(F.col("line"))).alias("key"), "conv_id", "turn")
-    return whole.unionByName(lines).filter("key is not null")
+    parts = own.select("conv_id", "turn", F.explode(_parts(F.col("own"))).alias("part"))
+    parts = parts.select(F.lit("part").alias("kind"), _key(F.col("part")).alias("key"), "conv_id", "turn")
+    return whole.unionByName(parts).filter("key is not null")
 
 
 def answers(messages: DataFrame) -> DataFrame:
@@ -92,22 +101,25 @@ def answers(messages: DataFrame) -> DataFrame:
     parent_turn of each distinct message that quotes."""
     found = kept(passages(messages), "quotes-passages")
     keys = ["kind", "key"]
-    asked = found.select("*", F.explode(F.array(
-        F.struct(F.lit("whole").alias("kind"), F.col("whole").alias("key")),
-        F.struct(F.lit("longest").alias("kind"), F.col("longest").alias("key")))).alias("q")).select(*found.columns, "q.*")
+    whole = F.array(F.struct(F.lit("whole").alias("kind"), F.col("whole").alias("key"), F.lit(0).alias("chars")))
+    parts = F.transform("parts", lambda x: F.struct(F.lit("part").alias("kind"), _key(x).alias("key"), F.length(x).alias("chars")))
+    asked = found.select(*_MESSAGE, "passage", "level", F.explode(F.concat(whole, parts)).alias("q")).select(*_MESSAGE, "passage", "level", "q.*")
     wanted = asked.select(*keys).distinct()
     sources = kept(_sources(messages).join(wanted, keys, "left_semi"), "quotes-sources")
     inside = sources.groupBy(*keys, "conv_id").agg(F.min("turn").alias("in_turn"))
     anywhere = sources.groupBy(*keys).agg(F.min(F.struct("conv_id", "turn")).alias("of"))
     place = F.struct("conv_id", "turn")
     linked = asked.join(inside, [*keys, "conv_id"], "left").join(anywhere, keys, "left").select(
-        *_MESSAGE, "passage", "level",
+        *_MESSAGE, "passage", "level", "chars",
         # The better kind of link has the lower rank.
         F.when(F.col("in_turn") < F.col("turn"), F.struct(
             F.when(F.col("kind") == "whole", 0).otherwise(1).alias("rank"), F.col("conv_id").alias("conv"), F.col("in_turn").alias("turn")))
         .when(F.col("of") < place, F.struct(
             F.when(F.col("kind") == "whole", 2).otherwise(3).alias("rank"), F.col("of.conv_id").alias("conv"), F.col("of.turn").alias("turn"))).alias("link"))
-    per_passage = linked.groupBy(*_MESSAGE, "passage", "level").agg(F.min("link").alias("link"))
+    votes = linked.groupBy(*_MESSAGE, "passage", "level", "link").agg(F.sum("chars").alias("chars"), F.count("*").alias("n"))
+    winner = F.min(F.when(F.col("link").isNotNull(), F.struct(
+        F.col("link.rank").alias("rank"), (-F.col("chars")).alias("chars"), (-F.col("n")).alias("n"), F.col("link.conv").alias("conv"), F.col("link.turn").alias("turn"))))
+    per_passage = votes.groupBy(*_MESSAGE, "passage", "level").agg(winner.alias("link"))
     best = F.min(F.when(F.col("link").isNotNull(), F.struct("level", (-F.col("link.turn")).alias("later"), F.col("link.conv").alias("conv"))))
     return per_passage.groupBy(*_MESSAGE).agg(
         F.count("*").alias("n_passages"), F.count("link").alias("n_linked"), best.alias("best")).select(

@@ -9,9 +9,12 @@ an end to the leftmost start that does not reach into the rule's previous span.
 
 A span shorter than its rule's least length does not count. The base rules are
 leftmost, non-overlapping and are filtered by length afterwards, so a failing
-match can use up a place where the automaton sees a secret. Both are kept:
-a text in which the automaton met a base rule gets that rule's base matches by
-an exact check, and every span of the automaton is added.
+match can use up a place where the automaton sees a secret. Both are kept: in a
+text in which the automaton met a base rule, a second combined automaton, of the
+reversed base rules, passes over the bytes from the end and marks every place
+where a base match can start. From the leftmost mark the rule's forward automaton
+walks to the longest end, the next mark behind it follows, and short matches
+are dropped at last. Every span of the first automaton is added.
 
 Defined cases: null or empty text has no spans; each row is judged alone, so
 rows with equal or null doc_id do not mix; an empty table gives an empty
@@ -21,7 +24,7 @@ result; only ``doc_id`` and ``text`` are used, so other columns cannot clash.
 from __future__ import annotations
 
 import hashlib
-import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import accumulate
 from operator import getitem
@@ -47,6 +50,9 @@ BASE_RULES = {
     "access": ("AKIA[A-Z0-9]+", 0, 20),
     "hex": ("[0-9a-f]+", 0, 24),
 }
+#: What comes before group 2 of a base rule. None of the base rules can begin its
+#: group, or end, in two ways from one start, so longest is what a regex takes.
+HEADS = {"assign": _ASSIGN}
 #: kind: (what the automaton looks for, least length of a span); the base kinds
 #: first, in their order. Long runs are counted by the least length, not by
 #: states: counters of several rules would multiply each other's states.
@@ -56,6 +62,7 @@ RULES = {
     "hex": ("[0-9a-f]{6,}", 24),
     "pem": ("-----BEGIN [A-Z ]*PRIVATE KEY-----", 0),
     "github": ("gh[opsur]_[A-Za-z0-9]{4,}", 40),
+    "slack": ("xox[abprs]-[A-Za-z0-9-]{4,}", 20),
 }
 
 # --- regex to automaton -------------------------------------------------
@@ -270,18 +277,70 @@ def compiled(patterns: list, anywhere: bool) -> Automaton:
 # --- scanning -----------------------------------------------------------
 
 
+def _linked(automaton: Automaton) -> tuple[list[list], dict[int, int]]:
+    """Rows that refer to their successor rows, so a step is one look-up, and
+    the rules that end in a row, by the row's identity."""
+    rows: list[list] = [[] for _ in automaton.table]
+    for row, successors in zip(rows, automaton.table, strict=True):
+        row.extend(rows[t] for t in successors)
+    return rows, {id(row): mask for row, mask in zip(rows, automaton.masks, strict=True) if mask}
+
+
+def _longest(automaton: Automaton, data: bytes, at: int) -> int | None:
+    """End of the longest match that starts at ``at``."""
+    state, best, table, masks, dead = 0, None, automaton.table, automaton.masks, automaton.dead
+    for at in range(at, len(data)):
+        state = table[state][data[at]]
+        if state == dead:
+            break
+        if masks[state]:
+            best = at + 1
+    return best
+
+
+@dataclass
+class BaseRules:
+    """Automata of the base rules: all reversed, matching anywhere; one forward
+    each; and of what comes before a counted group."""
+
+    kinds: list[str]
+    starts: Automaton
+    forward: list[Automaton]
+    heads: list[Automaton | None]
+    least: list[int]
+
+
 class Scanner:
     """Finds the rules' spans in the bytes of a text."""
 
-    def __init__(self, rules: dict[str, tuple[str, int]], automaton: Automaton, backward: list[Automaton]):
-        self.kinds, self.least, self.backward = list(rules), [n for _, n in rules.values()], backward
-        # Rows refer to their successor rows, so a step is one look-up.
-        rows: list[list] = [[] for _ in automaton.table]
-        for row, successors in zip(rows, automaton.table, strict=True):
-            row.extend(rows[t] for t in successors)
-        self.rows = rows
-        self.mask_of = {id(row): mask for row, mask in zip(rows, automaton.masks, strict=True) if mask}
-        self.base = {k: (re.compile(p.encode()), group, least) for k, (p, group, least) in BASE_RULES.items() if k in rules}
+    def __init__(self, rules: dict[str, tuple[str, int]], automaton: Automaton, backward: list[Automaton], base: BaseRules):
+        self.kinds, self.least, self.backward, self.base = list(rules), [n for _, n in rules.values()], backward, base
+        self.rows, self.mask_of = _linked(automaton)
+        self.start_rows, self.start_mask_of = _linked(base.starts)
+
+    def starts(self, data: bytes) -> list[list[int]]:
+        """Per base rule: the places where a match starts, in order."""
+        starting = self.start_mask_of
+        found: list[list[int]] = [[] for _ in self.base.kinds]
+        for n, row in enumerate(map(id, accumulate(reversed(data), getitem, initial=self.start_rows[0]))):
+            if row in starting:
+                mask = starting[row]
+                for k, mine in enumerate(found):
+                    if mask >> k & 1:
+                        mine.append(len(data) - n)
+        return [mine[::-1] for mine in found]
+
+    def base_spans(self, rule: int, data: bytes, starts: list[int]) -> Iterator[tuple[int, int]]:
+        """Leftmost, non-overlapping matches of a base rule that are long enough."""
+        base, floor = self.base, 0
+        for start in starts:
+            if start < floor:
+                continue
+            end = _longest(base.forward[rule], data, start)
+            counted = start if base.heads[rule] is None else _longest(base.heads[rule], data, start)
+            if end - counted >= base.least[rule]:
+                yield start, end
+            floor = end
 
     def ends(self, data: bytes) -> dict[int, list[int]]:
         """Per rule: ends of its matches, one for each unbroken row of ends."""
@@ -319,16 +378,17 @@ class Scanner:
         if not ends:
             return [], []
         base, added = set(), set()
+        met = [k for k, kind in enumerate(self.base.kinds) if kind in self.kinds and self.kinds.index(kind) in ends]
+        starts = self.starts(data) if met else []
+        for k in met:
+            base.update((a, self.kinds.index(self.base.kinds[k]), b) for a, b in self.base_spans(k, data, starts[k]))
         for rule, places in ends.items():
-            kind, floor = self.kinds[rule], 0
+            floor = 0
             for end in places:
                 start = self.start(rule, data, end, floor)
                 if start is not None and end - start >= self.least[rule]:
                     added.add((start, rule, end))
                     floor = end
-            if kind in self.base:
-                pattern, group, least = self.base[kind]
-                base.update((m.start(), rule, m.end()) for m in pattern.finditer(data) if m.end(group) - m.start(group) >= least)
         points = {}
         at = count = 0
         for place in sorted({p for a, _, b in base | added for p in (a, b)}):
@@ -338,9 +398,13 @@ class Scanner:
         return tuple(sorted((points[a], k, points[b]) for a, k, b in spans) for spans in (base, base | added))
 
 
-def build(rules: dict[str, tuple[str, int]] = RULES) -> tuple[dict, Automaton, list[Automaton]]:
+def build(rules: dict[str, tuple[str, int]] = RULES) -> tuple[dict, Automaton, list[Automaton], BaseRules]:
     parsed = [_Parser(p).parse() for p, _ in rules.values()]
-    return rules, compiled(parsed, True), [compiled([_reversed(x)], False) for x in parsed]
+    plain = [_Parser(p).parse() for p, _, _ in BASE_RULES.values()]
+    base = BaseRules(list(BASE_RULES), compiled([_reversed(x) for x in plain], True), [compiled([x], False) for x in plain],
+                     [compiled([_Parser(HEADS[k]).parse()], False) if k in HEADS else None for k in BASE_RULES],
+                     [least for _, _, least in BASE_RULES.values()])
+    return rules, compiled(parsed, True), [compiled([_reversed(x)], False) for x in parsed], base
 
 
 def scan(docs: DataFrame, rules: dict[str, tuple[str, int]] = RULES) -> DataFrame:

@@ -40,6 +40,8 @@ SHARD_NODES = 20_000
 #: building and of the first search; queries worked on together.
 DEGREE, GROUND_DEGREE, BUILD_BEAM, FIRST_BEAM, BATCH = 12, 24, 48, 32, 256
 AUDIT, RECALL = 48, 0.99
+#: Nearest nodes that a sampled query must have in its beam, and the share found.
+AUDIT_NEAREST, NEAREST_RECALL = 2, 0.9
 
 
 class Graph:
@@ -203,12 +205,20 @@ def linked(graph: Graph, vectors: np.ndarray, queries: np.ndarray, threshold: fl
 
 
 def audited_beam(graph: Graph, vectors: np.ndarray, queries: np.ndarray, threshold: float) -> int:
-    """The first beam with which sampled queries find enough of their links."""
+    """The first beam with which sampled queries find enough of their links and
+    of their nearest nodes. A query itself counts as neither, so a sample whose
+    links are few is judged by neighbours that all of it has."""
     sample = queries[np.linspace(0, len(queries) - 1, min(AUDIT, len(queries))).astype(int)]
-    there = int((sample @ vectors.T >= threshold).sum())
+    sims = sample @ vectors.T
+    sims[sims >= 1 - 1e-12] = -2  # the query itself, or a copy
+    there = int((sims >= threshold).sum())
+    nearest = np.argsort(-sims, axis=1)[:, :AUDIT_NEAREST]
     beam = FIRST_BEAM
     while beam * 16 < len(vectors):
-        if sum(len(q) for q, _ in linked(graph, vectors, sample, threshold, beam)) >= RECALL * there:
+        found = sum(int((sims[q, node] >= threshold).sum()) for q, node in linked(graph, vectors, sample, threshold, beam))
+        ids, _ = graph.nearest(sample, beam)
+        met = np.mean([np.isin(a, b).mean() for a, b in zip(nearest, ids, strict=True)]) if len(sample) else 1.0
+        if found >= RECALL * there and met >= NEAREST_RECALL:
             break
         beam *= 2
     return beam
@@ -216,6 +226,7 @@ def audited_beam(graph: Graph, vectors: np.ndarray, queries: np.ndarray, thresho
 
 def _unit(column: pd.Series) -> np.ndarray:
     x = np.stack([np.asarray(v, np.float64) for v in column])
+    x /= np.abs(x).max(1, keepdims=True)  # squares of extreme components would over- or underflow
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
@@ -257,9 +268,9 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, shard_nodes:
     """vec_id, n_links, component_id, kept for rows (vec_id, label, embedding)."""
     workers_ready(rows.sparkSession)
     rows = rows.select("vec_id", "label", "embedding").distinct()
-    value = F.transform("embedding", lambda x: x.cast("double"))
-    length = F.aggregate(value, F.lit(0.0), lambda a, x: a + x * x)
-    good = F.exists("embedding", lambda x: x.isNull()) | F.isnan(length) | (length == float("inf")) | (length == 0)
+    # NaN counts as the largest value, so it shows in the maximum.
+    largest = F.array_max(F.transform("embedding", lambda x: F.abs(x.cast("double"))))
+    good = F.exists("embedding", lambda x: x.isNull()) | F.isnan(largest) | (largest == float("inf")) | (largest == 0)
     good = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull() & ~F.coalesce(good, F.lit(True))
     rows = kept(rows.withColumn("good", F.coalesce(good, F.lit(False))), "vectors")
     nodes = kept(rows.filter("good").groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.countDistinct("vec_id").alias("weight")), "vector-nodes")

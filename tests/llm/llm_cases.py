@@ -12,7 +12,7 @@ EDGE_ROWS = [
     (1, "one two three four five six seven"),
     (2, None), (3, ""), (None, "one two three four five six seven"), (None, None),
     (4, LONG), (5, LONG), (6, " \n\t\n "), (7, "short"), (7, "another text with one id more than once here"),
-    (8, "üß ñandú 漢字 😀 \x00 end"),
+    (8, "üß ñandú 漢字 😀 \x00 end"), (9, "½ ² ① Ⅳ 12_"),
 ]
 
 

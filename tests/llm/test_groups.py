@@ -44,9 +44,9 @@ def plain_line_dedup(rows):
     for i, text in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
         for n, line in enumerate((text or "").split("\n")):
             w = words(line)
-            if len(w) < 5:
+            if not w:
                 continue
-            tokens = frozenset(tuple(w[k:k + 5]) for k in range(len(w) - 4))
+            tokens = frozenset(tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4)))
             if any(5 * len(tokens & t) >= 4 * len(tokens | t) for t in earlier) and (i, n) != first.get(tuple(w)):
                 gone.add((i, n))
             first.setdefault(tuple(w), (i, n))
@@ -280,6 +280,65 @@ def test_long_chains_of_answers_have_one_root(spark):
     assert all(r["parent_turn"] == r["turn"] - 1 for r in got if r["turn"])
 
 
+def test_a_passage_belongs_to_the_message_with_most_of_its_lines(spark):
+    first = "A shared greeting\nfirst own line, the longest line of all in this conversation\nsecond own line"
+    later = "A shared greeting\n\nthird own line\nfourth own line that is rather long"
+    rows = [(1, 0, first), (1, 1, later),
+            # the longest line is cut, the others are as they were
+            (1, 2, "> first own line, the longest\n> second own line\nyes"),
+            # the longer line is of the later message, one is of both
+            (1, 3, "> a shared greeting\n> fourth own line that is rather long\nno"),
+            # wrapped anew over three lines, below a paragraph of its own
+            (2, 0, "> fourth own line\n>   that is\n> rather long\n>\n> unknown\nwrapped"),
+            (2, 1, "> third own line fourth own line\n> that is rather long\nparagraph")]
+    table = spark.createDataFrame([(c, t, "u", x) for c, t, x in rows], "conv_id bigint, turn bigint, role string, text string")
+    got = {(r["conv_id"], r["turn"]): (r["parent_conv"], r["parent_turn"]) for r in quotes.threads(table).collect()}
+    assert got[1, 2] == (1, 0) and got[1, 3] == (1, 1) and got[2, 1] == (1, 1)
+    assert got[2, 0] == (None, None)  # its line is part of a paragraph of two lines
+
+
+def quoting(messages):
+    """Replies that quote the given messages: whole, nested, in part, wrapped
+    anew, with an edited line, and one message that very many quote."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    quoted = lambda c, marks="> ": F.regexp_replace(c, "(?m)^", marks)
+    by_conv = Window.partitionBy("conv_id").orderBy("turn", "text")
+    rows = messages.where("conv_id is not null and turn is not null and text is not null").withColumns({
+        "before": F.lag("text").over(by_conv), "n": F.pmod(F.xxhash64("conv_id", "turn"), F.lit(6))})
+    half = F.element_at(F.split("before", r"(?<=[.!?]) "), 1)
+    text = (F.when(F.col("before").isNull(), F.col("text"))
+            .when(F.col("n") == 0, F.concat(F.lit("X wrote:\n"), quoted(F.col("before")), F.lit("\n"), "text"))
+            .when(F.col("n") == 1, F.concat(quoted(F.col("before"), "> > "), F.lit("\n> said before\n"), "text"))
+            .when(F.col("n") == 2, F.concat(F.lit("> "), half, F.lit("\n"), "text"))
+            .when(F.col("n") == 3, F.concat(quoted(F.regexp_replace("before", "(.{40,60}) ", "$1\n")), F.lit("\n>\n> an added line\n"), "text"))
+            .when(F.col("n") == 4, F.concat(F.lit("> HOT   line of all\n"), "text")).otherwise(F.col("text")))
+    hot = messages.limit(1).select(F.lit(-1).cast("bigint").alias("conv_id"), F.lit(0).cast("bigint").alias("turn"), F.lit("user").alias("role"),
+                                   F.lit("Hot line of all\nanother line").alias("text"))
+    lines = F.regexp_replace("text", r"(?<=[.!?]) ", "\n")
+    return rows.select("conv_id", "turn", "role", text.alias("text")).withColumn("text", F.when(F.col("turn") % 2 == 0, F.col("text")).otherwise(lines)).unionByName(hot)
+
+
+def test_quoting_replies_link_as_sql_says(spark, tmp_path):
+    import duckdb
+
+    from salesmart.llm.queries import ORACLE_SQL, QUERIES
+
+    messages = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    quoting(messages).write.parquet(f"{tmp_path}/conversations.parquet")
+    rows = QUERIES["op2_quotation_linking"](spark, str(tmp_path))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    result = duck.execute(ORACLE_SQL["op2_quotation_linking"])
+    names = [c[0] for c in result.description]
+    got = [tuple(r) for r in rows.select(*names).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, result.fetchall()))
+    linked = [r for r in got if r[names.index("n_linked")]]
+    hot = [r for r in linked if r[names.index("parent_conv")] == -1]
+    assert len(linked) > 200 and len(hot) > 30
+
+
 # --- pipeline ------------------------------------------------------------
 
 def test_pipeline_stages_on_their_own_input(spark):
