@@ -7,6 +7,13 @@ cut out; the rest is packed. Every stage's result is written as Parquet in the
 shared scratch folder and read again. All stages but the last return the
 columns of ``documents``.
 
+Defined cases: rows with null or empty text, or null ids, pass the first four
+stages (a fit without labelled rows of both classes rejects nothing) and are
+packed as empty documents; of repeated rows and of equal texts under several
+ids one stays; of two texts under one id only a copy goes; empty tables give an
+empty result; further columns of ``documents`` come along unchanged up to the
+last stage, whatever their names, and those of the other tables are not read.
+
 No single SQL statement expresses the stages (a fitted classifier, a
 tokenizer), so ``ORACLE_SQL`` is None and the tests compare with a plain
 brute-force version.
