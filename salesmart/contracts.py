@@ -24,6 +24,8 @@ class TableContract:
     # the rows of the keys it brings, "append" and "dynamic" as in sinks.
     mode: str
     key: str | None = None  # of a merge
+    # Keys that rows are looked up by; files get bloom filters for them.
+    lookup: tuple[str, ...] = ()
 
     @property
     def names(self) -> list[str]:
@@ -56,6 +58,7 @@ PRODUCT = TableContract(
     partition_by=("department",),
     mode="merge",
     key="product_key",
+    lookup=("product_key",),
 )
 
 TRANSACTIONS = TableContract(
@@ -70,6 +73,7 @@ TRANSACTIONS = TableContract(
            StructField("trans_month", IntegerType(), True)]),
     partition_by=("trans_year", "trans_month"),
     mode="append",
+    lookup=("product_key", "trans_key"),
 )
 
 ENRICHED = TableContract(

@@ -481,7 +481,19 @@ def key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dq.key_lookup(enriched(spark, sf_dir), "product_key", LOOKUP_KEY)
 
 
-# Fixed product key of the lookup (present at every scale factor).
+def staged_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staged lines of one product and of one transaction: row groups whose
+    bloom filters rule the key out stay unread."""
+    from salesmart.plans import jobs
+    root = scratch_path(spark, "zones")
+    z = jobs.Zones(root)
+    fixtures.write_landing(spark, sf_dir, z.landing)
+    jobs.run(spark, root, "stage-transactions")
+    staged = commits.snapshot(spark, z.transactions, TRANSACTIONS)
+    return dq.key_lookup(staged, "product_key", LOOKUP_KEY).unionByName(dq.key_lookup(staged, "trans_key", LOOKUP_KEY))
+
+
+# Fixed key of the lookups (a product and an order at every scale factor).
 LOOKUP_KEY = "7"
 
 IO_QUERIES = {
@@ -522,4 +534,5 @@ IO_QUERIES = {
     "daily_counts": daily_counts,
     "group_counts": group_counts,
     "key_lookup": key_lookup,
+    "staged_lookup": staged_lookup,
 }

@@ -40,6 +40,7 @@ from salesmart.sources.tables import path_exists, read_table
 
 ACTIONS = ("stage-locations", "stage-products", "stage-transactions", "enrich", "reporting")
 REPORT_WRITERS = 4  # report CSV jobs in flight at once
+LOAD_FILES = 20_000  # landing files of one load, whose paths the driver holds
 
 
 class Zones:
@@ -71,20 +72,20 @@ def _loads(spark: SparkSession, z: Zones, glob: str, table: str, whole: bool = F
     ledger entry (same files, same id), then one new load over the files the
     ledger does not hold. ``whole``: the table is replaced by each load, so
     one load, unfinished or new, reads the whole listing as soon as any file
-    of it is new."""
+    of it is new. Otherwise new files load in batches, each a load of its own."""
     ledger = f"{z.ledger}/{table}"
     listing = ld.freeze(ld.list_files(spark, z.landing, glob))
     loads = [Load(*found, True) for found in ld.unfinished_loads(spark, ledger, listing)]
     new = ld.new_files(listing, ld.read_ledger(spark, ledger))
     if whole and loads:
         return [loads[-1]._replace(files=listing, also=tuple(load.load_id for load in loads[:-1]))]
-    taken = [p for load in loads for p in ld.landing_paths(load.files)]
-    if taken:
-        new = new.where(~F.col("path").isin(taken))
+    for load in loads:
+        new = new.join(load.files.select("path"), "path", "left_anti")
     new = ld.freeze(new)
-    if ld.landing_paths(new):
-        loads.append(Load(ld.new_load_id(), listing if whole else new, None, False))
-    return loads
+    if whole:
+        return [] if new.isEmpty() else [Load(ld.new_load_id(), listing, None, False)]
+    # The driver opens the files of one load at a time, so loads are bounded.
+    return loads + [Load(ld.new_load_id(), files, None, False) for files in ld.in_batches(new, LOAD_FILES)]
 
 
 def _open_load(spark: SparkSession, z: Zones, table: str, load: Load, columns
@@ -95,7 +96,7 @@ def _open_load(spark: SparkSession, z: Zones, table: str, load: Load, columns
     layouts, refused = ld.header_layouts(spark, ld.landing_paths(load.files), columns)
     if not layouts:
         return None, load.files, refused
-    loaded = load.files.where(~F.col("path").isin(list(refused))) if refused else load.files
+    loaded = ld.without_paths(load.files, refused)
     if not load.recovering:
         ld.record_intent(loaded, f"{z.ledger}/{table}", load.load_id)
     return ld.read_layouts(spark, layouts, columns), loaded, refused

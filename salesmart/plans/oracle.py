@@ -452,5 +452,6 @@ ORACLE_SQL.update({
     "rejected_rows": REJECTED_ROWS,
     "lenient_dates": LENIENT_DATES,
     "distinct_sketches": DISTINCT_SKETCHES,
+    "staged_lookup": f"{LANDING} SELECT {CLEAN_COLUMNS} FROM raw WHERE p = '7' UNION ALL SELECT {CLEAN_COLUMNS} FROM raw WHERE k = '7'",
     "report_run_incremental": REPORT_RUN,
 })

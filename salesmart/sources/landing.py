@@ -13,6 +13,7 @@ transforms, never by inference.
 from __future__ import annotations
 
 import datetime as _dt
+import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from salesmart.contracts import LANDING_TRANSACTION_COLUMNS  # noqa: F401 (re-exported)
+from salesmart.session import scratch_path
 from salesmart.sources.tables import path_exists
 
 # Fixed names of the landing zone.
@@ -75,11 +77,31 @@ def freeze(files: DataFrame) -> DataFrame:
 
     A listing is lazy: evaluated again later it would include files that
     arrived in the meantime, and the ledger would record files that were
-    never read. The listing (one small row per file) is collected once and
-    the same rows serve the read and the ledger entry.
+    never read. The listing (one small row per file) is written once to the
+    shared scratch folder, and the same rows serve the read and the ledger
+    entry; none of them passes through the driver.
     """
-    rows = files.select("path", "modification_time", "length").collect()
-    return files.sparkSession.createDataFrame(rows, FILES_SCHEMA)
+    spark = files.sparkSession
+    path = scratch_path(spark, "listing")
+    files.select("path", "modification_time", "length").write.parquet(path)
+    return spark.read.schema(FILES_SCHEMA).parquet(path)
+
+
+def without_paths(files: DataFrame, paths) -> DataFrame:
+    """The listing less some paths (those of one batch at most)."""
+    if not paths:
+        return files
+    gone = files.sparkSession.createDataFrame([(p,) for p in sorted(paths)], "path string")
+    return files.join(gone, "path", "left_anti")
+
+
+def in_batches(files: DataFrame, most: int) -> list[DataFrame]:
+    """A listing in parts of about ``most`` files, by the hash of their paths."""
+    n = math.ceil(files.count() / most)
+    if n <= 1:
+        return [files] * n
+    batch = F.pmod(F.xxhash64("path"), F.lit(n))
+    return [files.where(batch == k) for k in range(n)]
 
 
 def read_ledger(spark: SparkSession, ledger_dir: str) -> DataFrame:
@@ -176,13 +198,14 @@ def unfinished_loads(spark: SparkSession, ledger_dir: str, listing: DataFrame
     done = read_ledger(spark, ledger_dir).select("load_id").distinct()
     rows = intents.join(done, on="load_id", how="left_anti").distinct()
     now = listing.select("path", F.col("modification_time").alias("now_time"), F.col("length").alias("now_length"))
-    rows = rows.join(now, "path", "left").collect()
+    rows = rows.join(now, "path", "left")
     out = []
-    for load_id in sorted({r["load_id"] for r in rows}):
-        mine = [r for r in rows if r["load_id"] == load_id]
-        there = sorted({(r["path"], r["now_time"], r["now_length"]) for r in mine if r["now_length"] is not None})
-        gone = sorted({(r["path"], r["modification_time"], r["length"]) for r in mine if r["now_length"] is None})
-        out.append((load_id, spark.createDataFrame(there, FILES_SCHEMA), spark.createDataFrame(gone, FILES_SCHEMA)))
+    for load_id in sorted(r[0] for r in rows.select("load_id").distinct().collect()):  # loads that stopped
+        mine = rows.where(F.col("load_id") == load_id)
+        there = mine.where("now_length is not null").select(
+            "path", F.col("now_time").alias("modification_time"), F.col("now_length").alias("length"))
+        gone = mine.where("now_length is null").select("path", "modification_time", "length")
+        out.append((load_id, freeze(there.distinct()), freeze(gone.distinct())))
     return out
 
 

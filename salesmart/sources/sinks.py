@@ -51,6 +51,11 @@ def write_table(df: DataFrame, path: str, contract: TableContract, mode: str | N
     if contract.partition_by:
         out = out.hint("rebalance", *contract.partition_by)
     writer = out.write.option("maxRecordsPerFile", max_records_per_file)
+    # Bloom filters, sized by what they hold: a lookup skips the row groups that
+    # cannot have its key.
+    for key in contract.lookup:
+        writer = (writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
+                  .option("parquet.bloom.filter.adaptive.enabled", "true"))
     if mode == "dynamic":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     elif mode == "overwrite":

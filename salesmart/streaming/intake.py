@@ -72,8 +72,7 @@ def _loader(spark: SparkSession, table_dir: str, ledger_dir: str, rejects_dir: s
             (stg.rejects(raw, lenient_dates).withColumn(sinks.LOAD_COLUMN, F.lit(load_id))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(sinks.LOAD_COLUMN).parquet(rejects_dir))
-        loaded = files.where(~F.col("path").isin(list(refused))) if refused else files
-        ld.record_loaded(loaded, ledger_dir, load_id)
+        ld.record_loaded(ld.without_paths(files, refused), ledger_dir, load_id)
         commits.decide(spark, table_dir, load_id, commits.PUBLISHED)
     return load
 

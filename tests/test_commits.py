@@ -229,3 +229,68 @@ def test_stream_publishes_each_batch(spark, tmp_path):
     load(files, 4)
     assert [r["state"] for r in commits.manifest(spark, table).collect()] == [commits.PUBLISHED]
     assert commits.state_of(spark, table, "stream-0000000004") == commits.PUBLISHED
+
+
+def scanned_rows(df):
+    """Rows that the parquet scans of an executed frame gave out."""
+    df.collect()
+    plan, total, todo = df._jdf.queryExecution().executedPlan(), 0, []
+    todo.append(plan)
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+        elif name.startswith("Scan parquet"):
+            total += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+        if "QueryStage" in name:
+            todo.append(node.plan())
+    return total
+
+
+def test_lookups_leave_row_groups_unread(spark, tmp_path):
+    rows = spark.range(40_000).select(
+        F.lit("1").alias("store_location_key"), (F.col("id") % 997).cast("string").alias("product_key"), F.lit("5").alias("collector_key"),
+        F.lit("2015-03-01").cast("date").alias("trans_dt"), F.lit(1.0).alias("sales"), F.lit(1).alias("units"),
+        F.col("id").cast("string").alias("trans_key"), F.lit(2015).alias("trans_year"), (F.col("id") % 12 + 1).cast("int").alias("trans_month"))
+    path = f"{tmp_path}/t"
+    sinks.write_table(rows, path, TRANSACTIONS, load_id="a", max_records_per_file=500)
+    table = commits.snapshot(spark, path, TRANSACTIONS)
+    one = table.where("trans_key = '12345'")
+    assert one.count() == 1 and scanned_rows(one) <= 2_000
+    product = table.where("product_key = '77'")
+    assert product.count() == 41 and scanned_rows(product) <= 24_000  # 41 rows, each in a file of 500 at most
+    assert scanned_rows(table.where("trans_key = 'none'")) <= 2_000
+
+
+def test_a_hundred_thousand_files_are_listed_without_the_driver(spark, tmp_path, monkeypatch):
+    """Listing, ledger and batches are tables: plans hold no path, and the
+    driver gets the paths of one batch at a time."""
+    from conftest import plan_text
+    path = F.concat(F.lit("file:/landing/trans_fact_"), F.col("id"))
+    files = spark.range(100_000).select(path.alias("path"), F.lit("t").alias("modification_time"), F.lit("1").alias("length"))
+    ledger = f"{tmp_path}/ledger"
+    ld.record_loaded(files.where("pmod(xxhash64(path, 1), 2) = 0"), ledger, "one")
+    ld.record_intent(files.where("path like '%7' and pmod(xxhash64(path, 1), 2) = 1").limit(3000), ledger, "two")
+    listing = ld.freeze(files)
+    new = ld.freeze(ld.new_files(listing, ld.read_ledger(spark, ledger)))
+    (load_id, there, gone), = ld.unfinished_loads(spark, ledger, listing)
+    assert (load_id, there.count(), gone.count()) == ("two", 3000, 0)
+    rest = new.join(there.select("path"), "path", "left_anti")
+    batches = ld.in_batches(ld.freeze(rest), 10_000)
+    sizes = [b.count() for b in batches]
+    assert len(sizes) > 4 and max(sizes) < 11_000 and sum(sizes) == rest.count()
+    assert all("trans_fact_" not in plan_text(x, "extended") for x in (new, there, rest, *batches))
+
+
+def test_loads_in_batches_hold_every_line_once(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    for n in range(7):
+        drop(f"{root}/landing/trans_fact_{n}.csv", SALE, sale(n))
+    monkeypatch.setattr(jobs, "LOAD_FILES", 3)
+    res = jobs.run(spark, root, "stage-transactions")
+    assert res["files"] == 7 and len(res["load_ids"]) > 1
+    assert keys_of(spark, root) == [str(n) for n in range(7)]
+    assert jobs.run(spark, root, "stage-transactions") == {"files": 0}
