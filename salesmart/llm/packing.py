@@ -126,9 +126,9 @@ def _sweep(levels: int):
     return run
 
 
-def _matched(waiting: DataFrame, gaps: DataFrame, largest: int, n_buckets: int) -> DataFrame:
-    """One round: the waiting pieces (uid, size) with seq, null for those
-    without a gap. Depths, at most two for each size, are broadcast."""
+def _leveled(waiting: DataFrame, gaps: DataFrame, largest: int, n_buckets: int) -> DataFrame:
+    """The rows of a sweep by block of levels: a piece is one row, a gap one for
+    each block it reaches into. Depths, at most two for each size, are broadcast."""
     several = F.greatest(F.lit(1), F.floor(F.col("room") / F.lit(largest))).cast("bigint")
     gaps = gaps.select(F.lit(0).alias("kind"), F.floor(F.col("room") / several).cast("bigint").alias("size"), F.col("seq").alias("id"), several.alias("weight"))
     rows = waiting.select(F.lit(1).alias("kind"), "size", F.col("uid").alias("id"), F.lit(1).cast("bigint").alias("weight")).unionByName(gaps)
@@ -145,8 +145,14 @@ def _matched(waiting: DataFrame, gaps: DataFrame, largest: int, n_buckets: int)
     in_block = lambda c: F.floor(F.col(c) / F.lit(BLOCK_LEVELS))
     # A gap has at most `capacity` brackets, so it reaches into few blocks.
     rows = leveled.withColumn("block", F.explode(F.sequence(in_block("low"), in_block("high"))))
-    return rows.select("block", "kind", "size", "id", "before", "low", "high").groupBy("block").applyInArrow(
-        _sweep(BLOCK_LEVELS), "uid bigint, size bigint, seq bigint")
+    return rows.select("block", "kind", "size", "id", "before", "low", "high")
+
+
+def _matched(waiting: DataFrame, gaps: DataFrame, largest: int, n_buckets: int) -> DataFrame:
+    """One round: the waiting pieces (uid, size) with seq, null for those
+    without a gap."""
+    rows = _leveled(waiting, gaps, largest, n_buckets)
+    return rows.groupBy("block").applyInArrow(_sweep(BLOCK_LEVELS), "uid bigint, size bigint, seq bigint")
 
 
 def _opened(waiting: DataFrame, capacity: int, n_buckets: int) -> DataFrame:
