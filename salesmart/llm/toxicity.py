@@ -176,9 +176,10 @@ def fit(docs: DataFrame, labels: DataFrame, most: dict[int, int] | None = None)
     held = spark.sparkContext.broadcast(np.log(rate[1] / rate[0]))
     parts = int(np.ceil(sum(v[-1] for v in found.values()) / PART_DOCS))
     numbered = rows.withColumn("part", F.least(F.floor(F.col("place") * parts), F.lit(parts - 1)))
-    fitted = numbered.groupBy("part").applyInPandas(_fit_part(held), "weights array<float>, bias double").collect()
+    fitted = numbered.groupBy("part").applyInPandas(_fit_part(held), "weights array<float>, bias double").toArrow()
     removed(spark, rows)
-    return Model(np.mean([r["weights"] for r in fitted], 0).astype(np.float32), float(np.mean([r["bias"] for r in fitted])))
+    weights = np.mean([w.values.to_numpy() for w in fitted.column("weights")], 0)
+    return Model(weights.astype(np.float32), float(np.mean(fitted.column("bias").to_numpy())))
 
 
 def margins(texts: list[str], model: Model) -> np.ndarray:
