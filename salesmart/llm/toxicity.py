@@ -46,6 +46,8 @@ WINDOW_CHARS = 3_000
 ALPHA, PENALTY, STEPS, RATE = 1.0, 1e-5, 300, 0.05
 #: Characters of windows whose features are held at once.
 HELD_CHARS = 300_000
+#: Features of a part's documents that a step of its regression works on at once.
+HELD_FEATURES = 1_000_000
 #: Divides the scaled features, about the root of their number in a window.
 SCALE = 30.0
 
@@ -132,24 +134,36 @@ def _class_counts(batches):
     yield from block_batches(counts, (1 << BITS) + 1)
 
 
+def _blocks(sizes: np.ndarray) -> list[tuple[int, int]]:
+    """Runs of documents of about ``HELD_FEATURES`` features, one document at least."""
+    run = (np.cumsum(sizes) - 1) // HELD_FEATURES
+    ends = [*(np.flatnonzero(np.diff(run)) + 1).tolist(), len(sizes)]
+    return [(a, b) for a, b in zip([0, *ends], ends) if b > a]
+
+
 def _fit_part(held):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         ratios = held.value
-        lists = [np.asarray(x, np.int32) for x in group["buckets"]]
+        sizes = group["buckets"].map(len).to_numpy()
         y = group["label"].to_numpy(float)
-        doc = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-        flat = np.concatenate(lists) if lists else np.empty(0, np.int32)
         # Work on the buckets that occur; the others keep a weight of zero.
-        used, local = np.unique(flat, return_inverse=True)
-        scaled = ratios[used][local] / SCALE
+        seen = np.zeros(1 << BITS, bool)
+        for x in group["buckets"]:
+            seen[x] = True
+        used, number = np.flatnonzero(seen), np.cumsum(seen) - 1
+        blocks = [(a, b, np.concatenate([number[x] for x in group["buckets"].iloc[a:b]])) for a, b in _blocks(sizes)]
+        scales = ratios[used] / SCALE
         share = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
         w, bias = np.zeros(len(used)), 0.0
         mean, square, mean_b, square_b = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
         for step in range(1, STEPS + 1):
-            z = np.bincount(doc, weights=w[local] * scaled, minlength=len(y)) + bias
-            error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * share
-            slope = np.bincount(local, weights=error[doc] * scaled, minlength=len(used)) + PENALTY * w
-            slope_b = error.sum()
+            scaled, slope, slope_b = w * scales, np.zeros(len(used)), 0.0
+            for a, b, local in blocks:
+                z = sums(scaled[local], np.concatenate([[0], np.cumsum(sizes[a:b])])) + bias
+                error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[a:b]) * share[a:b]
+                slope += np.bincount(local, weights=np.repeat(error, sizes[a:b]), minlength=len(used))
+                slope_b += error.sum()
+            slope = slope * scales + PENALTY * w
             mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope**2
             mean_b, square_b = 0.9 * mean_b + 0.1 * slope_b, 0.99 * square_b + 0.01 * slope_b**2
             a, b = 1 - 0.9**step, 1 - 0.99**step
