@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
@@ -84,18 +85,26 @@ def hot_key_tables(fact: DataFrame, keys: list[str],
     reads just those; usually there are none. Count on the input of a chain of
     joins: salting changes only where rows go.
     """
+    found = _hot_keys(fact, keys, row_budget)
+    # Without hot keys a relation that the planner knows to be empty.
+    return {k: t if t is not None else fact.sparkSession.sql(
+        f"select cast(null as {fact.schema[k].dataType.simpleString()}) {HOT_KEY}, cast(null as int) {SALTS} where false")
+        for k, t in found.items()}
+
+
+def _hot_keys(fact: DataFrame, keys: list[str], row_budget: int) -> dict[str, DataFrame | None]:
+    """``hot_key_tables``, with None for a key column without hot keys."""
     buckets = [_bucket(F.col(k)).alias(k) for k in keys]
     cols = [F.col(k) for k in keys]
     counted = (fact.select(*buckets).groupingSets([[c] for c in cols], *cols)
                .agg(F.count(F.lit(1)).alias("_rows"), F.grouping_id(*cols).alias("_gid"))
                .where(F.col("_rows") > row_budget).collect())  # at most KEY_BUCKETS rows a key
-    tables = {}
+    tables: dict[str, DataFrame | None] = {}
     for i, k in enumerate(keys):
         gid = (1 << len(keys)) - 1 - (1 << (len(keys) - 1 - i))
         full = [r[k] for r in counted if r["_gid"] == gid]
-        kind = fact.schema[k].dataType.simpleString()
         if not full:
-            tables[k] = fact.sparkSession.createDataFrame([], f"{HOT_KEY} {kind}, {SALTS} int")
+            tables[k] = None
             continue
         some = fact.select(F.col(k).alias(HOT_KEY))
         if len(full) < KEY_BUCKETS // 8:  # else nearly every bucket: count all keys
@@ -122,12 +131,15 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
     for it. The join then shuffles on (key, salt): a key holding a third of
     all rows is spread over many tasks. Cold keys keep salt 0 and join as
     usual. NULL keys never match and are spread the same way. ``hot`` may
-    pass a hot-key table computed earlier (``hot_key_tables``).
+    pass a hot-key table computed earlier (``hot_key_tables``). Where no key is
+    hot there is nothing to salt: a plain join on the key.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"salted join supports left and inner joins, not {how!r}")
     if hot is None:
-        hot = hot_key_tables(fact, [key], row_budget)[key]
+        hot = _hot_keys(fact, [key], row_budget)[key]
+        if hot is None:
+            return fact.join(dim, on=key, how=how)
     hot = F.broadcast(hot)  # at most MAX_HOT_KEYS rows
     salts = F.coalesce(F.col(SALTS), F.lit(1))
     fact_cols = fact.columns
@@ -150,27 +162,44 @@ def join_dimension(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
                    row_budget: int = DEFAULT_KEY_ROW_BUDGET) -> DataFrame:
     """Fact x dimension (left or inner): broadcast when the dimension is
     proven small, else a salted shuffle join that splits hot keys."""
+    return dimension_join(fact, dim, key, how, broadcast_rows, row_budget)(fact)
+
+
+def dimension_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
+                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                   row_budget: int = DEFAULT_KEY_ROW_BUDGET) -> Callable[[DataFrame], DataFrame]:
+    """``join_dimension`` for several parts of a fact: the dimension's size and
+    the hot keys are found once, on ``fact``, and serve the join of each part."""
     if broadcastable(dim, broadcast_rows):
-        return fact.join(F.broadcast(dim), on=key, how=how)
-    return salted_join(fact, dim, key, how, row_budget)
+        return lambda part: part.join(F.broadcast(dim), on=key, how=how)
+    hot = _hot_keys(fact, [key], row_budget)[key]
+    if hot is None:
+        return lambda part: part.join(dim, on=key, how=how)
+    return lambda part: salted_join(part, dim, key, how, row_budget, hot=hot)
 
 
 def join_dimensions(fact: DataFrame, dims: list[tuple[DataFrame, str]], how: str = "left",
                     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                    row_budget: int = DEFAULT_KEY_ROW_BUDGET) -> DataFrame:
+                    row_budget: int = DEFAULT_KEY_ROW_BUDGET,
+                    counted: DataFrame | None = None) -> DataFrame:
     """A chain of fact x dimension joins, each broadcast when proven small;
-    the hot keys of all the others are counted in one pass over the fact."""
+    the hot keys of all the others are counted in one pass over the fact, or
+    over ``counted``, a cheaper frame of the same keys where the fact itself is
+    the result of a join. Only keys found hot are salted."""
     # The size checks are independent small jobs: submit them together.
     with ThreadPoolExecutor(max_workers=max(1, len(dims))) as pool:
         small = list(pool.map(lambda d: broadcastable(d[0], broadcast_rows), dims))
     plan = [(dim, key, is_small) for (dim, key), is_small in zip(dims, small)]
-    salted_keys = [key for _, key, small in plan if not small]
-    hot = hot_key_tables(fact, salted_keys, row_budget) if salted_keys else {}
+    keys = [key for _, key, small in plan if not small]
+    hot = _hot_keys(fact if counted is None else counted, keys, row_budget) if keys else {}
+    salted = any(t is not None for t in hot.values())
     # Rows are numbered once, on the scan, before any join shuffles them.
-    out = fact.withColumn(ROW_ID, F.monotonically_increasing_id()) if salted_keys else fact
+    out = fact.withColumn(ROW_ID, F.monotonically_increasing_id()) if salted else fact
     for dim, key, small in plan:
         if small:
             out = out.join(F.broadcast(dim), on=key, how=how)
+        elif hot[key] is None:
+            out = out.join(dim, on=key, how=how)
         else:
             out = salted_join(out, dim, key, how, row_budget, hot=hot[key])
     return out.drop(ROW_ID)

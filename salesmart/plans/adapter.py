@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from salesmart.contracts import LOCATION, PRODUCT, TRANSACTIONS
 from salesmart.functions.keys import NON_MEMBER_KEY
-from salesmart.operators.joins import join_dimension
+from salesmart.operators.joins import dimension_join
 from salesmart.sources.tables import test_table
 
 # Fixed gap rules of the test mapping.
@@ -42,13 +42,26 @@ def _s(c: str):
     return F.col(c).cast("string")
 
 
-def with_orders(spark: SparkSession, sf_dir: str, line: DataFrame) -> DataFrame:
-    """Lines with their order's customer (inner join on the order key):
-    broadcast when the orders are proven small, else a salted shuffle join
-    that splits an order key holding a large share of the lines."""
+def order_join(spark: SparkSession, sf_dir: str, line: DataFrame):
+    """How parts of the lines get their order's customer (inner join on the
+    order key): broadcast when the orders are proven small, else a shuffle join
+    that splits an order key holding a large share of the lines. Decided once,
+    on all of ``line``."""
     orders = test_table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    return join_dimension(line, orders, "l_orderkey", how="inner")
+    return dimension_join(line, orders, "l_orderkey", how="inner")
+
+
+def with_orders(spark: SparkSession, sf_dir: str, line: DataFrame) -> DataFrame:
+    return order_join(spark, sf_dir, line)(line)
+
+
+def sale_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension keys of all sales, read off the lines alone: keys that many
+    sales share are found without the join with the orders."""
+    line = test_table(spark, sf_dir, "lineitem")
+    return line.select(store_of(F.col("l_suppkey")).alias("store_location_key"),
+                       product_of(F.col("l_partkey")).alias("product_key"))
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

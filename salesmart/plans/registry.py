@@ -20,7 +20,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     txn, prod, loc = adapter.staging_frames(spark, sf_dir)
-    return enr.enrich(txn, prod, loc)
+    return enr.enrich(txn, prod, loc, counted=adapter.sale_keys(spark, sf_dir))
 
 
 def _report(fn: Callable[[DataFrame], DataFrame]) -> Query:
@@ -35,7 +35,8 @@ def enriched_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enrichment with broadcasts disabled and a tiny per-key row budget, so
     every join takes the salted shuffle path used for large dimensions."""
     txn, prod, loc = adapter.staging_frames(spark, sf_dir)
-    return enr.enrich(txn, prod, loc, broadcast_rows=0, row_budget=SALTED_TEST_BUDGET)
+    return enr.enrich(txn, prod, loc, broadcast_rows=0, row_budget=SALTED_TEST_BUDGET,
+                      counted=adapter.sale_keys(spark, sf_dir))
 
 
 # Per-key row budget of the salted variant: small enough that most product
@@ -44,7 +45,7 @@ SALTED_TEST_BUDGET = 4
 
 
 def enrich_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enr.enrich_counts(*adapter.staging_frames(spark, sf_dir))
+    return enr.enrich_counts(*adapter.staging_frames(spark, sf_dir), counted=adapter.sale_keys(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
