@@ -67,7 +67,11 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _layout(rem: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in LAYOUTS]), (rem + 1).cast("int"))
+    """A line without a number goes to the last layout (its columns rendered
+    like those of no layout in particular)."""
+    names = list(LAYOUTS)
+    return F.when(rem.isNull(), F.lit(names[-1])).otherwise(
+        F.element_at(F.array(*[F.lit(n) for n in names]), (rem + 1).cast("int")))
 
 
 def landing_lines(spark: SparkSession, sf_dir: str, spoiled: bool = False) -> DataFrame:

@@ -37,6 +37,7 @@ def test_landing_files_are_written_without_a_copy_of_all_lines(spark, workdir):
         got = spark.read.option("header", True).csv(f"{workdir}/landing/{name}")
         want = lines.where((F.col("layout") == name) & F.col("trans_key").cast("double").isin(1.0, 2.0))
         want = want.select(*[F.col("trans_key" if c == "trans_id" else c) for c in header])
+        assert got.count() == (4 if name == "trans_fact_8" else 3)  # order 2 is there twice; the line without a number
         assert got.columns == list(header) and sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect())))
 
 
