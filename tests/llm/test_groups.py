@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
+from conftest import plan_text
 from llm_cases import EDGE_ROWS, SF, edge_docs, no_docs, small_docs  # noqa: F401
 from salesmart.llm import components, linededup, neardup, quotes, vectors
 from test_scans import plain_hits, words
@@ -95,6 +96,25 @@ def test_a_passage_of_over_fifty_words_goes_although_a_word_differs(spark):
     assert {r["doc_id"]: r["text"] for r in linededup.deduplicated(docs).collect()}[2] == "my line of two"
 
 
+def test_lines_match_whatever_tokens_are_crowded(spark, monkeypatch):
+    # Prefixes are made again in several rounds; non-ASCII capitals stay as they are.
+    monkeypatch.setattr(linededup, "CROWDED", 2)
+    rows = line_rows(12)
+    rows += [(1000 + i, "É " + text + "\n\nsame words, ÉÀ same\nsame words, éà same") for i, text in rows[:20]]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {(r["doc_id"], n) for r in linededup.cleaned(docs).collect() for n in r["llm_gone"]}
+    assert got == plain_line_dedup(rows)
+
+
+def test_line_dedup_runs_no_python_on_the_executors(spark, monkeypatch):
+    plans = []
+    kept = linededup.kept
+    monkeypatch.setattr(linededup, "kept", lambda df, name: plans.append(plan_text(df)) or kept(df, name))
+    docs = spark.createDataFrame(line_rows(13, 10), "doc_id bigint, text string")
+    plans.append(plan_text(linededup.deduplicated(docs)))
+    assert len(plans) > 5 and not any(x in plan for plan in plans for x in ("InArrow", "InPandas", "EvalPython"))
+
+
 def test_line_edges(edge_docs, no_docs):
     out = linededup.deduplicated(edge_docs)
     assert out.columns == edge_docs.columns
