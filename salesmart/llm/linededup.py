@@ -106,7 +106,7 @@ def _first_of(ordered: Column) -> Column:
 def _lines(docs: DataFrame) -> DataFrame:
     """Each line with a word: its id, two hashes of its words, the number of
     its tokens and the first of them by hash."""
-    rows = _documents(docs).select("doc_id", "text_key", F.posexplode(_split_lines()).alias("line_no", "line"))
+    rows = _documents(docs).select("doc_id", "text_key", F.posexplode_outer(_split_lines()).alias("line_no", "line"))
     return _with_tokens(rows).select(*_ID, F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(1), "words").alias("k2"),
                                      F.size("tokens").alias("n"), _first_of(F.sort_array("tokens")).alias("prefix"))
 
@@ -124,7 +124,10 @@ def _uncrowded(firsts: DataFrame, docs: DataFrame) -> DataFrame:
         held = firsts.select(*_LINE, F.explode("prefix").alias("token"))
         held = held.join(F.broadcast(found), _counter(held["token"]) == found["counter"]).select(*_LINE).distinct()
         held = kept(held, "lines-held")
-        again = _with_tokens(_chosen_lines(docs, held, "number", "n")).select(*_LINE, F.explode("tokens").alias("token"))
+        # Kept first: the filter that an explode implies would be pushed below the
+        # words, which the lambda of the tokens would then cut again for each shingle.
+        again = kept(_with_tokens(_chosen_lines(docs, held, "number", "n")).select(*_LINE, "tokens"), "lines-tokens")
+        again = again.select(*_LINE, F.explode("tokens").alias("token"))
         again = again.join(F.broadcast(places), _counter(again["token"]) == places["counter"], "left")
         # A set: a document that repeats gives its lines again.
         again = again.groupBy(*_LINE).agg(F.sort_array(F.collect_set(F.struct(F.coalesce("place", F.lit(0)).alias("place"), "token"))).alias("tokens"))
