@@ -186,6 +186,15 @@ def join_dimensions(fact: DataFrame, dims: list[tuple[DataFrame, str]], how: str
     the hot keys of all the others are counted in one pass over the fact, or
     over ``counted``, a cheaper frame of the same keys where the fact itself is
     the result of a join. Only keys found hot are salted."""
+    return dimensions_join(fact, dims, how, broadcast_rows, row_budget, counted)(fact)
+
+
+def dimensions_join(fact: DataFrame, dims: list[tuple[DataFrame, str]], how: str = "left",
+                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                    row_budget: int = DEFAULT_KEY_ROW_BUDGET,
+                    counted: DataFrame | None = None) -> Callable[[DataFrame], DataFrame]:
+    """``join_dimensions`` for several parts of a fact: the dimensions' sizes and
+    the hot keys are found once, on ``fact``, and serve the joins of each part."""
     # The size checks are independent small jobs: submit them together.
     with ThreadPoolExecutor(max_workers=max(1, len(dims))) as pool:
         small = list(pool.map(lambda d: broadcastable(d[0], broadcast_rows), dims))
@@ -193,13 +202,17 @@ def join_dimensions(fact: DataFrame, dims: list[tuple[DataFrame, str]], how: str
     keys = [key for _, key, small in plan if not small]
     hot = _hot_keys(fact if counted is None else counted, keys, row_budget) if keys else {}
     salted = any(t is not None for t in hot.values())
-    # Rows are numbered once, on the scan, before any join shuffles them.
-    out = fact.withColumn(ROW_ID, F.monotonically_increasing_id()) if salted else fact
-    for dim, key, small in plan:
-        if small:
-            out = out.join(F.broadcast(dim), on=key, how=how)
-        elif hot[key] is None:
-            out = out.join(dim, on=key, how=how)
-        else:
-            out = salted_join(out, dim, key, how, row_budget, hot=hot[key])
-    return out.drop(ROW_ID)
+
+    def joined(part: DataFrame) -> DataFrame:
+        # Rows are numbered once, on the scan, before any join shuffles them.
+        out = part.withColumn(ROW_ID, F.monotonically_increasing_id()) if salted else part
+        for dim, key, small in plan:
+            if small:
+                out = out.join(F.broadcast(dim), on=key, how=how)
+            elif hot[key] is None:
+                out = out.join(dim, on=key, how=how)
+            else:
+                out = salted_join(out, dim, key, how, row_budget, hot=hot[key])
+        return out.drop(ROW_ID)
+
+    return joined

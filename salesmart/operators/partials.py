@@ -78,7 +78,12 @@ def bundle(store_sums: DataFrame, product_sums: DataFrame) -> DataFrame:
 
 def metrics(baskets: DataFrame) -> DataFrame:
     """``metrics_bundle`` with exact counts, folded from the baskets."""
-    return rep.metrics_of(rep.with_membership(baskets.withColumnsRenamed({"sales_sum": "_sales", "units_sum": "_units"})))
+    return rep.metrics_of(rep.with_membership(metric_rows(baskets)))
+
+
+def metric_rows(baskets: DataFrame) -> DataFrame:
+    """The baskets as ``reports.metric_rows`` has the sales."""
+    return baskets.withColumnsRenamed({"sales_sum": "_sales", "units_sum": "_units"})
 
 
 def estimate(sketch: str) -> Column:

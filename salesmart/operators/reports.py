@@ -277,22 +277,31 @@ def metrics_bundle(df: DataFrame, approx_rsd: float | None = None) -> DataFrame:
     src = df.select("trans_year", "collector_key", "trans_key", "sales", "units")
     if approx_rsd is not None:
         return _by_year_and_loyalty(with_membership(src), _metric_columns(approx_rsd))
+    return metrics_of(with_membership(metric_rows(src)))
+
+
+def metric_rows(df: DataFrame) -> DataFrame:
+    """Partial sums (``_sales``, ``_units``) of the sales by year, transaction and
+    collector."""
     sums = [money_partial("sales").alias("_sales"), F.sum("units").alias("_units")]
-    return metrics_of(with_membership(src.groupBy("trans_year", "trans_key", "collector_key").agg(*sums)))
+    return df.groupBy("trans_year", "trans_key", "collector_key").agg(*sums)
+
+
+METRIC_KEYS = ("trans_year", "is_member")
 
 
-def metrics_of(rows: DataFrame) -> DataFrame:
-    """Both metric reports from partial sums (``_sales``, ``_units``) by
+def metrics_of(rows: DataFrame, by: tuple[str, ...] = METRIC_KEYS) -> DataFrame:
+    """Both metric reports, or one, from partial sums (``_sales``, ``_units``) by
     transaction and collector."""
     return _by_year_and_loyalty(rows, [
         to_money(F.sum("_sales")).alias(TOTAL_SALES), F.sum("_units").cast("bigint").alias("total_units"),
         _distinct("trans_key", None).alias("count_distinct_trans_key"),
-        _distinct("collector_key", None).alias("count_distinct_collector_key")])
+        _distinct("collector_key", None).alias("count_distinct_collector_key")], by)
 
 
-def _by_year_and_loyalty(src: DataFrame, metrics: list[Column]) -> DataFrame:
-    keys = [F.col("trans_year"), F.col("is_member")]
-    grouped = (src.groupingSets([[F.col("trans_year")], [F.col("is_member")]], *keys)
+def _by_year_and_loyalty(src: DataFrame, metrics: list[Column], by: tuple[str, ...] = METRIC_KEYS) -> DataFrame:
+    keys = [F.col(k) for k in METRIC_KEYS]
+    grouped = (src.groupingSets([[F.col(k)] for k in by], *keys)
                .agg(*metrics, F.grouping_id(*keys).alias("_gid")))
     report = F.when(F.col("_gid") == 1, F.lit("metrics_by_year")).otherwise(F.lit("metrics_by_loyalty"))
     return grouped.select(report.alias("report"), "trans_year", "is_member", TOTAL_SALES,

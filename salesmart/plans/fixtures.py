@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.plans import adapter
+from salesmart.session import shuffles_freed
 from salesmart.sources.tables import test_table
 
 # Fixed landing layouts: layout number -> (line remainder, header).
@@ -131,7 +132,7 @@ def write_landing(spark: SparkSession, sf_dir: str, landing_dir: str,
          .csv(f"{landing_dir.rstrip('/')}/{name}{suffix}"))
 
     # Independent jobs: submitted together, so that one's last tasks leave no core idle.
-    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+    with shuffles_freed(spark), ThreadPoolExecutor(max_workers=len(names)) as pool:
         list(pool.map(write, names))
     return names
 

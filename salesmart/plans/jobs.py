@@ -21,6 +21,7 @@ instead. A full enrichment replaces the wide table.
 
 from __future__ import annotations
 
+from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 from urllib.parse import unquote
@@ -33,6 +34,7 @@ from salesmart.operators import enrich as enr
 from salesmart.operators import gates, partials
 from salesmart.operators import reports as rep
 from salesmart.operators import staging as stg
+from salesmart.session import shuffles_freed
 from salesmart.sources import commits
 from salesmart.sources import landing as ld
 from salesmart.sources import sinks
@@ -345,7 +347,8 @@ def enrich(spark: SparkSession, root: str, mode: str | None = None,
            allow_fanout: bool = False, broadcast_rows: int = enr.DEFAULT_BROADCAST_ROWS,
            row_budget: int = enr.DEFAULT_KEY_ROW_BUDGET,
            months: list[str] | None = None) -> dict:
-    """Staging tables -> enrichment/transactions in one write job.
+    """Staging tables -> enrichment/transactions, in one write job or, with many
+    sales, in one for each part of the months.
 
     A full run replaces the whole table, so a sale whose store or product
     became known is found under its new attributes only. ``months``
@@ -371,14 +374,23 @@ def enrich(spark: SparkSession, root: str, mode: str | None = None,
     if not allow_fanout:
         enr.assert_unique_key(prod, "product_key", "products")
         enr.assert_unique_key(loc, "store_location_key", "locations")
-    out, obs_in, obs_out = enr.observed_enrich(txn, prod, loc, broadcast_rows, row_budget)
+    joined = enr.enrichment(txn, prod, loc, broadcast_rows, row_budget)
+    metrics, written = Counter(), set()
+    n = sinks.slices(txn.count())
+    for i in range(n):
+        part = txn if n == 1 else txn.where(sinks.slice_of(n) == i)
+        out, obs_in, obs_out = enr.observed_enrich(part, joined)
+        if months is not None:
+            parts = Observation("enrich_partitions")  # provinces x months
+            out = out.observe(parts, F.collect_set(F.struct("province", "trans_year", "trans_month")).alias("parts"))
+        # Parts are whole months, so each writes partitions of its own.
+        sinks.write_table(out, z.enriched, ENRICHED, mode="append" if i and mode == "overwrite" else mode)
+        if months is not None:
+            written |= {tuple(p) for p in parts.get["parts"]}
+        metrics.update({**obs_in.get, **obs_out.get})
     if months is not None:
-        parts = Observation("enrich_partitions")  # provinces x months
-        out = out.observe(parts, F.collect_set(F.struct("province", "trans_year", "trans_month")).alias("parts"))
-    sinks.write_table(out, z.enriched, ENRICHED, mode=mode)
-    if months is not None:
-        _drop_stale_months(spark, z.enriched, months, {tuple(p) for p in parts.get["parts"]})
-    metrics = {**obs_in.get, **obs_out.get}
+        _drop_stale_months(spark, z.enriched, months, written)
+    metrics = dict(metrics)
     if not allow_fanout and metrics.get("rows_in") != metrics.get("rows_out"):
         raise RuntimeError(f"enrichment changed the row count: {metrics}")
     return metrics
@@ -429,10 +441,12 @@ def refresh_partials(spark: SparkSession, root: str, months: list[str] | None =
     return {"months": months}
 
 
-def _folded_bundles(spark: SparkSession, z: Zones, sketched: bool) -> tuple[DataFrame, DataFrame]:
-    tables = {c.name: read_table(spark, f"{z.partials}/{c.name}", c) for c in partials.TABLES}
-    metrics = partials.sketched_metrics(tables["sketches"]) if sketched else partials.metrics(tables["baskets"])
-    return partials.bundle(tables["store_sums"], tables["product_sums"]), metrics
+def _exact_metrics(rows: DataFrame) -> DataFrame:
+    """Both metric reports from partial sums (see ``reports.metric_rows``), one
+    after the other: what one report's distinct counts have shuffled is gone
+    before the other's."""
+    by_year, by_loyalty = (rep.metrics_of(rep.with_membership(rows), (key,)).checkpoint(eager=True) for key in rep.METRIC_KEYS)
+    return by_year.unionByName(by_loyalty)
 
 
 def reporting(spark: SparkSession, root: str, top_stores: int = rep.DEFAULT_TOP_STORES,
@@ -442,7 +456,8 @@ def reporting(spark: SparkSession, root: str, top_stores: int = rep.DEFAULT_TOP_
               only: list[str] | None = None, months: list[str] | None = None, sketched: bool = False) -> dict:
     """All nine reports, or those named in ``only``, from two scans of the enriched table.
 
-    The two bundles are small (bounded by the dimensions) and are
+    The exact distinct counts expand what the second scan was aggregated to,
+    kept meanwhile; both bundles are small (bounded by the dimensions) and are
     checkpointed to the shared checkpoint folder, so the nine report writes
     read them instead of re-running the scans. ``province``, ``year`` and
     ``month`` restrict the reports to matching partitions; the filters prune
@@ -468,7 +483,9 @@ def reporting(spark: SparkSession, root: str, top_stores: int = rep.DEFAULT_TOP_
         if any(v is not None for _, v in filters) or approx_distinct is not None:
             raise ValueError("an incremental run reports on all sales; its approximate counts are 'sketched'")
         refresh_partials(spark, root, None if months == ["all"] else months)
-        bundle, metrics = _folded_bundles(spark, z, sketched)
+        tables = {c.name: read_table(spark, f"{z.partials}/{c.name}", c) for c in partials.TABLES}
+        bundle = partials.bundle(tables["store_sums"], tables["product_sums"])
+        metrics = partials.sketched_metrics(tables["sketches"]) if sketched else partials.metrics(tables["baskets"])
     else:
         sales = read_table(spark, z.enriched, ENRICHED)
         for column, value in filters:
@@ -476,10 +493,17 @@ def reporting(spark: SparkSession, root: str, top_stores: int = rep.DEFAULT_TOP_
                 sales = sales.where(F.col(column) == F.lit(value))
         bundle, metrics = rep.report_bundle(sales), rep.metrics_bundle(sales, approx_distinct)
     # A bundle that no wanted report reads is not computed.
-    if set(names) & set(rep.ADDITIVE_SETS):
-        bundle = bundle.checkpoint(eager=True)
-    if set(names) - set(rep.ADDITIVE_SETS):
-        metrics = metrics.checkpoint(eager=True)
+    with shuffles_freed(spark):
+        if set(names) & set(rep.ADDITIVE_SETS):
+            bundle = bundle.checkpoint(eager=True)
+        if set(names) - set(rep.ADDITIVE_SETS):
+            if sketched or approx_distinct is not None:
+                metrics = metrics.checkpoint(eager=True)
+            elif months is not None:
+                metrics = _exact_metrics(partials.metric_rows(tables["baskets"]))
+            else:
+                with sinks.held(rep.metric_rows(sales), "metric-rows") as rows:
+                    metrics = _exact_metrics(rows)
     reports = {k: v for k, v in rep.split_bundle(bundle, metrics, top_stores, top_categories).items() if k in names}
 
     def write(item):

@@ -12,16 +12,27 @@ Write modes of a table load:
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.contracts import TableContract
+from salesmart.session import scratch_path, shuffles_freed
 
 MODES = ("overwrite", "append", "dynamic")
 # Extra partition level of a load-scoped append (dropped by contract reads).
 LOAD_COLUMN = "load_id"
 # Bound on rows per output file; keeps files a few hundred MB at most.
 MAX_RECORDS_PER_FILE = 5_000_000
+# Sales that are joined and written together, in parts of whole months: the
+# shuffle files of one part are gone before the next begins. Each part shuffles
+# the dimensions again, so there are few. (A number that shares no factor with
+# twelve deals the same month of all years to different parts.)
+SLICE_ROWS = 20_000_000
+MAX_SLICES = 5
+SLICE = "_slice"
 
 
 def write_table(df: DataFrame, path: str, contract: TableContract, mode: str | None = None,
@@ -64,7 +75,44 @@ def write_table(df: DataFrame, path: str, contract: TableContract, mode: str | N
         writer = writer.mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    with shuffles_freed(df.sparkSession):
+        writer.parquet(path)
+
+
+def slices(rows: int) -> int:
+    """Parts in which so many sales are written."""
+    return max(1, min(MAX_SLICES, -(-rows // SLICE_ROWS)))
+
+
+def slice_of(n: int) -> Column:
+    """The part, of ``n``, of a sale's month; sales without a date are in the first."""
+    return F.coalesce(F.pmod(F.col("trans_year") * 12 + F.col("trans_month"), F.lit(n)), F.lit(0))
+
+
+@contextmanager
+def sliced(df: DataFrame, n: int) -> Iterator[list[DataFrame]]:
+    """The ``n`` parts of sales that are themselves the result of a join, which
+    is made once."""
+    if n == 1:
+        yield [df]
+        return
+    with held(df.withColumn(SLICE, slice_of(n)), "slices", SLICE) as kept:
+        yield [kept.where(F.col(SLICE) == i).drop(SLICE) for i in range(n)]
+
+
+@contextmanager
+def held(df: DataFrame, name: str, *partition_by: str) -> Iterator[DataFrame]:
+    """The rows computed once and read from the shared scratch folder, as long
+    as the block lasts; the shuffles behind them are gone before it begins."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    with shuffles_freed(spark):
+        df.write.partitionBy(*partition_by).parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_csv(df: DataFrame, path: str, order: list[Column] | None = None,

@@ -6,11 +6,11 @@ import glob
 from pyspark.sql import functions as F
 
 from conftest import plan_text
-from salesmart.contracts import TRANSACTIONS
+from salesmart.contracts import ENRICHED, TRANSACTIONS
 from salesmart.functions.keys import NUMBER_TEXT
 from salesmart.operators import joins
 from salesmart.operators import staging as stg
-from salesmart.plans import adapter, fixtures
+from salesmart.plans import adapter, fixtures, io_queries, jobs
 from salesmart.sources import commits, sinks
 
 LINE = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_shipdate timestamp"
@@ -75,3 +75,38 @@ def test_numbers_are_parsed_once(spark):
     assert got == [(1.5, 1, False, False), (0.0, 0, True, True), (0.0, 3, True, False), (0.0, 0, True, True)]
     plan = clean._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count(NUMBER_TEXT) == 2  # of sales and of units
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {f for f in (files.apply(i).getName() for i in range(files.size())) if f.startswith("shuffle_")}
+
+
+def _sales_tables(spark, folder):
+    """Lines of six months and one without a date; orders, parts and stores."""
+    lines = [(o, 10 * (o % 3), o % 2 + 1, 1, 2.0, 1.5, dt.datetime(1995, 1 + o % 6, 3)) for o in range(1, 40)] + [(5, 10, 1, 1, 1.0, 1.0, None)]
+    tables = {"lineitem": (lines, LINE), "orders": ([(o, o) for o in range(1, 40)], "o_orderkey bigint, o_custkey bigint"),
+              "part": ([(10, "n", "b", "t", 1), (20, "n", "c", "t", 1)], "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int"),
+              "supplier": ([(1, "s", 1), (2, "t", 2)], "s_suppkey bigint, s_name string, s_nationkey int"),
+              "nation": ([(1, "x", 1), (2, "y", 2)], "n_nationkey int, n_name string, n_regionkey int"),
+              "region": ([(1, "r"), (2, "q")], "r_regionkey int, r_name string")}
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_jobs_in_parts_publish_the_same_reports(spark, workdir, monkeypatch):
+    _sales_tables(spark, workdir)
+    monkeypatch.setattr(io_queries, "LATE_QUARTER", "1995-04-01")
+    want = sorted(map(str, io_queries.report_run(spark, workdir).collect()))
+    monkeypatch.setattr(sinks, "SLICE_ROWS", 14)
+    monkeypatch.setattr(joins, "size_within", lambda *a: False)
+    parts, real, write = [], jobs.enrich, sinks.write_table
+    monkeypatch.setattr(sinks, "write_table", lambda df, path, contract, **k: (parts.append((contract.name, k.get("mode"))), write(df, path, contract, **k)))
+    metrics = []
+    monkeypatch.setattr(jobs, "enrich", lambda *a, **k: metrics.append(real(*a, **k)))
+    for query, enriched, baskets in ((io_queries.report_run, 3, 0), (io_queries.report_run_incremental, 4, 2)):
+        parts.clear(), metrics.clear()
+        assert sorted(map(str, query(spark, workdir).collect())) == want
+        # The late quarter is small: one part.
+        assert sum(p[0] == ENRICHED.name for p in parts) == enriched and sum(p[0] == "baskets" for p in parts) == baskets
+        assert metrics[0]["rows_in"] == metrics[0]["rows_out"] == (39 if baskets == 0 else 20)  # a line without a date is rejected
