@@ -104,7 +104,7 @@ def test_jobs_in_parts_publish_the_same_reports(spark, workdir, monkeypatch):
     monkeypatch.setattr(sinks, "write_table", lambda df, path, contract, **k: (parts.append((contract.name, k.get("mode"))), write(df, path, contract, **k)))
     metrics = []
     monkeypatch.setattr(jobs, "enrich", lambda *a, **k: metrics.append(real(*a, **k)))
-    for query, enriched, baskets in ((io_queries.report_run, 3, 0), (io_queries.report_run_incremental, 4, 2)):
+    for query, enriched, baskets in ((io_queries.report_run, 3, 0), (io_queries.report_run_incremental, 4, 4)):
         parts.clear(), metrics.clear()
         assert sorted(map(str, query(spark, workdir).collect())) == want
         # The late quarter is small: one part.
