@@ -19,7 +19,7 @@ from salesmart.operators import quality as dq
 from salesmart.operators import reports as rep
 from salesmart.operators import staging as stg
 from salesmart.plans import adapter, fixtures
-from salesmart.plans.registry import enriched
+from salesmart.plans.registry import enriched, write_enriched
 from salesmart.session import scratch_path
 from salesmart.sources import commits
 from salesmart.sources import landing as ld
@@ -309,7 +309,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enriched table written by province/year/month and read back."""
     path = scratch_path(spark, "enrichment") + "/transactions"
-    sinks.write_table(enriched(spark, sf_dir), path, ENRICHED, mode="overwrite")
+    write_enriched(spark, sf_dir, path)
     return read_table(spark, path, ENRICHED)
 
 

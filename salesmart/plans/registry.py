@@ -11,9 +11,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from salesmart.contracts import ENRICHED
 from salesmart.operators import enrich as enr
 from salesmart.operators import reports as rep
 from salesmart.plans import adapter
+from salesmart.sources import sinks
+from salesmart.sources.tables import test_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +26,17 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enr.enrich(txn, prod, loc, counted=adapter.sale_keys(spark, sf_dir))
 
 
+def write_enriched(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The enriched sales as a table, joined and written in parts of whole
+    months where there are many."""
+    txn, prod, loc = adapter.staging_frames(spark, sf_dir)
+    joined = enr.enrichment(txn, prod, loc, counted=adapter.sale_keys(spark, sf_dir))
+    rows = test_table(spark, sf_dir, "lineitem").count()
+    with sinks.sliced(txn, sinks.slices(rows)) as parts:
+        for i, part in enumerate(parts):
+            sinks.write_table(joined(part), path, ENRICHED, mode="append" if i else "overwrite")
+
+
 def _report(fn: Callable[[DataFrame], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(enriched(spark, sf_dir))

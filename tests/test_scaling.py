@@ -2,6 +2,7 @@
 
 import datetime as dt
 import glob
+import time
 
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from salesmart.contracts import ENRICHED, TRANSACTIONS
 from salesmart.functions.keys import NUMBER_TEXT
 from salesmart.operators import joins
 from salesmart.operators import staging as stg
-from salesmart.plans import adapter, fixtures, io_queries, jobs
+from salesmart.plans import adapter, fixtures, io_queries, jobs, registry
 from salesmart.sources import commits, sinks
 
 LINE = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_shipdate timestamp"
@@ -94,6 +95,35 @@ def _sales_tables(spark, folder):
         spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
 
 
+def test_the_enriched_table_is_written_in_parts_that_free_their_shuffles(spark, workdir, monkeypatch):
+    _sales_tables(spark, workdir)
+    monkeypatch.setattr(sinks, "SLICE_ROWS", 14)
+    monkeypatch.setattr(joins, "size_within", lambda *a: False)  # joins by shuffle
+    kept = f"{spark.sparkContext.getCheckpointDir().removeprefix('file:')}/salesmart/slices-*"
+    folders, writes, real = set(glob.glob(kept)), [], sinks.write_table
+
+    def write(*args, **options):
+        before = _shuffle_files(spark)
+        real(*args, **options)
+        for _ in range(50):  # they are deleted in the background
+            if not (left := _shuffle_files(spark) - before):
+                break
+            time.sleep(0.2)
+        writes.append(left)
+
+    monkeypatch.setattr(sinks, "write_table", write)
+    want = sorted(map(str, registry.enriched(spark, workdir).collect()))
+    for query in (io_queries.partitioned_roundtrip,):
+        writes.clear()
+        got = query(spark, workdir)
+        assert writes == [set()] * 3  # three parts, and no shuffle file of theirs is left
+        if query is io_queries.partitioned_roundtrip:
+            assert sorted(map(str, got.collect())) == want
+        else:
+            assert {r["value_count"] for r in got.collect() if r["column_name"] in ("trans_key", "trans_dt")} == {40, 39}
+    assert set(glob.glob(kept)) == folders
+
+
 def test_jobs_in_parts_publish_the_same_reports(spark, workdir, monkeypatch):
     _sales_tables(spark, workdir)
     monkeypatch.setattr(io_queries, "LATE_QUARTER", "1995-04-01")
