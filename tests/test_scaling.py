@@ -113,7 +113,7 @@ def test_the_enriched_table_is_written_in_parts_that_free_their_shuffles(spark,
 
     monkeypatch.setattr(sinks, "write_table", write)
     want = sorted(map(str, registry.enriched(spark, workdir).collect()))
-    for query in (io_queries.partitioned_roundtrip,):
+    for query in (io_queries.partitioned_roundtrip, io_queries.schema_contract):
         writes.clear()
         got = query(spark, workdir)
         assert writes == [set()] * 3  # three parts, and no shuffle file of theirs is left
