@@ -31,6 +31,8 @@ named with a prefix of their own, so the input's other columns cannot clash.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -51,6 +53,10 @@ ROUNDS = 4
 #: Rows (line numbers by document) that may be broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
+#: Parts of the prefix tokens that are grouped one after the other, so that the
+#: shuffle of one only is on the disks at a time.
+TOKEN_PARTS = 4
+
 _ID = ["doc_id", "line_no", "text_key"]
 _LINE = ["number", *_ID, "n"]
 # What is between words, once A-Z are lower case (see textkit).
@@ -126,15 +132,15 @@ def _uncrowded(firsts: DataFrame, docs: DataFrame) -> DataFrame:
         held = kept(held, "lines-held")
         # Kept first: the filter that an explode implies would be pushed below the
         # words, which the lambda of the tokens would then cut again for each shingle.
-        again = kept(_with_tokens(_chosen_lines(docs, held, "number", "n")).select(*_LINE, "tokens"), "lines-tokens")
-        again = again.select(*_LINE, F.explode("tokens").alias("token"))
+        cut = kept(_with_tokens(_chosen_lines(docs, held, "number", "n")).select(*_LINE, "tokens"), "lines-tokens")
+        again = cut.select(*_LINE, F.explode("tokens").alias("token"))
         again = again.join(F.broadcast(places), _counter(again["token"]) == places["counter"], "left")
         # A set: a document that repeats gives its lines again.
         again = again.groupBy(*_LINE).agg(F.sort_array(F.collect_set(F.struct(F.coalesce("place", F.lit(0)).alias("place"), "token"))).alias("tokens"))
         again = again.select(*_LINE, F.transform(_first_of(F.col("tokens")), lambda s: s["token"]).alias("prefix"))
         others = firsts.join(_bounded(held.select("number")), "number", "left_anti").select(*_LINE, "prefix")
         following = kept(others.unionByName(again), "lines-firsts")
-        removed(docs.sparkSession, firsts, held)
+        removed(docs.sparkSession, firsts, held, cut)
         firsts = following
     return firsts
 
@@ -178,11 +184,28 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, name: str)
             .join(sets.select(F.col("number").alias("earlier"), F.col("tokens").alias("other")), "earlier"))
     common = F.size(F.array_intersect("mine", "other"))
     union = F.size("mine") + F.size("other") - common
-    return kept(both.filter(common * OF >= union * SIMILAR).select("line", "earlier"), f"{name}-matches")
+    matches = kept(both.filter(common * OF >= union * SIMILAR).select("line", "earlier"), f"{name}-matches")
+    removed(docs.sparkSession, ids, sets)
+    return matches
+
+
+def _shared(entries: DataFrame) -> DataFrame:
+    """The entries of tokens that several lines have, with the ``lead``, the
+    first of them."""
+    group = Window.partitionBy("token")
+    tables = []
+    for part in range(TOKEN_PARTS):
+        rows = entries.filter(F.pmod("token", F.lit(TOKEN_PARTS)) == part)
+        rows = (rows.withColumn("lead", F.min(F.struct("number", "n", "at")).over(group))
+                .withColumn("last", F.max("number").over(group)).filter(F.col("last") != F.col("lead.number")).drop("last"))
+        tables.append(kept(rows, "lines-shared"))
+    return reduce(DataFrame.unionByName, tables)
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, text_key of each line that matches an earlier one."""
+    """doc_id, line_no, text_key of each line that matches an earlier one.
+    Tables go as soon as no later step reads them."""
+    spark = docs.sparkSession
     lines = kept(_lines(docs), "lines")
     # Classes get numbers in the order of their first lines, so that the rows
     # that are joined on tokens are small.
@@ -192,12 +215,10 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     firsts = lines.join(firsts, [lines[c] == firsts[f"first_{c}"] for c in _ID]).select(*_LINE, "prefix")
     firsts = kept(firsts, "lines-firsts")
     keys = kept(lines.select(*_ID, "k1", "k2"), "lines-keys")
-    removed(docs.sparkSession, lines)
-    entries = _uncrowded(firsts, docs).select("number", "n", F.posexplode("prefix").alias("at", "token")).withColumn("at", F.col("at") + 1)
-    group = Window.partitionBy("token")
-    shared = (entries.withColumn("lead", F.min(F.struct("number", "n", "at")).over(group))
-              .withColumn("last", F.max("number").over(group)).filter(F.col("last") != F.col("lead.number")).drop("last"))
-    shared = kept(shared, "lines-shared")
+    removed(spark, lines)
+    firsts = _uncrowded(firsts, docs)
+    shared = _shared(firsts.select("number", "n", F.posexplode("prefix").alias("at", "token")).withColumn("at", F.col("at") + 1))
+    removed(spark, firsts)
     lead = F.col("lead")
     followers = shared.filter(F.col("number") != lead["number"])
     pairs = followers.filter(_may_match(F.col("n"), F.col("at"), lead["n"], lead["at"]))
@@ -210,10 +231,13 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     rest = later.join(others, (later["token"] == others["token"]) & (F.col("earlier") < F.col("line")) & (F.col("earlier") != F.col("led_by"))
                       & _may_match(F.col("line_n"), F.col("line_at"), F.col("n"), F.col("at")))
     rest = kept(rest.select("line", "earlier").distinct().join(pairs, ["line", "earlier"], "left_anti"), "lines-rest")
+    removed(spark, shared, pairs)
     gone = settled.union(_verified(rest, classes, docs, "lines-open").select("line")).distinct()
     # From classes back to lines: a later copy goes, and the first if it matched.
     affected = (classes.join(gone.select(F.col("line").alias("number"), F.lit(True).alias("matched")), "number", "left")
                 .filter("copies > 1 or matched").select("k1", "k2", "first", F.coalesce("matched", F.lit(False)).alias("matched")))
+    affected = kept(affected, "lines-affected")
+    removed(spark, classes, rest)
     return (keys.join(affected, ["k1", "k2"])
             .filter(F.col("matched") | (F.struct(*_ID) != F.col("first"))).select(*_ID))
 

@@ -1,5 +1,6 @@
 """Line dedup, near-dedup, embeddings, quotations, components and the pipeline."""
 
+import os
 import random
 from collections import defaultdict
 
@@ -115,6 +116,23 @@ def test_line_dedup_runs_no_python_on_the_executors(spark, monkeypatch):
     assert len(plans) > 5 and not any(x in plan for plan in plans for x in ("InArrow", "InPandas", "EvalPython"))
 
 
+def test_line_dedup_deletes_its_tables_as_it_goes(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "CROWDED", 2)
+    docs = spark.createDataFrame(line_rows(14, 12), "doc_id bigint, text string")
+    folder, there, kept = f"{spark.sparkContext.getCheckpointDir().removeprefix('file:')}/salesmart", {}, linededup.kept
+    kept(docs, "documents")
+    before = set(os.listdir(folder))
+
+    def seen(df, name):
+        there[name] = {x.rpartition("-")[0] for x in set(os.listdir(folder)) - before}
+        return kept(df, name)
+
+    monkeypatch.setattr(linededup, "kept", seen)
+    linededup.cleaned(docs).collect()
+    assert not there["lines-pairs"] & {"lines", "lines-firsts", "lines-tokens", "lines-held"}
+    assert not there["lines-gone"] & {"lines-firsts", "lines-tokens", "lines-shared", "lines-pairs", "lines-rest", "lines-classes", "lines-led-sets", "lines-open-sets"}
+
+
 def test_line_edges(edge_docs, no_docs):
     out = linededup.deduplicated(edge_docs)
     assert out.columns == edge_docs.columns
